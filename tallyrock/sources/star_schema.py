@@ -52,31 +52,23 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows dealt out to all cores when the scan has fewer tasks than cores.
-
-    A file with a single row group is read by one task, and every join on a
-    broadcast side would stay in that task. A large table has splits enough and
-    is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def transactions(spark: SparkSession, folder: str) -> DataFrame:
     """Bronze rows from line items, with timestamps that carry no zone.
 
     Orders get their customer and nation first: that side is smaller than the
-    line items, which then move twice at most, by order and by part. Spark
-    broadcasts a side only when its size is below the session's threshold.
+    line items, which then move twice at most, by order and by part. Line items
+    and orders grow together, so their join always shuffles and sorts, which
+    can spill and lets adaptive execution split a hot order; it also deals the
+    rows of a file with a single row group out to all cores. The other sides
+    are broadcast only when their size is below the session's threshold.
     """
     customers = table(spark, folder, "customer").join(
         table(spark, folder, "nation"), on=_equal("c_nationkey", "n_nationkey")
     )
     orders = table(spark, folder, "orders").join(customers, on=_equal("o_custkey", "c_custkey"))
     lines = (
-        spread(table(spark, folder, "lineitem"))
-        .join(orders, on=_equal("l_orderkey", "o_orderkey"))
+        table(spark, folder, "lineitem")
+        .join(orders.hint("merge"), on=_equal("l_orderkey", "o_orderkey"))
         .join(table(spark, folder, "part"), on=_equal("l_partkey", "p_partkey"))
     )
     return lines.selectExpr(*[f"{EVENT_COLUMNS[name]} AS {name}" for name, _ in BRONZE_FIELDS])
