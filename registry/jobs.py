@@ -68,13 +68,14 @@ def silver_run(spark: SparkSession, bronze: str, silver: str):
     return run_silver(spark, bronze, silver, date_column=None, tie_breakers=tie_breakers())
 
 
-def lines_folder(spark: SparkSession, folder: str) -> str:
-    """The event payloads as JSON lines in key order; returns the folder."""
+def event_messages(spark: SparkSession, folder: str) -> DataFrame:
+    return to_messages(transactions(spark, folder).select(*PAYLOAD))
+
+
+def lines_folder(spark: SparkSession, messages: DataFrame) -> str:
+    """Messages as JSON lines; returns the folder."""
     path = scratch_path(spark, "lines")
-    messages = to_messages(transactions(spark, folder).select(*PAYLOAD))
-    publish(
-        in_key_order(messages, F.get_json_object("value", "$.ingest_ts"), "value"), "text", path
-    )
+    publish(messages, "text", path)
     return path
 
 
@@ -95,15 +96,14 @@ def append_then_overwrite(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ndjson_scan(spark: SparkSession, folder: str) -> DataFrame:
-    messages = lines_to_messages(
-        read_lines(spark, lines_folder(spark, folder), pattern="*.txt"), strict=True
-    )
-    return parse(messages)
+    events = event_messages(spark, folder)
+    ordered = in_key_order(events, F.get_json_object("value", "$.ingest_ts"), "value")
+    lines = read_lines(spark, lines_folder(spark, ordered), pattern="*.txt")
+    return parse(lines_to_messages(lines, strict=True))
 
 
 def publish_progress(spark: SparkSession, folder: str) -> DataFrame:
-    messages = to_messages(transactions(spark, folder).select(*PAYLOAD))
-    progress = publish(messages, "text", scratch_path(spark, "published"))
+    progress = publish(event_messages(spark, folder), "text", scratch_path(spark, "published"))
     return spark.createDataFrame([(progress.records,)], "records BIGINT")
 
 
@@ -122,7 +122,8 @@ def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 def drained_bronze(spark: SparkSession, folder: str):
     """Bronze filled by the stream until no message is left; returns path and query."""
-    messages = message_stream(spark, "text", {"path": lines_folder(spark, folder)})
+    lines = lines_folder(spark, event_messages(spark, folder))
+    messages = message_stream(spark, "text", {"path": lines})
     path = scratch_path(spark, "bronze")
     query = ingest_bronze(messages, path, f"{path}-checkpoint", trigger=UNTIL_DRAINED)
     query.awaitTermination()
