@@ -1,0 +1,100 @@
+import json
+import math
+
+import pytest
+from conftest import payload
+from pyspark.sql import functions as F
+
+from tallyrock.operators.payload import (
+    add_ingestion_metadata,
+    decode,
+    lines_to_messages,
+    parse,
+    to_messages,
+)
+from tallyrock.schema import PAYLOAD_DDL, PAYLOAD_FIELDS, names
+
+NARROW = "transaction_id STRING, txn_amount DOUBLE, fraud_flag BOOLEAN"
+
+
+def values(spark, *texts):
+    return spark.createDataFrame([(text,) for text in texts], "value STRING")
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ('{"transaction_id":"a","txn_amount":1.5,"fraud_flag":true}', ("a", 1.5, True)),
+        ("not json", (None, None, None)),
+        ('{"transaction_id":"t"', (None, None, None)),
+        ("[]", (None, None, None)),
+        ("", (None, None, None)),
+        (None, (None, None, None)),
+        ('{"transaction_id":"b","txn_amount":"12.3","fraud_flag":"yes"}', ("b", None, None)),
+        ('{"transaction_id":5,"txn_amount":1e400}', ("5", math.inf, None)),
+        ('{"transaction_id":"d","txn_amount":7,"extra":1}', ("d", 7.0, None)),
+        ('{"Transaction_ID":"u"}', (None, None, None)),
+    ],
+)
+def test_one_row_per_message_whatever_it_holds(spark, text, expected):
+    assert [tuple(row) for row in parse(values(spark, text), NARROW).collect()] == [expected]
+
+
+def test_nan_is_a_number(spark):
+    row = parse(values(spark, '{"transaction_id":"c","txn_amount":NaN}'), NARROW).first()
+    assert row.transaction_id == "c" and math.isnan(row.txn_amount)
+
+
+def test_whole_payload_is_parsed(spark):
+    event = payload(settlement_date=None, fraud_flag=True)
+    row = parse(values(spark, json.dumps(event))).first()
+    assert row.asDict() == event
+    assert list(row.asDict()) == names(PAYLOAD_FIELDS)
+
+
+def test_raw_text_is_kept_on_request(spark):
+    row = parse(values(spark, "broken"), keep_raw=True).first()
+    assert row.raw_value == "broken" and row.transaction_id is None
+
+
+def test_decode_reads_bytes_and_drops_the_rest(spark):
+    frame = spark.createDataFrame([(b"k", bytearray("é".encode()))], "key BINARY, value BINARY")
+    assert decode(frame).collect() == [("é",)]
+
+
+def test_messages_carry_nulls_and_the_account_as_key(spark):
+    events = spark.createDataFrame(
+        [tuple(payload(settlement_date=None).values())], PAYLOAD_DDL
+    )
+    message = to_messages(events).first()
+    assert message.key == "ACCT1"
+    assert json.loads(message.value) == payload(settlement_date=None)
+
+
+def test_round_trip(spark):
+    rows = [tuple(payload(event_id=str(i), txn_amount=10.0**i).values()) for i in range(-3, 12)]
+    events = spark.createDataFrame(rows, PAYLOAD_DDL)
+    assert sorted(parse(to_messages(events)).collect()) == sorted(events.collect())
+
+
+def test_lines_keep_fields_that_no_schema_knows(spark):
+    line = '{"account_id": 5, "extra": [1, 2]}'
+    assert lines_to_messages(values(spark, f"  {line} ")).collect() == [("5", line)]
+
+
+@pytest.mark.parametrize("line", ["", "not json", '{"account_id":'])
+def test_strict_lines_fail_the_job(spark, line):
+    assert lines_to_messages(values(spark, line)).count() == 1
+    with pytest.raises(Exception, match="not a JSON line"):
+        lines_to_messages(values(spark, line), strict=True).collect()
+
+
+def test_ingestion_stamp(spark):
+    stamped = add_ingestion_metadata(values(spark, "a", "b"), "feed")
+    assert stamped.columns == ["value", "ingestion_date", "ingestion_time", "source"]
+    row = stamped.agg(
+        F.count_distinct("ingestion_time").alias("times"),
+        F.bool_and(F.to_date("ingestion_time") == F.col("ingestion_date")).alias("same_day"),
+        F.max("source").alias("source"),
+    ).first()
+    assert tuple(row) == (1, True, "feed")
