@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -10,6 +10,7 @@ from tallyrock.operators.dedup import default_tie_breakers
 from tallyrock.operators.facts import lifecycle_fact
 from tallyrock.operators.payload import lines_to_messages, parse, to_messages
 from tallyrock.plans.gold import refresh_gold
+from tallyrock.plans.gold_increment import refresh_gold_increment
 from tallyrock.plans.pipeline import run_pipeline
 from tallyrock.plans.silver import run_silver, silver_current, silver_increment
 from tallyrock.schema import (
@@ -32,8 +33,8 @@ from tallyrock.streaming.silver import stream_silver
 PAYLOAD = names(PAYLOAD_FIELDS)
 SILVER = names(SILVER_FIELDS)
 ZONELESS = "timestamp_ntz"
-# First day of the second and of the third Bronze increment.
-INCREMENT_STARTS = ("1995-01-01", "1998-01-01")
+# First day of each Bronze increment after the first. The first one is empty.
+INCREMENT_STARTS = ("1995-01-01", "1998-01-01", "2000-01-01")
 
 
 def tie_breakers():
@@ -167,15 +168,20 @@ def silver_replay(spark: SparkSession, folder: str) -> DataFrame:
     return read_silver(spark, path)
 
 
-def incremental_silver(spark: SparkSession, folder: str) -> str:
-    """Silver after three runs, each on a longer Bronze; returns its path."""
+def incremental_silver(spark: SparkSession, folder: str, after_run=lambda silver: None) -> str:
+    """Silver after four runs, each on a longer Bronze; returns its path."""
     events = read_bronze(spark, bronze_table(spark, folder))
     bronze, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
-    second, third = [F.lit(day).cast("date") for day in INCREMENT_STARTS]
-    day = F.col("ingestion_date")
-    for increment in (day < second, (day >= second) & (day < third), day >= third):
-        append_table(events.filter(increment), bronze)
+    starts = [None, *INCREMENT_STARTS]
+    for start, end in zip(starts, [*INCREMENT_STARTS, None]):
+        increment = events
+        if start is not None:
+            increment = increment.filter(F.col("ingestion_date") >= start)
+        if end is not None:
+            increment = increment.filter(F.col("ingestion_date") < end)
+        append_table(increment, bronze)
         silver_run(spark, bronze, silver)
+        after_run(silver)
     return silver
 
 
@@ -220,6 +226,17 @@ def gold_refresh_current(spark: SparkSession, folder: str) -> DataFrame:
     return gold_credit_risk(spark, folder, dedup="table", tie_breakers=tie_breakers())
 
 
+def gold_increments(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """A Gold table brought up to date after each of four Silver runs."""
+    gold = scratch_path(spark, "gold")
+
+    def refresh(silver: str):
+        return refresh_gold_increment(spark, silver, gold, exact=True)
+
+    silver = incremental_silver(spark, folder, after_run=refresh)
+    return zoneless(refresh(silver)[table])
+
+
 ALL_JOBS = {
     "table_scan": table_scan,
     "append_then_overwrite": append_then_overwrite,
@@ -236,4 +253,9 @@ ALL_JOBS = {
     "gold_refresh": gold_refresh,
     "gold_refresh_increments": gold_credit_risk,
     "gold_refresh_current": gold_refresh_current,
+    "gold_totals_credit_risk": partial(gold_increments, table="gold_credit_risk"),
+    "gold_totals_summary": partial(gold_increments, table="gold_transaction_summary"),
+    "gold_totals_lifecycle": partial(gold_increments, table="gold_transaction_lifecycle"),
+    "gold_totals_customers": partial(gold_increments, table="dim_customer"),
+    "gold_totals_merchants": partial(gold_increments, table="dim_merchant"),
 }

@@ -132,8 +132,11 @@ TABLE_SIZES = " UNION ALL ".join(
     }.items()
 )
 
-# Increments as jobs.py cuts them, by the year of ingestion.
-INCREMENT = "CASE WHEN ingestion_date < DATE '1995-01-01' THEN 1 WHEN ingestion_date < DATE '1998-01-01' THEN 2 ELSE 3 END"
+# Increments as the jobs cut them, by the date of ingestion.
+INCREMENT = (
+    "CASE WHEN ingestion_date < DATE '1995-01-01' THEN 1 WHEN ingestion_date < DATE '1998-01-01'"
+    " THEN 2 WHEN ingestion_date < DATE '2000-01-01' THEN 3 ELSE 4 END"
+)
 PER_INCREMENT = f"transaction_id, {INCREMENT}"
 
 STAMPS = ("ingestion_date", "ingestion_time")
@@ -250,4 +253,11 @@ ALL_ORACLES: dict[str, str] = {
     "gold_refresh": on_silver(TABLE_SIZES),
     "gold_refresh_increments": on_silver(CREDIT_RISK, per=PER_INCREMENT),
     "gold_refresh_current": on_silver(CREDIT_RISK),
+    "gold_totals_credit_risk": on_silver(CREDIT_RISK, per=PER_INCREMENT),
+    "gold_totals_summary": on_silver(DAILY, per=PER_INCREMENT),
+    "gold_totals_lifecycle": on_silver(LIFECYCLE, per=PER_INCREMENT),
+    "gold_totals_customers": on_silver("SELECT DISTINCT customer_id FROM clean", per=PER_INCREMENT),
+    "gold_totals_merchants": on_silver(
+        "SELECT DISTINCT merchant_category FROM clean", per=PER_INCREMENT
+    ),
 }

@@ -13,7 +13,8 @@ from pyspark.sql import Column, functions as F
 CENTS = "decimal(18,2)"
 
 
-def _is_finite(amount: Column) -> Column:
+def is_finite(amount: str) -> Column:
+    """False for NaN and both infinities, NULL for NULL."""
     return ~F.isnan(amount) & (F.abs(amount) != F.lit(float("inf")))
 
 
@@ -21,8 +22,8 @@ def total_amount(amount="txn_amount", exact: bool = False) -> Column:
     value = F.col(amount)
     if not exact:
         return F.sum(value)
-    cents = F.sum(F.when(_is_finite(value), value).cast(CENTS)).cast("double")
-    return F.when(F.bool_and(_is_finite(value)), cents).otherwise(F.sum(value))
+    cents = F.sum(F.when(is_finite(amount), value).cast(CENTS)).cast("double")
+    return F.when(F.bool_and(is_finite(amount)), cents).otherwise(F.sum(value))
 
 
 def average_amount(amount="txn_amount", exact: bool = False) -> Column:

@@ -3,18 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from tallyrock.operators.dims import KEY_DIMENSIONS, dim, dim_date
 from tallyrock.operators.facts import credit_risk_fact, daily_summary, fraud_fact, lifecycle_fact
+from tallyrock.plans.side_by_side import run_all
 from tallyrock.plans.silver import silver_current
 from tallyrock.schema import SILVER_TABLE_DDL
 from tallyrock.sinks.csv import export_csv
 from tallyrock.sinks.tables import overwrite_table
-from tallyrock.sources.tables import read_table
+from tallyrock.sources.tables import read_table, schema_of
 
 # The names of the eleven tables.
 FACTS = (
@@ -41,14 +40,6 @@ def gold_tables(silver: DataFrame, exact: bool = False) -> dict[str, DataFrame]:
     return tables | {name: dim(silver, key) for name, key in KEY_DIMENSIONS.items()}
 
 
-def _run_all(spark: SparkSession, jobs: Iterable[Callable[[], None]], at_once: int) -> None:
-    """Runs independent jobs side by side: small ones fill the gaps large ones leave."""
-    with ThreadPoolExecutor(at_once) as pool:
-        started = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
-    for job in started:
-        job.result()
-
-
 def refresh_gold(
     spark: SparkSession,
     silver_path: str,
@@ -85,13 +76,13 @@ def refresh_gold(
         return f"{gold_path}/{name}"
 
     def written(name: str) -> DataFrame:
-        return read_table(spark, target(name), fmt, _schema_of(planned[name]))
+        return read_table(spark, target(name), fmt, schema_of(planned[name]))
 
     def write(name: str, df: DataFrame) -> Callable[[], None]:
         return lambda: overwrite_table(df, target(name), fmt)
 
     try:
-        _run_all(
+        run_all(
             spark,
             [write(name, planned[name]) for name in (*FACTS, "dim_customer")]
             + [lambda: combinations.foreachPartition(lambda rows: None)],
@@ -101,11 +92,11 @@ def refresh_gold(
             "dim_date": dim_date(written("gold_transaction_summary")),
             "dim_account": written("gold_credit_risk").select("account_id"),
         } | {name: dim(combinations, KEY_DIMENSIONS[name]) for name in ATTRIBUTE_DIMENSIONS}
-        _run_all(spark, [write(name, df) for name, df in derived.items()], at_once)
+        run_all(spark, [write(name, df) for name, df in derived.items()], at_once)
     finally:
         combinations.unpersist()
     if csv_path is not None:
-        _run_all(
+        run_all(
             spark,
             [
                 lambda name=name: export_csv(written(name), f"{csv_path}/{name}", single_file)
@@ -114,7 +105,3 @@ def refresh_gold(
             at_once,
         )
     return {name: written(name) for name in GOLD_TABLES}
-
-
-def _schema_of(df: DataFrame) -> str:
-    return ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in df.schema)

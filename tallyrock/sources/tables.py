@@ -31,3 +31,7 @@ def read_or_none(
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there, on whatever file system the path names."""
     return read_or_none(spark, path, "binaryFile") is not None
+
+
+def schema_of(df: DataFrame) -> str:
+    return ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in df.schema)
