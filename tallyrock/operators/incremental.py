@@ -40,4 +40,5 @@ def new_since(
     newer = df.filter(F.col(column) > mark)
     if date_column is None:
         return newer
-    return newer.filter(F.col(date_column) >= F.date_sub(F.to_date(mark), 2))
+    day = F.col(date_column)
+    return newer.filter((day >= F.date_sub(F.to_date(mark), 2)) | day.isNull())
