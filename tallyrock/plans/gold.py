@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -40,6 +40,23 @@ def gold_tables(silver: DataFrame, exact: bool = False) -> dict[str, DataFrame]:
     return tables | {name: dim(silver, key) for name, key in KEY_DIMENSIONS.items()}
 
 
+def export_all(
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame],
+    csv_path: str,
+    single_file: bool = False,
+    at_once: int = 4,
+) -> None:
+    run_all(
+        spark,
+        [
+            lambda name=name, table=table: export_csv(table, f"{csv_path}/{name}", single_file)
+            for name, table in tables.items()
+        ],
+        at_once,
+    )
+
+
 def refresh_gold(
     spark: SparkSession,
     silver_path: str,
@@ -95,13 +112,7 @@ def refresh_gold(
         run_all(spark, [write(name, df) for name, df in derived.items()], at_once)
     finally:
         combinations.unpersist()
+    tables = {name: written(name) for name in GOLD_TABLES}
     if csv_path is not None:
-        run_all(
-            spark,
-            [
-                lambda name=name: export_csv(written(name), f"{csv_path}/{name}", single_file)
-                for name in GOLD_TABLES
-            ],
-            at_once,
-        )
-    return {name: written(name) for name in GOLD_TABLES}
+        export_all(spark, tables, csv_path, single_file, at_once)
+    return tables

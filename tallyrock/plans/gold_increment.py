@@ -22,7 +22,7 @@ from tallyrock.functions.money import CENTS, is_finite
 from tallyrock.operators.dims import KEY_DIMENSIONS, dim, dim_date
 from tallyrock.operators.facts import fraud_fact, lifecycle_fact
 from tallyrock.operators.incremental import mark_column, new_since, read_mark
-from tallyrock.plans.gold import ATTRIBUTE_DIMENSIONS
+from tallyrock.plans.gold import ATTRIBUTE_DIMENSIONS, export_all
 from tallyrock.plans.side_by_side import run_all
 from tallyrock.schema import BATCH_COLUMN, SILVER_TABLE_DDL
 from tallyrock.sinks.tables import overwrite_table, replace_batch
@@ -177,12 +177,14 @@ def refresh_gold_increment(
     spark: SparkSession,
     silver_path: str,
     gold_path: str,
+    csv_path: str | None = None,
     *,
     fmt: str = "parquet",
     exact: bool = False,
+    single_file: bool = False,
     at_once: int = 4,
 ) -> dict[str, DataFrame]:
-    """Brings all eleven Gold tables up to date and returns them.
+    """Brings all eleven Gold tables up to date, exports them and returns them.
 
     Totals are kept under totals in gold_path. The two row-level facts carry
     batch_id as a partition column; use a Gold path of its own, apart from one
@@ -223,7 +225,10 @@ def refresh_gold_increment(
         ],
         at_once,
     )
-    return {name: kept_tables[name] for name in BATCH_FACTS} | {
+    tables = {name: kept_tables[name] for name in BATCH_FACTS} | {
         name: read_table(spark, f"{gold_path}/{name}", fmt, schema_of(df))
         for name, df in derived.items()
     }
+    if csv_path is not None:
+        export_all(spark, tables, csv_path, single_file, at_once)
+    return tables

@@ -1,0 +1,63 @@
+"""The commands, from JSON lines to CSV, as a scheduler would call them."""
+
+import json
+
+import pytest
+from conftest import payload
+
+from tallyrock.jobs import bronze, gold, pipeline, publish, silver
+
+
+@pytest.fixture
+def places(tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    events = [
+        payload(event_id="a"),
+        payload(event_id="b"),
+        payload(event_id="c", transaction_id="T2", account_id="B"),
+        payload(event_id="d", transaction_id=None),
+    ]
+    (raw / "one.ndjson").write_text("".join(json.dumps(event) + "\n" for event in events))
+    return {name: str(tmp_path / name) for name in ("raw", "sent", "bronze", "silver", "gold", "csv", "check")}
+
+
+def test_commands_in_order(spark, places, capsys):
+    publish.main(
+        ["--format", "text", "--lines", places["raw"], "--target", places["sent"], "--ordered-by", "ingest_ts"]
+    )
+    assert "4 records" in capsys.readouterr().out
+    bronze.main(
+        ["--source", "text", "--option", f"path={places['sent']}", "--drain"]
+        + ["--bronze", places["bronze"], "--checkpoint", places["check"]]
+    )
+    layers = ["--bronze", places["bronze"], "--silver", places["silver"]]
+    silver.main(layers)
+    assert "2 Silver rows added" in capsys.readouterr().out
+    outputs = ["--gold", places["gold"], "--csv", places["csv"], "--single-file"]
+    gold.main(["--silver", places["silver"], *outputs])
+    pipeline.main([*layers, *outputs])
+    assert "0 Silver rows added" in capsys.readouterr().out
+    accounts = spark.read.option("header", True).csv(f"{places['csv']}/dim_account")
+    assert sorted(r.account_id for r in accounts.collect()) == ["ACCT1", "B"]
+    kept = ["--gold", places["gold"] + "-kept", "--csv", places["csv"] + "-kept"]
+    gold.main(["--silver", places["silver"], "--incremental", *kept])
+    assert spark.read.parquet(f"{places['gold']}-kept/gold_credit_risk").count() == 2
+    assert spark.read.option("header", True).csv(f"{places['csv']}-kept/dim_date").count() == 1
+
+
+def test_silver_as_a_stream(spark, places):
+    bronze.main(
+        ["--source", "text", "--option", f"path={places['raw']}", "--drain", "--keep-raw"]
+        + ["--bronze", places["bronze"], "--checkpoint", places["check"]]
+    )
+    silver.main(
+        ["--stream", "--drain", "--bronze", places["bronze"], "--silver", places["silver"]]
+        + ["--checkpoint", places["check"] + "-silver"]
+    )
+    assert spark.read.parquet(places["silver"]).count() == 2
+
+
+def test_incremental_gold_takes_no_table_scope(spark, places):
+    with pytest.raises(SystemExit):
+        gold.main(["--silver", places["silver"], "--incremental", "--dedup", "table"])
