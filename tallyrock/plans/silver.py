@@ -35,17 +35,20 @@ def silver_increment(
 ) -> DataFrame:
     """Silver rows for the Bronze rows above the mark.
 
-    The order counts: flags are set before the text is cleaned, so a padded
-    status is not settled. normalize_first cleans first. Duplicates are removed
-    within the increment; see silver_current for the whole table.
+    Flags are set before the text is cleaned, so a padded status is not settled;
+    normalize_first cleans first. Duplicates are removed within the increment;
+    see silver_current for the whole table. That comes before the new columns,
+    which depend on one row only: the shuffle carries Bronze columns, and rows
+    that lose are not worked on. tie_breakers are expressions on Bronze columns.
     """
     rows = new_since(bronze, mark, date_column=date_column)
     rows = accepted(rows, quality_rules(strict_amount, strict_dates))
+    rows = latest_per_key(rows, tie_breakers=tie_breakers)
     if normalize_first:
         rows = enrich(normalize(rows), high_value_threshold, time_kind)
     else:
         rows = normalize(enrich(rows, high_value_threshold, time_kind))
-    return latest_per_key(rows, tie_breakers=tie_breakers).select(*names(SILVER_FIELDS))
+    return rows.select(*names(SILVER_FIELDS))
 
 
 def silver_current(
