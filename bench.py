@@ -19,6 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from registry import jobs  # noqa: E402
 from registry.queries import ALL_QUERIES  # noqa: E402
 from tallyrock.plans.gold import refresh_gold  # noqa: E402
+from tallyrock.plans.gold_increment import refresh_gold_increment  # noqa: E402
 from tallyrock.session import configure, scratch_path  # noqa: E402
 
 HEADLINE = (
@@ -73,6 +74,10 @@ def main() -> None:
     timed("silver_run_nothing_new", lambda: jobs.silver_run(spark, bronze, silver))
     timed("gold_refresh_with_csv", lambda: refresh_gold(spark, silver, gold, f"{gold}-csv"))
 
+    kept = f"{gold}-kept"
+    timed("gold_totals_first", lambda: refresh_gold_increment(spark, silver, kept))
+    timed("gold_totals_nothing_new", lambda: refresh_gold_increment(spark, silver, kept))
+
     print(
         json.dumps(
             {

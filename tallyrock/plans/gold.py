@@ -74,8 +74,8 @@ def refresh_gold(
 
     Silver is read six times, each time only the columns in question. The
     account and date dimensions are the group keys of facts already written,
-    the four attribute dimensions come from one pass over their combinations,
-    and the CSV comes from the written tables. dedup="table" first reduces
+    the four attribute dimensions come from one pass that writes their distinct
+    combinations, and the CSV comes from the written tables. dedup="table" first reduces
     Silver to the latest row per transaction over all runs, once.
     """
     if dedup not in ("run", "table"):
@@ -86,32 +86,27 @@ def refresh_gold(
         overwrite_table(silver_current(silver, tie_breakers), current_path, fmt)
         silver = read_table(spark, current_path, fmt, SILVER_TABLE_DDL)
     planned = gold_tables(silver, exact)
-    combinations = silver.select(*[KEY_DIMENSIONS[name] for name in ATTRIBUTE_DIMENSIONS])
-    combinations = combinations.distinct().persist()
-
-    def target(name: str) -> str:
-        return f"{gold_path}/{name}"
+    combined = silver.select(*[KEY_DIMENSIONS[name] for name in ATTRIBUTE_DIMENSIONS]).distinct()
+    combined_path = f"{gold_path}/attribute_combinations"
 
     def written(name: str) -> DataFrame:
-        return read_table(spark, target(name), fmt, schema_of(planned[name]))
+        return read_table(spark, f"{gold_path}/{name}", fmt, schema_of(planned[name]))
 
     def write(name: str, df: DataFrame) -> Callable[[], None]:
-        return lambda: overwrite_table(df, target(name), fmt)
-
-    try:
-        run_all(
-            spark,
-            [write(name, planned[name]) for name in (*FACTS, "dim_customer")]
-            + [lambda: combinations.foreachPartition(lambda rows: None)],
-            at_once,
-        )
-        derived = {
-            "dim_date": dim_date(written("gold_transaction_summary")),
-            "dim_account": written("gold_credit_risk").select("account_id"),
-        } | {name: dim(combinations, KEY_DIMENSIONS[name]) for name in ATTRIBUTE_DIMENSIONS}
-        run_all(spark, [write(name, df) for name, df in derived.items()], at_once)
-    finally:
-        combinations.unpersist()
+        return lambda: overwrite_table(df, f"{gold_path}/{name}", fmt)
+
+    run_all(
+        spark,
+        [write(name, planned[name]) for name in (*FACTS, "dim_customer")]
+        + [lambda: overwrite_table(combined, combined_path, fmt)],
+        at_once,
+    )
+    combined = read_table(spark, combined_path, fmt, schema_of(combined))
+    derived = {
+        "dim_date": dim_date(written("gold_transaction_summary")),
+        "dim_account": written("gold_credit_risk").select("account_id"),
+    } | {name: dim(combined, KEY_DIMENSIONS[name]) for name in ATTRIBUTE_DIMENSIONS}
+    run_all(spark, [write(name, df) for name, df in derived.items()], at_once)
     tables = {name: written(name) for name in GOLD_TABLES}
     if csv_path is not None:
         export_all(spark, tables, csv_path, single_file, at_once)

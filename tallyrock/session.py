@@ -19,6 +19,13 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# For submitted jobs, unless spark-submit sets them: shuffle output, and with it
+# table files, of this size rather than one small file per core.
+JOB_SETTINGS = {
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_SETTINGS.items():
@@ -28,7 +35,12 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def job_session(name: str) -> SparkSession:
     """The session of a submitted job; master, memory and packages come from spark-submit."""
-    return configure(SparkSession.builder.appName(name).getOrCreate())
+    spark = configure(SparkSession.builder.appName(name).getOrCreate())
+    submitted = dict(spark.sparkContext.getConf().getAll())
+    for key, value in JOB_SETTINGS.items():
+        if key not in submitted:
+            spark.conf.set(key, value)
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
