@@ -12,7 +12,6 @@ def main(arguments: list[str] | None = None) -> None:
     options = parser(__doc__, "bronze")
     add_stream(options, BRONZE_CHECKPOINT)
     options.add_argument("--source", default="kafka", help="kafka, or text for a folder of JSON lines")
-    options.add_argument("--option", action="append", default=[], help="source option as name=value")
     options.add_argument("--keep-raw", action="store_true", help="add the message text as raw_value")
     chosen = options.parse_args(arguments)
     spark = job_session("transactions to Bronze")

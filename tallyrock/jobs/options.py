@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import argparse
 
+from tallyrock.schema import HIGH_VALUE_THRESHOLD, MICRO_BATCH_INTERVAL
+
 # Where the layers live unless an option says otherwise.
 RAW = "/data/raw"
 BRONZE = "/data/bronze/transactions"
@@ -24,14 +26,15 @@ def parser(description: str, *layers: str) -> argparse.ArgumentParser:
 
 def add_stream(options: argparse.ArgumentParser, checkpoint: str) -> None:
     options.add_argument("--checkpoint", default=checkpoint, help=f"default {checkpoint}")
-    options.add_argument("--interval", default="30 seconds", help="time between micro-batches")
+    options.add_argument("--option", action="append", default=[], help="source option as name=value")
+    options.add_argument("--interval", default=MICRO_BATCH_INTERVAL, help="time between micro-batches")
     options.add_argument(
         "--drain", action="store_true", help="process what is there and end, instead of running on"
     )
 
 
 def add_silver(options: argparse.ArgumentParser) -> None:
-    options.add_argument("--high-value", type=float, default=10000.0)
+    options.add_argument("--high-value", type=float, default=HIGH_VALUE_THRESHOLD)
     options.add_argument("--normalize-first", action="store_true")
     options.add_argument("--strict-amount", action="store_true")
     options.add_argument("--strict-dates", action="store_true")

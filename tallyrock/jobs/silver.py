@@ -6,6 +6,7 @@ from tallyrock.jobs.options import (
     SILVER_CHECKPOINT,
     add_silver,
     add_stream,
+    pairs,
     parser,
     silver_options,
     trigger,
@@ -30,6 +31,7 @@ def main(arguments: list[str] | None = None) -> None:
             chosen.checkpoint,
             fmt=chosen.format,
             trigger=trigger(chosen),
+            source_options=pairs(chosen.option),
             **silver_options(chosen),
         ).awaitTermination()
         return

@@ -49,10 +49,15 @@ def lines_to_messages(lines: DataFrame, key: str = "account_id", strict: bool =
     """JSON lines as keyed messages, the text passed on whole with fields no schema knows.
 
     A missing or null key stays NULL, so that a message bus spreads such
-    messages over its partitions. strict fails the job on a line that is no JSON.
+    messages over its partitions. strict fails the job on a line that is no
+    JSON object.
     """
-    text = F.trim("value")
+    schema = f"`{key}` STRING, _broken STRING"
+    data = F.from_json("value", schema, {"columnNameOfCorruptRecord": "_broken"}).alias("data")
+    parsed = lines.select(F.trim("value").alias("value")).select("value", data)
+    message = F.col("value")
     if strict:
-        text = F.when(F.try_parse_json(text).isNull(), F.raise_error(F.lit("not a JSON line"))).otherwise(text)
-    checked = lines.select(text.alias("value"))
-    return checked.select(F.get_json_object("value", f"$.{key}").alias("key"), "value")
+        broken = F.col("data").isNull() | F.col("data._broken").isNotNull()
+        broken = broken | ~F.col("value").endswith("}")
+        message = F.when(broken, F.raise_error(F.lit("not a JSON line"))).otherwise(message)
+    return parsed.select(F.col("data").getField(key).alias("key"), message.alias("value"))

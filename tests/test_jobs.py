@@ -53,7 +53,7 @@ def test_silver_as_a_stream(spark, places):
     )
     silver.main(
         ["--stream", "--drain", "--bronze", places["bronze"], "--silver", places["silver"]]
-        + ["--checkpoint", places["check"] + "-silver"]
+        + ["--checkpoint", places["check"] + "-silver", "--option", "maxFilesPerTrigger=1"]
     )
     assert spark.read.parquet(places["silver"]).count() == 2
 

@@ -82,7 +82,17 @@ def test_lines_keep_fields_that_no_schema_knows(spark):
     assert lines_to_messages(values(spark, f"  {line} ")).collect() == [("5", line)]
 
 
-@pytest.mark.parametrize("line", ["", "not json", '{"account_id":'])
+def test_a_line_with_nan_keeps_its_key(spark):
+    line = '{"account_id": "A", "txn_amount": NaN}'
+    assert lines_to_messages(values(spark, line), strict=True).collect() == [("A", line)]
+
+
+@pytest.mark.parametrize("line", ["{}", '{"account_id": null}'])
+def test_a_line_without_a_key_has_none(spark, line):
+    assert lines_to_messages(values(spark, line), strict=True).collect() == [(None, line)]
+
+
+@pytest.mark.parametrize("line", ["", " ", "not json", '{"account_id":', "[]", "5", '{"a": 1} x'])
 def test_strict_lines_fail_the_job(spark, line):
     assert lines_to_messages(values(spark, line)).count() == 1
     with pytest.raises(Exception, match="not a JSON line"):
