@@ -168,6 +168,14 @@ def silver_replay(spark: SparkSession, folder: str) -> DataFrame:
     return read_silver(spark, path)
 
 
+def run_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows added and rows previewed by a first run and by one that finds nothing new."""
+    bronze, silver = bronze_table(spark, folder), scratch_path(spark, "silver")
+    reports = [(run, silver_run(spark, bronze, silver)) for run in ("first", "second")]
+    rows = [(run, report.rows, report.preview.count()) for run, report in reports]
+    return spark.createDataFrame(rows, "run STRING, row_count BIGINT, previewed BIGINT")
+
+
 def incremental_silver(spark: SparkSession, folder: str, after_run=lambda silver: None) -> str:
     """Silver after four runs, each on a longer Bronze; returns its path."""
     events = read_bronze(spark, bronze_table(spark, folder))
@@ -247,6 +255,7 @@ ALL_JOBS = {
     "bronze_stream_progress": bronze_stream_progress,
     "silver_stream": silver_stream,
     "silver_replay": silver_replay,
+    "run_report": run_report,
     "silver_increments": silver_increments,
     "silver_current": silver_latest,
     "pipeline_twice": pipeline_twice,

@@ -247,6 +247,10 @@ ALL_ORACLES: dict[str, str] = {
     "bronze_stream_progress": on_raw("SELECT count(*) AS records FROM raw"),
     "silver_stream": on_silver(f"SELECT {SILVER_UNSTAMPED} FROM clean"),
     "silver_replay": on_silver(f"SELECT {SILVER} FROM clean"),
+    "run_report": on_silver(
+        "SELECT 'first' AS run, count(*) AS row_count, least(count(*), 5) AS previewed FROM clean"
+        " UNION ALL SELECT 'second', CAST(0 AS BIGINT), CAST(0 AS BIGINT)"
+    ),
     "silver_increments": on_silver(f"SELECT {SILVER} FROM clean", per=PER_INCREMENT),
     "silver_current": on_silver(f"SELECT {SILVER} FROM clean"),
     "pipeline_twice": on_silver(f"SELECT {SILVER} FROM clean"),

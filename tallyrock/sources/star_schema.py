@@ -13,6 +13,22 @@ from tallyrock.schema import BRONZE_FIELDS, SOURCE_LABEL
 
 SOURCE_SYSTEM = "star_schema_tables"
 
+# The layout of the tables. With it Spark need not open a file to plan.
+TABLES = {
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT,"
+    " l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE,"
+    " l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,"
+    " o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE,"
+    " c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT,"
+    " p_retailprice DOUBLE",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING,"
+    " value DOUBLE, props STRING",
+}
+
 # Column to SQL text that reads the same in Spark and in other ANSI engines.
 EVENT_COLUMNS = {
     "event_id": "CAST(l_orderkey AS STRING)||'-'||CAST(l_linenumber AS STRING)"
@@ -49,7 +65,7 @@ EVENT_COLUMNS = {
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def transactions(spark: SparkSession, folder: str) -> DataFrame:
