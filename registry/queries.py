@@ -66,11 +66,8 @@ def decode_payload(bronze: DataFrame) -> DataFrame:
 
 
 def keyed_messages(bronze: DataFrame) -> DataFrame:
-    def field(name: str, kind: str):
-        return F.get_json_object("value", f"$.{name}").cast(kind).alias(name)
-
-    messages = payload_messages(bronze)
-    return messages.select("key", *[field(name, kind) for name, kind in PAYLOAD_FIELDS])
+    fields = payload_messages(bronze).select("key", F.json_tuple("value", *PAYLOAD).alias(*PAYLOAD))
+    return fields.select("key", *[F.col(name).cast(kind) for name, kind in PAYLOAD_FIELDS])
 
 
 def ingestion_label(bronze: DataFrame) -> DataFrame:

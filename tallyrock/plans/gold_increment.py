@@ -25,7 +25,7 @@ from tallyrock.operators.incremental import mark_column, new_since, read_mark
 from tallyrock.plans.gold import ATTRIBUTE_DIMENSIONS, export_all
 from tallyrock.plans.side_by_side import run_all
 from tallyrock.schema import BATCH_COLUMN, SILVER_TABLE_DDL
-from tallyrock.sinks.tables import overwrite_table, replace_batch
+from tallyrock.sinks.tables import overwrite_table, replace_batch, replace_batches
 from tallyrock.sources.tables import read_or_none, read_table, schema_of
 
 # Totals take turns between two slots: the one in use is never the one written.
@@ -128,7 +128,7 @@ def _batches(table: DataFrame | None) -> set[str]:
 
 def add_fact_batches(
     spark: SparkSession,
-    fact: Callable[[DataFrame], DataFrame],
+    fact: Callable[..., DataFrame],
     silver: DataFrame,
     batches: set[str],
     path: str,
@@ -137,9 +137,12 @@ def add_fact_batches(
     """Adds those of Silver's batches that the fact table lacks; returns the whole table."""
     whole = fact(silver)
     schema = f"{schema_of(whole)}, {BATCH_COLUMN} STRING"
-    for batch_id in sorted(batches - _batches(read_or_none(spark, path, fmt, schema))):
-        rows = silver.filter(F.col(BATCH_COLUMN) == batch_id)
-        replace_batch(fact(rows), path, batch_id, fmt)
+    missing = sorted(batches - _batches(read_or_none(spark, path, fmt, schema)))
+    rows = silver.filter(F.col(BATCH_COLUMN).isin(missing))
+    if len(missing) == 1:
+        replace_batch(fact(rows), path, missing[0], fmt)
+    elif missing:
+        replace_batches(fact(rows, BATCH_COLUMN), path, fmt)
     stored = read_or_none(spark, path, fmt, schema)
     return whole if stored is None else stored.select(*whole.columns)
 

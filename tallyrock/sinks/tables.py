@@ -20,15 +20,14 @@ def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("overwrite").save(path)
 
 
-def replace_batch(df: DataFrame, path: str, batch_id: str, fmt: str = "parquet") -> None:
-    """Writes rows under batch_id, in place of what an earlier try of the batch left.
+def replace_batches(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Writes rows under their batch_id, in place of what earlier tries of these batches left.
 
-    Other batches stay as they are, so a repeated or restarted batch never
-    doubles rows.
+    Batches that do not occur in df stay as they are, so a repeated or restarted
+    batch never doubles rows.
     """
     (
-        df.withColumn(BATCH_COLUMN, F.lit(batch_id))
-        .write.format(fmt)
+        df.write.format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BATCH_COLUMN)
@@ -36,6 +35,11 @@ def replace_batch(df: DataFrame, path: str, batch_id: str, fmt: str = "parquet")
     )
 
 
+def replace_batch(df: DataFrame, path: str, batch_id: str, fmt: str = "parquet") -> None:
+    """Writes all rows as one batch. As its id is a constant, no sort by it is needed."""
+    replace_batches(df.withColumn(BATCH_COLUMN, F.lit(batch_id)), path, fmt)
+
+
 @dataclass(frozen=True)
 class Report:
     """Rows written and a DataFrame of the first few, both from the written table."""

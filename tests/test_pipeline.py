@@ -163,6 +163,17 @@ def test_running_totals_equal_a_full_refresh(spark, bronze, paths):
                 assert same(kept[name], full[name]), name
 
 
+def test_several_missing_batches_are_added_together(spark, bronze, paths):
+    for event, at in (("a", FIRST), ("b", SECOND), ("c", THIRD)):
+        add_bronze(bronze({"event_id": event, "transaction_id": event}, at=at), paths["bronze"])
+        run_silver(spark, paths["bronze"], paths["silver"])
+    fact = refresh_gold_increment(spark, paths["silver"], paths["gold"])["gold_fraud_detection"]
+    assert sorted(r.transaction_id for r in fact.collect()) == ["a", "b", "c"]
+    assert "batch_id" not in fact.columns
+    stored = spark.read.parquet(f"{paths['gold']}/gold_fraud_detection")
+    assert stored.select(BATCH_COLUMN).distinct().count() == 3
+
+
 def test_gold_scans_only_the_columns_it_needs(spark, bronze, paths):
     add_bronze(bronze({}), paths["bronze"])
     run_silver(spark, paths["bronze"], paths["silver"])
