@@ -13,6 +13,7 @@ from tallyrock.operators.quality import accepted, quality_rules
 from tallyrock.schema import (
     BRONZE_DDL,
     HIGH_VALUE_THRESHOLD,
+    SILVER_DDL,
     SILVER_FIELDS,
     SILVER_TABLE_DDL,
     names,
@@ -80,4 +81,4 @@ def run_silver(
     )
     batch_id = "from-start" if micros is None else f"from-{micros}"
     replace_batch(increment, silver_path, batch_id, fmt)
-    return report(spark, silver_path, fmt, SILVER_TABLE_DDL, batch_id)
+    return report(spark, silver_path, fmt, SILVER_DDL, batch_id)

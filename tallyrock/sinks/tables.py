@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyrock.schema import BATCH_COLUMN
-from tallyrock.sources.tables import read_table
+from tallyrock.sources.tables import read_or_none, read_table
 
 
 def append_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -56,8 +56,17 @@ def report(
     batch_id: str | None = None,
     preview_rows: int = 5,
 ) -> Report:
-    """Counts what was written, from file footers, instead of computing it again."""
-    written = read_table(spark, path, fmt, schema)
-    if batch_id is not None:
-        written = written.filter(F.col(BATCH_COLUMN) == batch_id)
+    """Counts what was written, from file footers, instead of computing it again.
+
+    Of a Parquet table only the folder of the batch is listed. A batch without
+    rows has no folder.
+    """
+    if batch_id is None:
+        written = read_table(spark, path, fmt, schema)
+    elif fmt == "delta":
+        written = read_table(spark, path, fmt).filter(F.col(BATCH_COLUMN) == batch_id)
+    else:
+        written = read_or_none(spark, f"{path}/{BATCH_COLUMN}={batch_id}", fmt, schema)
+    if written is None:
+        written = spark.range(0) if schema is None else spark.createDataFrame([], schema)
     return Report(written.count(), written.limit(preview_rows))

@@ -16,7 +16,7 @@ def require_checkpoint(spark: SparkSession, written: str, checkpoint: str) -> No
     the numbers it has seen, and a batch-keyed table would replace the old
     batches, so either way rows would be lost.
     """
-    if path_exists(spark, written) and not path_exists(spark, f"{checkpoint}/metadata"):
+    if not path_exists(spark, f"{checkpoint}/metadata") and path_exists(spark, written):
         raise LostCheckpoint(
             f"{written} exists but {checkpoint} holds no checkpoint: restore it or use a new table"
         )
