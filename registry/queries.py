@@ -8,9 +8,10 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from registry import jobs
+from registry.jobs import PAYLOAD, ZONELESS, tie_breakers
 from tallyrock.functions import calendar_parts, flag, is_high_value, is_suspicious, risk_score, to_time
 from tallyrock.operators import dims, facts, kpi
-from tallyrock.operators.dedup import default_tie_breakers, latest_per_key
+from tallyrock.operators.dedup import latest_per_key
 from tallyrock.operators.enrich import enrich, normalize
 from tallyrock.operators.incremental import high_water_mark, new_since
 from tallyrock.operators.payload import add_ingestion_metadata, decode, parse, to_messages
@@ -21,20 +22,12 @@ from tallyrock.operators.quality import (
     quality_rules,
     split_valid,
 )
-from tallyrock.plans.silver import silver_current, silver_increment
-from tallyrock.schema import LOWER_CASE_COLUMNS, PAYLOAD_FIELDS, UPPER_CASE_COLUMNS, names
+from tallyrock.plans.silver import silver_increment
+from tallyrock.schema import LOWER_CASE_COLUMNS, PAYLOAD_FIELDS, UPPER_CASE_COLUMNS
 from tallyrock.sources.star_schema import table, transactions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-ZONELESS = "timestamp_ntz"
-PAYLOAD = names(PAYLOAD_FIELDS)
-
-
-def tie_breakers():
-    return [*default_tie_breakers(), F.col("txn_amount").desc_nulls_last()]
-
-
 def silver(spark: SparkSession, folder: str, **options) -> DataFrame:
     options = {"time_kind": ZONELESS, "tie_breakers": tie_breakers()} | options
     return silver_increment(transactions(spark, folder), **options)

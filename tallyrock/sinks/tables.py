@@ -68,5 +68,5 @@ def report(
     else:
         written = read_or_none(spark, f"{path}/{BATCH_COLUMN}={batch_id}", fmt, schema)
     if written is None:
-        written = spark.range(0) if schema is None else spark.createDataFrame([], schema)
+        return Report(0, read_table(spark, path, fmt, schema).limit(0))
     return Report(written.count(), written.limit(preview_rows))

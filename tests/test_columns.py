@@ -2,7 +2,6 @@ import datetime
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from tallyrock.functions import average_amount, calendar_parts, flag, is_suspicious, total_amount
 from tallyrock.operators.enrich import enrich, normalize

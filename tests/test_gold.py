@@ -67,10 +67,7 @@ def test_padded_status_is_not_counted_as_settled(silver):
 
 
 def test_dimensions_keep_a_null_row(silver):
-    assert rows(dim(silver, "channel")) == [("web",), (None,)] or rows(dim(silver, "channel")) == [
-        (None,),
-        ("web",),
-    ]
+    assert set(rows(dim(silver, "channel"))) == {("web",), (None,)}
     assert rows(dim_date(silver)) == sorted(
         [(None,) * 5, (DAY(2025, 1, 8), 2025, 1, 8, 2), (DAY(2025, 2, 3), 2025, 2, 3, 6)], key=repr
     )

@@ -9,7 +9,7 @@ from tallyrock.plans.gold import GOLD_TABLES, gold_tables, refresh_gold
 from tallyrock.plans.gold_increment import refresh_gold_increment
 from tallyrock.plans.pipeline import run_pipeline
 from tallyrock.plans.silver import run_silver, silver_current, silver_increment
-from tallyrock.schema import BATCH_COLUMN, SILVER_TABLE_DDL
+from tallyrock.schema import BATCH_COLUMN, BRONZE_DDL, SILVER_TABLE_DDL
 from tallyrock.sources.tables import read_table
 
 FIRST, SECOND, THIRD = (f"2025-04-0{day} 10:00:00" for day in (1, 2, 3))
@@ -183,3 +183,14 @@ def test_gold_scans_only_the_columns_it_needs(spark, bronze, paths):
     assert plan_of(tables["dim_channel"]).count("HashAggregate") == 2
     assert "Exchange" not in plan_of(tables["gold_fraud_detection"])
     assert "Exchange" not in plan_of(tables["gold_transaction_lifecycle"])
+
+
+def test_silver_shuffles_once_and_only_bronze_columns(spark, bronze, paths):
+    add_bronze(bronze({}), paths["bronze"])
+    rows = read_table(spark, paths["bronze"], schema=BRONZE_DDL)
+    plan = plan_of(silver_increment(rows))
+    assert plan.count("Exchange") == 1
+    below_shuffle = plan[plan.index("Exchange") :]
+    assert "txn_hour" not in below_shuffle and "lower(" not in below_shuffle
+    for pushed in ("IsNotNull(transaction_id)", "GreaterThan(txn_amount,0.0)", "IsNotNull(txn_date)"):
+        assert pushed in plan_of(silver_increment(rows), "formatted")

@@ -3,12 +3,13 @@ import time
 
 import pytest
 from conftest import payload
+from plans import plan_of
 
 from tallyrock.schema import BRONZE_DDL, SILVER_TABLE_DDL
 from tallyrock.sinks.publish import stream_progress
 from tallyrock.sources.messages import message_stream
 from tallyrock.sources.tables import read_table
-from tallyrock.streaming.bronze import UNTIL_DRAINED, ingest_bronze
+from tallyrock.streaming.bronze import UNTIL_DRAINED, bronze_rows as bronze_rows_of, ingest_bronze
 from tallyrock.streaming.checkpoints import LostCheckpoint
 from tallyrock.streaming.silver import stream_silver
 
@@ -117,6 +118,12 @@ def test_increments_equal_one_run_when_keys_do_not_repeat(spark, lines, paths):
     assert batches.count() > 1
 
 
+def test_ingestion_needs_no_shuffle(spark, lines):
+    lines("1.ndjson", payload())
+    batch = spark.read.text(lines.path)
+    assert "Exchange" not in plan_of(bronze_rows_of(batch))
+
+
 def test_a_bus_connector_that_is_not_there_is_reported(spark):
     with pytest.raises(Exception, match="kafka"):
         message_stream(spark)
