@@ -24,6 +24,7 @@ from tallyrock.operators.facts import fraud_fact, lifecycle_fact
 from tallyrock.operators.incremental import mark_column, new_since, read_mark
 from tallyrock.plans.gold import ATTRIBUTE_DIMENSIONS, export_all
 from tallyrock.plans.side_by_side import run_all
+from tallyrock.plans.silver import batches_since
 from tallyrock.schema import BATCH_COLUMN, SILVER_TABLE_DDL
 from tallyrock.sinks.tables import overwrite_table, replace_batch, replace_batches
 from tallyrock.sources.tables import read_or_none, read_table, schema_of
@@ -93,22 +94,23 @@ def advance_rollup(
     fmt: str = "parquet",
 ) -> DataFrame:
     """Brings the totals at path up to newest, Silver's mark, and returns them."""
-    empty = rollup.start(silver.limit(0))
-    schema = f"{schema_of(empty)}, through BIGINT, {BATCH_COLUMN} STRING"
+    whole = rollup.start(silver)
+    schema = f"{schema_of(whole)}, through BIGINT, {BATCH_COLUMN} STRING"
     stored = read_or_none(spark, path, fmt, schema)
     reached: dict[str, int] = {}
     if stored is not None:
         marks = stored.groupBy(BATCH_COLUMN).agg(F.max("through").alias("through"))
         reached = {row[BATCH_COLUMN]: row["through"] for row in marks.collect()}
     slot = max(reached, key=reached.get, default=None)
-    if newest is None:
-        return empty
+    if newest is None:  # no row, or none with an ingestion time
+        return whole
     if slot is None:
-        totals = rollup.start(silver)
+        totals = whole
     elif reached[slot] == newest:
         return _totals(stored, slot)
     else:
-        fresh = rollup.start(new_since(silver, mark_column(reached[slot])))
+        recent = silver.filter(batches_since(reached[slot]))
+        fresh = rollup.start(new_since(recent, mark_column(reached[slot])))
         totals = rollup.merge(_totals(stored, slot).unionByName(fresh))
     target = SLOTS[1] if slot == SLOTS[0] else SLOTS[0]
     replace_batch(totals.withColumn("through", F.lit(newest).cast("bigint")), path, target, fmt)

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyrock.operators.dedup import latest_per_key
 from tallyrock.operators.enrich import enrich, normalize
 from tallyrock.operators.incremental import mark_column, new_since, read_mark
 from tallyrock.operators.quality import accepted, quality_rules
 from tallyrock.schema import (
+    BATCH_COLUMN,
     BRONZE_DDL,
     HIGH_VALUE_THRESHOLD,
     SILVER_DDL,
@@ -59,6 +60,26 @@ def silver_current(
     return latest_per_key(silver, tie_breakers=tie_breakers)
 
 
+# A batch is named after the mark it starts from, in microseconds.
+BATCH_PREFIX = "from-"
+
+
+def _batch_name(micros: int | None) -> str:
+    return f"{BATCH_PREFIX}{'start' if micros is None else micros}"
+
+
+def batches_since(micros: int) -> Column:
+    """True for the batches that can hold rows above a mark Silver once had.
+
+    Runs follow each other, so such a batch starts from that mark or a later
+    one. The condition is on the partition column alone: files of older batches
+    are not opened. Batches with other names, such as a stream's, stay in.
+    """
+    batch = F.col(BATCH_COLUMN)
+    start = F.substring(batch, len(BATCH_PREFIX) + 1, 20).try_cast("bigint")
+    return ~batch.startswith(BATCH_PREFIX) | (start >= micros)
+
+
 def run_silver(
     spark: SparkSession,
     bronze_path: str,
@@ -79,6 +100,6 @@ def run_silver(
     increment = silver_increment(
         bronze, None if micros is None else mark_column(micros), date_column=date_column, **options
     )
-    batch_id = "from-start" if micros is None else f"from-{micros}"
+    batch_id = _batch_name(micros)
     replace_batch(increment, silver_path, batch_id, fmt)
     return report(spark, silver_path, fmt, SILVER_DDL, batch_id)

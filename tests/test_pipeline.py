@@ -1,5 +1,7 @@
 """Silver runs, Gold refreshes and the pipeline over written tables."""
 
+import re
+
 import pytest
 from plans import plan_of
 from pyspark.sql import functions as F
@@ -8,8 +10,9 @@ from tallyrock.operators.incremental import read_mark
 from tallyrock.plans.gold import GOLD_TABLES, gold_tables, refresh_gold
 from tallyrock.plans.gold_increment import refresh_gold_increment
 from tallyrock.plans.pipeline import run_pipeline
-from tallyrock.plans.silver import run_silver, silver_current, silver_increment
+from tallyrock.plans.silver import batches_since, run_silver, silver_current, silver_increment
 from tallyrock.schema import BATCH_COLUMN, BRONZE_DDL, SILVER_TABLE_DDL
+from tallyrock.sinks.tables import replace_batch
 from tallyrock.sources.tables import read_table
 
 FIRST, SECOND, THIRD = (f"2025-04-0{day} 10:00:00" for day in (1, 2, 3))
@@ -163,6 +166,14 @@ def test_running_totals_equal_a_full_refresh(spark, bronze, paths):
                 assert same(kept[name], full[name]), name
 
 
+def test_running_totals_without_any_ingestion_time(spark, bronze, paths):
+    rows = bronze({}).withColumn("ingestion_time", F.lit(None).cast("timestamp"))
+    add_bronze(rows, paths["bronze"])
+    run_silver(spark, paths["bronze"], paths["silver"])
+    tables = refresh_gold_increment(spark, paths["silver"], paths["gold"])
+    assert {name: table.count() for name, table in tables.items()} == dict.fromkeys(GOLD_TABLES, 1)
+
+
 def test_several_missing_batches_are_added_together(spark, bronze, paths):
     for event, at in (("a", FIRST), ("b", SECOND), ("c", THIRD)):
         add_bronze(bronze({"event_id": event, "transaction_id": event}, at=at), paths["bronze"])
@@ -174,6 +185,22 @@ def test_several_missing_batches_are_added_together(spark, bronze, paths):
     assert stored.select(BATCH_COLUMN).distinct().count() == 3
 
 
+def test_only_batches_since_a_mark_are_read(spark, bronze, paths):
+    marks = []
+    for event, at in (("a", FIRST), ("b", SECOND), ("c", THIRD)):
+        add_bronze(bronze({"event_id": event, "transaction_id": event}, at=at), paths["bronze"])
+        run_silver(spark, paths["bronze"], paths["silver"])
+        marks.append(read_mark(read_silver(spark, paths["silver"])))
+    streamed = read_silver(spark, paths["silver"]).filter("event_id = 'a'")
+    replace_batch(streamed.drop(BATCH_COLUMN), paths["silver"], "stream-0")
+    silver = read_silver(spark, paths["silver"])
+    for mark, expected in zip(marks, (["a", "b", "c"], ["a", "c"], ["a"])):
+        recent = silver.filter(batches_since(mark))
+        assert ids(recent) == expected
+        assert re.search(r"PartitionFilters: \[[^\]]*batch_id", plan_of(recent))
+        assert "DataFilters: []" in plan_of(recent)
+
+
 def test_gold_scans_only_the_columns_it_needs(spark, bronze, paths):
     add_bronze(bronze({}), paths["bronze"])
     run_silver(spark, paths["bronze"], paths["silver"])
