@@ -22,9 +22,11 @@ def main(arguments: list[str] | None = None) -> None:
     )
     chosen = options.parse_args(arguments)
     spark = job_session("publish transactions")
-    messages = lines_to_messages(read_lines(spark, chosen.lines), strict=True)
+    messages = lines_to_messages(read_lines(spark, chosen.lines, origin=True), strict=True)
     if chosen.ordered_by:
-        messages = in_key_order(messages, F.get_json_object("value", f"$.{chosen.ordered_by}"), "value")
+        name = chosen.ordered_by
+        field = F.from_json("value", f"`{name}` STRING").getField(name)
+        messages = in_key_order(messages, field, "file", "block", "value")
     progress = publish(messages, chosen.format, chosen.target, pairs(chosen.option))
     print(f"{progress.records:,} records, {progress.records_per_second:.2f} per second")
 

@@ -50,14 +50,15 @@ def lines_to_messages(lines: DataFrame, key: str = "account_id", strict: bool =
 
     A missing or null key stays NULL, so that a message bus spreads such
     messages over its partitions. strict fails the job on a line that is no
-    JSON object.
+    JSON object. Other columns of lines are carried on.
     """
     schema = f"`{key}` STRING, _broken STRING"
     data = F.from_json("value", schema, {"columnNameOfCorruptRecord": "_broken"}).alias("data")
-    parsed = lines.select(F.trim("value").alias("value")).select("value", data)
+    parsed = lines.withColumn("value", F.trim("value")).select("*", data)
     message = F.col("value")
     if strict:
         broken = F.col("data").isNull() | F.col("data._broken").isNotNull()
         broken = broken | ~F.col("value").endswith("}")
         message = F.when(broken, F.raise_error(F.lit("not a JSON line"))).otherwise(message)
-    return parsed.select(F.col("data").getField(key).alias("key"), message.alias("value"))
+    others = [name for name in lines.columns if name != "value"]
+    return parsed.select(F.col("data").getField(key).alias("key"), message.alias("value"), *others)

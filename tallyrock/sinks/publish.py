@@ -26,7 +26,9 @@ def in_key_order(messages: DataFrame, *order, partitions: int | None = None) ->
     """Messages ranged by key and then by the order expressions.
 
     The ranges also split one key with very many messages, at some value of the
-    order. Part files in name order then hold each key's messages in order.
+    order. Where one message may have very many equal copies, let the order end
+    with the file and block it was read from. Part files in name order then hold
+    each key's messages in order.
     """
     bounds = ["key", *order]
     ranged = (
@@ -49,8 +51,7 @@ def publish(
     otherwise; the key decides the topic's partition. text writes the values as
     lines to the target folder.
     """
-    if fmt == "text":
-        messages = messages.select("value")
+    messages = messages.select(*(["value"] if fmt == "text" else ["key", "value"]))
     counted = Observation("published")
     writer = messages.observe(counted, F.count(F.lit(1)).alias("records")).write.format(fmt)
     if fmt == "kafka":

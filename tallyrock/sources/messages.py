@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyrock.schema import BROKERS, TOPIC
 
@@ -30,10 +30,20 @@ def message_stream(
     return reader.options(**dict(options or {})).load()
 
 
-def read_lines(spark: SparkSession, folder: str, pattern: str = "*.ndjson") -> DataFrame:
+def read_lines(
+    spark: SparkSession, folder: str, pattern: str = "*.ndjson", origin: bool = False
+) -> DataFrame:
     """Every line of the matching files as value; other files in the folder are left alone.
 
     Rows come in no promised order. A line is one record, so large files are
-    split over tasks.
+    split over tasks. origin adds the file and the block of the file that a line
+    was read from.
     """
-    return spark.read.option("pathGlobFilter", pattern).text(folder)
+    lines = spark.read.option("pathGlobFilter", pattern).text(folder)
+    if not origin:
+        return lines
+    return lines.select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+    )

@@ -110,6 +110,18 @@ def test_key_order_holds_over_part_files_and_a_hot_key_is_split(spark, folder):
     assert len(values) == 6000 and hot == sorted(hot)
 
 
+def test_copies_of_one_message_are_split_by_origin(spark, tmp_path):
+    line = json.dumps(payload()) + "\n"
+    for i in range(16):
+        (tmp_path / f"{i:02}.ndjson").write_text(line * 300)
+    messages = lines_to_messages(read_lines(spark, str(tmp_path), origin=True))
+    ranged = in_key_order(messages, "file", "block", partitions=8)
+    sizes = [r["count"] for r in ranged.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 4800 and max(sizes) <= 1200
+    publish(ranged, "text", str(tmp_path / "sent"))
+    assert spark.read.text(str(tmp_path / "sent")).filter(F.col("value") == line.strip()).count() == 4800
+
+
 def test_csv_has_headers_and_utc_times(spark, bronze, folder):
     event = {
         "transaction_id": "TXN00194EBBF50C4C18",
