@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tallyrock.llm import chat, divergence
+from tallyrock.llm import chat, divergence, quality
 
 LLM_QUERIES = {
+    "op1_bradley_terry": quality.op1_bradley_terry,
     "op7_distribution_divergence": divergence.op7_distribution_divergence,
     "op9_grammar_round_trip": chat.op9_grammar_round_trip,
 }
