@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tallyrock.llm import chat, decontaminate, divergence, extract, quality, toxicity, warc
+from tallyrock.llm import chat, decontaminate, divergence, extract, packing, quality, toxicity, warc
 
 LLM_QUERIES = {
     "op1_bradley_terry": quality.op1_bradley_terry,
     "op2_warc_zstd": warc.op2_warc_zstd,
+    "op3_bm25_packing": packing.op3_bm25_packing,
     "op5_crf_toxicity": toxicity.op5_crf_toxicity,
     "op6_nearest_url": extract.op6_nearest_url,
     "op7_distribution_divergence": divergence.op7_distribution_divergence,
