@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyrock.llm import chat, decontaminate, divergence, extract, packing, quality, toxicity, warc
+from tallyrock.llm import chat, decontaminate, divergence, extract, ngram_join, packing, quality, toxicity, warc
 
 LLM_QUERIES = {
     "op1_bradley_terry": quality.op1_bradley_terry,
@@ -13,6 +13,7 @@ LLM_QUERIES = {
     "op7_distribution_divergence": divergence.op7_distribution_divergence,
     "op8_block_max_wand": decontaminate.op8_block_max_wand,
     "op9_grammar_round_trip": chat.op9_grammar_round_trip,
+    "op10_count_vector_rtree": ngram_join.op10_count_vector_rtree,
 }
 
 LLM_ORACLES = {
