@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tallyrock.llm import chat, decontaminate, divergence, extract, ngram_join, packing, quality, toxicity, warc
+from tallyrock.llm import chat, decontaminate, divergence, extract, line_dedup, ngram_join, packing, quality, toxicity, warc
 
 LLM_QUERIES = {
     "op1_bradley_terry": quality.op1_bradley_terry,
     "op2_warc_zstd": warc.op2_warc_zstd,
     "op3_bm25_packing": packing.op3_bm25_packing,
+    "op4_segment_edit_join": line_dedup.op4_segment_edit_join,
     "op5_crf_toxicity": toxicity.op5_crf_toxicity,
     "op6_nearest_url": extract.op6_nearest_url,
     "op7_distribution_divergence": divergence.op7_distribution_divergence,
@@ -17,5 +18,6 @@ LLM_QUERIES = {
 }
 
 LLM_ORACLES = {
+    "op4_segment_edit_join": line_dedup.OP4_SQL,
     "op9_grammar_round_trip": chat.OP9_SQL,
 }
