@@ -28,6 +28,14 @@ def written(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def unused(frame: DataFrame, name: str) -> str:
+    """A column name like `name` that the frame does not have, in any case."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def map_rows(
     frame: DataFrame, work: Callable[[list[list]], list[list]], schema: str, rows: int = 1024
 ) -> DataFrame:

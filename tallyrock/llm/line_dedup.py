@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tallyrock.llm.common import read, written
+from tallyrock.llm.common import read, unused, written
 
 THRESHOLD = 2
 MIN_CHARS = 32
@@ -223,35 +223,44 @@ def repeated_lines(documents: DataFrame, threshold: int = THRESHOLD, min_chars:
     return dropped.groupBy("doc_id", "version").agg(F.array_sort(F.collect_set("place")).alias("dropped"))
 
 
-def with_dropped(documents: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The documents with `dropped`, the numbers of their lines to drop: empty for most."""
-    known = dropped.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), F.col("dropped").alias("_dropped"))
-    joined = documents.withColumn("_own", F.xxhash64("text")).join(
-        known, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_version")), "left"
+def with_dropped(documents: DataFrame, dropped: DataFrame, name: str) -> DataFrame:
+    """The documents with a column of the numbers of their lines to drop: empty for most."""
+    doc, version, places, own = (unused(documents, n) for n in ("dropped_id", "dropped_version", "dropped", "own_version"))
+    joined = documents.withColumn(own, F.xxhash64("text")).join(
+        dropped.toDF(doc, version, places),
+        F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(version)),
+        "left",
     )
-    found = F.coalesce("_dropped", F.array().cast("array<int>"))
-    return joined.select(*documents.columns, found.alias("_found"))
+    found = F.coalesce(places, F.array().cast("array<int>"))
+    return joined.select(*(F.col(f"`{c}`") for c in documents.columns), found.alias(name))
 
 
 def without_repeated_lines(
-    documents: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS
+    documents: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, drop_emptied: bool = False
 ) -> DataFrame:
-    """The documents, with all their columns, without their repeated lines; text is the only column that changes."""
-    marked = with_dropped(documents, repeated_lines(documents, threshold, min_chars))
-    kept = F.filter(split_lines(F.col("text")), lambda line, place: ~F.array_contains("_found", place))
-    text = F.when(F.size("_found") == 0, F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return marked.withColumn("text", text).select(*documents.columns)
+    """The documents, with all their columns, without their repeated lines; text is the only column that changes.
+
+    A document of which no line is left, a copy of others, goes if `drop_emptied` is set.
+    """
+    name = unused(documents, "lines_to_drop")
+    marked = with_dropped(documents, repeated_lines(documents, threshold, min_chars), name)
+    lines, found = split_lines(F.col("text")), F.col(name)
+    if drop_emptied:
+        marked = marked.where((F.size(found) == 0) | (F.size(found) < F.size(lines)))
+    kept = F.filter(lines, lambda line, place: ~F.array_contains(found, place))
+    text = F.when(F.size(found) == 0, F.col("text")).otherwise(F.array_join(kept, "\n"))
+    return marked.withColumn("text", text).drop(name)
 
 
 def op4_segment_edit_join(spark: SparkSession, folder: str) -> DataFrame:
     documents = read(spark, folder, "documents", "doc_id", "text")
     dropped = repeated_lines(documents)
     counted = documents.select("doc_id", "text", F.size(split_lines(F.col("text"))).alias("n_lines"))
-    return with_dropped(counted, dropped).select(
+    return with_dropped(counted, dropped, "found").select(
         "doc_id",
         "n_lines",
-        F.size("_found").alias("n_dropped"),
-        F.array_join(F.col("_found").cast("array<string>"), ",").alias("dropped"),
+        F.size("found").alias("n_dropped"),
+        F.array_join(F.col("found").cast("array<string>"), ",").alias("dropped"),
     )
 
 

@@ -37,7 +37,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tallyrock.llm.common import map_rows, read, written
+from tallyrock.llm.common import map_rows, read, unused, written
 from tallyrock.llm.components import components
 from tallyrock.llm.shingles import shingle_sets
 
@@ -61,26 +61,28 @@ def digest(shingles: np.ndarray) -> bytes:
 
 
 def count_shingles(documents: DataFrame) -> DataFrame:
-    """A written table: (id, n, class) of every document, and (place, count) of each task's frequency table."""
-    names = ["id", "n", "class", "place", "count"]
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
+    """A written table: (id, version, n, class) of every document, and (place, count) of each task's frequency table."""
+    names = ["id", "version", "n", "class", "place", "count"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(TABLE, np.int64)
         for part in parts:
             for start in range(0, part.num_rows, 512):
-                ids, texts = (c.to_pylist() for c in part.slice(start, 512).columns)
+                ids, versions, texts = (c.to_pylist() for c in part.slice(start, 512).columns)
                 sets = shingle_sets(texts)
                 counts += np.bincount((np.concatenate(sets) % TABLE).astype(np.int64), minlength=TABLE)
                 empty = [None] * len(ids)
-                columns = [ids, [len(s) for s in sets], [digest(s) for s in sets], empty, empty]
+                columns = [ids, versions, [len(s) for s in sets], [digest(s) for s in sets], empty, empty]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
         places = np.flatnonzero(counts)
         empty = [None] * len(places)
-        columns = [empty, empty, empty, places, counts[places]]
+        columns = [empty, empty, empty, empty, places, counts[places]]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    return written(documents.mapInArrow(work, "id long, n long, class binary, place long, count long"), "shingles")
+    rows = documents.select("id", F.xxhash64("text").alias("version"), "text")
+    schema = "id long, version long, n long, class binary, place long, count long"
+    return written(rows.mapInArrow(work, schema), "shingles")
 
 
 def rarity(counted: DataFrame) -> np.ndarray:
@@ -298,7 +300,11 @@ def runs(frame: DataFrame, keys: int, work: Callable[[list[tuple]], list[tuple]]
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
-    """(id, n_shingles, component_id) of every row of `documents` (id, text)."""
+    """A row per row of `documents` (id, text): id, n_shingles, component_id, version and component.
+
+    `version` is a hash of the text. `component` numbers the components, also where ids repeat or are
+    NULL; it is NULL for sets without shingles.
+    """
     documents = documents.select("id", "text")
     counted = count_shingles(documents)
     found = classes(documents, rarity(counted))
@@ -313,14 +319,37 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     ids = found.select("cid", "class", "id").join(parts.toDF("cid", "component"), "cid", "left")
     ids = ids.withColumn("component", F.coalesce("component", "cid"))
     names = ids.groupBy("component").agg(F.min("id").alias("component_id"))
-    by_class = ids.select("class", "component").join(names, "component").select("class", "component_id")
-    answers = counted.where("place IS NULL").select("id", F.col("n").alias("n_shingles"), "class")
+    by_class = ids.select("class", "component").join(names, "component")
+    answers = counted.where("place IS NULL").select("id", "version", F.col("n").alias("n_shingles"), "class")
     joined = answers.join(by_class, "class", "left")
-    return joined.select(
-        "id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id")
-    )
+    named = F.when(F.col("n_shingles") == 0, F.col("id")).otherwise(F.col("component_id"))
+    return joined.select("id", "n_shingles", named.alias("component_id"), "version", "component")
+
+
+def one_of_each(documents: DataFrame) -> DataFrame:
+    """The documents, with all their columns, of which each component keeps that with the smallest doc_id.
+
+    A NULL id comes last, then the hash of the text decides. Texts without words all stay. Of rows
+    with the same id and text one stays.
+    """
+    rows = written(near_duplicates(documents.select(F.col("doc_id").alias("id"), "text")), "components")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "version")
+    firsts = rows.where("component IS NOT NULL").groupBy("component").agg(F.min(order).alias("first"))
+    empty = rows.where("component IS NULL").select("id", "version").distinct()
+    kept = firsts.select("first.id", "first.version").unionAll(empty)
+    # Names that no column of the documents has.
+    key, text, many = (unused(documents, n) for n in ("kept_id", "kept_version", "kept_copies"))
+    copies = rows.groupBy("id", "version").agg(F.count("*").alias(many)).toDF(key, text, many)
+    met = F.col("id").eqNullSafe(F.col(key)) & (F.col("version") == F.col(text))
+    kept = written(kept.join(copies, met).select(key, text, many), "kept")
+    same = F.col("doc_id").eqNullSafe(F.col(key)) & (F.xxhash64("text") == F.col(text))
+    single, repeated = kept.where(F.col(many) == 1), kept.where(F.col(many) > 1)
+    found = documents.join(single, same, "left_semi")
+    if repeated.isEmpty():
+        return found
+    return found.unionAll(documents.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def op10_count_vector_rtree(spark: SparkSession, folder: str) -> DataFrame:
     documents = read(spark, folder, "documents", F.col("doc_id").alias("id"), "text")
-    return near_duplicates(documents).withColumnRenamed("id", "doc_id")
+    return near_duplicates(documents).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
