@@ -9,8 +9,8 @@ The join cuts every line evenly into threshold + 1 segments. A line within
 `threshold` edits has one of them unchanged, at a place that its number and
 the two lengths bound; so every line probes the segments of its own and of the
 `threshold` smaller lengths with the few substrings that can match. Lines that
-meet must have letter counts that so few edits can explain, checked inside the
-join, and are then verified by a bit-parallel edit distance of the band of
+meet must have words that so few edits can explain, checked inside the join by 64
+bits of each line, and are then verified by a bit-parallel edit distance of the band of
 2 threshold + 1 diagonals. All of it is DataFrame functions.
 
 Lines go through shuffles as hashes: 128 bits decide equality. Texts are read again
@@ -28,7 +28,6 @@ from tallyrock.llm.common import read, unused, written
 
 THRESHOLD = 2
 MIN_CHARS = 32
-LETTERS = "aeinorst"  # whose counts are compared; any letters give the same lines
 TOP = 40  # bit of the lowest diagonal in the band's words
 
 
@@ -51,7 +50,8 @@ def line_hashes() -> list[Column]:
 def segment(length: Column, number: int, threshold: int) -> tuple[Column, Column]:
     """Start, from 1, and length of a segment of a line; the last ones are longer where it does not divide evenly."""
     parts = threshold + 1
-    base, longer = F.floor(length / parts).cast("int"), length % parts
+    longer = length % parts
+    base = ((length - longer) / parts).cast("int")
     start = base * number + F.greatest(F.lit(0), longer - (parts - number)) + 1
     return start, base + F.when(longer >= parts - number, 1).otherwise(0)
 
@@ -61,8 +61,7 @@ def segment_key(length: Column, number: int, part: Column) -> Column:
 
 
 def segment_keys(threshold: int) -> Column:
-    line, length = F.col("line"), F.char_length("line")
-    keys = []
+    line, length, keys = F.col("line"), F.col("size"), []
     for number in range(threshold + 1):
         start, size = segment(length, number, threshold)
         keys.append(segment_key(length, number, F.substr(line, start, size)))
@@ -77,7 +76,7 @@ def probe_keys(threshold: int) -> Column:
     """
     line, keys = F.col("line"), []
     for shorter in range(threshold + 1):
-        length = F.char_length("line") - shorter
+        length = F.col("size") - shorter
         for number in range(threshold + 1):
             start, size = segment(length, number, threshold)
             behind = threshold - number
@@ -86,39 +85,34 @@ def probe_keys(threshold: int) -> Column:
     return F.array(*keys)
 
 
-def letter_counts() -> Column:
-    """Counts of the letters, a byte each; larger counts stay at 127."""
-    length = F.char_length("line")
-    counts = F.lit(0).cast("long")
-    for letter in LETTERS:
-        one = F.least(F.lit(127), length - F.char_length(F.replace("line", F.lit(letter), F.lit("")))).cast("long")
-        counts = F.shiftleft(counts, 8).bitwiseOR(one)
-    return counts
+def word_bits() -> Column:
+    """64 bits, each the parity of the number of words that hash to it."""
+    return F.expr("aggregate(split(line, ' '), 0L, (bits, word) -> bits ^ shiftleft(1L, cast(xxhash64(word) & 63 AS INT)))")
 
 
-def letters_allow(a: Column, b: Column, threshold: int) -> Column:
-    """Whether so few edits can turn counts a into b: an edit changes two counts by one at most."""
-    total = F.lit(0).cast("long")
-    for k in range(len(LETTERS)):
-        here = [F.shiftright(x, 8 * k).bitwiseAND(F.lit(255).cast("long")) for x in (a, b)]
-        total = total + F.abs(here[0] - here[1])
-    return total <= 2 * threshold
+def words_allow(a: Column, b: Column, threshold: int) -> Column:
+    """Whether so few edits can turn bits a into b: an edit changes a word into another, or two from or into one."""
+    return F.bit_count(a.bitwiseXOR(b)) <= 3 * threshold
 
 
 def candidate_pairs(lines: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (a, b) of line hashes that share a segment and whose letters allow the threshold."""
+    """Pairs (a, b) of line hashes that share a segment and whose words allow the threshold."""
 
     def keyed(keys: Column) -> DataFrame:
-        rows = lines.select(F.xxhash64("line").alias("h1"), letter_counts().alias("letters"), F.explode(keys).alias("key"))
+        # What is computed from the text comes before the rows are multiplied.
+        sized = lines.select("line", F.char_length("line").alias("size"))
+        once = sized.select(F.xxhash64("line").alias("h1"), word_bits().alias("bits"), keys.alias("keys"))
+        # No array is empty; a plain explode would compute them once more to check that.
+        rows = once.select("h1", "bits", F.explode_outer("keys").alias("key"))
         # One shuffle by key serves both to drop repeated lines and to join.
-        return rows.repartition("key").groupBy("key", "h1", "letters").agg(F.lit(1).alias("one")).drop("one")
+        return rows.repartition("key").groupBy("key", "h1", "bits").agg(F.lit(1).alias("one")).drop("one")
 
     index, probes = keyed(segment_keys(threshold)).alias("i"), keyed(probe_keys(threshold)).alias("p")
     met = index.join(
         probes,
         (F.col("i.key") == F.col("p.key"))
         & (F.col("i.h1") != F.col("p.h1"))
-        & letters_allow(F.col("i.letters"), F.col("p.letters"), threshold),
+        & words_allow(F.col("i.bits"), F.col("p.bits"), threshold),
     )
     return met.select(F.least("i.h1", "p.h1").alias("a"), F.greatest("i.h1", "p.h1").alias("b")).distinct()
 
@@ -144,11 +138,9 @@ def edit_distance(a: Column, b: Column, threshold: int) -> Column:
     def inverse(x: Column) -> Column:
         return F.bitwise_not(x).bitwiseAND(word(mask))
 
-    one, other = F.split(a, ""), F.split(b, "")
-    rows = F.size(one)
-
-    def step(state: Column, i: Column) -> Column:
-        letter = F.get(other, i)
+    def step(texts: Column, state: Column, i: Column) -> Column:
+        one, rows = texts["one"], texts["rows"]
+        letter = F.get(texts["other"], i)
         matches = word(0)
         for k in range(2 * threshold + 1):
             at = i + (k - threshold)
@@ -183,7 +175,14 @@ def edit_distance(a: Column, b: Column, threshold: int) -> Column:
 
     first = sum(1 << (TOP - k) for k in range(threshold + 1))
     start = F.struct(word(first).alias("vp"), word(0).alias("vn"), F.lit(threshold).alias("d"))
-    return F.aggregate(F.sequence(F.lit(0), F.size(other) - 1), start, step, lambda s: s["d"])
+
+    def over(texts: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(texts["other"]) - 1)
+        return F.aggregate(places, start, lambda state, i: step(texts, state, i), lambda s: s["d"])
+
+    # The letters are bound once; inside the steps a call of split would run at every step.
+    one, other = F.split(a, ""), F.split(b, "")
+    return let(F.struct(one.alias("one"), other.alias("other"), F.char_length(a).alias("rows")), over)
 
 
 def near_pairs(lines: DataFrame, threshold: int) -> DataFrame:
