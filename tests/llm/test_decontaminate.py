@@ -1,0 +1,72 @@
+import random
+
+import numpy as np
+import pytest
+
+from tallyrock.llm import decontaminate as D
+
+
+@pytest.fixture(scope="module")
+def words():
+    random.seed(13)
+    return [f"v{random.randrange(400)}" for _ in range(6000)]
+
+
+@pytest.fixture(scope="module")
+def items(words):
+    return [(k, " ".join(words[k * 40 : k * 40 + random.Random(k).randint(8, 40)]) + ". The answer is " + words[k]) for k in range(50)]
+
+
+def test_retrieval_loses_nothing_above_the_threshold(items):
+    index = D.build([i for i, _ in items], [t for _, t in items], share=0.3)
+    draw = np.random.default_rng(5)
+    terms = [np.unique(draw.choice(len(index.terms), 60)) for _ in range(200)]
+    terms += [np.array(sorted({index.terms[w] for w in D.words_of(t)})) for _, t in items]
+    passage = np.repeat(np.arange(len(terms)), [len(t) for t in terms])
+    p, i, s = D.retrieve(index, passage, np.concatenate(terms), len(terms))
+    exact = np.zeros((len(terms), len(index.ids)))
+    for k, own in enumerate(terms):
+        on = np.isin(index.cells // index.by_block.shape[1], own)
+        exact[k] = np.bincount(index.items[on], index.weights[on], minlength=len(index.ids))
+    expected = {(a, b): exact[a, b] for a, b in zip(*np.nonzero(exact >= 1 - 1e-9))}
+    assert len(expected) > 50 and {(a, b) for a, b in zip(p, i)} == set(expected)
+    assert all(abs(expected[a, b] - c) < 1e-9 for a, b, c in zip(p, i, s))
+
+
+def test_leaks_are_found_and_clean_documents_stay(spark, docs, items, rows_of):
+    random.seed(14)
+    bench = spark.createDataFrame([*items, (90, None), (91, ""), (None, "short unseen item")], "item_id long, text string")
+
+    def clean(n):
+        return " ".join(f"v{random.randrange(400)}" for _ in range(n))
+
+    rows = [(k, clean(random.randint(0, 500))) for k in range(40)]
+    dirty = [(100 + k, f"{clean(70 * k)} {items[k][1].upper()} {clean(90)}") for k in range(5)]
+    dirty.append((200, " ".join(w if n % 17 else "typo" for n, w in enumerate(items[7][1].split()))))
+    odd = [(300, None), (301, ""), (None, items[9][1]), (302, f"{clean(100_000)} {items[11][1]}"), (100, dirty[0][1])]
+    documents = docs(*rows, *dirty, *odd)
+    expected = [(100 + k, k) for k in range(5)] + [(100, 0), (200, 7), (None, 9), (302, 11)]
+    found = D.leaks(documents, bench)
+    assert rows_of(found, "doc_id", "item_id") == sorted(expected, key=lambda r: [(v is not None, v) for v in r])
+    kept = D.without_leaks(documents, bench)
+    assert kept.columns == documents.columns
+    assert rows_of(kept, "doc_id") == [(k,) for k in range(40)] + [(300,), (301,)]
+
+
+def test_parts_of_the_benchmark_give_the_same(spark, docs, items, rows_of):
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    documents = docs(*((k, t) for k, t in items))
+    whole = rows_of(D.leaks(documents, bench), "doc_id", "item_id")
+    indexes = D.indexes(bench, part_items=10)
+    assert len(indexes) > 3 and sum(len(i.ids) for i in indexes) == 50
+    parts = {(r, i.ids[item]) for i in indexes for r, item, *_ in D.search(i, [t for _, t in items])}
+    assert {(k, k) for k, _ in items} <= parts & set(whole)
+    with pytest.raises(ValueError, match="the bound is"):
+        D.indexes(spark.createDataFrame([(1, "x" * 500)], "item_id long, text string"), part_bytes=300)
+
+
+def test_empty_tables(spark, docs, items):
+    none = spark.createDataFrame([], "item_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert D.leaks(docs((1, "a")), none).count() == 0 and D.without_leaks(docs((1, "a")), none).count() == 1
+    assert D.leaks(docs(), bench).count() == 0 and D.without_leaks(docs(), bench).count() == 0

@@ -1,0 +1,92 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyrock.llm import line_dedup as L
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def brute_force(rows, threshold, min_chars):
+    """(doc_id, text) to kept lines, by comparing all lines with all."""
+    order = sorted({r for r in rows}, key=lambda r: (r[0] is None, r[0] or 0))
+    firsts = {}
+    for k, (_, text) in enumerate(order):
+        for place, line in enumerate((text or "").split("\n")):
+            if len(line) >= min_chars:
+                firsts.setdefault(line, (k, place))
+    gone = {
+        b for b, at in firsts.items()
+        if any(x < at and abs(len(a) - len(b)) <= threshold and distance(a, b) <= threshold for a, x in firsts.items())
+    }
+    kept = {}
+    for k, (doc_id, text) in enumerate(order):
+        lines = enumerate((text or "").split("\n"))
+        kept[doc_id, text] = [
+            line for place, line in lines if len(line) < min_chars or (line not in gone and firsts[line] == (k, place))
+        ]
+    return kept
+
+
+def edited(line, edits):
+    for _ in range(edits):
+        k = random.randrange(len(line))
+        line = random.choice([line[:k] + line[k + 1 :], line[:k] + "é" + line[k:], line[:k] + "x" + line[k + 1 :]])
+    return line
+
+
+@pytest.fixture(scope="module")
+def rows():
+    random.seed(11)
+    bases = ["".join(random.choice("abcdeé ") for _ in range(random.randint(10, 90))) for _ in range(40)]
+    texts = ["\n".join(edited(random.choice(bases), random.randint(0, 4)) for _ in range(random.randint(0, 6))) for _ in range(90)]
+    return [*enumerate(texts), (200, None), (201, ""), (202, "\n\n"), (203, bases[0] * 400)]
+
+
+@pytest.mark.parametrize("threshold", [1, 2, 3])
+def test_the_same_lines_go_as_by_brute_force(docs, rows, threshold):
+    documents = docs(*rows)
+    found = L.without_repeated_lines(documents, threshold=threshold, min_chars=16)
+    assert found.columns == documents.columns
+    kept = brute_force(rows, threshold, 16)
+    texts = dict(rows)
+    for r in found.collect():
+        assert (r["text"] or "").split("\n") == (kept[r["doc_id"], texts[r["doc_id"]]] or [""])
+
+
+def test_odd_rows(docs):
+    line = "a line that is long enough to count here"
+    documents = docs((1, line), (None, f"own\n{line}"), (1, line), (3, f"{line}!\nshort"), (4, None), (5, f"{line}\n{line}"))
+    found = L.without_repeated_lines(documents)
+    assert sorted(((r["doc_id"] or 0, r["text"]) for r in found.collect()), key=str) == sorted(
+        [(1, line), (1, line), (0, "own"), (3, "short"), (4, None), (5, "")], key=str
+    )
+    assert L.without_repeated_lines(documents, drop_emptied=True).where("doc_id = 5").count() == 0
+    assert L.without_repeated_lines(docs()).count() == 0
+
+
+@pytest.mark.parametrize("threshold", [1, 2, 4])
+def test_the_banded_distance_is_right_up_to_the_threshold(spark, threshold):
+    random.seed(threshold)
+    pairs = []
+    for _ in range(400):
+        a = "".join(random.choice("abé") for _ in range(random.randint(8, 40)))
+        pairs.append((a, edited(a, random.randint(0, 6))))
+    frame = spark.createDataFrame([p for p in pairs if abs(len(p[0]) - len(p[1])) <= threshold], "a string, b string")
+    for r in frame.withColumn("d", L.edit_distance(F.col("a"), F.col("b"), threshold)).collect():
+        assert min(r["d"], threshold + 1) == min(distance(r["a"], r["b"]), threshold + 1)
+
+
+def test_no_python_runs_on_the_main_path(docs):
+    frame = docs((1, "x" * 50), (2, "y" * 50))
+    for part in (L.candidate_pairs(L.long_lines(frame, 32), 2), L.without_repeated_lines(frame)):
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Pandas" not in plan and "InArrow" not in plan

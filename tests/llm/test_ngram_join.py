@@ -1,0 +1,107 @@
+import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from tallyrock.llm import ngram_join as N
+from tallyrock.llm.components import components
+from tallyrock.llm.shingles import shingle_sets
+
+
+def plain_set(text):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return frozenset()
+    size = min(5, len(words))
+    return frozenset(tuple(words[k : k + size]) for k in range(len(words) - size + 1))
+
+
+def brute_force(rows):
+    """Component of each row's place: the smallest id that links reach."""
+    sets, parent = [plain_set(t) for _, t in rows], list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if a and sets[j] and 100 * both >= 75 * (len(a) + len(sets[j]) - both):
+                parent[root(i)] = root(j)
+    members = defaultdict(list)
+    for k, (doc_id, _) in enumerate(rows):
+        members[root(k)].append(doc_id)
+    return [
+        (doc_id, len(sets[k]), min((m for m in members[root(k)] if m is not None), default=None)) for k, (doc_id, _) in enumerate(rows)
+    ]
+
+
+def changed(words, share):
+    return " ".join(f"w{random.randrange(10**6)}" if random.random() < share else w for w in words)
+
+
+@pytest.fixture(scope="module")
+def rows():
+    random.seed(4)
+    common = [f"c{k}" for k in range(40)]
+    found, doc_id = [], 0
+    for _ in range(25):
+        base = [f"w{random.randrange(2000)}" for _ in range(random.choice([3, 5, 6, 30, 120, 400]))]
+        for _ in range(random.choice([1, 2, 6])):
+            text = changed(base, random.choice([0, 0.01, 0.02, 0.04, 0.1]))
+            found.append((doc_id, text + random.choice(["", "", " " + " ".join(common)])))
+            doc_id += 1
+    random.shuffle(found)
+    return [*found, (900, None), (901, ""), (902, " \n\t"), (None, "one two three"), (903, "ONE two\nthree"), (904, "Ä b c d e f"),
+            (905, "ä b c d e f"), (906, " ".join(["same"] * 50_000)), (907, "same " * 5), (907, "same " * 5), (None, found[0][1])]
+
+
+def test_components_are_those_of_brute_force(spark, rows, rows_of):
+    documents = spark.createDataFrame(rows, "id long, text string")
+    found = rows_of(N.near_duplicates(documents), "id", "n_shingles", "component_id")
+    assert found == sorted(brute_force(rows), key=lambda r: [(v is not None, v) for v in r])
+
+
+def test_one_of_each_stays(docs, rows, rows_of):
+    kept = N.one_of_each(docs(*rows))
+    assert kept.columns == docs().columns
+    empty = [(i, t) for i, t in rows if not plain_set(t)]
+    found = rows_of(kept, "doc_id", "text")
+    names = {c for _, n, c in brute_force(rows) if n}
+    assert {i for i, t in found if plain_set(t)} == names and len(found) == len(names) + len(empty)
+
+
+def test_an_empty_table(spark, docs):
+    assert N.near_duplicates(spark.createDataFrame([], "id long, text string")).count() == 0
+    assert N.one_of_each(docs()).count() == 0
+
+
+def test_shingles_match_plain_sets(rows):
+    texts = [t for _, t in rows]
+    assert [len(s) for s in shingle_sets(texts)] == [len(plain_set(t)) for t in texts]
+    assert shingle_sets(["A b c d e f"])[0].tolist() == shingle_sets(["x", "a\tB  c\nd e F"])[1].tolist()
+
+
+def test_the_tree_finds_what_the_bound_allows():
+    draw = np.random.default_rng(3)
+    points, sizes = draw.integers(0, 6, (700, 16)), None
+    sizes = points.sum(axis=1)
+    tree = N.RTree(points, sizes)
+    for k in range(0, 700, 23):
+        near = np.minimum(points, points[k]).sum(axis=1) >= N.least_overlap(sizes + sizes[k])
+        assert sorted(tree.search(points[k], int(sizes[k])).tolist()) == np.flatnonzero(near).tolist()
+
+
+def test_buckets_in_blocks_give_the_same(spark, rows, rows_of, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK", 2)
+    documents = spark.createDataFrame(rows, "id long, text string")
+    found = rows_of(N.near_duplicates(documents), "id", "n_shingles", "component_id")
+    assert found == sorted(brute_force(rows), key=lambda r: [(v is not None, v) for v in r])
+
+
+def test_components_of_a_long_chain(spark, rows_of):
+    links = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
+    assert rows_of(components(links), "node", "component") == [(k, 0) for k in range(61)] + [(100, 100), (101, 100)]

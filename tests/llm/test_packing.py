@@ -1,0 +1,75 @@
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from tallyrock.llm import packing
+
+
+@pytest.fixture(scope="module")
+def reference_ids():
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
+    tokenizer.encode_special_tokens = True
+    return lambda text: [*tokenizer.encode(text or "", add_special_tokens=False).ids, packing.END]
+
+
+TEXTS = ["river mill water", "", None, "a  b\n\n c\t ", "don't 123 ünï 漢字 \U0001f600", "<|endoftext|>", "word " * 5000,
+         "river water boat", "river mill water"]
+
+
+def test_the_encoder_is_that_of_the_tokenizer_file(reference_ids):
+    encoder = packing.load_encoder(public_tokenizers.path(packing.VOCABULARY))
+    for text in TEXTS:
+        assert encoder.encode_ordinary(text or "") == reference_ids(text)[:-1]
+
+
+def test_every_id_lies_in_one_piece_and_windows_are_full(docs, reference_ids):
+    rows = [*enumerate(TEXTS), (None, "no id"), (0, "river mill water")]
+    found = packing.pack(docs(*rows), window=64, shard_docs=4).collect()
+    whole, windows = defaultdict(list), defaultdict(list)
+    for r in sorted(found, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["length"] == len(r["ids"]) > 0
+        assert r["ids_crc32"] == zlib.crc32(np.array(r["ids"], "<u4").tobytes())
+        assert sum(p["length"] for p in windows[r["sequence_id"]]) == r["offset"]
+        windows[r["sequence_id"]].append(r)
+        whole[r["doc_id"]].append(r)
+    expected = Counter()
+    for doc_id, text in rows:
+        expected[doc_id] += len(reference_ids(text))
+    assert {k: sum(p["length"] for p in v) for k, v in whole.items()} == expected
+    long = sorted(whole[6], key=lambda r: r["start"])
+    assert [i for r in long for i in r["ids"]] == reference_ids("word " * 5000)
+    sizes = [sum(p["length"] for p in w) for w in windows.values()]
+    assert max(sizes) <= 64 and sum(s < 64 for s in sizes) <= 3 + 1
+
+
+def test_an_empty_table_gives_no_rows(docs):
+    assert packing.pack(docs()).count() == 0
+
+
+def test_scores_are_those_of_bm25():
+    draw = np.random.default_rng(2)
+    documents = [draw.integers(0, 60, draw.integers(0, 90)).astype(np.uint32) for _ in range(50)]
+    idf = draw.random(60)
+    scores = packing.similarities(documents, idf, 40.0)
+
+    def bm25(query, document):
+        tf = Counter(document.tolist())
+        norm = packing.K1 * (1 - packing.B + packing.B * len(document) / 40.0)
+        return sum(idf[t] * tf[t] * (packing.K1 + 1) / (tf[t] + norm) for t in set(query.tolist()) if tf[t])
+
+    for i in range(50):
+        for j in range(50):
+            if i != j:
+                assert scores[i, j] == pytest.approx(bm25(documents[i], documents[j]), rel=1e-4, abs=1e-4)
+
+
+def test_the_best_unused_neighbour_fills_the_window():
+    scores = np.array([[0, 1, 5, 2], [1, 0, 1, 9], [5, 1, 0, 3], [2, 9, 3, 0]], np.float32)
+    pieces = list(packing.fill_windows([6, 5, 7, 4], scores, 10))
+    # 0 begins a window, 2 is nearest and goes on in the next window, whose nearest unused is 3.
+    assert [p[0] for p in pieces] == [0, 2, 2, 3, 1, 1]
+    assert pieces[1] == (2, 0, 4, 0, 6) and pieces[2] == (2, 4, 3, 1, 0)
