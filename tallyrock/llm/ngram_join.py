@@ -15,13 +15,15 @@ classes of equal sets apart from links between different sets:
    pairs that pass the bound are verified on the sets, and links make
    components. Buckets that then still hold different components get an R-tree
    over the points by size, whose boxes bound the overlap of a whole subtree;
-   every class that is not in the tree's answer cannot link. What passes is
-   verified like before.
+   a class that is not in the tree's answer cannot link. What passes is verified
+   like before; in a bucket of more than HOT classes that happens in place, the
+   most similar first, and no pair is looked at whose classes are connected
+   already.
 
 Buckets are split by size of the sets, since linked sets differ by a third at
 most, and then into blocks of rows that meet pair by pair, so no bucket is one
 task. No copies are joined with each other, and pairs within a component need not
-be found. Texts of the classes to verify are read again, so sets are never kept.
+be found. Texts of the classes to verify are read again, so only their sets are kept.
 
 A text of less than five words has one shingle, all of it; one without words, or
 NULL, has none and links with nothing. Ids may be NULL or repeat; a component is
@@ -31,6 +33,7 @@ the smallest id in it, NULL if there is none. An empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +49,9 @@ TABLE = 1 << 18  # counters of the frequency table
 LEVELS = 7
 PER_GROUP = 4  # shingles a group at least
 MOST_GROUPS = 1 << 14
+HOT = 64  # classes of a bucket whose pairs are listed
 BLOCK = 4096  # classes of a bucket in one task
+FINE_GROUPS = 1024
 NODE = 16
 BAND = 1.34  # ratio of the sizes in a band, over the 4/3 that linked sets may differ
 
@@ -164,11 +169,10 @@ def allowed(na: int, nb: int, pa_: bytes, pb: bytes) -> bool:
     return int(np.minimum(fold(x, groups), fold(y, groups)).sum()) >= least_overlap(na + nb)
 
 
-def verified(pairs: DataFrame, found: DataFrame, documents: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets link; the texts of their classes are read once more."""
-    pairs = written(pairs, "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct().join(found.select("cid", "class", "id"), "cid")
-    texts = documents.join(wanted.withColumnRenamed("id", "wanted"), F.col("id").eqNullSafe(F.col("wanted")))
+def known_sets(wanted: DataFrame, found: DataFrame, documents: DataFrame) -> DataFrame:
+    """A written table (cid, set) of some classes; their texts are read once more."""
+    ids = wanted.distinct().join(found.select("cid", "class", F.col("id").alias("wanted")), "cid")
+    texts = documents.join(ids, F.col("id").eqNullSafe(F.col("wanted")))
 
     def sets(columns: list[list]) -> list[list]:
         rows = [
@@ -177,13 +181,21 @@ def verified(pairs: DataFrame, found: DataFrame, documents: DataFrame) -> DataFr
         return [list(c) for c in zip(*rows)] or [[]] * 2
 
     known = map_rows(texts.select("cid", "class", "text"), sets, "cid long, set binary", rows=512)
-    known = written(known.dropDuplicates(["cid"]), "sets")
+    return written(known.dropDuplicates(["cid"]), "sets")
+
+
+def overlap(x: np.ndarray, y: np.ndarray) -> int:
+    return len(np.intersect1d(x, y, assume_unique=True))
+
+
+def verified(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets link, as a written table."""
 
     def links(columns: list[list]) -> list[list]:
         kept = []
         for a, b, x, y in zip(*columns):
             x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            if len(np.intersect1d(x, y, assume_unique=True)) >= least_overlap(len(x) + len(y)):
+            if overlap(x, y) >= least_overlap(len(x) + len(y)):
                 kept.append((a, b))
         return [list(c) for c in zip(*kept)] or [[]] * 2
 
@@ -191,6 +203,10 @@ def verified(pairs: DataFrame, found: DataFrame, documents: DataFrame) -> DataFr
     return written(map_rows(both, links, "a long, b long", rows=256), "verified")
 
 
+def ends_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("cid"))
+
+
 class RTree:
     """A packed R-tree of points in the order of their set sizes; a box keeps its largest counts and smallest size."""
 
@@ -217,39 +233,77 @@ class RTree:
 
 
 def tree_pairs(rows: list[tuple]) -> list[tuple[int, int]]:
-    """Pairs of a bucket's rows (cid, n, component, upper, side, point) that may link across components.
+    """Pairs of a bucket's rows (cid, n, component, upper, point) that may link across components.
 
-    Of two blocks only pairs across them count; rows of the upper band meet those of the lower only.
+    Rows of the upper band meet those of the lower only.
     """
-    cids, sizes, comps = (np.array(c, np.int64) for c in list(zip(*rows))[:3])
-    upper, side = (np.array(c, np.int64) for c in list(zip(*rows))[3:5])
-    points = [unpack(r[5]) for r in rows]
+    cids, sizes, comps, upper, raw = zip(*rows)
+    points = [unpack(p) for p in raw]
     groups = min(map(len, points))
-    matrix = np.stack([fold(p, groups) for p in points])
+    points = [p if len(p) == groups else fold(p, groups) for p in points]
+    found = []
+    if len(rows) <= NODE:
+        for i, j in combinations(range(len(rows)), 2):
+            need = least_overlap(sizes[i] + sizes[j])
+            if comps[i] != comps[j] and not (upper[i] and upper[j]) and min(sizes[i], sizes[j]) >= need:
+                if np.minimum(points[i], points[j]).sum() >= need:
+                    found.append((min(cids[i], cids[j]), max(cids[i], cids[j])))
+        return found
+    lower, matrix = np.flatnonzero(np.array(upper) == 0), np.stack(points)
+    tree = RTree(matrix[lower], np.array(sizes)[lower])
+    for k in range(len(rows)):
+        for j in lower[tree.search(matrix[k], sizes[k])].tolist():
+            if comps[j] != comps[k] and (upper[k] or j > k):
+                found.append((min(cids[j], cids[k]), max(cids[j], cids[k])))
+    return found
+
+
+def linked_in_place(rows: list[tuple]) -> list[tuple[int, int]]:
+    """Links that connect the components of a bucket's rows (cid, n, component, upper, side, set).
+
+    Of two blocks only pairs across them count; rows of the upper band meet those of the lower only.
+    """
+    cids, sizes, comps, upper, side = (np.array(c, np.int64) for c in list(zip(*rows))[:5])
+    sets = [np.frombuffer(r[5], np.uint64) for r in rows]
+    groups = 8
+    while groups < FINE_GROUPS and groups < sizes.max():
+        groups *= 2
+    matrix = np.stack([np.bincount((s >> np.uint64(8)).astype(np.int64) % groups, minlength=groups) for s in sets])
+    matrix = matrix.astype(np.int32)
     lower = np.flatnonzero(upper == 0)
     if not len(lower):
         return []
-    tree = RTree(matrix[lower], sizes[lower])
-    two_blocks, found = side.min() != side.max(), set()
+    tree, two_blocks, found = RTree(matrix[lower], sizes[lower]), side.min() != side.max(), []
+    root = np.unique(comps, return_inverse=True)[1]
     for k in range(len(rows)):
         near = lower[tree.search(matrix[k], int(sizes[k]))]
-        near = near[comps[near] != comps[k]]
-        if two_blocks:
-            near = near[side[near] != side[k]]
-        found.update((min(int(cids[k]), c), max(int(cids[k]), c)) for c in cids[near].tolist())
-    return list(found)
+        near = near[(root[near] != root[k]) & ((upper[k] == 1) | (near > k)) & ~(two_blocks & (side[near] == side[k]))]
+        closest = np.argsort(-np.minimum(matrix[near], matrix[k]).sum(axis=1), kind="stable")
+        for j in near[closest].tolist():
+            if root[j] != root[k] and overlap(sets[j], sets[k]) >= least_overlap(int(sizes[j] + sizes[k])):
+                found.append((int(cids[k]), int(cids[j])))
+                root[root == root[j]] = root[k]
+    return found
+
 
+def mixed_buckets(rows: DataFrame, found: DataFrame, parts: DataFrame) -> DataFrame:
+    """A written table of the buckets, without their leaders, that hold different components.
 
-def rest_of_buckets(rows: DataFrame, found: DataFrame, parts: DataFrame) -> DataFrame:
-    """Pairs (a, b) across components that may link, from the buckets without their leaders."""
+    Buckets are split by bands of sizes; a row stands in its own band, and as `upper` in the one
+    below. (sign, members) names a bucket, and buckets with the same rows are one.
+    """
     known = rows.where("members > 2 AND cid <> leader").join(found.select("cid", "n"), "cid")
     known = known.join(parts.toDF("cid", "component"), "cid", "left")
     known = known.withColumn("component", F.coalesce("component", "cid"))
+    # What is in one component needs no bands.
+    token = Window.partitionBy("token")
+    known = known.withColumns({"low": F.min("component").over(token), "high": F.max("component").over(token)})
+    known = known.where("low <> high").drop("low", "high", "leader", "members")
     band = F.floor(F.log("n") / F.log(F.lit(BAND)))
-    banded = known.withColumn("band", band).select(
-        "cid", "n", "component", "token", F.explode(F.array(F.struct("band", F.lit(0).alias("upper")), F.struct((F.col("band") - 1).alias("band"), F.lit(1).alias("upper")))).alias("in")
-    )
-    banded = banded.select("cid", "n", "component", "token", "in.band", "in.upper")
+    places = F.array(
+        F.struct(band.alias("band"), F.lit(0).alias("upper")), F.struct((band - 1).alias("band"), F.lit(1).alias("upper"))
+    )
+    banded = known.withColumn("in", F.explode(places)).select("cid", "n", "component", "token", "in.band", "in.upper")
     same = Window.partitionBy("token", "band")
     mixed = banded.withColumns(
         {
@@ -260,19 +314,27 @@ def rest_of_buckets(rows: DataFrame, found: DataFrame, parts: DataFrame) -> Data
             "sign": F.bit_xor(F.xxhash64("cid", "upper")).over(same),
         }
     ).where("low <> high AND uppers < members")
-    # Buckets with the same members are one.
-    single = mixed.select("sign", "members", "cid", "n", "component", "upper").distinct()
+    return written(mixed.select("sign", "members", "cid", "n", "component", "upper").distinct(), "mixed")
+
+
+def pairs_of_small(mixed: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs (a, b) across components that may link, from buckets of at most HOT rows."""
+    points = found.select("cid", "point")
+    rows = mixed.where(F.col("members") <= HOT).join(points, "cid")
+    keys = ["sign", "members"]
+    dealt = rows.select(*keys, "cid", "n", "component", "upper", "point").repartition(*keys)
+    return runs(dealt.sortWithinPartitions(*keys, "cid", "upper"), len(keys), tree_pairs, "a long, b long").distinct()
+
+
+def links_of_large(mixed: DataFrame, known: DataFrame) -> DataFrame:
+    """Links (a, b) that connect the components of buckets of more than HOT rows, block by block."""
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("cid"), blocks).cast("int")
-    split = single.withColumns({"blocks": blocks, "own": own}).withColumn(
-        "other", F.explode(F.expr("sequence(0, blocks - 1)"))
-    )
+    rows = mixed.where(F.col("members") > HOT).withColumns({"blocks": blocks, "own": F.pmod(F.xxhash64("cid"), blocks).cast("int")})
+    split = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     split = split.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
-    points = found.select("cid", "point")
     keys = ["sign", "members", "i", "j"]
-    dealt = split.join(points, "cid").select(*keys, "cid", "n", "component", "upper", "own", "point")
-    dealt = dealt.repartition(*keys).sortWithinPartitions(*keys, "cid", "upper")
-    return runs(dealt, len(keys), tree_pairs, "a long, b long").distinct()
+    dealt = split.join(known, "cid").select(*keys, "cid", "n", "component", "upper", "own", "set").repartition(*keys)
+    return runs(dealt.sortWithinPartitions(*keys, "cid", "upper"), len(keys), linked_in_place, "a long, b long").distinct()
 
 
 def runs(frame: DataFrame, keys: int, work: Callable[[list[tuple]], list[tuple]], schema: str) -> DataFrame:
@@ -311,9 +373,14 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     rows = buckets(found)
 
     stars = rows.where("cid <> leader").select(F.col("leader").alias("a"), F.col("cid").alias("b")).distinct()
-    links = verified(with_points(stars, found), found, documents)
-    parts = components(links)
-    more = verified(rest_of_buckets(rows, found, parts), found, documents)
+    pairs = written(with_points(stars, found), "pairs")
+    links = verified(pairs, known_sets(ends_of(pairs), found, documents))
+
+    mixed = mixed_buckets(rows, found, components(links))
+    pairs = written(pairs_of_small(mixed, found), "pairs")
+    large = mixed.where(F.col("members") > HOT).select("cid")
+    known = known_sets(ends_of(pairs).unionAll(large), found, documents)
+    more = verified(pairs, known).unionAll(written(links_of_large(mixed, known), "verified"))
     parts = components(links.unionAll(more))
 
     ids = found.select("cid", "class", "id").join(parts.toDF("cid", "component"), "cid", "left")

@@ -95,8 +95,10 @@ def test_the_tree_finds_what_the_bound_allows():
         assert sorted(tree.search(points[k], int(sizes[k])).tolist()) == np.flatnonzero(near).tolist()
 
 
-def test_buckets_in_blocks_give_the_same(spark, rows, rows_of, monkeypatch):
-    monkeypatch.setattr(N, "BLOCK", 2)
+@pytest.mark.parametrize("hot, block", [(0, 4096), (0, 2), (3, 3)])
+def test_large_buckets_and_blocks_give_the_same(spark, rows, rows_of, monkeypatch, hot, block):
+    monkeypatch.setattr(N, "HOT", hot)
+    monkeypatch.setattr(N, "BLOCK", block)
     documents = spark.createDataFrame(rows, "id long, text string")
     found = rows_of(N.near_duplicates(documents), "id", "n_shingles", "component_id")
     assert found == sorted(brute_force(rows), key=lambda r: [(v is not None, v) for v in r])
