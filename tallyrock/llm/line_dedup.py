@@ -14,7 +14,7 @@ bits of each line, and are then verified by a bit-parallel edit distance of the
 2 threshold + 1 diagonals. All of it is DataFrame functions.
 
 Lines go through shuffles as hashes: 128 bits decide equality. Texts are read again
-for candidates only. NULL text is one empty line. NULL ids come last and are one
+only of lines that meet others. NULL text is one empty line. NULL ids come last and are one
 document each text; repeated rows with one id and text are one document, and
 rows with one id and different texts are ordered by a hash of the text. An
 empty table gives no rows. Other columns are kept by `without_repeated_lines`.
@@ -28,6 +28,7 @@ from tallyrock.llm.common import read, unused, written
 
 THRESHOLD = 2
 MIN_CHARS = 32
+PREFIX_BITS = 20
 TOP = 40  # bit of the lowest diagonal in the band's words
 
 
@@ -95,26 +96,34 @@ def words_allow(a: Column, b: Column, threshold: int) -> Column:
     return F.bit_count(a.bitwiseXOR(b)) <= 3 * threshold
 
 
-def candidate_pairs(lines: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (a, b) of line hashes that share a segment and whose words allow the threshold."""
-
-    def keyed(keys: Column) -> DataFrame:
-        # What is computed from the text comes before the rows are multiplied.
-        sized = lines.select("line", F.char_length("line").alias("size"))
-        once = sized.select(F.xxhash64("line").alias("h1"), word_bits().alias("bits"), keys.alias("keys"))
-        # No array is empty; a plain explode would compute them once more to check that.
-        rows = once.select("h1", "bits", F.explode_outer("keys").alias("key"))
-        # One shuffle by key serves both to drop repeated lines and to join.
-        return rows.repartition("key").groupBy("key", "h1", "bits").agg(F.lit(1).alias("one")).drop("one")
-
-    index, probes = keyed(segment_keys(threshold)).alias("i"), keyed(probe_keys(threshold)).alias("p")
-    met = index.join(
-        probes,
-        (F.col("i.key") == F.col("p.key"))
-        & (F.col("i.h1") != F.col("p.h1"))
-        & words_allow(F.col("i.bits"), F.col("p.bits"), threshold),
+def keyed_lines(lines: DataFrame, threshold: int) -> DataFrame:
+    """(key, probe, h1, bits): a row for each segment of a line, and one for each substring it probes with."""
+    sized = lines.select("line", F.char_length("line").alias("size"))
+    keys = F.concat(
+        F.transform(segment_keys(threshold), lambda k: F.struct(k.alias("key"), F.lit(False).alias("probe"))),
+        F.transform(probe_keys(threshold), lambda k: F.struct(k.alias("key"), F.lit(True).alias("probe"))),
     )
-    return met.select(F.least("i.h1", "p.h1").alias("a"), F.greatest("i.h1", "p.h1").alias("b")).distinct()
+    # What is computed from the text comes before the rows are multiplied.
+    once = sized.select(F.xxhash64("line").alias("h1"), word_bits().alias("bits"), keys.alias("keys"))
+    # No array is empty; a plain explode would compute them once more to check that.
+    rows = once.select("h1", "bits", F.explode_outer("keys").alias("k"))
+    return rows.select("k.key", "k.probe", "h1", "bits")
+
+
+def meeting(threshold: int) -> Column:
+    """Whether rows l and r of `keyed_lines` are of different lines that meet and may be near."""
+    return (
+        (F.col("l.key") == F.col("r.key"))
+        & (F.col("l.probe") != F.col("r.probe"))
+        & (F.col("l.h1") != F.col("r.h1"))
+        & words_allow(F.col("l.bits"), F.col("r.bits"), threshold)
+    )
+
+
+def lines_that_meet(lines: DataFrame, threshold: int) -> DataFrame:
+    """(h1) of the lines that meet another one. Both sides of the join read one shuffle."""
+    rows = keyed_lines(lines, threshold).repartition("key")
+    return rows.alias("l").join(rows.alias("r"), meeting(threshold), "left_semi").select("h1").distinct()
 
 
 def let(value: Column, then) -> Column:
@@ -139,6 +148,10 @@ def edit_distance(a: Column, b: Column, threshold: int) -> Column:
         return F.bitwise_not(x).bitwiseAND(word(mask))
 
     def step(texts: Column, state: Column, i: Column) -> Column:
+        # The distance can fall by one at each of at most 2 threshold steps along the last row.
+        return F.when(state["d"] > 3 * threshold, state).otherwise(next_column(texts, state, i))
+
+    def next_column(texts: Column, state: Column, i: Column) -> Column:
         one, rows = texts["one"], texts["rows"]
         letter = F.get(texts["other"], i)
         matches = word(0)
@@ -185,18 +198,32 @@ def edit_distance(a: Column, b: Column, threshold: int) -> Column:
     return let(F.struct(one.alias("one"), other.alias("other"), F.char_length(a).alias("rows")), over)
 
 
+def texts_of(wanted: DataFrame, lines: DataFrame) -> DataFrame:
+    """(h1, h2, line) of the lines whose h1 is wanted."""
+    # At most 2 ** PREFIX_BITS rows, whatever the number of lines: drops most others before the shuffle.
+    prefix = F.shiftrightunsigned("h1", 64 - PREFIX_BITS)
+    prefixes = F.broadcast(wanted.select(prefix.alias("prefix")).distinct())
+    hashed = lines.select(*line_hashes(), "line").withColumn("prefix", prefix)
+    some = hashed.join(prefixes, "prefix", "left_semi").select("h1", "h2", "line")
+    return some.join(wanted, "h1", "left_semi").dropDuplicates(["h1", "h2"])
+
+
 def near_pairs(lines: DataFrame, threshold: int) -> DataFrame:
-    """Pairs of different lines at most `threshold` edits apart: hashes (a1, a2) and (b1, b2)."""
-    pairs = written(candidate_pairs(lines, threshold), "line-pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
-    hashed = lines.select(*line_hashes(), "line")
-    texts = written(hashed.join(wanted, "h1", "left_semi").dropDuplicates(["h1", "h2"]), "line-texts")
-    left = texts.select(F.col("h1").alias("a"), F.col("h2").alias("a2"), F.col("line").alias("one"))
-    right = texts.select(F.col("h1").alias("b"), F.col("h2").alias("b2"), F.col("line").alias("other"))
-    both = pairs.join(left, "a").join(right, "b")
-    close = F.abs(F.char_length("one") - F.char_length("other")) <= threshold
-    near = both.where(close & (edit_distance(F.col("one"), F.col("other"), threshold) <= threshold))
-    return near.select(F.col("a").alias("a1"), "a2", F.col("b").alias("b1"), "b2")
+    """Pairs of different lines at most `threshold` edits apart: hashes (a1, a2) and (b1, b2).
+
+    Lines that meet are found first, then their texts meet again and are compared inside the join:
+    pairs that are not near are never listed.
+    """
+    wanted = written(lines_that_meet(lines, threshold), "lines-that-meet")
+    texts = written(texts_of(wanted, lines), "line-texts")
+    rows = written(keyed_lines(texts, threshold).distinct(), "line-keys")
+    segments, probes = (rows.where(F.col("probe") == side).join(texts, "h1") for side in (False, True))
+    close = F.abs(F.char_length("l.line") - F.char_length("r.line")) <= threshold
+    near = edit_distance(F.col("l.line"), F.col("r.line"), threshold) <= threshold
+    met = segments.alias("l").join(probes.alias("r"), meeting(threshold) & close & near)
+    return met.select(
+        F.col("l.h1").alias("a1"), F.col("l.h2").alias("a2"), F.col("r.h1").alias("b1"), F.col("r.h2").alias("b2")
+    ).distinct()
 
 
 def repeated_lines(documents: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -206,7 +233,7 @@ def repeated_lines(documents: DataFrame, threshold: int = THRESHOLD, min_chars:
     """
     lines = long_lines(documents.select("doc_id", "text"), min_chars)
     where = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version", "place")
-    places = lines.select(*line_hashes(), "doc_id", "version", "place")
+    places = written(lines.select(*line_hashes(), "doc_id", "version", "place"), "line-places")
     firsts = written(places.groupBy("h1", "h2").agg(F.min(where).alias("first")), "first-lines")
 
     near = near_pairs(lines, threshold)

@@ -87,6 +87,6 @@ def test_the_banded_distance_is_right_up_to_the_threshold(spark, threshold):
 
 def test_no_python_runs_on_the_main_path(docs):
     frame = docs((1, "x" * 50), (2, "y" * 50))
-    for part in (L.candidate_pairs(L.long_lines(frame, 32), 2), L.without_repeated_lines(frame)):
+    for part in (L.near_pairs(L.long_lines(frame, 32), 2), L.without_repeated_lines(frame)):
         plan = part._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Pandas" not in plan and "InArrow" not in plan
