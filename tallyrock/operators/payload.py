@@ -49,16 +49,20 @@ def lines_to_messages(lines: DataFrame, key: str = "account_id", strict: bool =
     """JSON lines as keyed messages, the text passed on whole with fields no schema knows.
 
     A missing or null key stays NULL, so that a message bus spreads such
-    messages over its partitions. strict fails the job on a line that is no
-    JSON object. Other columns of lines are carried on.
+    messages over its partitions. White space around a line is cut. strict fails
+    the job on a line that is not one JSON object and nothing else. Other columns
+    of lines are carried on.
     """
-    schema = f"`{key}` STRING, _broken STRING"
-    data = F.from_json("value", schema, {"columnNameOfCorruptRecord": "_broken"}).alias("data")
-    parsed = lines.withColumn("value", F.trim("value")).select("*", data)
+    # As the one element of an array, text after the object is an error to the parser too.
+    whole = F.concat(F.lit("["), F.col("value"), F.lit("]"))
+    options = {"columnNameOfCorruptRecord": "_broken"}
+    data = F.from_json(whole, f"array<struct<`{key}`: string, _broken: string>>", options)
+    stripped = F.regexp_replace("value", r"^\s+|\s+$", "")
+    parsed = lines.withColumn("value", stripped).select("*", data.alias("list")).withColumn("data", F.get("list", F.lit(0)))
     message = F.col("value")
     if strict:
-        broken = F.col("data").isNull() | F.col("data._broken").isNotNull()
-        broken = broken | ~F.col("value").endswith("}")
+        one = (F.size("list") == 1) & F.col("data").isNotNull() & F.col("data._broken").isNull()
+        broken = ~F.coalesce(one, F.lit(False)) | ~F.col("value").startswith("{")
         message = F.when(broken, F.raise_error(F.lit("not a JSON line"))).otherwise(message)
     others = [name for name in lines.columns if name != "value"]
     return parsed.select(F.col("data").getField(key).alias("key"), message.alias("value"), *others)

@@ -43,6 +43,28 @@ SETTLEMENT_FIELDS = (
 BRONZE_FIELDS = PAYLOAD_FIELDS + INGESTION_FIELDS
 SILVER_FIELDS = BRONZE_FIELDS + SETTLEMENT_FIELDS
 
+# The columns of the two row-level facts, by their names in Silver.
+LIFECYCLE_COLUMNS = (
+    "transaction_id",
+    "account_id",
+    "customer_id",
+    "txn_ts",
+    "txn_amount",
+    "txn_status",
+    "settlement_ts",
+    "days_to_settle",
+    "is_settled",
+    "high_value_flag",
+)
+FRAUD_COLUMNS = (
+    "transaction_id",
+    "account_id",
+    "txn_amount",
+    "txn_hour",
+    "country_code",
+    "channel",
+)
+
 # Rule thresholds, labels and defaults.
 HIGH_VALUE_THRESHOLD = 10000.0
 NIGHT_HOURS = (0, 4)

@@ -4,23 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-# Above this many rows a dataset is not squeezed through one task.
-SINGLE_FILE_ROWS = 5_000_000
 
-
-def export_csv(
-    df: DataFrame,
-    path: str,
-    single_file: bool = False,
-    single_file_rows: int = SINGLE_FILE_ROWS,
-) -> None:
+def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """One folder of CSV with headers.
 
-    Every task writes its own part file. single_file asks for one part file; a
-    dataset with more than single_file_rows rows is still written whole, as
-    several parts. Pass a DataFrame that reads a written table, so that the
-    count comes from file footers.
+    Every task writes its own part file. single_file writes one part whatever the size, through
+    one task: for datasets that a dashboard reads as one file.
     """
-    if single_file and df.count() <= single_file_rows:
+    if single_file:
         df = df.repartition(1)
     df.write.mode("overwrite").option("header", True).csv(path)

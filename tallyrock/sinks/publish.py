@@ -6,10 +6,10 @@ import time
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tallyrock.schema import BROKERS, TOPIC
+from tallyrock.sources.tables import read_or_none
 
 
 @dataclass(frozen=True)
@@ -66,10 +66,20 @@ def publish(
     return Progress(counted.get["records"], time.monotonic() - started)
 
 
-def stream_progress(query: StreamingQuery) -> Progress:
-    """Records and seconds over the query's recent micro-batches."""
-    recent = query.recentProgress
-    return Progress(
-        sum(batch["numInputRows"] for batch in recent),
-        sum(batch["durationMs"].get("triggerExecution", 0) for batch in recent) / 1000,
-    )
+class StreamMeter:
+    """Counts what a stream adds to its table, over any number of micro-batches.
+
+    A query's own list of progress has its last micro-batches only. Rows are counted from the
+    table's file footers: make the meter before the stream starts.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None):
+        self.spark, self.path, self.fmt, self.schema = spark, path, fmt, schema
+        self.before, self.started = self._rows(), time.monotonic()
+
+    def _rows(self) -> int:
+        table = read_or_none(self.spark, self.path, self.fmt, self.schema)
+        return 0 if table is None else table.count()
+
+    def progress(self) -> Progress:
+        return Progress(self._rows() - self.before, time.monotonic() - self.started)

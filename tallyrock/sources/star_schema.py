@@ -37,8 +37,12 @@ EVENT_COLUMNS = {
     "source_system": f"'{SOURCE_SYSTEM}'",
     "transaction_id": "CASE WHEN l_partkey % 101 = 0 THEN NULL"
     " ELSE 'TXN'||CAST(l_orderkey AS STRING)||'-'||CAST(l_linenumber AS STRING) END",
-    "account_id": "'ACCT'||lpad(CAST(o_custkey AS STRING),8,'0')",
-    "customer_id": "'CUST'||lpad(CAST(CAST(floor(o_custkey/2) AS BIGINT) AS STRING),6,'0')",
+    # Two accounts a customer. The padding never shortens a longer key.
+    "account_id": "CASE WHEN l_suppkey % 89 = 0 THEN NULL"
+    " ELSE 'ACCT'||lpad(CAST(o_custkey AS STRING),"
+    "CAST(greatest(8,length(CAST(o_custkey AS STRING))) AS INT),'0') END",
+    "customer_id": "CASE WHEN l_suppkey % 83 = 0 THEN NULL"
+    " ELSE 'CUST'||CAST(o_custkey - o_custkey % 2 AS STRING) END",
     "txn_date": "CASE WHEN l_partkey % 103 = 0 THEN NULL WHEN l_partkey % 107 = 0 THEN 'n/a'"
     " ELSE CAST(o_orderdate + CAST(l_partkey % 24 AS INT) * INTERVAL '1' HOUR AS STRING) END",
     "txn_type": "CASE WHEN l_linestatus = 'F' THEN ' Debit ' ELSE 'CREDIT' END",
@@ -53,11 +57,12 @@ EVENT_COLUMNS = {
     "fraud_flag": "l_discount > 0.08",
     "credit_risk": "CASE WHEN o_orderpriority IN ('1-URGENT','2-HIGH') THEN 'High'"
     " WHEN o_orderpriority = '3-MEDIUM' THEN 'medium' ELSE 'low ' END",
-    "channel": "CASE l_suppkey % 5 WHEN 0 THEN 'Mobile' WHEN 1 THEN 'web' WHEN 2 THEN 'atm'"
-    " WHEN 3 THEN 'branch' ELSE 'POS ' END",
+    "channel": "CASE WHEN l_suppkey % 61 = 0 THEN NULL ELSE CASE l_suppkey % 5 WHEN 0 THEN 'Mobile' WHEN 1 THEN 'web' WHEN 2 THEN 'atm'"
+    " WHEN 3 THEN 'branch' ELSE 'POS ' END END",
     "merchant_category": "lower(p_type)",
     "currency": "' usd'",
-    "country_code": "CASE WHEN n_regionkey = 1 THEN 'us' ELSE 'x'||CAST(n_nationkey AS STRING) END",
+    "country_code": "CASE WHEN l_suppkey % 59 = 0 THEN NULL WHEN l_suppkey % 67 = 0 THEN ''"
+    " WHEN n_regionkey = 1 THEN 'us' ELSE 'x'||CAST(n_nationkey AS STRING) END",
     "ingestion_date": "CAST(l_shipdate AS DATE)",
     "ingestion_time": "l_shipdate",
     "source": f"'{SOURCE_LABEL}'",

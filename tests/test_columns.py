@@ -3,6 +3,7 @@ import math
 
 import pytest
 
+from tallyrock.sources.star_schema import EVENT_COLUMNS
 from tallyrock.functions import average_amount, calendar_parts, flag, is_suspicious, total_amount
 from tallyrock.operators.enrich import enrich, normalize
 
@@ -13,10 +14,10 @@ def test_enrich_keeps_rows_and_adds_seven_columns(bronze):
     ).collect()
     assert [tuple(r) for r in row] == [
         (
-            datetime.datetime(2025, 1, 8, 7, 25, 22),
-            datetime.datetime(2025, 1, 9, 13, 25, 22),
-            datetime.date(2025, 1, 8),
-            7,
+            datetime.datetime(2031, 5, 6, 9, 10, 11),
+            datetime.datetime(2031, 5, 7, 10, 11, 12),
+            datetime.date(2031, 5, 6),
+            9,
             1,
             1,
             0,
@@ -29,7 +30,7 @@ def test_enrich_keeps_rows_and_adds_seven_columns(bronze):
     "start, amount, status, end, days, settled, high",
     [
         ("2025-01-11T01:22:18.000Z", 2599.83, "success", "2025-01-11T12:22:18.000Z", 0, 0, 0),
-        ("2025-01-08T07:25:22.000Z", 972.72, "settled", "2025-01-09T13:25:22.000Z", 1, 1, 0),
+        ("2031-05-06T09:10:11.000Z", 250.5, "settled", "2031-05-07T10:11:12.000Z", 1, 1, 0),
         ("2025-02-07T15:15:39.000Z", 1092.41, "settled", "2025-02-10T12:15:39.000Z", 3, 1, 0),
         ("2025-01-28T19:32:52", 546.88, "success", "2025-01-31T12:32:52", 3, 0, 0),
         ("2025-01-10T23:59:59", 5.0, "success", "2025-01-11T00:00:00", 1, 0, 0),
@@ -129,5 +130,23 @@ def test_totals_of_odd_groups(spark, exact):
 
 
 def test_exact_total_fails_rather_than_leaves_out(spark):
-    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+    with pytest.raises(Exception, match="too large"):
         amounts(spark, 1.0, 1e20).agg(total_amount(exact=True)).collect()
+
+
+def test_exact_total_fails_without_ansi_mode_too(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert amounts(spark, 1.0, 2.25).agg(total_amount(exact=True)).first()[0] == 3.25
+        with pytest.raises(Exception, match="too large"):
+            amounts(spark, 1.0, 1e17).agg(total_amount(exact=True)).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_the_adapter_keeps_long_keys_apart(spark):
+    keys = [1, 1234567, 12345678, 123456789, 1234567890, 1234567891, 20000002, 2000000]
+    rows = spark.createDataFrame([(k, 1) for k in keys], "o_custkey BIGINT, l_suppkey BIGINT")
+    found = rows.selectExpr(*[f"{EVENT_COLUMNS[n]} AS {n}" for n in ("account_id", "customer_id")]).collect()
+    assert len({r.account_id for r in found}) == len(keys)
+    assert len({r.customer_id for r in found}) == len({k // 2 for k in keys})

@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 from tallyrock.operators.facts import lifecycle_fact
 from tallyrock.operators.payload import lines_to_messages, parse, to_messages
 from tallyrock.plans.silver import silver_increment
-from tallyrock.schema import PAYLOAD_DDL, SILVER_TABLE_DDL
+from tallyrock.operators.incremental import recent_day
+from tallyrock.schema import BRONZE_DDL, PAYLOAD_DDL, SILVER_TABLE_DDL
 from tallyrock.session import scratch_path, shared_dir
 from tallyrock.sinks.csv import export_csv
 from tallyrock.sinks.publish import in_key_order, publish
 from tallyrock.sinks.tables import append_table, overwrite_table, replace_batch, report
 from tallyrock.sources.messages import read_lines
-from tallyrock.sources.tables import path_exists, read_or_none, read_table
+from tallyrock.sources.tables import path_exists, read_folders, read_or_none, read_table
 
 
 def numbers(spark, *values):
@@ -123,30 +124,26 @@ def test_copies_of_one_message_are_split_by_origin(spark, tmp_path):
 
 
 def test_csv_has_headers_and_utc_times(spark, bronze, folder):
-    event = {
-        "transaction_id": "TXN00194EBBF50C4C18",
-        "account_id": "ACCT00002973",
-        "customer_id": "CUST003014",
-    }
+    event = {"transaction_id": "T-7", "account_id": "A-8", "customer_id": "C-9"}
     rows = bronze(event, {"txn_status": "failed", "settlement_date": None, "txn_amount": 12345678.9})
     export_csv(lifecycle_fact(silver_increment(rows)).orderBy("transaction_id"), folder, single_file=True)
     (part,) = glob.glob(f"{folder}/part-*.csv")
     assert open(part).read().splitlines() == [
+        # The header and the form of the values.
         "transaction_id,account_id,customer_id,txn_date,txn_amount,txn_status,settlement_date,"
         "days_to_settle,is_settled,high_value_flag",
-        "TXN00194EBBF50C4C18,ACCT00002973,CUST003014,2025-01-08T07:25:22.000Z,972.72,settled,"
-        "2025-01-09T13:25:22.000Z,1,1,0",
-        "TXN1,ACCT1,CUST1,2025-01-08T07:25:22.000Z,1.23456789E7,failed,,,0,1",
+        "T-7,A-8,C-9,2031-05-06T09:10:11.000Z,250.5,settled,2031-05-07T10:11:12.000Z,1,1,0",
+        "TXN1,ACCT1,CUST1,2031-05-06T09:10:11.000Z,1.23456789E7,failed,,,0,1",
     ]
 
 
-def test_a_dataset_beyond_the_bound_is_whole_but_in_parts(spark, folder):
-    rows = spark.range(0, 100, numPartitions=4)
-    export_csv(rows, folder, single_file=True, single_file_rows=99)
-    assert len(glob.glob(f"{folder}/part-*.csv")) == 4
-    assert spark.read.option("header", True).csv(folder).count() == 100
-    export_csv(rows, folder, single_file=True, single_file_rows=100)
+@pytest.mark.parametrize("rows", [100, 6_000_000])
+def test_a_single_file_is_one_part_whatever_its_size(spark, folder, rows):
+    export_csv(spark.range(0, rows, numPartitions=4), folder, single_file=True)
     assert len(glob.glob(f"{folder}/part-*.csv")) == 1
+    assert spark.read.option("header", True).csv(folder).count() == rows
+    export_csv(spark.range(0, 100, numPartitions=4), folder)
+    assert len(glob.glob(f"{folder}/part-*.csv")) == 4
 
 
 def test_times_are_stored_with_statistics(spark, bronze, folder):
@@ -168,3 +165,13 @@ def test_shared_folder_is_the_one_the_session_names(spark, tmp_path):
     if before:
         assert scratch_path(spark, "x").startswith(before)
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_folders_that_are_not_wanted_are_not_listed(spark, bronze, folder):
+    days = [{"event_id": str(k), "at": f"2025-01-{k:02d} 10:00:00"} for k in range(1, 31)]
+    bronze(*days).write.partitionBy("ingestion_date").parquet(folder)
+    mark = 1738144800000000  # 2025-01-29 10:00 UTC
+    rows = read_folders(spark, folder, "ingestion_date", recent_day(mark), "parquet", BRONZE_DDL)
+    assert sorted(int(r.event_id) for r in rows.collect()) == [27, 28, 29, 30]
+    assert len(rows.inputFiles()) == 4
+    assert read_folders(spark, folder, "ingestion_date", lambda day: False, "parquet", BRONZE_DDL).count() == 0

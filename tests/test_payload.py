@@ -108,3 +108,14 @@ def test_ingestion_stamp(spark):
         F.max("source").alias("source"),
     ).first()
     assert tuple(row) == (1, True, "feed")
+
+
+@pytest.mark.parametrize("line", ['{"account_id":"A"}\t', ' \r{"account_id":"A"}\n', '{"account_id":"A", "x":[1,{"y":"}"}]}'])
+def test_white_space_around_a_line_is_cut(spark, line):
+    assert lines_to_messages(values(spark, line), strict=True).collect() == [("A", line.strip())]
+
+
+@pytest.mark.parametrize("line", ['{"account_id":"A"} x }', '{"account_id":"A"},{"account_id":"B"}', '{"account_id":"A"} {}', "[]", "5"])
+def test_more_than_one_object_is_no_line(spark, line):
+    with pytest.raises(Exception, match="not a JSON line"):
+        lines_to_messages(values(spark, line), strict=True).collect()

@@ -6,7 +6,7 @@ from conftest import payload
 from plans import plan_of
 
 from tallyrock.schema import BRONZE_DDL, SILVER_TABLE_DDL
-from tallyrock.sinks.publish import stream_progress
+from tallyrock.sinks.publish import StreamMeter
 from tallyrock.sources.messages import message_stream
 from tallyrock.sources.tables import read_table
 from tallyrock.streaming.bronze import UNTIL_DRAINED, bronze_rows as bronze_rows_of, ingest_bronze
@@ -61,12 +61,13 @@ def refine(spark, paths, **options):
 def test_every_message_becomes_a_row_stamped_per_micro_batch(spark, lines, paths):
     lines("1.ndjson", payload(event_id="a"), "broken", payload(event_id="b"))
     lines("2.ndjson", payload(event_id="c"))
-    query = ingest(spark, lines, paths)
+    meter = StreamMeter(spark, paths["bronze"], schema=BRONZE_DDL)
+    ingest(spark, lines, paths)
     rows = bronze_rows(spark, paths)
     assert sorted(str(r.event_id) for r in rows) == ["None", "a", "b", "c"]
     assert len({r.ingestion_time for r in rows}) == 2
     assert {r.source for r in rows} == {"kafka_txn_stream"}
-    assert stream_progress(query).records == 4
+    assert meter.progress().records == 4
 
 
 def test_restart_adds_only_new_files(spark, lines, paths):
