@@ -3,46 +3,37 @@
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-
-from tallyrock.jobs.options import add_gold, parser
+from tallyrock.jobs.options import add_gold, add_threshold, fraud_options, parser
 from tallyrock.plans.gold import refresh_gold
 from tallyrock.plans.gold_increment import refresh_gold_increment
 from tallyrock.session import job_session
 
 
-def refresh(spark: SparkSession, chosen: argparse.Namespace) -> dict[str, DataFrame]:
-    csv = None if chosen.no_csv else chosen.csv
-    if chosen.incremental:
-        if chosen.dedup != "run":
-            raise SystemExit("--incremental counts every Silver row: use it with --dedup run")
-        return refresh_gold_increment(
-            spark,
-            chosen.silver,
-            chosen.gold,
-            csv,
-            fmt=chosen.format,
-            exact=chosen.exact,
-            single_file=chosen.single_file,
-        )
-    return refresh_gold(
-        spark,
-        chosen.silver,
-        chosen.gold,
-        csv,
-        fmt=chosen.format,
-        exact=chosen.exact,
-        dedup=chosen.dedup,
-        single_file=chosen.single_file,
-    )
+def refresh_of(chosen: argparse.Namespace) -> tuple[Callable, dict]:
+    """The refresh that the options name, and its keyword arguments."""
+    shared = {
+        "exact": chosen.exact,
+        "fraud_options": fraud_options(chosen),
+        "single_file": chosen.single_file,
+    }
+    if not chosen.incremental:
+        return refresh_gold, shared | {"dedup": chosen.dedup}
+    if chosen.dedup != "run":
+        raise SystemExit("--incremental counts every Silver row: use it with --dedup run")
+    return refresh_gold_increment, shared
 
 
 def main(arguments: list[str] | None = None) -> None:
     options = parser(__doc__, "silver", "gold", "csv")
+    add_threshold(options)
     add_gold(options)
     chosen = options.parse_args(arguments)
-    tables = refresh(job_session("transactions to Gold"), chosen)
+    refresh, more = refresh_of(chosen)
+    spark = job_session("transactions to Gold")
+    csv = None if chosen.no_csv else chosen.csv
+    tables = refresh(spark, chosen.silver, chosen.gold, csv, fmt=chosen.format, **more)
     tables["gold_transaction_lifecycle"].show(5, truncate=False)
 
 

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import argparse
 
-from tallyrock.schema import HIGH_VALUE_THRESHOLD, MICRO_BATCH_INTERVAL
+from tallyrock.schema import HIGH_VALUE_THRESHOLD, HOME_COUNTRY, MICRO_BATCH_INTERVAL, NIGHT_HOURS
 
 # Where the layers live unless an option says otherwise.
 RAW = "/data/raw"
@@ -33,8 +33,16 @@ def add_stream(options: argparse.ArgumentParser, checkpoint: str) -> None:
     )
 
 
+def add_threshold(options: argparse.ArgumentParser) -> None:
+    options.add_argument(
+        "--high-value",
+        type=float,
+        default=HIGH_VALUE_THRESHOLD,
+        help="amount above which Silver's flag is set and Gold's fraud rule applies",
+    )
+
+
 def add_silver(options: argparse.ArgumentParser) -> None:
-    options.add_argument("--high-value", type=float, default=HIGH_VALUE_THRESHOLD)
     options.add_argument("--normalize-first", action="store_true")
     options.add_argument("--strict-amount", action="store_true")
     options.add_argument("--strict-dates", action="store_true")
@@ -43,6 +51,10 @@ def add_silver(options: argparse.ArgumentParser) -> None:
 def add_gold(options: argparse.ArgumentParser) -> None:
     options.add_argument("--no-csv", action="store_true", help="leave out the CSV extracts")
     options.add_argument("--single-file", action="store_true", help="one CSV part file per dataset")
+    options.add_argument(
+        "--night", type=int, nargs=2, default=NIGHT_HOURS, metavar="HOUR", help="first and last hour of the fraud rule"
+    )
+    options.add_argument("--home", default=HOME_COUNTRY, help="country that the fraud rule does not flag")
     options.add_argument("--exact", action="store_true", help="sums that do not depend on row order")
     options.add_argument("--dedup", choices=("run", "table"), default="run")
     options.add_argument(
@@ -63,5 +75,9 @@ def silver_options(chosen: argparse.Namespace) -> dict:
     }
 
 
+def fraud_options(chosen: argparse.Namespace) -> dict:
+    return {"amount_threshold": chosen.high_value, "night": tuple(chosen.night), "home": chosen.home}
+
+
 def pairs(texts: list[str]) -> dict[str, str]:
     return dict(text.split("=", 1) for text in texts)

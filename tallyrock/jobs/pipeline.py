@@ -2,23 +2,32 @@
 
 from __future__ import annotations
 
-from tallyrock.jobs import gold
-from tallyrock.jobs.options import add_gold, add_silver, parser, silver_options
-from tallyrock.plans.silver import run_silver
+from tallyrock.jobs.gold import refresh_of
+from tallyrock.jobs.options import add_gold, add_silver, add_threshold, parser, silver_options
+from tallyrock.plans.pipeline import run_pipeline
 from tallyrock.session import job_session
 
 
 def main(arguments: list[str] | None = None) -> None:
     options = parser(__doc__, "bronze", "silver", "gold", "csv")
+    add_threshold(options)
     add_silver(options)
     add_gold(options)
     chosen = options.parse_args(arguments)
-    spark = job_session("transactions to Silver and Gold")
-    written = run_silver(
-        spark, chosen.bronze, chosen.silver, chosen.format, **silver_options(chosen)
+    refresh, gold_options = refresh_of(chosen)
+    tables = run_pipeline(
+        job_session("transactions to Silver and Gold"),
+        chosen.bronze,
+        chosen.silver,
+        chosen.gold,
+        None if chosen.no_csv else chosen.csv,
+        fmt=chosen.format,
+        silver_options=silver_options(chosen),
+        gold_options=gold_options,
+        refresh=refresh,
+        after_silver=lambda written: print(f"{written.rows:,} Silver rows added"),
     )
-    print(f"{written.rows:,} Silver rows added")
-    gold.refresh(spark, chosen)
+    tables["gold_transaction_lifecycle"].show(5, truncate=False)
 
 
 if __name__ == "__main__":

@@ -5,6 +5,7 @@ from __future__ import annotations
 from tallyrock.jobs.options import (
     SILVER_CHECKPOINT,
     add_silver,
+    add_threshold,
     add_stream,
     pairs,
     parser,
@@ -18,6 +19,7 @@ from tallyrock.streaming.silver import stream_silver
 
 def main(arguments: list[str] | None = None) -> None:
     options = parser(__doc__, "bronze", "silver")
+    add_threshold(options)
     add_silver(options)
     add_stream(options, SILVER_CHECKPOINT)
     options.add_argument("--stream", action="store_true", help="follow Bronze by checkpoint")

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import datetime
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+SLACK_DAYS = 2
+
 
 def high_water_mark(df: DataFrame, column: str = "ingestion_time") -> DataFrame:
     """One row with the greatest value, NULL for an empty table."""
@@ -23,6 +28,13 @@ def mark_column(micros: int) -> Column:
     return F.timestamp_micros(F.lit(micros).cast("bigint"))
 
 
+def recent_day(mark: int) -> Callable[[str], bool]:
+    """Whether a folder of that day, or of no day, can hold rows above the mark."""
+    first = (datetime.datetime(1970, 1, 1) + datetime.timedelta(microseconds=mark)).date()
+    limit = (first - datetime.timedelta(days=SLACK_DAYS)).isoformat()
+    return lambda day: not day[:1].isdigit() or day >= limit
+
+
 def new_since(
     df: DataFrame,
     mark: Column | None,
@@ -32,8 +44,8 @@ def new_since(
     """Rows strictly above the mark, or all rows when there is none.
 
     date_column names the partition column that holds the date of column: whole
-    days before the mark are then not listed at all. Two days of slack cover any
-    time zone in which the date was taken.
+    days before the mark are then not opened. recent_day says which folders need
+    not even be listed. Two days of slack cover any time zone in which the date was taken.
     """
     if mark is None:
         return df
@@ -41,4 +53,4 @@ def new_since(
     if date_column is None:
         return newer
     day = F.col(date_column)
-    return newer.filter((day >= F.date_sub(F.to_date(mark), 2)) | day.isNull())
+    return newer.filter((day >= F.date_sub(F.to_date(mark), SLACK_DAYS)) | day.isNull())

@@ -28,11 +28,13 @@ GOLD_TABLES = (*FACTS, "dim_date", *KEY_DIMENSIONS)
 ATTRIBUTE_DIMENSIONS = ("dim_transaction_type", "dim_channel", "dim_country", "dim_merchant")
 
 
-def gold_tables(silver: DataFrame, exact: bool = False) -> dict[str, DataFrame]:
-    """Every Gold table as a plan on Silver."""
+def gold_tables(
+    silver: DataFrame, exact: bool = False, fraud_options: Mapping | None = None
+) -> dict[str, DataFrame]:
+    """Every Gold table as a plan on Silver; fraud_options are those of fraud_fact."""
     tables = {
         "gold_transaction_lifecycle": lifecycle_fact(silver),
-        "gold_fraud_detection": fraud_fact(silver),
+        "gold_fraud_detection": fraud_fact(silver, **dict(fraud_options or {})),
         "gold_credit_risk": credit_risk_fact(silver, exact),
         "gold_transaction_summary": daily_summary(silver, exact),
         "dim_date": dim_date(silver),
@@ -65,6 +67,7 @@ def refresh_gold(
     *,
     fmt: str = "parquet",
     exact: bool = False,
+    fraud_options: Mapping | None = None,
     dedup: str = "run",
     tie_breakers: Iterable[Column] | None = None,
     single_file: bool = False,
@@ -85,7 +88,7 @@ def refresh_gold(
         current_path = f"{gold_path}/current_silver"
         overwrite_table(silver_current(silver, tie_breakers), current_path, fmt)
         silver = read_table(spark, current_path, fmt, SILVER_TABLE_DDL)
-    planned = gold_tables(silver, exact)
+    planned = gold_tables(silver, exact, fraud_options)
     combined = silver.select(*[KEY_DIMENSIONS[name] for name in ATTRIBUTE_DIMENSIONS]).distinct()
     combined_path = f"{gold_path}/attribute_combinations"
 

@@ -12,22 +12,23 @@ every Silver row, so it matches a full refresh with dedup="run".
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyrock.functions import risk_score
-from tallyrock.functions.money import CENTS, is_finite
+from tallyrock.functions.money import cents_of, is_finite
 from tallyrock.operators.dims import KEY_DIMENSIONS, dim, dim_date
 from tallyrock.operators.facts import fraud_fact, lifecycle_fact
-from tallyrock.operators.incremental import mark_column, new_since, read_mark
+from tallyrock.operators.incremental import mark_column, new_since
 from tallyrock.plans.gold import ATTRIBUTE_DIMENSIONS, export_all
 from tallyrock.plans.side_by_side import run_all
-from tallyrock.plans.silver import batches_since
+from tallyrock.plans.silver import read_silver_since, silver_mark
 from tallyrock.schema import BATCH_COLUMN, SILVER_TABLE_DDL
-from tallyrock.sinks.tables import overwrite_table, replace_batch, replace_batches
-from tallyrock.sources.tables import read_or_none, read_table, schema_of
+from tallyrock.sinks.tables import overwrite_table, read_written_mark, replace_batch, replace_batches, write_mark
+from tallyrock.sources.tables import read_folders, read_or_none, read_table, schema_of
 
 # Totals take turns between two slots: the one in use is never the one written.
 SLOTS = ("a", "b")
@@ -50,7 +51,7 @@ ROWS = {"row_total": Measure(lambda: F.count("*"), F.sum)}
 AMOUNTS = ROWS | {
     "amount": Measure(lambda: F.sum("txn_amount"), F.sum),
     "cents": Measure(
-        lambda: _sum_of_cents(F.when(is_finite("txn_amount"), F.col("txn_amount")).cast(CENTS)),
+        lambda: _sum_of_cents(cents_of("txn_amount")),
         _sum_of_cents,
     ),
     "all_finite": Measure(lambda: F.bool_and(is_finite("txn_amount")), F.bool_and),
@@ -88,32 +89,33 @@ BATCH_FACTS = {"gold_transaction_lifecycle": lifecycle_fact, "gold_fraud_detecti
 def advance_rollup(
     spark: SparkSession,
     rollup: Rollup,
-    silver: DataFrame,
+    silver: str,
     newest: int | None,
     path: str,
     fmt: str = "parquet",
 ) -> DataFrame:
-    """Brings the totals at path up to newest, Silver's mark, and returns them."""
-    whole = rollup.start(silver)
-    schema = f"{schema_of(whole)}, through BIGINT, {BATCH_COLUMN} STRING"
-    stored = read_or_none(spark, path, fmt, schema)
-    reached: dict[str, int] = {}
-    if stored is not None:
-        marks = stored.groupBy(BATCH_COLUMN).agg(F.max("through").alias("through"))
-        reached = {row[BATCH_COLUMN]: row["through"] for row in marks.collect()}
-    slot = max(reached, key=reached.get, default=None)
-    if newest is None:  # no row, or none with an ingestion time
-        return whole
-    if slot is None:
-        totals = whole
-    elif reached[slot] == newest:
-        return _totals(stored, slot)
+    """Brings the totals at path up to newest, Silver's mark, and returns them.
+
+    A slot counts only once the marker that is written after it names it: a slot that was left
+    half way, or renamed in part, is written again.
+    """
+    columns = schema_of(rollup.start(spark.createDataFrame([], SILVER_TABLE_DDL)))
+    schema = f"{columns}, through BIGINT, {BATCH_COLUMN} STRING"
+    marker = read_written_mark(spark, path, "slot STRING, through BIGINT")
+    if newest is None or marker is None:
+        slot, totals = None, rollup.start(read_silver_since(spark, silver, None, fmt))
+        if newest is None:  # no row, or none with an ingestion time
+            return totals
     else:
-        recent = silver.filter(batches_since(reached[slot]))
-        fresh = rollup.start(new_since(recent, mark_column(reached[slot])))
-        totals = rollup.merge(_totals(stored, slot).unionByName(fresh))
+        slot, reached = marker["slot"], marker["through"]
+        kept = _totals(read_folders(spark, path, BATCH_COLUMN, slot.__eq__, fmt, schema), slot)
+        if reached == newest:
+            return kept
+        recent = read_silver_since(spark, silver, reached, fmt)
+        totals = rollup.merge(kept.unionByName(rollup.start(new_since(recent, mark_column(reached)))))
     target = SLOTS[1] if slot == SLOTS[0] else SLOTS[0]
     replace_batch(totals.withColumn("through", F.lit(newest).cast("bigint")), path, target, fmt)
+    write_mark(spark, path, slot=target, through=newest)
     return _totals(read_table(spark, path, fmt, schema), target)
 
 
@@ -121,32 +123,29 @@ def _totals(stored: DataFrame, slot: str) -> DataFrame:
     return stored.filter(F.col(BATCH_COLUMN) == slot).drop(BATCH_COLUMN, "through")
 
 
-def _batches(table: DataFrame | None) -> set[str]:
-    """Batch ids, one per Silver run; from partition values and file footers."""
-    if table is None:
-        return set()
-    return {row[0] for row in table.select(BATCH_COLUMN).distinct().collect()}
-
-
 def add_fact_batches(
     spark: SparkSession,
     fact: Callable[..., DataFrame],
-    silver: DataFrame,
-    batches: set[str],
+    silver: str,
+    newest: int | None,
     path: str,
     fmt: str = "parquet",
 ) -> DataFrame:
-    """Adds those of Silver's batches that the fact table lacks; returns the whole table."""
-    whole = fact(silver)
-    schema = f"{schema_of(whole)}, {BATCH_COLUMN} STRING"
-    missing = sorted(batches - _batches(read_or_none(spark, path, fmt, schema)))
-    rows = silver.filter(F.col(BATCH_COLUMN).isin(missing))
-    if len(missing) == 1:
-        replace_batch(fact(rows), path, missing[0], fmt)
-    elif missing:
+    """Adds Silver's batches from the fact's own mark on; returns the whole table.
+
+    The mark is written last, so batches of a refresh that stopped are written again, in place.
+    """
+    planned = fact(spark.createDataFrame([], SILVER_TABLE_DDL))
+    schema = f"{schema_of(planned)}, {BATCH_COLUMN} STRING"
+    marker = read_written_mark(spark, path, "through BIGINT")
+    if newest is not None and (marker is None or marker["through"] != newest):
+        rows = read_silver_since(spark, silver, None if marker is None else marker["through"], fmt)
         replace_batches(fact(rows, BATCH_COLUMN), path, fmt)
+        write_mark(spark, path, through=newest)
     stored = read_or_none(spark, path, fmt, schema)
-    return whole if stored is None else stored.select(*whole.columns)
+    if stored is None:
+        return fact(read_silver_since(spark, silver, None, fmt))
+    return stored.select(*planned.columns)
 
 
 def _money(exact: bool) -> tuple[Column, Column]:
@@ -186,6 +185,7 @@ def refresh_gold_increment(
     *,
     fmt: str = "parquet",
     exact: bool = False,
+    fraud_options: Mapping | None = None,
     single_file: bool = False,
     at_once: int = 4,
 ) -> dict[str, DataFrame]:
@@ -196,20 +196,18 @@ def refresh_gold_increment(
     that refresh_gold overwrites. A refresh that stopped half way is completed
     by the next one.
     """
-    silver = read_table(spark, silver_path, fmt, SILVER_TABLE_DDL)
-    newest, batches = run_all(
-        spark, [lambda: read_mark(silver), lambda: _batches(silver)], at_once
-    )
+    newest = silver_mark(spark, silver_path, fmt)
+    row_facts = BATCH_FACTS | {"gold_fraud_detection": partial(fraud_fact, **dict(fraud_options or {}))}
     kept = [
         lambda name=name, rollup=rollup: advance_rollup(
-            spark, rollup, silver, newest, f"{gold_path}/totals/{name}", fmt
+            spark, rollup, silver_path, newest, f"{gold_path}/totals/{name}", fmt
         )
         for name, rollup in ROLLUPS.items()
     ] + [
         lambda name=name, fact=fact: add_fact_batches(
-            spark, fact, silver, batches, f"{gold_path}/{name}", fmt
+            spark, fact, silver_path, newest, f"{gold_path}/{name}", fmt
         )
-        for name, fact in BATCH_FACTS.items()
+        for name, fact in row_facts.items()
     ]
     kept_tables = dict(zip([*ROLLUPS, *BATCH_FACTS], run_all(spark, kept, at_once)))
     accounts, days = kept_tables["accounts"], kept_tables["days"]

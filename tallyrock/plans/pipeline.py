@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyrock.plans.gold import refresh_gold
 from tallyrock.plans.silver import run_silver
+from tallyrock.sinks.tables import Report
 
 
 def run_pipeline(
@@ -18,11 +21,14 @@ def run_pipeline(
     fmt: str = "parquet",
     silver_options: dict | None = None,
     gold_options: dict | None = None,
+    refresh: Callable[..., dict[str, DataFrame]] = refresh_gold,
+    after_silver: Callable[[Report], None] = lambda report: None,
 ) -> dict[str, DataFrame]:
     """One incremental Silver run and, only if it succeeds, one Gold refresh.
 
     A repeated call on the same Bronze adds nothing. When to call it is up to
-    the caller; two calls on one Silver table must not overlap.
+    the caller; two calls on one Silver table must not overlap. refresh may be
+    refresh_gold_increment; after_silver gets the report of the Silver run.
     """
-    run_silver(spark, bronze_path, silver_path, fmt, **(silver_options or {}))
-    return refresh_gold(spark, silver_path, gold_path, csv_path, fmt=fmt, **(gold_options or {}))
+    after_silver(run_silver(spark, bronze_path, silver_path, fmt, **(silver_options or {})))
+    return refresh(spark, silver_path, gold_path, csv_path, fmt=fmt, **(gold_options or {}))

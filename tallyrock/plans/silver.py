@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyrock.operators.dedup import latest_per_key
 from tallyrock.operators.enrich import enrich, normalize
-from tallyrock.operators.incremental import mark_column, new_since, read_mark
+from tallyrock.operators.incremental import mark_column, new_since, read_mark, recent_day
 from tallyrock.operators.quality import accepted, quality_rules
 from tallyrock.schema import (
     BATCH_COLUMN,
@@ -19,8 +19,8 @@ from tallyrock.schema import (
     SILVER_TABLE_DDL,
     names,
 )
-from tallyrock.sinks.tables import Report, replace_batch, report
-from tallyrock.sources.tables import read_or_none, read_table
+from tallyrock.sinks.tables import Report, read_written_mark, replace_batch, report, write_mark
+from tallyrock.sources.tables import folder_names, read_folders, read_or_none, read_table
 
 
 def silver_increment(
@@ -80,6 +80,33 @@ def batches_since(micros: int) -> Column:
     return ~batch.startswith(BATCH_PREFIX) | (start >= micros)
 
 
+def read_silver_since(spark: SparkSession, path: str, micros: int | None, fmt: str = "parquet") -> DataFrame:
+    """The Silver batches that can hold rows above a mark, or all without one; others are not listed."""
+    if micros is None:
+        return read_table(spark, path, fmt, SILVER_TABLE_DDL)
+
+    def wanted(name: str) -> bool:
+        start = name.removeprefix(BATCH_PREFIX)
+        return start == name or (start.lstrip("-").isdigit() and int(start) >= micros)
+
+    return read_folders(spark, path, BATCH_COLUMN, wanted, fmt, SILVER_TABLE_DDL).filter(batches_since(micros))
+
+
+def silver_mark(spark: SparkSession, path: str, fmt: str = "parquet") -> int | None:
+    """The greatest ingestion time in Silver: from the newest batch beyond the one a run has noted.
+
+    Every run notes the mark it reached. Only batches from there on are read, so the cost is that of
+    an increment; without a note, of a table that a stream wrote, all of Silver is.
+    """
+    noted = read_written_mark(spark, path, "mark BIGINT")
+    known = None if noted is None else noted["mark"]
+    if folder_names(spark, path) is None and fmt != "delta":
+        return None
+    silver = read_or_none(spark, path, fmt, SILVER_TABLE_DDL) if known is None else read_silver_since(spark, path, known, fmt)
+    found = None if silver is None else read_mark(silver)
+    return max((m for m in (known, found) if m is not None), default=None)
+
+
 def run_silver(
     spark: SparkSession,
     bronze_path: str,
@@ -92,14 +119,22 @@ def run_silver(
 
     The batch is named after the mark it starts from. A run that stopped half
     way leaves the mark as it was, so the next one writes the same batch again,
-    in its place. date_column is Bronze's partition column, None if it has none.
+    in its place. date_column is Bronze's partition column, None if it has none. Of Bronze, the
+    folders of recent days are listed, of Silver the newest batch.
     """
-    silver = read_or_none(spark, silver_path, fmt, SILVER_TABLE_DDL)
-    micros = None if silver is None else read_mark(silver)
-    bronze = read_table(spark, bronze_path, fmt, BRONZE_DDL)
+    micros = silver_mark(spark, silver_path, fmt)
+    if micros is None or date_column is None:
+        bronze = read_table(spark, bronze_path, fmt, BRONZE_DDL)
+    else:
+        bronze = read_folders(spark, bronze_path, date_column, recent_day(micros), fmt, BRONZE_DDL)
     increment = silver_increment(
         bronze, None if micros is None else mark_column(micros), date_column=date_column, **options
     )
     batch_id = _batch_name(micros)
     replace_batch(increment, silver_path, batch_id, fmt)
+    if fmt != "delta":
+        batch = read_or_none(spark, f"{silver_path}/{BATCH_COLUMN}={batch_id}", fmt, SILVER_DDL)
+        reached = None if batch is None else read_mark(batch)
+        if reached is not None:
+            write_mark(spark, silver_path, mark=reached)
     return report(spark, silver_path, fmt, SILVER_DDL, batch_id)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from tallyrock.schema import BATCH_COLUMN
 from tallyrock.sources.tables import read_or_none, read_table
@@ -40,6 +40,24 @@ def replace_batch(df: DataFrame, path: str, batch_id: str, fmt: str = "parquet")
     replace_batches(df.withColumn(BATCH_COLUMN, F.lit(batch_id)), path, fmt)
 
 
+def mark_path(path: str) -> str:
+    return f"{path.rstrip('/')}_mark"
+
+
+def write_mark(spark: SparkSession, path: str, **values) -> None:
+    """One row about the table at path, written when what it speaks of is complete."""
+    kinds = {int: "BIGINT", str: "STRING"}
+    schema = ", ".join(f"{name} {kinds[type(value)]}" for name, value in values.items())
+    row = spark.createDataFrame([tuple(values.values())], schema).coalesce(1)
+    row.write.mode("overwrite").parquet(mark_path(path))
+
+
+def read_written_mark(spark: SparkSession, path: str, schema: str) -> Row | None:
+    """That row, or None where there is none, or none that is whole."""
+    stored = read_or_none(spark, mark_path(path), "parquet", schema)
+    return None if stored is None else stored.first()
+
+
 @dataclass(frozen=True)
 class Report:
     """Rows written and a DataFrame of the first few, both from the written table."""

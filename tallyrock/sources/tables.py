@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +22,10 @@ def read_or_none(
     spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None
 ) -> DataFrame | None:
     """The table, or None when the path does not exist. Any other failure is raised."""
+    if fmt not in ("delta", "binaryFile") and not any(c in path for c in "*?[{"):
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+            return None
     try:
         return read_table(spark, path, fmt, schema)
     except AnalysisException as error:
@@ -28,6 +34,38 @@ def read_or_none(
         raise
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str] | None:
+    """Names of the folders right under a path, None if it does not exist: one listing, no files."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return None
+    return [entry.getPath().getName() for entry in files.listStatus(place) if entry.isDirectory()]
+
+
+def read_folders(
+    spark: SparkSession,
+    path: str,
+    column: str,
+    wanted: Callable[[str], bool],
+    fmt: str,
+    schema: str,
+) -> DataFrame:
+    """Those partitions of a table whose value of the partition column, as text, is wanted.
+
+    Only their folders are listed and opened. A table with a log of its own, delta or the
+    output of a stream, is loaded through its log, which knows its files without a listing.
+    """
+    names = None if fmt == "delta" else folder_names(spark, path)
+    start = f"{column}="
+    if names is None or "_spark_metadata" in names or not any(n.startswith(start) for n in names):
+        return read_table(spark, path, fmt, schema)
+    chosen = [f"{path}/{n}" for n in sorted(names) if n.startswith(start) and wanted(n[len(start) :])]
+    if not chosen:
+        return spark.createDataFrame([], schema)
+    return spark.read.format(fmt).schema(schema).option("basePath", path).load(chosen)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there, on whatever file system the path names."""
     return read_or_none(spark, path, "binaryFile") is not None

@@ -1,6 +1,7 @@
 """Silver runs, Gold refreshes and the pipeline over written tables."""
 
 import re
+import shutil
 
 import pytest
 from plans import plan_of
@@ -10,9 +11,16 @@ from tallyrock.operators.incremental import read_mark
 from tallyrock.plans.gold import GOLD_TABLES, gold_tables, refresh_gold
 from tallyrock.plans.gold_increment import refresh_gold_increment
 from tallyrock.plans.pipeline import run_pipeline
-from tallyrock.plans.silver import batches_since, run_silver, silver_current, silver_increment
+from tallyrock.plans.silver import (
+    batches_since,
+    read_silver_since,
+    run_silver,
+    silver_current,
+    silver_increment,
+    silver_mark,
+)
 from tallyrock.schema import BATCH_COLUMN, BRONZE_DDL, SILVER_TABLE_DDL
-from tallyrock.sinks.tables import replace_batch
+from tallyrock.sinks.tables import mark_path, replace_batch
 from tallyrock.sources.tables import read_table
 
 FIRST, SECOND, THIRD = (f"2025-04-0{day} 10:00:00" for day in (1, 2, 3))
@@ -221,3 +229,49 @@ def test_silver_shuffles_once_and_only_bronze_columns(spark, bronze, paths):
     assert "txn_hour" not in below_shuffle and "lower(" not in below_shuffle
     for pushed in ("IsNotNull(transaction_id)", "GreaterThan(txn_amount,0.0)", "IsNotNull(txn_date)"):
         assert pushed in plan_of(silver_increment(rows), "formatted")
+
+
+def test_a_run_reads_recent_folders_only(spark, bronze, paths):
+    for day in range(1, 13):
+        add_bronze(bronze({"event_id": f"{day}", "transaction_id": f"{day}"}, at=f"2025-03-{day:02d} 10:00:00"), paths["bronze"])
+        run_silver(spark, paths["bronze"], paths["silver"])
+    mark = silver_mark(spark, paths["silver"])
+    assert mark == read_mark(read_silver(spark, paths["silver"]))
+    recent = read_silver_since(spark, paths["silver"], mark - 2 * 86_400_000_000)
+    assert len(recent.inputFiles()) == 2 and ids(recent) == ["11", "12"]
+    assert sorted(ids(read_silver(spark, paths["silver"])), key=int) == [str(k) for k in range(1, 13)]
+
+
+def test_without_its_note_the_mark_comes_from_the_table(spark, bronze, paths):
+    add_bronze(bronze({"event_id": "a"}, at=FIRST), paths["bronze"])
+    run_silver(spark, paths["bronze"], paths["silver"])
+    noted = silver_mark(spark, paths["silver"])
+    shutil.rmtree(mark_path(paths["silver"]))
+    assert silver_mark(spark, paths["silver"]) == noted
+    assert silver_mark(spark, f"{paths['silver']}-none") is None
+
+
+def test_a_slot_without_its_marker_is_not_trusted(spark, bronze, paths):
+    for event, at in (("a", FIRST), ("b", SECOND)):
+        add_bronze(bronze({"event_id": event, "transaction_id": event}, at=at), paths["bronze"])
+        run_silver(spark, paths["bronze"], paths["silver"])
+        refresh_gold_increment(spark, paths["silver"], paths["gold"])
+    totals = f"{paths['gold']}/totals/accounts"
+    # A refresh that stopped half way: a slot with the newest mark, but not all of its rows.
+    part = spark.read.parquet(f"{totals}/{BATCH_COLUMN}=b")
+    replace_batch(part.withColumn("through", F.col("through") + 1).limit(0).union(part.limit(0)), totals, "a")
+    add_bronze(bronze({"event_id": "c", "transaction_id": "c"}, at=THIRD), paths["bronze"])
+    run_silver(spark, paths["bronze"], paths["silver"])
+    tables = refresh_gold_increment(spark, paths["silver"], paths["gold"])
+    assert tables["gold_credit_risk"].first().txn_count == 3
+
+
+def test_one_threshold_for_silver_and_the_fraud_rule(spark, bronze, paths):
+    add_bronze(bronze({"txn_amount": 700.0, "txn_date": "2031-05-06T03:00:00"}, at=FIRST), paths["bronze"])
+    tables = run_pipeline(
+        spark, paths["bronze"], paths["silver"], paths["gold"],
+        silver_options={"high_value_threshold": 500.0},
+        gold_options={"fraud_options": {"amount_threshold": 500.0, "night": (23, 23), "home": "US"}},
+    )
+    assert tables["gold_transaction_lifecycle"].first().high_value_flag == 1
+    assert tables["gold_fraud_detection"].first().fraud_flag == 1
