@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallyrock.operators.dedup import default_tie_breakers
 from tallyrock.operators.facts import lifecycle_fact
 from tallyrock.operators.payload import lines_to_messages, parse, to_messages
-from tallyrock.plans.gold import refresh_gold
+from tallyrock.plans.gold import GOLD_TABLES, refresh_gold
 from tallyrock.plans.gold_increment import refresh_gold_increment
 from tallyrock.plans.pipeline import run_pipeline
 from tallyrock.plans.silver import run_silver, silver_current, silver_increment
@@ -22,7 +22,7 @@ from tallyrock.schema import (
 )
 from tallyrock.session import scratch_path
 from tallyrock.sinks.csv import export_csv
-from tallyrock.sinks.publish import in_key_order, publish, stream_progress
+from tallyrock.sinks.publish import StreamMeter, in_key_order, publish
 from tallyrock.sinks.tables import append_table, overwrite_table, replace_batch
 from tallyrock.sources.messages import message_stream, read_lines
 from tallyrock.sources.star_schema import transactions
@@ -33,6 +33,7 @@ from tallyrock.streaming.silver import stream_silver
 PAYLOAD = names(PAYLOAD_FIELDS)
 SILVER = names(SILVER_FIELDS)
 ZONELESS = "timestamp_ntz"
+PROGRESS_BATCHES = 104
 # First day of each Bronze increment after the first. The first one is empty.
 INCREMENT_STARTS = ("1995-01-01", "1998-01-01", "2000-01-01")
 
@@ -121,28 +122,34 @@ def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 # --- streams ------------------------------------------------------------------
 
 
-def drained_bronze(spark: SparkSession, folder: str):
-    """Bronze filled by the stream until no message is left; returns path and query."""
+def drained_bronze(spark: SparkSession, folder: str) -> str:
+    """Bronze filled by the stream until no message is left; returns its path."""
     lines = lines_folder(spark, event_messages(spark, folder))
-    messages = message_stream(spark, "text", {"path": lines})
-    path = scratch_path(spark, "bronze")
-    query = ingest_bronze(messages, path, f"{path}-checkpoint", trigger=UNTIL_DRAINED)
-    query.awaitTermination()
-    return path, query
+    return drain(spark, lines, scratch_path(spark, "bronze"))
+
+
+def drain(spark: SparkSession, lines: str, path: str, **options) -> str:
+    messages = message_stream(spark, "text", {"path": lines, **options})
+    ingest_bronze(messages, path, f"{path}-checkpoint", trigger=UNTIL_DRAINED).awaitTermination()
+    return path
 
 
 def bronze_stream(spark: SparkSession, folder: str) -> DataFrame:
-    path, _ = drained_bronze(spark, folder)
+    path = drained_bronze(spark, folder)
     return read_bronze(spark, path).select(*PAYLOAD, "source")
 
 
 def bronze_stream_progress(spark: SparkSession, folder: str) -> DataFrame:
-    _, query = drained_bronze(spark, folder)
-    return spark.createDataFrame([(stream_progress(query).records,)], "records BIGINT")
+    """Records of a stream of more micro-batches than a query's own list of progress holds."""
+    lines = lines_folder(spark, event_messages(spark, folder).repartition(PROGRESS_BATCHES))
+    path = scratch_path(spark, "bronze")
+    meter = StreamMeter(spark, path, schema=BRONZE_DDL)
+    drain(spark, lines, path, maxFilesPerTrigger="1")
+    return spark.createDataFrame([(meter.progress().records,)], "records BIGINT")
 
 
 def silver_stream(spark: SparkSession, folder: str) -> DataFrame:
-    bronze, _ = drained_bronze(spark, folder)
+    bronze = drained_bronze(spark, folder)
     path = scratch_path(spark, "silver")
     query = stream_silver(
         spark,
@@ -222,6 +229,27 @@ def gold_refresh(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, sizes)
 
 
+def gold_content(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """A Gold table as a full refresh writes it, read back from its CSV extract."""
+    bronze = bronze_table(spark, folder)
+    silver, gold = scratch_path(spark, "silver"), scratch_path(spark, "gold")
+    silver_run(spark, bronze, silver)
+    written = refresh_gold(spark, silver, gold, f"{gold}-csv", exact=True)[table]
+    return zoneless(spark.read.schema(written.schema).option("header", True).csv(f"{gold}-csv/{table}"))
+
+
+def pipeline_gold(spark: SparkSession, folder: str) -> DataFrame:
+    """Gold after the pipeline ran twice on the same Bronze."""
+    bronze = bronze_table(spark, folder)
+    silver, gold = scratch_path(spark, "silver"), scratch_path(spark, "gold")
+    options = {"date_column": None, "tie_breakers": tie_breakers()}
+    for _ in range(2):
+        tables = run_pipeline(
+            spark, bronze, silver, gold, silver_options=options, gold_options={"exact": True}
+        )
+    return tables["gold_transaction_summary"]
+
+
 def gold_credit_risk(spark: SparkSession, folder: str, **options) -> DataFrame:
     gold = scratch_path(spark, "gold")
     tables = refresh_gold(
@@ -259,7 +287,9 @@ ALL_JOBS = {
     "silver_increments": silver_increments,
     "silver_current": silver_latest,
     "pipeline_twice": pipeline_twice,
+    "pipeline_gold": pipeline_gold,
     "gold_refresh": gold_refresh,
+    **{f"refreshed_{table}": partial(gold_content, table=table) for table in GOLD_TABLES},
     "gold_refresh_increments": gold_credit_risk,
     "gold_refresh_current": gold_refresh_current,
     "gold_totals_credit_risk": partial(gold_increments, table="gold_credit_risk"),
@@ -267,4 +297,10 @@ ALL_JOBS = {
     "gold_totals_lifecycle": partial(gold_increments, table="gold_transaction_lifecycle"),
     "gold_totals_customers": partial(gold_increments, table="dim_customer"),
     "gold_totals_merchants": partial(gold_increments, table="dim_merchant"),
+    "gold_totals_fraud": partial(gold_increments, table="gold_fraud_detection"),
+    "gold_totals_dates": partial(gold_increments, table="dim_date"),
+    "gold_totals_accounts": partial(gold_increments, table="dim_account"),
+    "gold_totals_types": partial(gold_increments, table="dim_transaction_type"),
+    "gold_totals_channels": partial(gold_increments, table="dim_channel"),
+    "gold_totals_countries": partial(gold_increments, table="dim_country"),
 }

@@ -46,6 +46,7 @@ SUSPICIOUS = (
     " THEN 1 ELSE 0 END"
 )
 EXACT_SUM = "CAST(sum(CAST(txn_amount AS DECIMAL(18,2))) AS DOUBLE)"
+WHOLE_SUM = "sum(floor(txn_amount))"
 EXACT_AVG = f"{EXACT_SUM} / count(txn_amount)"
 SCORE = "CAST(sum(high_value_flag) AS BIGINT) * 2 + count(*) * CAST(0.1 AS DOUBLE)"
 
@@ -120,16 +121,17 @@ DIMENSIONS = {
     "dim_country": "country_code",
     "dim_merchant": "merchant_category",
 }
+GOLD = {
+    "gold_transaction_lifecycle": LIFECYCLE,
+    "gold_fraud_detection": FRAUD,
+    "gold_credit_risk": CREDIT_RISK,
+    "gold_transaction_summary": DAILY,
+    "dim_date": DIM_DATE,
+    **{name: f"SELECT DISTINCT {key} FROM clean" for name, key in DIMENSIONS.items()},
+}
 TABLE_SIZES = " UNION ALL ".join(
     f"SELECT '{name}' AS table_name, count(*) AS row_count FROM ({select}) t"
-    for name, select in {
-        "gold_transaction_lifecycle": LIFECYCLE,
-        "gold_fraud_detection": FRAUD,
-        "gold_credit_risk": CREDIT_RISK,
-        "gold_transaction_summary": DAILY,
-        "dim_date": DIM_DATE,
-        **{name: f"SELECT DISTINCT {key} FROM clean" for name, key in DIMENSIONS.items()},
-    }.items()
+    for name, select in GOLD.items()
 )
 
 # Increments as the jobs cut them, by the date of ingestion.
@@ -156,6 +158,9 @@ ALL_ORACLES: dict[str, str] = {
     "filter_f6": filtered("txn_date IS NOT NULL"),
     "filter_all": filtered(ACCEPTED),
     "filter_strict": filtered(STRICT),
+    "filter_finite": on_raw(
+        f"SELECT event_id FROM raw WHERE {ACCEPTED} AND NOT (event_id LIKE '%7' OR event_id LIKE '%13')"
+    ),
     "incremental_filter": on_raw(
         "SELECT event_id, ingestion_time FROM raw WHERE ingestion_time > TIMESTAMP '2000-01-01 00:00:00'"
     ),
@@ -203,6 +208,8 @@ ALL_ORACLES: dict[str, str] = {
     "fraud_fact": on_silver(FRAUD),
     "credit_risk_fact": on_silver(CREDIT_RISK),
     "daily_summary": on_silver(DAILY),
+    "credit_risk_double": on_silver(CREDIT_RISK.replace(EXACT_SUM, WHOLE_SUM)),
+    "daily_summary_double": on_silver(DAILY.replace(EXACT_SUM, WHOLE_SUM)),
     "dim_date": on_silver(DIM_DATE),
     **{name: on_silver(f"SELECT DISTINCT {key} FROM clean") for name, key in DIMENSIONS.items()},
     "kpi_totals": on_silver(
@@ -254,7 +261,9 @@ ALL_ORACLES: dict[str, str] = {
     "silver_increments": on_silver(f"SELECT {SILVER} FROM clean", per=PER_INCREMENT),
     "silver_current": on_silver(f"SELECT {SILVER} FROM clean"),
     "pipeline_twice": on_silver(f"SELECT {SILVER} FROM clean"),
+    "pipeline_gold": on_silver(DAILY),
     "gold_refresh": on_silver(TABLE_SIZES),
+    **{f"refreshed_{name}": on_silver(select) for name, select in GOLD.items()},
     "gold_refresh_increments": on_silver(CREDIT_RISK, per=PER_INCREMENT),
     "gold_refresh_current": on_silver(CREDIT_RISK),
     "gold_totals_credit_risk": on_silver(CREDIT_RISK, per=PER_INCREMENT),
@@ -264,4 +273,10 @@ ALL_ORACLES: dict[str, str] = {
     "gold_totals_merchants": on_silver(
         "SELECT DISTINCT merchant_category FROM clean", per=PER_INCREMENT
     ),
+    "gold_totals_fraud": on_silver(FRAUD, per=PER_INCREMENT),
+    "gold_totals_dates": on_silver(DIM_DATE, per=PER_INCREMENT),
+    "gold_totals_accounts": on_silver(GOLD["dim_account"], per=PER_INCREMENT),
+    "gold_totals_types": on_silver(GOLD["dim_transaction_type"], per=PER_INCREMENT),
+    "gold_totals_channels": on_silver(GOLD["dim_channel"], per=PER_INCREMENT),
+    "gold_totals_countries": on_silver(GOLD["dim_country"], per=PER_INCREMENT),
 }
