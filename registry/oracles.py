@@ -129,6 +129,16 @@ GOLD = {
     "dim_date": DIM_DATE,
     **{name: f"SELECT DISTINCT {key} FROM clean" for name, key in DIMENSIONS.items()},
 }
+# CSV does not tell NULL from empty text, and a blank line is no row.
+CSV = (
+    GOLD
+    | {
+        "gold_fraud_detection": "SELECT * REPLACE (coalesce(country_code, '') AS country_code,"
+        f" coalesce(channel, '') AS channel) FROM ({FRAUD}) f",
+        "dim_date": f"SELECT * FROM ({DIM_DATE}) d WHERE date IS NOT NULL",
+    }
+    | {name: f"SELECT DISTINCT {key} FROM clean WHERE {key} <> ''" for name, key in DIMENSIONS.items()}
+)
 TABLE_SIZES = " UNION ALL ".join(
     f"SELECT '{name}' AS table_name, count(*) AS row_count FROM ({select}) t"
     for name, select in GOLD.items()
@@ -264,6 +274,7 @@ ALL_ORACLES: dict[str, str] = {
     "pipeline_gold": on_silver(DAILY),
     "gold_refresh": on_silver(TABLE_SIZES),
     **{f"refreshed_{name}": on_silver(select) for name, select in GOLD.items()},
+    **{f"csv_{name}": on_silver(select) for name, select in CSV.items()},
     "gold_refresh_increments": on_silver(CREDIT_RISK, per=PER_INCREMENT),
     "gold_refresh_current": on_silver(CREDIT_RISK),
     "gold_totals_credit_risk": on_silver(CREDIT_RISK, per=PER_INCREMENT),
