@@ -12,14 +12,20 @@ import os
 import sys
 import time
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from registry import jobs  # noqa: E402
 from registry.queries import ALL_QUERIES  # noqa: E402
+from tallyrock.operators import facts  # noqa: E402
+from tallyrock.operators.dims import dim_date  # noqa: E402
 from tallyrock.plans.gold import refresh_gold  # noqa: E402
 from tallyrock.plans.gold_increment import refresh_gold_increment  # noqa: E402
+from tallyrock.plans.silver import silver_mark  # noqa: E402
+from tallyrock.schema import BATCH_COLUMN, SILVER_TABLE_DDL  # noqa: E402
+from tallyrock.sinks.tables import replace_batches, write_mark  # noqa: E402
+from tallyrock.sources.tables import read_table  # noqa: E402
 from tallyrock.session import configure, scratch_path  # noqa: E402
 
 HEADLINE = (
@@ -39,6 +45,15 @@ HEADLINE = (
     "silver_stream",
 )
 
+ON_SILVER = {
+    "lifecycle_fact": facts.lifecycle_fact,
+    "fraud_fact": facts.fraud_fact,
+    "credit_risk_fact": facts.credit_risk_fact,
+    "daily_summary": facts.daily_summary,
+    "dim_date": dim_date,
+}
+HISTORY = 120
+
 
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -73,6 +88,21 @@ def main() -> None:
     bronze = timed("bronze_load", lambda: jobs.bronze_table(spark, folder))
     timed("silver_run", lambda: jobs.silver_run(spark, bronze, silver))
     timed("silver_run_nothing_new", lambda: jobs.silver_run(spark, bronze, silver))
+    for name, fact in ON_SILVER.items():
+        rows = read_table(spark, silver, schema=SILVER_TABLE_DDL)
+        timed(f"{name}_on_silver", lambda: fact(rows).write.format("noop").mode("overwrite").save())
+
+    # A history of many runs: what a run costs must not follow it.
+    old = scratch_path(spark, "silver")
+    rows = read_table(spark, silver, schema=SILVER_TABLE_DDL)
+    batch = F.concat(F.lit("from-"), F.pmod(F.xxhash64("transaction_id"), F.lit(HISTORY)).cast("string"))
+    replace_batches(rows.withColumn(BATCH_COLUMN, batch).repartition(BATCH_COLUMN), old)
+    write_mark(spark, old, mark=silver_mark(spark, silver))
+    kept = scratch_path(spark, "gold")
+    timed(f"silver_run_after_{HISTORY}_batches", lambda: jobs.silver_run(spark, bronze, old))
+    timed(f"gold_totals_first_of_{HISTORY}_batches", lambda: refresh_gold_increment(spark, old, kept))
+    timed(f"gold_totals_after_{HISTORY}_batches", lambda: refresh_gold_increment(spark, old, kept))
+
     timed("gold_refresh_with_csv", lambda: refresh_gold(spark, silver, gold, f"{gold}-csv"))
 
     kept = f"{gold}-kept"
