@@ -22,7 +22,7 @@ empty table gives no rows. Other columns are kept by `without_repeated_lines`.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tallyrock.llm.common import read, unused, written
 
@@ -61,15 +61,15 @@ def segment_key(length: Column, number: int, part: Column) -> Column:
     return F.xxhash64(F.lit(number), length, part)
 
 
-def segment_keys(threshold: int) -> Column:
+def segment_keys(threshold: int) -> list[Column]:
     line, length, keys = F.col("line"), F.col("size"), []
     for number in range(threshold + 1):
         start, size = segment(length, number, threshold)
         keys.append(segment_key(length, number, F.substr(line, start, size)))
-    return F.array(*keys)
+    return keys
 
 
-def probe_keys(threshold: int) -> Column:
+def probe_keys(threshold: int) -> list[Column]:
     """Keys of the segments that a line of the same or a smaller length can share with this one.
 
     Edits before a segment move it by at most its number, edits after it by at most the number of
@@ -83,7 +83,7 @@ def probe_keys(threshold: int) -> Column:
             behind = threshold - number
             for move in range(max(-number, shorter - behind), min(number, shorter + behind) + 1):
                 keys.append(segment_key(length, number, F.substr(line, start + move, size)))
-    return F.array(*keys)
+    return keys
 
 
 def word_bits() -> Column:
@@ -99,10 +99,8 @@ def words_allow(a: Column, b: Column, threshold: int) -> Column:
 def keyed_lines(lines: DataFrame, threshold: int) -> DataFrame:
     """(key, probe, h1, bits): a row for each segment of a line, and one for each substring it probes with."""
     sized = lines.select("line", F.char_length("line").alias("size"))
-    keys = F.concat(
-        F.transform(segment_keys(threshold), lambda k: F.struct(k.alias("key"), F.lit(False).alias("probe"))),
-        F.transform(probe_keys(threshold), lambda k: F.struct(k.alias("key"), F.lit(True).alias("probe"))),
-    )
+    both = [(k, False) for k in segment_keys(threshold)] + [(k, True) for k in probe_keys(threshold)]
+    keys = F.array(*(F.struct(k.alias("key"), F.lit(probe).alias("probe")) for k, probe in both))
     # What is computed from the text comes before the rows are multiplied.
     once = sized.select(F.xxhash64("line").alias("h1"), word_bits().alias("bits"), keys.alias("keys"))
     # No array is empty; a plain explode would compute them once more to check that.
@@ -121,9 +119,21 @@ def meeting(threshold: int) -> Column:
 
 
 def lines_that_meet(lines: DataFrame, threshold: int) -> DataFrame:
-    """(h1) of the lines that meet another one. Both sides of the join read one shuffle."""
-    rows = keyed_lines(lines, threshold).repartition("key")
-    return rows.alias("l").join(rows.alias("r"), meeting(threshold), "left_semi").select("h1").distinct()
+    """(h1) of the lines of which a segment is another line's substring, or the other way round.
+
+    One shuffle by key: a row meets another if the smallest or the largest hash on the other side of
+    its key is not its own.
+    """
+    rows = keyed_lines(lines, threshold).select("key", "probe", "h1")
+    same, segment, probe = Window.partitionBy("key"), F.when(~F.col("probe"), F.col("h1")), F.when(F.col("probe"), F.col("h1"))
+    ends = {
+        f"{end}_{side}": of(hashes).over(same)
+        for end, of in (("low", F.min), ("high", F.max))
+        for side, hashes in (("segment", segment), ("probe", probe))
+    }
+    other = [F.when(F.col("probe"), F.col(f"{end}_segment")).otherwise(F.col(f"{end}_probe")) for end in ("low", "high")]
+    found = rows.withColumns(ends).where((other[0] != F.col("h1")) | (other[1] != F.col("h1")))
+    return found.select("h1").distinct()
 
 
 def let(value: Column, then) -> Column:
