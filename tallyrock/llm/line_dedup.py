@@ -228,7 +228,9 @@ def near_pairs(lines: DataFrame, threshold: int) -> DataFrame:
     texts = written(texts_of(wanted, lines), "line-texts")
     rows = written(keyed_lines(texts, threshold).distinct(), "line-keys")
     segments, probes = (rows.where(F.col("probe") == side).join(texts, "h1") for side in (False, True))
-    close = F.abs(F.char_length("l.line") - F.char_length("r.line")) <= threshold
+    shorter, longer = F.char_length("l.line"), F.char_length("r.line")
+    # Lines of one length probe each other; one direction is enough.
+    close = (longer - shorter <= threshold) & ((shorter < longer) | ((shorter == longer) & (F.col("l.h1") < F.col("r.h1"))))
     near = edit_distance(F.col("l.line"), F.col("r.line"), threshold) <= threshold
     met = segments.alias("l").join(probes.alias("r"), meeting(threshold) & close & near)
     return met.select(
