@@ -10,9 +10,11 @@ lost. Each retrieved item is then verified: enough of its question's word
 sequences and of its answer's words must stand in the passage.
 
 Passages are `width` words and start every width/2 words, so every run of width/2
-words is whole in one. The items are read to the driver in parts of at most
-`part_items` rows, each with its own index, statistics and scan. Items are hashed to
-parts, and a part's texts are bounded by `part_bytes`: more fail the job. Items
+words is whole in one. Items are classed by length, and each class is an index of its
+own whose width is at least twice its longest item: an item that stands in a
+document lies whole in one passage, whatever its length and offset. The items are read
+to the driver in parts of at most `part_items` rows, each with its own statistics and
+scan. Items are hashed to parts, and a part's texts are bounded by `part_bytes`: more fail the job. Items
 and documents with NULL or empty text match nothing; NULL ids are kept as they
 are. Repeated rows are searched one by one. Case does not matter.
 """
@@ -20,7 +22,7 @@ are. Repeated rows are searched one by one. Case does not matter.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import groupby, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,7 @@ K1, B = 1.2, 0.75
 SHARE = 0.6
 WIDTH = 128
 BLOCK = 16
+CELLS = 1 << 22  # bounds of blocks that are held at a time
 PART_ITEMS = 50_000
 PART_BYTES = 64 * 1024 * 1024
 SEQUENCE = 5
@@ -55,6 +58,30 @@ def sequences(words: list[str]) -> set[tuple[str, ...]]:
     return {tuple(words[k : k + size]) for k in range(len(words) - size + 1)} if size else set()
 
 
+def width_for(words: int) -> int:
+    """The width of passages for items of so many words: twice the next power of two, at least WIDTH."""
+    return max(WIDTH, 2 << max(0, words - 1).bit_length())
+
+
+@dataclass
+class Totals:
+    """What the weights need to know of all items that are scored alike."""
+
+    items: int
+    mean: float  # words
+    df: dict[str, int]
+
+
+def totals_of(texts: list[str]) -> Totals:
+    df: dict[str, int] = {}
+    items = total = 0
+    for own in filter(None, map(words_of, texts)):
+        items, total = items + 1, total + len(own)
+        for w in set(own):
+            df[w] = df.get(w, 0) + 1
+    return Totals(items, total / max(1, items), df)
+
+
 @dataclass
 class Index:
     """Postings of the items' terms, scaled so that the threshold of every item is 1."""
@@ -67,9 +94,14 @@ class Index:
     by_block: np.ndarray  # term x block
     ids: list
     parts: list[tuple[list[str], list[str]]]
+    width: int = WIDTH  # of the passages that search it
+    part: int = 0
 
 
-def build(ids: list, texts: list[str], share: float = SHARE, block: int = BLOCK) -> Index | None:
+def build(
+    ids: list, texts: list[str], share: float = SHARE, block: int = BLOCK, totals: Totals | None = None
+) -> Index | None:
+    """The index of some items, whose statistics are `totals` or else their own."""
     words = [words_of(t) for t in texts]
     kept = [i for i, w in enumerate(words) if w]
     if not kept:
@@ -86,16 +118,27 @@ def build(ids: list, texts: list[str], share: float = SHARE, block: int = BLOCK)
     pairs = np.array(sorted(found))
     tf = np.array([found[tuple(p)] for p in pairs.tolist()], dtype=float)
     term, item = pairs[:, 0], pairs[:, 1]
-    df = np.bincount(term, minlength=len(terms))
-    idf = np.log(1 + (len(ids) - df + 0.5) / (df + 0.5))
-    weights = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes[item] / sizes.mean()))
+    totals = totals or totals_of(texts)
+    df = np.array([totals.df[w] for w in terms])
+    idf = np.log(1 + (totals.items - df + 0.5) / (df + 0.5))
+    weights = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes[item] / totals.mean))
     weights /= share * np.bincount(item, weights, minlength=len(ids))[item]
     blocks = (len(ids) + block - 1) // block
     by_block = np.zeros((len(terms), blocks))
     np.maximum.at(by_block, (term, item // block), weights)
     cells = term * blocks + item // block
     parts = [question_and_answer(t) for t in texts]
-    return Index(terms, item, cells, weights, by_block.max(axis=1), by_block, ids, parts)
+    width = width_for(int(sizes.max()))
+    return Index(terms, item, cells, weights, by_block.max(axis=1), by_block, ids, parts, width)
+
+
+def build_classes(ids: list, texts: list[str], totals: Totals | None = None) -> list[Index]:
+    """An index for each class of items whose passages are of one width, all with the same statistics."""
+    totals, classes = totals or totals_of(texts), {}
+    for item, text in zip(ids, texts):
+        if own := words_of(text):
+            classes.setdefault(width_for(len(own)), []).append((item, text))
+    return [build(*map(list, zip(*classes[width])), totals=totals) for width in sorted(classes)]
 
 
 def retrieve(index: Index, passage: np.ndarray, term: np.ndarray, passages: int, block: int = BLOCK):
@@ -107,6 +150,10 @@ def retrieve(index: Index, passage: np.ndarray, term: np.ndarray, passages: int,
     if not len(passage):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     firsts = np.flatnonzero(np.concatenate([[True], passage[1:] != passage[:-1]]))
+    if len(term) * index.by_block.shape[1] > CELLS and len(firsts) > 1:
+        cut = firsts[len(firsts) // 2]
+        halves = [retrieve(index, passage[s], term[s], passages, block) for s in (slice(cut), slice(cut, None))]
+        return tuple(np.concatenate(columns) for columns in zip(*halves))
     bounds = np.add.reduceat(index.by_block[term], firsts, axis=0)
     rows, blocks = np.nonzero(bounds >= floor)
     # What is left is scored side by side: the postings of each (passage, block) for each of its terms.
@@ -123,8 +170,9 @@ def retrieve(index: Index, passage: np.ndarray, term: np.ndarray, passages: int,
     return passage[firsts[rows[found // block]]], blocks[found // block] * block + found % block, scores[found]
 
 
-def search(index: Index, texts: list[str | None], share: float = SHARE, width: int = WIDTH) -> list[tuple]:
+def search(index: Index, texts: list[str | None], share: float = SHARE, width: int | None = None) -> list[tuple]:
     """(row, item, share of the item's own score, question overlap, answer overlap), verified, best passage each."""
+    width = width or index.width
     step = width // 2
     words = [words_of(t) for t in texts]
     lookup = index.terms.get
@@ -144,18 +192,25 @@ def search(index: Index, texts: list[str | None], share: float = SHARE, width: i
         twice = (earlier >= 0) & (earlier < last)
         place = np.concatenate([last, earlier[twice]]) + first
         keys.append(place * len(index.terms) + np.concatenate([terms[known], terms[known[twice]]]))
-    if not keys:
+    pairs = np.sort(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
+    if not len(pairs):
         return []
-    pairs = np.sort(np.concatenate(keys))
     pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])]
     p, items, scores = retrieve(index, pairs // len(index.terms), pairs % len(index.terms), len(spans))
     best: dict[tuple[int, int], tuple] = {}
+    current, seen_by = -1, {}
     for passage, item, score in zip(p.tolist(), items.tolist(), scores.tolist()):
-        row, (start, end) = row_of[passage], spans[passage]
-        own = words[row][start:end]
+        row = row_of[passage]
+        if passage != current:  # items of one passage follow each other
+            start, end = spans[passage]
+            current, own, seen_by = passage, words[row][start:end], {}
+            known = set(own)
         question, answer = index.parts[item]
-        asked, told, known = sequences(question), set(answer), set(own)
-        seen = {tuple(own[k : k + len(q)]) for q in [next(iter(asked), ())] for k in range(len(own))}
+        asked, told = sequences(question), set(answer)
+        size = len(next(iter(asked), ()))
+        if size not in seen_by:
+            seen_by[size] = {tuple(own[k : k + size]) for k in range(len(own))}
+        seen = seen_by[size]
         q = len(asked & seen) / len(asked) if asked else 1.0
         a = len(told & known) / len(told)
         if q >= MIN_QUESTION and a >= MIN_ANSWER:
@@ -165,7 +220,7 @@ def search(index: Index, texts: list[str | None], share: float = SHARE, width: i
 
 
 def indexes(items: DataFrame, part_items: int = PART_ITEMS, part_bytes: int = PART_BYTES) -> list[Index]:
-    """Indexes of all items, by parts of about `part_items` rows."""
+    """Indexes of all items, by parts of about `part_items` rows and in them by class of length."""
     size = F.octet_length("text")
     count, total = items.agg(F.count("*"), F.sum(size)).first()
     parts = 2 ** max(0, int(np.ceil(np.log2(max(count / part_items, 2 * (total or 0) / part_bytes, 1)))))
@@ -175,39 +230,44 @@ def indexes(items: DataFrame, part_items: int = PART_ITEMS, part_bytes: int = PA
         if (held := mine.agg(F.sum(size)).first()[0] or 0) > part_bytes:
             raise ValueError(f"a part of the benchmark has {held} bytes; the bound is {part_bytes}")
         rows = mine.select("item_id", "text").orderBy("item_id", "text").collect()
-        index = build([r["item_id"] for r in rows], [r["text"] for r in rows])
-        if index:
+        for index in build_classes([r["item_id"] for r in rows], [r["text"] for r in rows]):
+            index.part = part
             found.append(index)
     return found
 
 
+def by_part(found: list[Index]) -> list[list[Index]]:
+    """The indexes of each part, which are searched in one scan."""
+    return [list(own) for _, own in groupby(found, key=lambda index: index.part)]
+
+
 def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
     """A row per document and item that leaks into it: doc_id, item_id, score, question and answer overlap."""
     schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
 
-    def scan(index: Index) -> DataFrame:
+    def scan(part: list[Index]) -> DataFrame:
         def work(columns: list[list]) -> list[list]:
-            found = [(columns[0][r], index.ids[i], *v) for r, i, *v in search(index, columns[1])]
+            found = [(columns[0][r], x.ids[i], *v) for x in part for r, i, *v in search(x, columns[1])]
             return [list(c) for c in zip(*found)] or [[]] * 5
 
         return map_rows(documents.select("doc_id", "text"), work, schema, rows=512)
 
     result = documents.sparkSession.createDataFrame([], schema)
-    for index in indexes(items):
-        result = scan(index) if result is None else result.unionByName(scan(index))
+    for part in by_part(indexes(items)):
+        result = result.unionByName(scan(part))
     return result
 
 
 def without_leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
     """The documents, with all their columns, into which no item leaks."""
-    for index in indexes(items):
+    for own in by_part(indexes(items)):
 
-        def batches(parts, index=index):
+        def batches(parts, own=own):
             for part in parts:
                 for start in range(0, part.num_rows, 512):
                     piece = part.slice(start, 512)
                     texts = piece.column(piece.schema.get_field_index("text")).to_pylist()
-                    dirty = {row for row, *_ in search(index, texts)}
+                    dirty = {row for index in own for row, *_ in search(index, texts)}
                     yield piece.filter(pa.array([r not in dirty for r in range(len(texts))], pa.bool_()))
 
         documents = documents.mapInArrow(batches, documents.schema)

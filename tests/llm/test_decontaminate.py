@@ -70,3 +70,23 @@ def test_empty_tables(spark, docs, items):
     bench = spark.createDataFrame(items, "item_id long, text string")
     assert D.leaks(docs((1, "a")), none).count() == 0 and D.without_leaks(docs((1, "a")), none).count() == 1
     assert D.leaks(docs(), bench).count() == 0 and D.without_leaks(docs(), bench).count() == 0
+
+
+def test_a_long_item_is_found_at_every_offset(spark, docs, items, words):
+    long = " ".join(f"{w}x" for w in words[:280]) + ". " + " ".join(f"{w}y" for w in words[300:320])
+    bench = spark.createDataFrame([*items, (500, long)], "item_id long, text string")
+    assert [i.width for i in D.indexes(bench)] == [D.WIDTH, 1024]
+    around = [f"z{k}" for k in range(1200)]
+    rows = [(k, " ".join([*around[:k], *long.split(), *around[k:]])) for k in range(600)]
+    documents = docs(*rows, (1000, " ".join(around)))
+    found = {r["doc_id"] for r in D.leaks(documents, bench).where("item_id = 500").collect()}
+    assert found == set(range(600))
+    assert [r["doc_id"] for r in D.without_leaks(documents, bench).select("doc_id").collect()] == [1000]
+
+
+def test_chunks_of_passages_give_the_same(items, monkeypatch):
+    index = D.build([i for i, _ in items], [t for _, t in items])
+    texts = [t for _, t in items] * 3
+    whole = D.search(index, texts)
+    monkeypatch.setattr(D, "CELLS", 50)
+    assert D.search(index, texts) == whole and len(whole) >= 150
