@@ -22,7 +22,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that repeat; those with no line left go. n_chars is counted anew."""
-    kept = line_dedup.without_repeated_lines(docs, drop_emptied=True)
+    kept = line_dedup.without_repeated_lines(docs, drop_emptied=True, short_repeats=True)
     return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 

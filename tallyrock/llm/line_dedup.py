@@ -3,7 +3,10 @@
 The first occurrence of a line, by doc_id and line number, stays. Another
 occurrence goes; and a line goes everywhere if a different line that occurs
 earlier is at most `threshold` edits away. Lines of less than `min_chars`
-characters are never compared and stay.
+characters are never compared and stay, unless `short_repeats` is set: then a
+short line goes where it stands beside the same line as in an earlier place, so
+the short lines of a repeated passage or of a copied document go with it, while a
+short line that only happens to be said again stays. Blank lines have no part in that.
 
 The join cuts every line evenly into threshold + 1 segments. A line within
 `threshold` edits has one of them unchanged, at a place that its number and
@@ -261,6 +264,44 @@ def repeated_lines(documents: DataFrame, threshold: int = THRESHOLD, min_chars:
     return dropped.groupBy("doc_id", "version").agg(F.array_sort(F.collect_set("place")).alias("dropped"))
 
 
+def short_pairs(documents: DataFrame, min_chars: int) -> DataFrame:
+    """(doc_id, version, left, right, shorts, h1, h2): lines that are not blank and follow each other, one of them short.
+
+    `shorts` has the places of the short ones; a document's only line is a pair of its own.
+    """
+    numbered = F.transform(split_lines(F.col("text")), lambda line, place: F.struct(place.alias("place"), line.alias("line")))
+    said = documents.select(
+        "doc_id", F.xxhash64("text").alias("version"), F.filter(numbered, lambda x: x["line"].rlike(r"\S")).alias("said")
+    ).where(F.size("said") > 0)
+    rows = said.select("doc_id", "version", F.size("said").alias("n"), F.posexplode(F.transform("said", lambda x, k: F.struct(
+        x.alias("a"), F.get("said", k + 1).alias("b")
+    ))).alias("k", "pair"))
+    rows = rows.where((F.col("k") < F.col("n") - 1) | (F.col("n") == 1))
+    a, b = F.col("pair.a"), F.col("pair.b")
+    shorts = F.filter(F.array(a, b), lambda x: F.char_length(x["line"]) < min_chars)
+    both = F.struct(a["line"], b["line"])
+    pairs = rows.select(
+        "doc_id", "version", a["place"].alias("left"), F.transform(shorts, lambda x: x["place"]).alias("shorts"),
+        F.xxhash64(both).alias("h1"), F.xxhash64(F.lit(1), both).alias("h2"),
+    )
+    return pairs.where(F.size("shorts") > 0)
+
+
+def repeated_short_lines(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """(doc_id, version, dropped) of the short lines beside the same line as in an earlier place.
+
+    The first occurrence of a line stays: a pair that it is part of is not found earlier.
+    """
+    pairs = written(short_pairs(documents.select("doc_id", "text"), min_chars), "short-pairs")
+    where = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version", "left")
+    # Only pairs that are found twice go on; of copies of one row both are the same place.
+    firsts = pairs.groupBy("h1", "h2").agg(F.min(where).alias("first"), F.max(where).alias("last"))
+    again = firsts.where(F.col("first") != F.col("last")).select("h1", "h2", "first")
+    found = pairs.join(again, ["h1", "h2"]).where(where != F.col("first"))
+    places = found.select("doc_id", "version", F.explode("shorts").alias("place"))
+    return places.groupBy("doc_id", "version").agg(F.array_sort(F.collect_set("place")).alias("dropped"))
+
+
 def with_dropped(documents: DataFrame, dropped: DataFrame, name: str) -> DataFrame:
     """The documents with a column of the numbers of their lines to drop: empty for most."""
     doc, version, places, own = (unused(documents, n) for n in ("dropped_id", "dropped_version", "dropped", "own_version"))
@@ -274,18 +315,26 @@ def with_dropped(documents: DataFrame, dropped: DataFrame, name: str) -> DataFra
 
 
 def without_repeated_lines(
-    documents: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, drop_emptied: bool = False
+    documents: DataFrame,
+    threshold: int = THRESHOLD,
+    min_chars: int = MIN_CHARS,
+    drop_emptied: bool = False,
+    short_repeats: bool = False,
 ) -> DataFrame:
     """The documents, with all their columns, without their repeated lines; text is the only column that changes.
 
-    A document of which no line is left, a copy of others, goes if `drop_emptied` is set.
+    A document that loses lines and has none but blank ones left, a copy of others, goes if `drop_emptied` is set.
     """
     name = unused(documents, "lines_to_drop")
-    marked = with_dropped(documents, repeated_lines(documents, threshold, min_chars), name)
+    dropped = repeated_lines(documents, threshold, min_chars)
+    if short_repeats:
+        both = dropped.unionByName(repeated_short_lines(documents, min_chars))
+        dropped = both.groupBy("doc_id", "version").agg(F.array_sort(F.flatten(F.collect_list("dropped"))).alias("dropped"))
+    marked = with_dropped(documents, dropped, name)
     lines, found = split_lines(F.col("text")), F.col(name)
-    if drop_emptied:
-        marked = marked.where((F.size(found) == 0) | (F.size(found) < F.size(lines)))
     kept = F.filter(lines, lambda line, place: ~F.array_contains(found, place))
+    if drop_emptied:
+        marked = marked.where((F.size(found) == 0) | F.exists(kept, lambda line: line.rlike(r"\S")))
     text = F.when(F.size(found) == 0, F.col("text")).otherwise(F.array_join(kept, "\n"))
     return marked.withColumn("text", text).drop(name)
 

@@ -90,3 +90,33 @@ def test_no_python_runs_on_the_main_path(docs):
     for part in (L.near_pairs(L.long_lines(frame, 32), 2), L.without_repeated_lines(frame)):
         plan = part._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Pandas" not in plan and "InArrow" not in plan
+
+
+def test_short_lines_of_a_repeated_passage_go_and_others_stay(docs):
+    line = "a line that is long enough to count here"
+    passage = f"One.\n{line}\n\nTwo.\nThree."
+    rows = [
+        (1, passage),
+        (2, f"Own.\n{passage}\n\nEnd."),
+        (3, "Two.\nmine\nThree."),  # short lines that are said again, beside others
+        (4, passage),
+        (5, "Alone"),
+        (6, "\nAlone\n"),
+        (None, passage),
+        (7, "\n\n"),
+        (8, None),
+        (5, "Alone"),
+    ]
+    found = L.without_repeated_lines(docs(*rows), drop_emptied=True, short_repeats=True)
+    assert sorted(((r["doc_id"] or 0, r["text"]) for r in found.collect()), key=str) == sorted(
+        [(1, passage), (2, "Own.\n\n\nEnd."), (3, rows[2][1]), (5, "Alone"), (5, "Alone"), (7, "\n\n"), (8, None)], key=str
+    )
+
+
+def test_the_pipeline_drops_copies_with_short_lines(spark, docs):
+    from corpus_pipeline import fresh_lines
+
+    text = "Les.\na line that is long enough to count here\nOf, it.\n"
+    frame = docs((1, text), (2, text), (3, f"{text}New.")).withColumn("n_chars", F.length("text"))
+    found = {r["doc_id"]: r["text"] for r in fresh_lines(spark, frame, "").collect()}
+    assert found == {1: text, 3: "New."}
