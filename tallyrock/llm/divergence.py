@@ -8,9 +8,10 @@ Rules on plain counts come first.
 
 NULL text counts as empty: no words, all counts 0, base rules failed. A distance
 is NULL where the text is shorter than its guard, and then rejects nothing; so
-it is when no language has a reference. Rows with a NULL lang, or one of fewer
-than `min_share` of the documents, add to no reference and are judged like
-others. Repeated rows are judged one by one. Other columns are ignored.
+it is for documents of a language without a reference, which is one of too little
+text to learn from, whatever its share of the corpus. Rows with a NULL lang add to
+no reference and are judged by all languages. Repeated rows are judged one by
+one. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tallyrock.llm.common import Numbered, gather, map_rows, read, written
 
@@ -31,7 +32,9 @@ MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 
 COMMON_WORDS = 64
-MIN_SHARE = 0.001  # of the documents, for a language to get a reference: so there are at most 1000
+MIN_REFERENCE_WORDS = 5_000  # of a language in all its documents, for it to get a reference
+MIN_REFERENCE_CHARS = 10_000  # outside white space
+MAX_LANGUAGES = 8192  # with a reference; more than there are codes in ISO 639-3
 MIN_CHARS = 200  # bytes outside white space, for the distance of character classes
 MIN_COMMON_WORDS = 100  # words, for the distance of common words
 MAX_CHAR_DISTANCE = 0.14
@@ -152,16 +155,32 @@ def corpus_counts(documents: DataFrame, most_words: int = 100_000) -> DataFrame:
 
 
 def language_references(
-    documents: DataFrame, common_words: int = COMMON_WORDS, min_share: float = MIN_SHARE
+    documents: DataFrame,
+    common_words: int = COMMON_WORDS,
+    min_share: float = 0.0,
+    min_words: int = MIN_REFERENCE_WORDS,
+    min_chars: int = MIN_REFERENCE_CHARS,
+    max_languages: int = MAX_LANGUAGES,
 ) -> list[tuple[str, np.ndarray, dict[bytes, int], int]]:
     """Per language: name, characters by class, counts of its common words, count of all words.
 
-    At most 1 / min_share languages with `common_words` words each come to the driver.
+    At most `max_languages` languages with `common_words` words each come to the driver; more fail the job.
     """
     counts = written(corpus_counts(documents), "histograms")
-    docs = counts.where("kind = 'd'").select("lang", F.col("n").alias("docs"))
     total = counts.where("kind = 'd'").agg(F.sum("n")).first()[0] or 0
-    langs = {r["lang"] for r in docs.where(F.col("docs") >= min_share * total).collect()}
+
+    def of(rows) -> Column:
+        return F.sum(F.when(rows, F.col("n")).otherwise(0))
+
+    kind = F.col("kind")
+    spaces = F.col("key") == F.lit(b"%d" % SPACE)
+    sizes = counts.groupBy("lang").agg(
+        of(kind == "d").alias("docs"), of(kind == "w").alias("words"), of((kind == "c") & ~spaces).alias("chars")
+    )
+    enough = (F.col("docs") >= min_share * total) & (F.col("words") >= min_words) & (F.col("chars") >= min_chars)
+    langs = {r["lang"] for r in sizes.where(enough).select("lang").limit(max_languages + 1).collect()}
+    if len(langs) > max_languages:
+        raise ValueError(f"more than {max_languages} languages have text enough for a reference")
     if not langs:
         return []
     some = F.col("lang").isin(sorted(langs))
@@ -189,6 +208,7 @@ def quality_rules(
     if references is None:
         references = language_references(documents)
     names = [r[0] for r in references]
+    judging = {None, *names} if names else set()  # languages whose documents get distances
     classes = np.array([r[1] for r in references]).reshape(len(references), CLASSES)
     places = {word: k for k, word in enumerate(sorted({w for r in references for w in r[2]}))}
     # Each language has its own common words; all other words are its last bin.
@@ -202,7 +222,7 @@ def quality_rules(
         if not state:
             state["hash"] = Numbered(xxhash.xxh64_intdigest)
         found = []
-        for doc_id, text in zip(*columns):
+        for doc_id, text, lang in zip(*columns):
             text = text or ""
             raw = text.encode("utf-8")
             words, chars = raw.split(), char_histogram(raw)
@@ -210,10 +230,10 @@ def quality_rules(
             repeated = repeated_words(gather(state["hash"], words, np.uint64))
             failed = n < MIN_WORDS or 100 * repeated > MAX_REPEAT_PERCENT * n
             by_class = by_word = nearest = None
-            if len(references) and inside >= min_chars:
+            if lang in judging and inside >= min_chars:
                 all_classes = distances(chars, classes)
                 nearest, by_class = names[int(all_classes.argmin())], float(all_classes.min())
-            if len(references) and n >= min_common_words:
+            if lang in judging and n >= min_common_words:
                 hits = [places[w] for w in words if w in places]
                 known = np.bincount(hits, minlength=len(places)) if hits else np.zeros(len(places))
                 all_words = []
@@ -233,7 +253,7 @@ def quality_rules(
         return [list(c) for c in zip(*found)] or [[]] * 11
 
     return map_rows(
-        documents.select("doc_id", "text"),
+        documents.select("doc_id", "text", "lang"),
         judge,
         "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long,"
         " base_failed boolean, kept boolean, char_distance double, word_distance double, nearest_lang string",

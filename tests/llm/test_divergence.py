@@ -82,3 +82,25 @@ def test_distance_is_jensen_shannon():
 
 def test_an_empty_table(spark):
     assert D.quality_rules(frame(spark, [])).count() == 0
+
+
+def test_a_rare_language_is_judged_by_itself_or_not_at_all(spark, rows):
+    random.seed(10)
+
+    def foreign(n, common):
+        return " ".join(random.choice(common) if random.random() < 0.5 else random.choice("opqrst") * random.randint(2, 9) for _ in range(n))
+
+    many = [(1000 + k, prose("en", 5), "en") for k in range(36_000)]
+    rare = [(200 + k, foreign(200, "ja ei on se että hän mutta".split()), "fi") for k in range(30)]  # under 0.1% of all
+    few = [(300 + k, foreign(200, "az és nem hogy egy van meg".split()), "hu") for k in range(2)]
+    junk = [(400, " ".join(random.choice("ABCXYZ") * 5 + "#!!" for _ in range(150)), None)]
+    found = {r["doc_id"]: r for r in D.quality_rules(frame(spark, [*rows, *many, *rare, *few, *junk])).collect()}
+    assert all(found[k]["kept"] and found[k]["word_distance"] < D.MAX_WORD_DISTANCE for k, _, _ in rare)
+    assert all(found[k]["kept"] and found[k]["word_distance"] is found[k]["char_distance"] is None for k, _, _ in few)
+    assert found[200]["nearest_lang"] and found[300]["nearest_lang"] is None
+    assert not found[400]["kept"]
+
+
+def test_the_number_of_languages_is_bounded(spark, rows):
+    with pytest.raises(ValueError, match="more than 1 languages"):
+        D.language_references(frame(spark, rows), max_languages=1)
