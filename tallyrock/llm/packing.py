@@ -1,7 +1,11 @@
 """Packing documents into token sequences, each document next to lexically similar ones.
 
-Documents are tokenised once and hashed to shards of about `shard_docs`. Every
-shard has a BM25 inverted index of its documents over token ids, with document
+Documents are tokenised once and dealt by content to shards of about `shard_docs`
+or less: a tree over the whole corpus halves it again and again, each time at the
+median along the direction in which sketches of the documents (signed sums of the
+idf of their ids) differ most, so documents of like content share a shard at any
+size of the corpus. The tree is built from a sample; equal sketches are halved by
+a hash, so copies of one document do not fill a shard. Every shard has a BM25 inverted index of its documents over token ids, with document
 frequencies and lengths of the whole corpus. Packing starts with a seed, whose
 tokens fill one window after another; the room in its last window goes to the
 unused document that the index scores highest for the seed, and so on until
@@ -35,6 +39,8 @@ WINDOW = 1024
 END = 0
 SHARD_DOCS = 1024
 K1, B = 1.2, 0.75
+SKETCH = 128  # numbers
+SAMPLE, MOST_SAMPLE = 64, 1 << 17  # documents a shard, and in all, that the tree is built from
 DENSE = 24  # terms in more documents of a shard are scored as a matrix, the others by their postings
 
 PIECE_SCHEMA = (
@@ -72,7 +78,7 @@ def unsqueeze(raw: bytes, dtype) -> np.ndarray:
 def tokenised(documents: DataFrame, path: str) -> DataFrame:
     """A written table: a row per document with its ids, and one per task with its document frequencies.
 
-    Columns: doc_id, key (a hash that deals documents to shards), tokens, ids (compressed; of a task's
+    Columns: doc_id, key (a hash of the row), tokens, ids (compressed; of a task's
     row the frequency of each id), docs (of a task's row only).
     """
     names = ["doc_id", "key", "tokens", "ids", "docs"]
@@ -122,6 +128,90 @@ def corpus_statistics(tokens: DataFrame) -> tuple[int, int, np.ndarray]:
     return docs or 0, total or 0, frequencies
 
 
+class Sketcher:
+    """Documents as points: the idf of their ids summed by a hash of the id, with its sign, at length 1."""
+
+    def __init__(self, idf: np.ndarray):
+        mixed = np.arange(len(idf), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        self.place = (mixed >> np.uint64(40)).astype(np.int64) % SKETCH
+        self.signed = np.where(mixed >> np.uint64(39) & np.uint64(1), idf, -idf)
+
+    def __call__(self, ids: np.ndarray) -> np.ndarray:
+        ids = ids[:-1]  # without END
+        point = np.bincount(self.place[ids], self.signed[ids], SKETCH)
+        return (point / max(1e-9, np.sqrt((point * point).sum()))).astype(np.float32)
+
+
+def right_of(points: np.ndarray, keys: np.ndarray, directions: np.ndarray, medians: np.ndarray, level: int) -> np.ndarray:
+    """Whether points go to the right at their nodes of a level; equal ones by a bit of their keys."""
+    along = np.round((points * directions).sum(axis=1, dtype=np.float64), 6)
+    return (along > medians) | ((along == medians) & ((keys >> level) & 1 == 1))
+
+
+def split_tree(points: np.ndarray, keys: np.ndarray, depth: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Directions and medians of the 2 ** level nodes of each level."""
+    tree, node = [], np.zeros(len(points), np.int64)
+    for level in range(depth):
+        directions, medians = np.zeros((1 << level, SKETCH), np.float32), np.zeros(1 << level)
+        order = np.argsort(node, kind="stable")
+        ends = np.searchsorted(node[order], np.arange((1 << level) + 1))
+        for k in range(1 << level):
+            own = points[order[ends[k] : ends[k + 1]]].astype(np.float64)
+            if not len(own):
+                continue  # what comes here is halved by key
+            centred = own - own.mean(axis=0)
+            way = centred[np.argmax((centred * centred).sum(axis=1))]
+            for _ in range(8):
+                way = centred.T @ (centred @ way)
+                way = way / max(1e-30, np.sqrt(way @ way))
+            directions[k] = way
+            along = np.round((own.astype(np.float32) * directions[k]).sum(axis=1, dtype=np.float64), 6)
+            medians[k] = np.median(along)
+        tree.append((directions, medians))
+        node = 2 * node + right_of(points, keys, directions[node], medians[node], level)
+    return tree
+
+
+def leaves(points: np.ndarray, keys: np.ndarray, tree: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    node = np.zeros(len(points), np.int64)
+    for level, (directions, medians) in enumerate(tree):
+        node = 2 * node + right_of(points, keys, directions[node], medians[node], level)
+    return node
+
+
+def sharded(rows: DataFrame, docs: int, idf: np.ndarray, kind, shard_docs: int) -> DataFrame:
+    """(shard, doc_id, ids) of documents with columns doc_id, key and ids."""
+    depth = max(0, int(np.ceil(np.log2(max(1, docs) / shard_docs))))
+    if depth == 0:
+        return rows.select(F.lit(0).cast("long").alias("shard"), "doc_id", "ids")
+    sketch = Sketcher(idf)
+
+    def points_of(raws: list[bytes]) -> np.ndarray:
+        return np.array([sketch(unsqueeze(raw, kind)) for raw in raws], np.float32).reshape(-1, SKETCH)
+
+    def sample(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            points = [p.tobytes() for p in points_of(part.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(points, pa.binary())], ["key", "point"])
+
+    share = min(MOST_SAMPLE, SAMPLE << depth) / docs
+    some = rows.where(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < int(min(1, share) * (1 << 30)))
+    found = some.select("key", "ids").mapInArrow(sample, "key long, point binary").toArrow().sort_by(
+        [("point", "ascending"), ("key", "ascending")]
+    )
+    points = np.frombuffer(b"".join(found["point"].to_pylist()), np.float32).reshape(-1, SKETCH)
+    tree = split_tree(points, found["key"].to_numpy().astype(np.int64), depth)
+
+    def deal(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for start in range(0, part.num_rows, 1024):
+                piece = part.slice(start, 1024)
+                shards = leaves(points_of(piece.column(2).to_pylist()), piece.column(1).to_numpy(), tree)
+                yield pa.RecordBatch.from_arrays([pa.array(shards), piece.column(0), piece.column(2)], ["shard", "doc_id", "ids"])
+
+    return rows.select("doc_id", "key", "ids").mapInArrow(deal, "shard long, doc_id long, ids binary")
+
+
 def similarities(documents: list[np.ndarray], idf: np.ndarray, mean_tokens: float) -> np.ndarray:
     """BM25 of every document (column) for every document as a query (row), from the postings of their ids."""
     n = len(documents)
@@ -182,7 +272,6 @@ def pack(
     path = vocabulary or public_tokenizers.path(VOCABULARY)
     tokens = tokenised(documents, path)
     docs, total, df = corpus_statistics(tokens)
-    shards = max(1, -(-docs // shard_docs))
     idf = np.log(1 + (docs - df + 0.5) / (df + 0.5))
     kind = np.uint16 if len(df) <= 1 << 16 else np.uint32
     mean_tokens = max(1.0, total / max(1, docs))
@@ -205,7 +294,7 @@ def pack(
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names[: len(kinds)])
 
-    rows = tokens.where("docs IS NULL").select(F.pmod("key", F.lit(shards)).alias("shard"), "doc_id", "ids")
+    rows = sharded(tokens.where("docs IS NULL"), docs, idf, kind, shard_docs)
     return rows.groupBy("shard").applyInArrow(fill, PIECE_SCHEMA + (", ids array<int>" if keep_ids else ""))
 
 

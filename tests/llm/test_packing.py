@@ -73,3 +73,20 @@ def test_the_best_unused_neighbour_fills_the_window():
     # 0 begins a window, 2 is nearest and goes on in the next window, whose nearest unused is 3.
     assert [p[0] for p in pieces] == [0, 2, 2, 3, 1, 1]
     assert pieces[1] == (2, 0, 4, 0, 6) and pieces[2] == (2, 4, 3, 1, 0)
+
+
+def test_documents_of_like_content_share_a_shard(docs):
+    draw = np.random.default_rng(4)
+    topics = ["river mill water boat fish shore bridge stream".split(), "music song piano drum voice choir dance opera".split()]
+    rows = [(k, " ".join(draw.choice(topics[k % 2], 80))) for k in range(160)]
+    shards = defaultdict(set)
+    for r in packing.pack(docs(*rows), window=64, shard_docs=80).collect():
+        shards[r["sequence_id"] >> 32].add(r["doc_id"])
+    assert sorted(map(sorted, shards.values())) == [list(range(0, 160, 2)), list(range(1, 160, 2))]
+
+
+def test_copies_of_one_document_are_spread_over_shards(docs):
+    shards = defaultdict(set)
+    for r in packing.pack(docs(*((k, "river mill water") for k in range(200))), window=64, shard_docs=32).collect():
+        shards[r["sequence_id"] >> 32].add(r["doc_id"])
+    assert len(shards) == 8 and max(map(len, shards.values())) <= 64
