@@ -270,21 +270,24 @@ def short_pairs(documents: DataFrame, min_chars: int) -> DataFrame:
     `shorts` has the places of the short ones; a document's only line is a pair of its own.
     """
     numbered = F.transform(split_lines(F.col("text")), lambda line, place: F.struct(place.alias("place"), line.alias("line")))
-    said = documents.select(
-        "doc_id", F.xxhash64("text").alias("version"), F.filter(numbered, lambda x: x["line"].rlike(r"\S")).alias("said")
-    ).where(F.size("said") > 0)
-    rows = said.select("doc_id", "version", F.size("said").alias("n"), F.posexplode(F.transform("said", lambda x, k: F.struct(
-        x.alias("a"), F.get("said", k + 1).alias("b")
-    ))).alias("k", "pair"))
-    rows = rows.where((F.col("k") < F.col("n") - 1) | (F.col("n") == 1))
-    a, b = F.col("pair.a"), F.col("pair.b")
-    shorts = F.filter(F.array(a, b), lambda x: F.char_length(x["line"]) < min_chars)
-    both = F.struct(a["line"], b["line"])
-    pairs = rows.select(
-        "doc_id", "version", a["place"].alias("left"), F.transform(shorts, lambda x: x["place"]).alias("shorts"),
-        F.xxhash64(both).alias("h1"), F.xxhash64(F.lit(1), both).alias("h2"),
-    )
-    return pairs.where(F.size("shorts") > 0)
+
+    def pair(a: Column, b: Column) -> Column:
+        shorts = F.filter(F.array(a, b), lambda x: F.char_length(x["line"]) < min_chars)
+        both = (a["line"], b["line"])
+        return F.struct(
+            a["place"].alias("left"), F.transform(shorts, lambda x: x["place"]).alias("shorts"),
+            F.xxhash64(*both, b.isNull()).alias("h1"), F.xxhash64(F.lit(1), *both, b.isNull()).alias("h2"),
+        )
+
+    def pairs_of(said: Column) -> Column:
+        n = F.size(said)
+        pairs = F.transform(said, lambda x, k: pair(x, F.get(said, k + 1)))
+        return F.filter(pairs, lambda x, k: ((k < n - 1) | (n == 1)) & (F.size(x["shorts"]) > 0))
+
+    # The lines are bound once, and no row of a pair carries a text.
+    found = let(F.filter(numbered, lambda x: x["line"].rlike(r"\S")), pairs_of)
+    rows = documents.select("doc_id", F.xxhash64("text").alias("version"), F.explode(found).alias("pair"))
+    return rows.select("doc_id", "version", "pair.*")
 
 
 def repeated_short_lines(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
