@@ -6,7 +6,7 @@ import os
 
 import pyarrow.parquet as pq
 import pytest
-from conftest import payload
+from samples import payload
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 

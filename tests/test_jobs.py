@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from conftest import payload
+from samples import payload
 
 from tallyrock.jobs import bronze, gold, pipeline, publish, silver
 

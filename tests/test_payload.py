@@ -2,7 +2,7 @@ import json
 import math
 
 import pytest
-from conftest import payload
+from samples import payload
 from pyspark.sql import functions as F
 
 from tallyrock.operators.payload import (

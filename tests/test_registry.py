@@ -2,7 +2,7 @@
 
 import duckdb
 import pytest
-from conftest import SMALL
+from samples import SMALL
 from plans import plan_of
 
 import __spark_entry__ as contract

@@ -2,7 +2,7 @@ import json
 import time
 
 import pytest
-from conftest import payload
+from samples import payload
 from plans import plan_of
 
 from tallyrock.schema import BRONZE_DDL, SILVER_TABLE_DDL
