@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyrock.llm import chat, decontaminate, divergence, extract, line_dedup, ngram_join, packing, quality, toxicity, warc
+from tallyrock.llm import bpe, chat, decontaminate, divergence, extract, line_dedup, ngram_join, packing, quality, toxicity, warc
 
 LLM_QUERIES = {
     "op1_bradley_terry": quality.op1_bradley_terry,
@@ -15,6 +15,7 @@ LLM_QUERIES = {
     "op8_block_max_wand": decontaminate.op8_block_max_wand,
     "op9_grammar_round_trip": chat.op9_grammar_round_trip,
     "op10_count_vector_rtree": ngram_join.op10_count_vector_rtree,
+    "op11_pair_index_bpe": bpe.op11_pair_index_bpe,
 }
 
 LLM_ORACLES = {
