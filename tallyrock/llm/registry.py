@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyrock.llm import bpe, chat, decontaminate, divergence, extract, line_dedup, ngram_join, packing, quality, toxicity, warc
+from tallyrock.llm import alignment, bpe, chat, decontaminate, divergence, extract, line_dedup, ngram_join, packing, quality, toxicity, warc
 
 LLM_QUERIES = {
     "op1_bradley_terry": quality.op1_bradley_terry,
@@ -16,6 +16,7 @@ LLM_QUERIES = {
     "op9_grammar_round_trip": chat.op9_grammar_round_trip,
     "op10_count_vector_rtree": ngram_join.op10_count_vector_rtree,
     "op11_pair_index_bpe": bpe.op11_pair_index_bpe,
+    "op12_lockstep_alignment": alignment.op12_lockstep_alignment,
 }
 
 LLM_ORACLES = {
