@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyrock.llm import alignment, bpe, chat, decontaminate, divergence, extract, line_dedup, ngram_join, packing, quality, toxicity, warc
+from tallyrock.llm import alignment, bpe, chat, decontaminate, divergence, extract, line_dedup, ngram_join, packing, quality, toxicity, warc, whitening
 
 LLM_QUERIES = {
     "op1_bradley_terry": quality.op1_bradley_terry,
@@ -17,6 +17,7 @@ LLM_QUERIES = {
     "op10_count_vector_rtree": ngram_join.op10_count_vector_rtree,
     "op11_pair_index_bpe": bpe.op11_pair_index_bpe,
     "op12_lockstep_alignment": alignment.op12_lockstep_alignment,
+    "op13_jacobi_davidson": whitening.op13_jacobi_davidson,
 }
 
 LLM_ORACLES = {

@@ -49,7 +49,7 @@ def test_stages_take_odd_and_empty_rows(spark, small):
 
 def test_queries_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in LLM_QUERIES)
-    assert numbers == list(range(1, 11)) and set(LLM_ORACLES) <= set(LLM_QUERIES)
+    assert numbers == list(range(1, 14)) and set(LLM_ORACLES) <= set(LLM_QUERIES)
     import __spark_entry__ as entry
 
     assert {"pipeline", *LLM_QUERIES} <= set(entry.queries())
