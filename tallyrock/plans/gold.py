@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from tallyrock.operators.dims import KEY_DIMENSIONS, dim, dim_date
 from tallyrock.operators.facts import credit_risk_fact, daily_summary, fraud_fact, lifecycle_fact
+from tallyrock.plans.current import advance_current
 from tallyrock.plans.side_by_side import run_all
-from tallyrock.plans.silver import silver_current
-from tallyrock.schema import SILVER_TABLE_DDL
+from tallyrock.plans.silver import read_silver, silver_current
+from tallyrock.sinks.buckets import BUCKETS
 from tallyrock.sinks.csv import export_csv
 from tallyrock.sinks.tables import overwrite_table
 from tallyrock.sources.tables import read_table, schema_of
@@ -72,22 +73,30 @@ def refresh_gold(
     tie_breakers: Iterable[Column] | None = None,
     single_file: bool = False,
     at_once: int = 4,
+    buckets: int = BUCKETS,
 ) -> dict[str, DataFrame]:
     """Rewrites the eleven Gold tables, exports them as CSV, and returns the written tables.
 
     Silver is read six times, each time only the columns in question. The
     account and date dimensions are the group keys of facts already written,
     the four attribute dimensions come from one pass that writes their distinct
-    combinations, and the CSV comes from the written tables. dedup="table" first reduces
-    Silver to the latest row per transaction over all runs, once.
+    combinations, and the CSV comes from the written tables. dedup="table" reads the latest row per
+    transaction over all runs instead, from a table beside Gold that each refresh brings up
+    to date from the Silver batches it does not have yet.
+
+    The tables are overwritten one after the other, so a reader in between sees some of this refresh
+    and some of the one before.
     """
     if dedup not in ("run", "table"):
         raise ValueError(f"dedup must be run or table, not {dedup!r}")
-    silver = read_table(spark, silver_path, fmt, SILVER_TABLE_DDL)
-    if dedup == "table":
+    if dedup == "run":
+        silver = read_silver(spark, silver_path, fmt)
+    elif fmt == "delta":
         current_path = f"{gold_path}/current_silver"
-        overwrite_table(silver_current(silver, tie_breakers), current_path, fmt)
-        silver = read_table(spark, current_path, fmt, SILVER_TABLE_DDL)
+        overwrite_table(silver_current(read_silver(spark, silver_path, fmt), tie_breakers), current_path, fmt)
+        silver = read_table(spark, current_path, fmt)
+    else:
+        silver = advance_current(spark, silver_path, f"{gold_path}/current_silver", fmt, buckets, tie_breakers)
     planned = gold_tables(silver, exact, fraud_options)
     combined = silver.select(*[KEY_DIMENSIONS[name] for name in ATTRIBUTE_DIMENSIONS]).distinct()
     combined_path = f"{gold_path}/attribute_combinations"

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 
 from tallyrock.schema import BATCH_COLUMN
+from tallyrock.sources.files import move, remove
 from tallyrock.sources.tables import read_or_none, read_table
 
 
@@ -40,6 +43,24 @@ def replace_batch(df: DataFrame, path: str, batch_id: str, fmt: str = "parquet")
     replace_batches(df.withColumn(BATCH_COLUMN, F.lit(batch_id)), path, fmt)
 
 
+def swap_batch(df: DataFrame, path: str, batch_id: str, fmt: str, check: Callable[[], None]) -> None:
+    """replace_batch in two steps: the rows are written aside and moved into place once check has passed.
+
+    What a job writes that has lost its turn is so never seen. A batch without rows has no folder.
+    """
+    spark = df.sparkSession
+    aside, place = f"{path}/_aside-{uuid.uuid4().hex}", f"{path}/{BATCH_COLUMN}={batch_id}"
+    try:
+        counted = Observation()
+        df.observe(counted, F.count(F.lit(1)).alias("rows")).write.format(fmt).save(aside)
+        check()
+        remove(spark, place)
+        if counted.get["rows"]:
+            move(spark, aside, place)
+    finally:
+        remove(spark, aside)
+
+
 def mark_path(path: str) -> str:
     return f"{path.rstrip('/')}_mark"
 
@@ -60,10 +81,11 @@ def read_written_mark(spark: SparkSession, path: str, schema: str) -> Row | None
 
 @dataclass(frozen=True)
 class Report:
-    """Rows written and a DataFrame of the first few, both from the written table."""
+    """Rows written and a DataFrame of the first few, both from the written table, and the batch they are in."""
 
     rows: int
     preview: DataFrame
+    batch_id: str | None = None
 
 
 def report(

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyrock.sources.files import exists
+
 
 def read_table(
     spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None
@@ -22,9 +24,8 @@ def read_or_none(
     spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None
 ) -> DataFrame | None:
     """The table, or None when the path does not exist. Any other failure is raised."""
-    if fmt not in ("delta", "binaryFile") and not any(c in path for c in "*?[{"):
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+    if fmt != "delta" and not any(c in path for c in "*?[{"):
+        if not exists(spark, path):
             return None
     try:
         return read_table(spark, path, fmt, schema)
@@ -68,7 +69,7 @@ def read_folders(
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there, on whatever file system the path names."""
-    return read_or_none(spark, path, "binaryFile") is not None
+    return exists(spark, path)
 
 
 def schema_of(df: DataFrame) -> str:

@@ -7,9 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyrock.plans.silver import silver_increment
+from tallyrock.plans.silver import silver_increment, stream_notes
 from tallyrock.schema import BRONZE_DDL
 from tallyrock.sinks.tables import replace_batch
+from tallyrock.sources.files import Journal
 from tallyrock.streaming.bronze import EVERY_INTERVAL
 from tallyrock.streaming.checkpoints import require_checkpoint
 
@@ -38,6 +39,10 @@ def stream_silver(
 
     def write(batch: DataFrame, number: int) -> None:
         replace_batch(silver_increment(batch, **options), silver_path, f"stream-{number}", fmt)
+        journal = Journal(spark, stream_notes(silver_path))
+        last, note = journal.last()
+        if note is None or note["batch"] < number:
+            journal.add(last, {"batch": number})
 
     return (
         reader.load(bronze_path)

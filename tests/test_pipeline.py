@@ -251,21 +251,6 @@ def test_without_its_note_the_mark_comes_from_the_table(spark, bronze, paths):
     assert silver_mark(spark, f"{paths['silver']}-none") is None
 
 
-def test_a_slot_without_its_marker_is_not_trusted(spark, bronze, paths):
-    for event, at in (("a", FIRST), ("b", SECOND)):
-        add_bronze(bronze({"event_id": event, "transaction_id": event}, at=at), paths["bronze"])
-        run_silver(spark, paths["bronze"], paths["silver"])
-        refresh_gold_increment(spark, paths["silver"], paths["gold"])
-    totals = f"{paths['gold']}/totals/accounts"
-    # A refresh that stopped half way: a slot with the newest mark, but not all of its rows.
-    part = spark.read.parquet(f"{totals}/{BATCH_COLUMN}=b")
-    replace_batch(part.withColumn("through", F.col("through") + 1).limit(0).union(part.limit(0)), totals, "a")
-    add_bronze(bronze({"event_id": "c", "transaction_id": "c"}, at=THIRD), paths["bronze"])
-    run_silver(spark, paths["bronze"], paths["silver"])
-    tables = refresh_gold_increment(spark, paths["silver"], paths["gold"])
-    assert tables["gold_credit_risk"].first().txn_count == 3
-
-
 def test_one_threshold_for_silver_and_the_fraud_rule(spark, bronze, paths):
     add_bronze(bronze({"txn_amount": 700.0, "txn_date": "2031-05-06T03:00:00"}, at=FIRST), paths["bronze"])
     tables = run_pipeline(
