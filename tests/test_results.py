@@ -1,0 +1,185 @@
+"""Validation results, transactions met again, all measures from one pass."""
+
+import inspect
+
+import pytest
+from plans import plan_of
+from pyspark.sql import functions as F
+
+from tallyrock.operators import dashboard as board, facts, kpi
+from tallyrock.operators.key_index import batches_that_may_hold, key_bitmaps
+from tallyrock.plans.repeats import all_repeats, met_again, record_batch
+from tallyrock.plans.silver import compact_silver, read_silver, run_silver, silver_increment
+from tallyrock.schema import BATCH_COLUMN, BRONZE_FIELDS, names
+from tallyrock.sinks.tables import replace_batch
+from tallyrock.sinks.validated import read_validated, rejections_by_rule, validation_counts, write_validated
+
+FIRST, SECOND, THIRD = (f"2025-04-0{day} 10:00:00" for day in (1, 2, 3))
+
+
+@pytest.fixture
+def paths(tmp_path):
+    return {name: str(tmp_path / name) for name in ("bronze", "silver", "validated", "index", "repeats")}
+
+
+def add(rows, path):
+    rows.write.mode("append").partitionBy("ingestion_date").parquet(path)
+
+
+def same(left, right):
+    return sorted(map(repr, left.collect())) == sorted(map(repr, right.collect()))
+
+
+# --- validation results -------------------------------------------------------
+
+
+def test_accepted_and_rejected_are_what_was_read(spark, bronze, paths):
+    steps = [
+        (FIRST, [{"event_id": "a"}, {"event_id": "b", "txn_amount": -1.0, "account_id": None}]),
+        (SECOND, [{"event_id": "c", "transaction_id": None}]),  # a run without an accepted row
+        (THIRD, [{"event_id": "d", "transaction_id": "T2"}, {"event_id": "e", "transaction_id": "T2"}]),
+    ]
+    for at, events in steps:
+        add(bronze(*events, at=at), paths["bronze"])
+        run_silver(spark, paths["bronze"], paths["silver"], validated_path=paths["validated"])
+    found = read_validated(spark, paths["validated"])
+    verdicts = {r["event_id"]: (r["verdict"], sorted(r["reject_reasons"])) for r in found.collect()}
+    assert verdicts == {
+        "a": ("accepted", []), "b": ("rejected", ["account_id_present", "txn_amount_positive"]),
+        "c": ("rejected", ["transaction_id_present"]), "d": ("accepted", []), "e": ("accepted", []),
+    }
+    assert found.count() == 5
+    counts = sorted(tuple(r)[1:] for r in validation_counts(found).collect())
+    assert counts == [(1, 0, 1), (2, 1, 1), (2, 2, 0)]
+    assert {(r["rule"], r["rows_rejected"]) for r in rejections_by_rule(found).collect()} == {
+        ("account_id_present", 1), ("txn_amount_positive", 1), ("transaction_id_present", 1),
+    }
+    assert sorted(r.event_id for r in read_silver(spark, paths["silver"]).collect()) == ["a", "e"]
+    assert [tuple(r)[:1] for r in read_validated(spark, paths["validated"], "rejected").select("event_id").orderBy("event_id").collect()] == [("b",), ("c",)]
+
+
+def test_a_repeated_run_replaces_its_results(spark, bronze, paths):
+    rejected = bronze({"event_id": "a", "txn_amount": None})
+    for _ in range(2):
+        write_validated(rejected, paths["validated"], "from-start")
+    assert read_validated(spark, paths["validated"]).count() == 1
+    # The same batch with other rules: nothing is rejected any more, and nothing of that is left.
+    write_validated(rejected, paths["validated"], "from-start", {"any": F.lit(True)})
+    assert [r["verdict"] for r in read_validated(spark, paths["validated"]).collect()] == ["accepted"]
+    assert read_validated(spark, paths["validated"], "rejected").count() == 0
+    assert read_validated(spark, paths["silver"]).count() == 0
+
+
+def test_a_run_that_stopped_after_its_results_is_repeated_in_place(spark, bronze, paths):
+    add(bronze({"event_id": "a"}, {"event_id": "b", "customer_id": None}, at=FIRST), paths["bronze"])
+    rows = spark.read.parquet(paths["bronze"]).select(*names(BRONZE_FIELDS))
+    write_validated(rows, paths["validated"], "from-start")  # and then it stopped
+    run_silver(spark, paths["bronze"], paths["silver"], validated_path=paths["validated"])
+    assert read_validated(spark, paths["validated"]).count() == 2
+    assert read_silver(spark, paths["silver"]).count() == 1
+
+
+def test_both_verdicts_come_from_one_scan(spark, bronze, paths):
+    add(bronze({}, at=FIRST), paths["bronze"])
+    write_validated(spark.read.parquet(paths["bronze"]).select(*names(BRONZE_FIELDS)), paths["validated"], "x")
+    assert "Exchange" not in plan_of(read_validated(spark, paths["validated"], "accepted"))
+    assert "verdict" in plan_of(read_validated(spark, paths["validated"], "accepted", "x"))
+
+
+# --- transactions met again ---------------------------------------------------
+
+
+def write_batches(bronze, paths, *batches):
+    for number, keys in enumerate(batches):
+        rows = silver_increment(bronze(*[{"transaction_id": k, "event_id": f"{number}{k}"} for k in keys]))
+        replace_batch(rows, paths["silver"], f"stream-{number}")
+
+
+def test_only_batches_that_share_a_bit_are_opened(spark, bronze, paths):
+    write_batches(bronze, paths, ["a", "b"], ["c", "d"], ["e"], ["b", "e", "z"])
+    for number in range(3):
+        assert record_batch(spark, paths["silver"], paths["index"], paths["repeats"], f"stream-{number}").opened == []
+    found = record_batch(spark, paths["silver"], paths["index"], paths["repeats"], "stream-3")
+    assert found.opened == ["stream-0", "stream-2"]
+    opened = {f.split(f"{BATCH_COLUMN}=")[1].split("/")[0] for f in found.rows.inputFiles()}
+    assert opened == {"stream-0", "stream-2", "stream-3"}  # its own keys are read from the last
+    assert sorted(map(tuple, found.rows.collect())) == [("b", "stream-0"), ("e", "stream-2")]
+    # Doing it again changes nothing.
+    record_batch(spark, paths["silver"], paths["index"], paths["repeats"], "stream-3")
+    assert sorted(map(tuple, all_repeats(spark, paths["repeats"]).collect())) == [("b", "stream-0", "stream-3"), ("e", "stream-2", "stream-3")]
+
+
+def test_bits_shared_by_chance_give_no_result(spark, bronze, paths):
+    keys = [[f"{number}-{i}" for i in range(60)] for number in range(3)]
+    write_batches(bronze, paths, *keys, ["1-7", "new"])
+    for number in range(3):
+        record_batch(spark, paths["silver"], paths["index"], paths["repeats"], f"stream-{number}", bits=64)
+    found = met_again(spark, paths["silver"], paths["index"], "stream-3", bits=64)
+    assert "stream-1" in found.opened and len(found.opened) > 1
+    assert list(map(tuple, found.rows.collect())) == [("1-7", "stream-1")]
+
+
+def test_merged_batches_are_found_by_their_leaves(spark, bronze, paths):
+    write_batches(bronze, paths, ["a"], ["b"], ["c"], ["b"])
+    for number in range(3):
+        record_batch(spark, paths["silver"], paths["index"], paths["repeats"], f"stream-{number}")
+    assert compact_silver(spark, paths["silver"], fanout=3) == 1
+    found = met_again(spark, paths["silver"], paths["index"], "stream-3")
+    assert found.opened == ["stream-1"] and list(map(tuple, found.rows.collect())) == [("b", "stream-1")]
+
+
+def test_bitmaps_hold_every_key(spark):
+    rows = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("transaction_id"), (F.col("id") % 3).cast("string").alias(BATCH_COLUMN))
+    index = key_bitmaps(rows, by=(BATCH_COLUMN,))
+    for batch in range(3):
+        one = rows.filter(F.col(BATCH_COLUMN) == str(batch)).limit(1)
+        assert str(batch) in [r[0] for r in batches_that_may_hold(index, key_bitmaps(one)).collect()]
+    nothing = spark.createDataFrame([(None,)], "transaction_id STRING")
+    assert batches_that_may_hold(index, key_bitmaps(nothing)).count() == 0
+
+
+# --- measures -----------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def silver(bronze):
+    events = [
+        {"transaction_id": f"t{i}", "txn_amount": 900.25 * i, "account_id": f"A{i % 3}", "channel": ["web", None, " POS"][i % 3],
+         "txn_status": ["settled", "failed", "pending"][i % 3], "settlement_date": None if i % 4 == 0 else "2031-05-09T00:00:00",
+         "txn_date": f"2031-0{1 + i % 4}-11T0{i % 9}:00:00", "country_code": ["US", "x1", None][i % 3],
+         "merchant_category": ["food", None][i % 2]}
+        for i in range(1, 40)
+    ]
+    return silver_increment(bronze(*events, {"transaction_id": "n/a", "txn_date": "n/a"})).persist()
+
+
+PLAIN = {
+    "kpi_totals": kpi.totals, "kpi_status": kpi.by_status, "kpi_settlement": kpi.settlement_by_status,
+    "kpi_settlement_rate": kpi.settlement_rate, "kpi_high_value": kpi.high_value_volume, "kpi_risk_trend": kpi.risk_trend,
+    "kpi_daily": facts.daily_summary, "kpi_channel": kpi.by_channel, "kpi_merchant": kpi.by_merchant,
+    "kpi_fraud": lambda rows, exact: kpi.by_fraud_flag(facts.fraud_fact(rows), exact),
+}
+
+
+@pytest.mark.parametrize("measure", board.MEASURES)
+def test_a_slice_equals_the_measure(silver, measure):
+    plain = PLAIN[measure]
+    takes = len(inspect.signature(plain).parameters) > 1
+    for rows in (silver, silver.limit(0)):
+        expected = plain(rows, exact=True) if takes else plain(rows)
+        found = board.MEASURES[measure](board.dashboard(rows, exact=True))
+        assert found.columns == expected.columns and same(found, expected)
+
+
+def test_thresholds_reach_the_fraud_measure(silver):
+    options = {"amount_threshold": 1.0, "night": (23, 23), "home": "US"}
+    found = board.by_fraud_flag(board.dashboard(silver, exact=True, **options))
+    assert same(found, kpi.by_fraud_flag(facts.fraud_fact(silver, **options), exact=True))
+
+
+def test_all_measures_take_one_scan(spark, silver, folder):
+    silver.write.parquet(folder)
+    plan = plan_of(board.dashboard(spark.read.parquet(folder)), "formatted")
+    summary = plan_of(board.dashboard(spark.read.parquet(folder)))
+    assert summary.count("FileScan") == 1 and summary.count("Expand") == 1 and summary.count("Exchange") == 1
+    assert "event_id" not in plan and "currency" not in plan
