@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
+from typing import Protocol
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tallyrock.schema import BROKERS, TOPIC
@@ -66,6 +69,49 @@ def publish(
     return Progress(counted.get["records"], time.monotonic() - started)
 
 
+def dealt_by_key(messages: DataFrame, partitions: int, *order) -> DataFrame:
+    """Messages dealt by key to as many tasks as the bus has partitions, in order within each.
+
+    All messages of a key are in one task and leave it one after the other, so its order holds on the
+    bus. One account with very many messages is inherently sequential: its task sorts
+    on disk and sends alone. Messages without a key have no order to keep and are spread by their text.
+    """
+    dealt = messages.repartition(partitions, F.coalesce("key", "value"))
+    return dealt.sortWithinPartitions("key", *order)
+
+
+class Sender(Protocol):
+    """Where the messages of one partition go. send must keep their order."""
+
+    def send(self, key: str | None, value: str) -> None: ...
+
+    def close(self) -> None: ...
+
+
+def send_partitions(messages: DataFrame, open_sender: Callable[[int], Sender]) -> Progress:
+    """Sends every partition through a sender of its own, which the task opens with the partition's number.
+
+    A task that Spark repeats sends its partition again from the start, in order: consumers see each message at
+    least once. Keep speculation off.
+    """
+
+    def send(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sender, sent = open_sender(TaskContext.get().partitionId()), 0
+        try:
+            for part in parts:
+                for key, value in zip(*(column.to_pylist() for column in part.columns)):
+                    sender.send(key, value)
+                    sent += 1
+        finally:
+            sender.close()
+        yield pa.RecordBatch.from_arrays([pa.array([sent], pa.int64())], ["records"])
+
+    started = time.monotonic()
+    counts = messages.select("key", "value").mapInArrow(send, "records BIGINT")
+    records = counts.agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0]
+    return Progress(records, time.monotonic() - started)
+
+
 class StreamMeter:
     """Counts what a stream adds to its table, over any number of micro-batches.
 

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyrock.operators.payload import add_ingestion_metadata, parse
 from tallyrock.schema import MICRO_BATCH_INTERVAL, SOURCE_LABEL
 from tallyrock.streaming.checkpoints import require_checkpoint
+from tallyrock.streaming.metrics import observed
 
 EVERY_INTERVAL = {"processingTime": MICRO_BATCH_INTERVAL}
 UNTIL_DRAINED = {"availableNow": True}
@@ -35,12 +36,13 @@ def ingest_bronze(
 
     Map-only: no shuffle between the source and the files. Bronze is laid out
     by ingestion date, so an incremental reader opens recent days only. Keep
-    the checkpoint on durable storage next to the table.
+    the checkpoint on durable storage next to the table. What each micro-batch brings is observed as
+    it is written; BatchMetrics keeps these figures.
     """
     if fmt == "parquet":
         require_checkpoint(messages.sparkSession, f"{table}/_spark_metadata", checkpoint)
     writer = (
-        bronze_rows(messages, source, keep_raw)
+        observed(bronze_rows(messages, source, keep_raw))
         .writeStream.format(fmt)
         .outputMode("append")
         .option("path", table)

@@ -9,6 +9,7 @@ from tallyrock.schema import BRONZE_DDL, SILVER_TABLE_DDL
 from tallyrock.sinks.publish import StreamMeter
 from tallyrock.sources.messages import message_stream
 from tallyrock.sources.tables import read_table
+from tallyrock.streaming import metrics
 from tallyrock.streaming.bronze import UNTIL_DRAINED, bronze_rows as bronze_rows_of, ingest_bronze
 from tallyrock.streaming.checkpoints import LostCheckpoint
 from tallyrock.streaming.silver import stream_silver
@@ -128,3 +129,28 @@ def test_ingestion_needs_no_shuffle(spark, lines):
 def test_a_bus_connector_that_is_not_there_is_reported(spark):
     with pytest.raises(Exception, match="kafka"):
         message_stream(spark)
+
+
+def test_figures_of_every_micro_batch_are_kept_while_the_stream_runs(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(metrics, "FOLD", 4)
+    lines, table, figures = (str(tmp_path / name) for name in ("lines", "bronze", "figures"))
+    (tmp_path / "lines").mkdir()
+    for number in range(6):
+        events = [payload(transaction_id=None if i == 0 else f"T{number}{i}") for i in range(number + 1)]
+        (tmp_path / "lines" / f"{number}.txt").write_text("".join(json.dumps(e) + "\n" for e in events))
+    listener = metrics.BatchMetrics(spark, figures)
+    spark.streams.addListener(listener)
+    try:
+        messages = message_stream(spark, "text", {"path": lines, "maxFilesPerTrigger": "1"})
+        ingest_bronze(messages, table, f"{table}-checkpoint", trigger={"availableNow": True}).awaitTermination()
+        assert listener.wait()
+    finally:
+        spark.streams.removeListener(listener)
+    kept = metrics.read_metrics(spark, figures)
+    # Files of one instant come in any order.
+    assert sorted(tuple(r) for r in kept.select("records", "without_id").collect()) == [(n + 1, 1) for n in range(6)]
+    assert sorted(r.batch for r in kept.collect()) == list(range(6))
+    assert kept.agg({"records": "sum"}).first()[0] == spark.read.parquet(table).count() == 21
+    assert sorted(p.name.startswith("to-") for p in (tmp_path / "figures").iterdir() if p.suffix == ".json") == [False, False, True]
+    listener.fold(kept.first()["run"])
+    assert metrics.read_metrics(spark, figures).count() == 6
