@@ -4,15 +4,26 @@ from __future__ import annotations
 
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from tallyrock.operators.dashboard import MEASURES, dashboard
 from tallyrock.operators.dedup import default_tie_breakers
 from tallyrock.operators.facts import lifecycle_fact
 from tallyrock.operators.payload import lines_to_messages, parse, to_messages
+from tallyrock.plans.current import advance_current
 from tallyrock.plans.gold import GOLD_TABLES, refresh_gold
 from tallyrock.plans.gold_increment import refresh_gold_increment
+from tallyrock.plans.lease import lease
 from tallyrock.plans.pipeline import run_pipeline
-from tallyrock.plans.silver import run_silver, silver_current, silver_increment
+from tallyrock.plans.repeats import all_repeats, record_batch
+from tallyrock.plans.side_by_side import run_all
+from tallyrock.plans.silver import (
+    compact_silver,
+    read_silver as read_merged_silver,
+    run_silver,
+    silver_current,
+    silver_increment,
+)
 from tallyrock.schema import (
     BRONZE_DDL,
     PAYLOAD_FIELDS,
@@ -22,18 +33,23 @@ from tallyrock.schema import (
 )
 from tallyrock.session import scratch_path
 from tallyrock.sinks.csv import export_csv
-from tallyrock.sinks.publish import StreamMeter, in_key_order, publish
+from tallyrock.sinks.publish import StreamMeter, dealt_by_key, in_key_order, publish
 from tallyrock.sinks.tables import append_table, overwrite_table, replace_batch
+from tallyrock.sinks.validated import read_validated, validation_counts
 from tallyrock.sources.messages import message_stream, read_lines
 from tallyrock.sources.star_schema import transactions
 from tallyrock.sources.tables import read_table
 from tallyrock.streaming.bronze import UNTIL_DRAINED, ingest_bronze
+from tallyrock.streaming.metrics import BatchMetrics, read_metrics
 from tallyrock.streaming.silver import stream_silver
 
 PAYLOAD = names(PAYLOAD_FIELDS)
 SILVER = names(SILVER_FIELDS)
 ZONELESS = "timestamp_ntz"
 PROGRESS_BATCHES = 104
+BUS_PARTITIONS = 12
+# Small tables: few buckets, and a small space of key hashes.
+JOB_BUCKETS, JOB_BITS = 8, 1 << 18
 # First day of each Bronze increment after the first. The first one is empty.
 INCREMENT_STARTS = ("1995-01-01", "1998-01-01", "2000-01-01")
 
@@ -148,6 +164,40 @@ def bronze_stream_progress(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame([(meter.progress().records,)], "records BIGINT")
 
 
+def bronze_stream_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """Records of a stream of more than 100 micro-batches, added up from the figures each left as it ended."""
+    lines = lines_folder(spark, event_messages(spark, folder).repartition(PROGRESS_BATCHES))
+    path = scratch_path(spark, "bronze")
+    metrics = BatchMetrics(spark, f"{path}-metrics")
+    spark.streams.addListener(metrics)
+    try:
+        drain(spark, lines, path, maxFilesPerTrigger="1")
+        metrics.wait()
+    finally:
+        spark.streams.removeListener(metrics)
+    return read_metrics(spark, f"{path}-metrics").agg(
+        F.sum("records").alias("records"), F.sum("without_id").alias("without_id"), (F.count("*") > 100).alias("many_batches")
+    )
+
+
+def published_by_account(spark: SparkSession, folder: str) -> DataFrame:
+    """Per account, how many messages and part files it has, and how many messages stand before an older one."""
+    messages = dealt_by_key(event_messages(spark, folder), BUS_PARTITIONS, F.get_json_object("value", "$.ingest_ts"))
+    path = scratch_path(spark, "published")
+    publish(messages, "text", path)
+    lines = spark.read.text(path).select(
+        F.get_json_object("value", "$.account_id").alias("key"),
+        F.get_json_object("value", "$.ingest_ts").alias("sent_at"),
+        F.col("_metadata.file_path").alias("file"),
+        F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("place"),
+    )
+    before = F.lag("sent_at").over(Window.partitionBy("key").orderBy("file", "place"))
+    placed = lines.withColumn("late", F.when(F.col("sent_at") < before, 1).otherwise(0))
+    return placed.dropna(subset=["key"]).groupBy("key").agg(
+        F.count("*").alias("messages"), F.count_distinct("file").alias("files"), F.sum("late").alias("out_of_order")
+    )
+
+
 def silver_stream(spark: SparkSession, folder: str) -> DataFrame:
     bronze = drained_bronze(spark, folder)
     path = scratch_path(spark, "silver")
@@ -183,19 +233,26 @@ def run_report(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(rows, "run STRING, row_count BIGINT, previewed BIGINT")
 
 
-def incremental_silver(spark: SparkSession, folder: str, after_run=lambda silver: None) -> str:
-    """Silver after four runs, each on a longer Bronze; returns its path."""
+def bronze_increments(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """The events in four parts by ingestion date."""
     events = read_bronze(spark, bronze_table(spark, folder))
-    bronze, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
-    starts = [None, *INCREMENT_STARTS]
+    starts, parts = [None, *INCREMENT_STARTS], []
     for start, end in zip(starts, [*INCREMENT_STARTS, None]):
-        increment = events
+        part = events
         if start is not None:
-            increment = increment.filter(F.col("ingestion_date") >= start)
+            part = part.filter(F.col("ingestion_date") >= start)
         if end is not None:
-            increment = increment.filter(F.col("ingestion_date") < end)
+            part = part.filter(F.col("ingestion_date") < end)
+        parts.append(part)
+    return parts
+
+
+def incremental_silver(spark: SparkSession, folder: str, after_run=lambda silver: None, run=silver_run) -> str:
+    """Silver after four runs, each on a longer Bronze; returns its path."""
+    bronze, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    for increment in bronze_increments(spark, folder):
         append_table(increment, bronze)
-        silver_run(spark, bronze, silver)
+        run(spark, bronze, silver)
         after_run(silver)
     return silver
 
@@ -208,6 +265,112 @@ def silver_latest(spark: SparkSession, folder: str) -> DataFrame:
     return silver_current(silver_increments(spark, folder), tie_breakers())
 
 
+def silver_current_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """The latest rows as kept in key buckets, which each of four runs brings up to date."""
+    path = scratch_path(spark, "current")
+
+    def advance(silver: str) -> DataFrame:
+        return advance_current(spark, silver, path, buckets=JOB_BUCKETS, tie_breakers=tie_breakers())
+
+    return zoneless(advance(incremental_silver(spark, folder, after_run=advance)))
+
+
+def silver_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver whose batches are merged in pairs after each of four runs."""
+    silver = incremental_silver(spark, folder, after_run=lambda path: compact_silver(spark, path, fanout=2))
+    return zoneless(read_merged_silver(spark, silver).select(*SILVER))
+
+
+def silver_two_at_once(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver after two runs that were started at the same time; one of them waits for its turn."""
+    bronze, silver = bronze_table(spark, folder), scratch_path(spark, "silver")
+
+    def run():
+        with lease(spark, silver, wait=600) as turn:
+            run_silver(spark, bronze, silver, date_column=None, tie_breakers=tie_breakers(), turn=turn)
+
+    run_all(spark, [run, run], 2)
+    return read_silver(spark, silver)
+
+
+def numbered(batches: list[str | None]):
+    """The number of the run that wrote a batch, from its name."""
+    pairs = [F.lit(x) for number, name in enumerate(batches, 1) if name for x in (name, number)]
+    return F.create_map(*pairs)
+
+
+def repeated_transactions(spark: SparkSession, folder: str) -> DataFrame:
+    """Transactions that a later run meets again: the run, and each earlier run that had them."""
+    index, repeats, batches = scratch_path(spark, "key-index"), scratch_path(spark, "repeats"), []
+
+    def run(spark: SparkSession, bronze: str, silver: str) -> None:
+        report = silver_run(spark, bronze, silver)
+        batches.append(report.batch_id if report.rows else None)
+        if report.rows:
+            record_batch(spark, silver, index, repeats, report.batch_id, bits=JOB_BITS)
+
+    incremental_silver(spark, folder, run=run)
+    number = numbered(batches)
+    return all_repeats(spark, repeats).select(
+        "transaction_id", number[F.col("batch_id")].alias("run"), number[F.col("earlier_batch")].alias("earlier_run")
+    )
+
+
+def validated_runs(spark: SparkSession, folder: str) -> tuple[str, str, list[str]]:
+    """Paths of Silver and of the validation results after four runs, and the names of their batches."""
+    path, batches = scratch_path(spark, "validated"), []
+
+    def run(spark: SparkSession, bronze: str, silver: str) -> None:
+        report = run_silver(
+            spark, bronze, silver, date_column=None, validated_path=path, tie_breakers=tie_breakers()
+        )
+        batches.append(report.batch_id)
+
+    # A run that reads nothing leaves the mark alone, so the next one has a batch of the same name.
+    silver = incremental_silver(spark, folder, run=run)
+    last = {name: number for number, name in enumerate(batches)}
+    return silver, path, [name if last[name] == number else None for number, name in enumerate(batches)]
+
+
+def validated_silver(spark: SparkSession, folder: str) -> DataFrame:
+    return read_silver(spark, validated_runs(spark, folder)[0])
+
+
+def validation_results(spark: SparkSession, folder: str) -> DataFrame:
+    """Every event read with its verdict, the rules it breaks and the run that judged it."""
+    _, path, batches = validated_runs(spark, folder)
+    return read_validated(spark, path).select(
+        "event_id",
+        "verdict",
+        F.array_join("reject_reasons", ",").alias("reasons"),
+        numbered(batches)[F.col("batch_id")].alias("run"),
+    )
+
+
+def validation_summary(spark: SparkSession, folder: str) -> DataFrame:
+    _, path, batches = validated_runs(spark, folder)
+    counts = validation_counts(read_validated(spark, path))
+    return counts.select(numbered(batches)[F.col("batch_id")].alias("run"), "rows_read", "rows_accepted", "rows_rejected")
+
+
+def gold_late(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """A Gold table brought up to date after each of four batches, of which the third is older than the second."""
+    silver, gold = scratch_path(spark, "silver"), scratch_path(spark, "gold")
+    first, second, third, fourth = bronze_increments(spark, folder)
+    for number, part in enumerate((first, third, second, fourth)):
+        replace_batch(silver_increment(part, tie_breakers=tie_breakers()), silver, f"stream-{number}")
+        tables = refresh_gold_increment(spark, silver, gold, exact=True, buckets=JOB_BUCKETS)
+    return zoneless(tables[table])
+
+
+def dashboard_measure(spark: SparkSession, folder: str, measure: str) -> DataFrame:
+    """A measure from the one table that holds them all, written once."""
+    silver = silver_increment(transactions(spark, folder), time_kind=ZONELESS, tie_breakers=tie_breakers())
+    path = scratch_path(spark, "dashboard")
+    overwrite_table(dashboard(silver, exact=True), path)
+    return MEASURES[measure](read_table(spark, path))
+
+
 def pipeline_twice(spark: SparkSession, folder: str) -> DataFrame:
     bronze = bronze_table(spark, folder)
     silver, gold = scratch_path(spark, "silver"), scratch_path(spark, "gold")
@@ -280,13 +443,25 @@ def gold_increments(spark: SparkSession, folder: str, table: str) -> DataFrame:
     gold = scratch_path(spark, "gold")
 
     def refresh(silver: str):
-        return refresh_gold_increment(spark, silver, gold, exact=True)
+        return refresh_gold_increment(spark, silver, gold, exact=True, buckets=JOB_BUCKETS)
 
     silver = incremental_silver(spark, folder, after_run=refresh)
     return zoneless(refresh(silver)[table])
 
 
 ALL_JOBS = {
+    "silver_current_merged": silver_current_merged,
+    "silver_compacted": silver_compacted,
+    "silver_two_at_once": silver_two_at_once,
+    "repeated_transactions": repeated_transactions,
+    "silver_validated": validated_silver,
+    "validation_results": validation_results,
+    "validation_summary": validation_summary,
+    "gold_late_credit_risk": partial(gold_late, table="gold_credit_risk"),
+    "gold_late_lifecycle": partial(gold_late, table="gold_transaction_lifecycle"),
+    "bronze_stream_metrics": bronze_stream_metrics,
+    "published_by_account": published_by_account,
+    **{f"dashboard_{name}": partial(dashboard_measure, measure=name) for name in MEASURES},
     "table_scan": table_scan,
     "append_then_overwrite": append_then_overwrite,
     "ndjson_scan": ndjson_scan,

@@ -151,6 +151,9 @@ INCREMENT = (
 )
 PER_INCREMENT = f"transaction_id, {INCREMENT}"
 
+RUNS = f"SELECT transaction_id, {INCREMENT} AS run FROM clean"
+VERDICT = f"CASE WHEN coalesce({ACCEPTED}, false) THEN 'accepted' ELSE 'rejected' END"
+
 STAMPS = ("ingestion_date", "ingestion_time")
 SILVER_UNSTAMPED = ", ".join(name for name in names(SILVER_FIELDS) if name not in STAMPS)
 
@@ -270,6 +273,32 @@ ALL_ORACLES: dict[str, str] = {
     ),
     "silver_increments": on_silver(f"SELECT {SILVER} FROM clean", per=PER_INCREMENT),
     "silver_current": on_silver(f"SELECT {SILVER} FROM clean"),
+    "silver_current_merged": on_silver(f"SELECT {SILVER} FROM clean"),
+    "silver_compacted": on_silver(f"SELECT {SILVER} FROM clean", per=PER_INCREMENT),
+    "silver_two_at_once": on_silver(f"SELECT {SILVER} FROM clean"),
+    "silver_validated": on_silver(f"SELECT {SILVER} FROM clean", per=PER_INCREMENT),
+    "repeated_transactions": on_silver(
+        f"SELECT later.transaction_id, later.run, earlier.run AS earlier_run FROM ({RUNS}) later"
+        f" JOIN ({RUNS}) earlier ON later.transaction_id = earlier.transaction_id AND earlier.run < later.run",
+        per=PER_INCREMENT,
+    ),
+    "validation_results": on_raw(
+        f"SELECT event_id, {VERDICT} AS verdict, {REASONS} AS reasons, {INCREMENT} AS run FROM raw"
+    ),
+    "validation_summary": on_raw(
+        "SELECT run, count(*) AS rows_read, count(*) FILTER (verdict = 'accepted') AS rows_accepted,"
+        f" count(*) FILTER (verdict = 'rejected') AS rows_rejected FROM (SELECT {VERDICT} AS verdict,"
+        f" {INCREMENT} AS run FROM raw) judged GROUP BY run"
+    ),
+    "gold_late_credit_risk": on_silver(CREDIT_RISK, per=PER_INCREMENT),
+    "gold_late_lifecycle": on_silver(LIFECYCLE, per=PER_INCREMENT),
+    "bronze_stream_metrics": on_raw(
+        "SELECT count(*) AS records, count(*) FILTER (transaction_id IS NULL) AS without_id, true AS many_batches FROM raw"
+    ),
+    "published_by_account": on_raw(
+        "SELECT account_id AS key, count(*) AS messages, CAST(1 AS BIGINT) AS files,"
+        " CAST(0 AS BIGINT) AS out_of_order FROM raw WHERE account_id IS NOT NULL GROUP BY account_id"
+    ),
     "pipeline_twice": on_silver(f"SELECT {SILVER} FROM clean"),
     "pipeline_gold": on_silver(DAILY),
     "gold_refresh": on_silver(TABLE_SIZES),
@@ -291,3 +320,4 @@ ALL_ORACLES: dict[str, str] = {
     "gold_totals_channels": on_silver(GOLD["dim_channel"], per=PER_INCREMENT),
     "gold_totals_countries": on_silver(GOLD["dim_country"], per=PER_INCREMENT),
 }
+ALL_ORACLES |= {f"dashboard_{name}": sql for name, sql in ALL_ORACLES.items() if name.startswith("kpi_")}

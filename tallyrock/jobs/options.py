@@ -3,6 +3,7 @@ from __future__ import annotations
 import argparse
 
 from tallyrock.schema import HIGH_VALUE_THRESHOLD, HOME_COUNTRY, MICRO_BATCH_INTERVAL, NIGHT_HOURS
+from tallyrock.sinks.buckets import BUCKETS
 
 # Where the layers live unless an option says otherwise.
 RAW = "/data/raw"
@@ -46,6 +47,13 @@ def add_silver(options: argparse.ArgumentParser) -> None:
     options.add_argument("--normalize-first", action="store_true")
     options.add_argument("--strict-amount", action="store_true")
     options.add_argument("--strict-dates", action="store_true")
+    options.add_argument("--validated", help="table that keeps every row read with its verdict; none by default")
+
+
+def add_wait(options: argparse.ArgumentParser) -> None:
+    options.add_argument(
+        "--wait", type=float, default=0.0, help="seconds to wait for a job that works on the same tables; then fail"
+    )
 
 
 def add_gold(options: argparse.ArgumentParser) -> None:
@@ -58,7 +66,10 @@ def add_gold(options: argparse.ArgumentParser) -> None:
     options.add_argument("--exact", action="store_true", help="sums that do not depend on row order")
     options.add_argument("--dedup", choices=("run", "table"), default="run")
     options.add_argument(
-        "--incremental", action="store_true", help="add new Silver rows to running totals"
+        "--incremental", action="store_true", help="add new Silver batches to running totals"
+    )
+    options.add_argument(
+        "--buckets", type=int, default=BUCKETS, help="key buckets of new tables that --incremental or --dedup table keeps"
     )
 
 

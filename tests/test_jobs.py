@@ -5,7 +5,9 @@ import json
 import pytest
 from samples import payload
 
-from tallyrock.jobs import bronze, gold, pipeline, publish, silver
+from tallyrock.jobs import bronze, compact, gold, pipeline, publish, silver
+from tallyrock.plans.lease import LeaseHeld, lease
+from tallyrock.streaming.metrics import read_metrics
 
 
 @pytest.fixture
@@ -61,3 +63,31 @@ def test_silver_as_a_stream(spark, places):
 def test_incremental_gold_takes_no_table_scope(spark, places):
     with pytest.raises(SystemExit):
         gold.main(["--silver", places["silver"], "--incremental", "--dedup", "table"])
+
+
+def test_commands_with_results_figures_and_turns(spark, places, capsys):
+    sent = ["--lines", places["raw"], "--ordered-by", "ingest_ts"]
+    publish.main(["--format", "text", "--target", places["sent"], "--partitions", "3", *sent])
+    with pytest.raises(SystemExit):
+        publish.main(sent)
+    bronze.main(
+        ["--source", "text", "--option", f"path={places['sent']}", "--drain", "--metrics", places["sent"] + "-figures"]
+        + ["--bronze", places["bronze"], "--checkpoint", places["check"]]
+    )
+    assert read_metrics(spark, places["sent"] + "-figures").agg({"records": "sum"}).first()[0] == 4
+    layers = ["--bronze", places["bronze"], "--silver", places["silver"]]
+    with lease(spark, places["silver"]):
+        for command in (silver, pipeline):
+            with pytest.raises(LeaseHeld):
+                command.main(layers)
+        with pytest.raises(LeaseHeld):
+            compact.main(["--silver", places["silver"]])
+    silver.main([*layers, "--validated", places["check"] + "-validated"])
+    judged = spark.read.parquet(places["check"] + "-validated")
+    assert sorted((r.event_id, r.verdict) for r in judged.collect()) == [
+        ("a", "accepted"), ("b", "accepted"), ("c", "accepted"), ("d", "rejected"),
+    ]
+    compact.main(["--silver", places["silver"]])
+    assert "0 merges" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        silver.main([*layers, "--stream", "--validated", "x"])
