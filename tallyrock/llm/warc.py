@@ -41,6 +41,7 @@ DICTIONARY_BYTES = 32 * 1024
 SAMPLE_BYTES = 2 * 1024 * 1024  # of first records, from which a dictionary is made
 ARCHIVE_BYTES = 64 * 1024 * 1024  # after which a task starts a new archive
 READ_BYTES = 1024 * 1024
+READ_TASKS = 100_000  # of at least one archive each
 
 Record = tuple[dict[str, str], bytes]
 
@@ -299,7 +300,9 @@ def read_archives(listing: DataFrame, folder: str, payloads: bool = True) -> Dat
         kinds = (i, s, s, i, s, i, pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-    return listing.repartition(F.col("path")).mapInArrow(load, RECORD_SCHEMA)
+    # An explicit number: Spark would else size tasks by the bytes of the paths, and read all in one.
+    tasks = max(1, min(READ_TASKS, listing.count()))
+    return listing.repartition(tasks).mapInArrow(load, RECORD_SCHEMA)
 
 
 def op2_warc_zstd(spark: SparkSession, folder: str) -> DataFrame:

@@ -7,6 +7,7 @@ from collections import Counter
 
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
 from tallyrock.llm import warc
 from tallyrock.session import scratch_path
@@ -85,3 +86,14 @@ def test_records_are_validated():
     for message, raw in bad.items():
         with pytest.raises(ValueError, match=message):
             warc.payload_of(*warc.parse_record(raw + b"x" * (message == "as long as")))
+
+
+def test_archives_are_read_by_many_tasks(spark):
+    rows = spark.createDataFrame([(k, f"u{k}", f"text {k}" * 50) for k in range(600)], SCHEMA)
+    folder = scratch_path(spark, "warc-test")
+    listing = warc.write_archives(warc.with_record_types(rows).repartition(60), folder)
+    assert listing.count() == 60
+    found = warc.read_archives(listing, folder)
+    tasks = found.select(F.spark_partition_id().alias("task"), "page_id").collect()
+    # They are dealt in turn from where each writing task happens to start.
+    assert len(tasks) == 600 and 30 < len({r["task"] for r in tasks}) <= 60
