@@ -1,12 +1,10 @@
 """Removes lines that repeat, exactly or within a few edits, by a segment-partition edit join.
 
 The first occurrence of a line, by doc_id and line number, stays. Another
-occurrence goes; and a line goes everywhere if a different line that occurs
+occurrence goes, however short the line is; and a line goes everywhere if a different line that occurs
 earlier is at most `threshold` edits away. Lines of less than `min_chars`
-characters are never compared and stay, unless `short_repeats` is set: then a
-short line goes where it stands beside the same line as in an earlier place, so
-the short lines of a repeated passage or of a copied document go with it, while a
-short line that only happens to be said again stays. Blank lines have no part in that.
+characters are not compared with different ones: a few edits turn short lines into each other
+that have nothing in common. Blank lines are left alone.
 
 The join cuts every line evenly into threshold + 1 segments. A line within
 `threshold` edits has one of them unchanged, at a place that its number and
@@ -16,8 +14,9 @@ meet must have words that so few edits can explain, checked inside the join by 6
 bits of each line, and are then verified by a bit-parallel edit distance of the band of
 2 threshold + 1 diagonals. All of it is DataFrame functions.
 
-Lines go through shuffles as hashes: 128 bits decide equality. Texts are read again
-only of lines that meet others. NULL text is one empty line. NULL ids come last and are one
+Lines go through shuffles as hashes: 128 bits decide equality. Occurrences of a line become one row
+first, and map tasks combine theirs before the shuffle, so a line that very many documents
+share meets others once. Texts are read again only of lines that meet others. NULL text is one empty line. NULL ids come last and are one
 document each text; repeated rows with one id and text are one document, and
 rows with one id and different texts are ordered by a hash of the text. An
 empty table gives no rows. Other columns are kept by `without_repeated_lines`.
@@ -25,13 +24,17 @@ empty table gives no rows. Other columns are kept by `without_repeated_lines`.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tallyrock.llm.common import read, unused, written
 
 THRESHOLD = 2
 MIN_CHARS = 32
+NOT_BLANK = r"[^ \t\r\f\x0B]"
 PREFIX_BITS = 20
+KEY = re.compile(r"k\d+")
 TOP = 40  # bit of the lowest diagonal in the band's words
 
 
@@ -39,12 +42,12 @@ def split_lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
-def long_lines(documents: DataFrame, min_chars: int) -> DataFrame:
-    """(doc_id, version, place, line) of the lines that are compared."""
+def lines_of(documents: DataFrame) -> DataFrame:
+    """(doc_id, version, place, line) of the lines that are not blank."""
     lines = documents.select(
         "doc_id", F.xxhash64("text").alias("version"), F.posexplode(split_lines(F.col("text"))).alias("place", "line")
     )
-    return lines.where(F.char_length("line") >= min_chars)
+    return lines.where(F.col("line").rlike(NOT_BLANK))
 
 
 def line_hashes() -> list[Column]:
@@ -73,7 +76,7 @@ def segment_keys(threshold: int) -> list[Column]:
 
 
 def probe_keys(threshold: int) -> list[Column]:
-    """Keys of the segments that a line of the same or a smaller length can share with this one.
+    """Keys, other than those of its own segments, of the segments that a line of the same or a smaller length can share with this one.
 
     Edits before a segment move it by at most its number, edits after it by at most the number of
     segments behind it; the difference in length ties the two together.
@@ -85,10 +88,16 @@ def probe_keys(threshold: int) -> list[Column]:
             start, size = segment(length, number, threshold)
             behind = threshold - number
             for move in range(max(-number, shorter - behind), min(number, shorter + behind) + 1):
-                keys.append(segment_key(length, number, F.substr(line, start + move, size)))
+                if shorter or move:
+                    keys.append(segment_key(length, number, F.substr(line, start + move, size)))
     return keys
 
 
+def all_keys(threshold: int) -> list[Column]:
+    """Those of a line's segments, which also are probes, and then those that are probes only."""
+    return segment_keys(threshold) + probe_keys(threshold)
+
+
 def word_bits() -> Column:
     """64 bits, each the parity of the number of words that hash to it."""
     return F.expr("aggregate(split(line, ' '), 0L, (bits, word) -> bits ^ shiftleft(1L, cast(xxhash64(word) & 63 AS INT)))")
@@ -100,43 +109,48 @@ def words_allow(a: Column, b: Column, threshold: int) -> Column:
 
 
 def keyed_lines(lines: DataFrame, threshold: int) -> DataFrame:
-    """(key, probe, h1, bits): a row for each segment of a line, and one for each substring it probes with."""
+    """(key, part, h1, bits): a row for each segment of a line, and one for each substring it probes with besides.
+
+    `part` is the number of the key in all_keys: up to the threshold it is a segment.
+    """
     sized = lines.select("line", F.char_length("line").alias("size"))
-    both = [(k, False) for k in segment_keys(threshold)] + [(k, True) for k in probe_keys(threshold)]
-    keys = F.array(*(F.struct(k.alias("key"), F.lit(probe).alias("probe")) for k, probe in both))
     # What is computed from the text comes before the rows are multiplied.
-    once = sized.select(F.xxhash64("line").alias("h1"), word_bits().alias("bits"), keys.alias("keys"))
+    once = sized.select(F.xxhash64("line").alias("h1"), word_bits().alias("bits"), F.array(*all_keys(threshold)).alias("keys"))
     # No array is empty; a plain explode would compute them once more to check that.
-    rows = once.select("h1", "bits", F.explode_outer("keys").alias("k"))
-    return rows.select("k.key", "k.probe", "h1", "bits")
+    return once.select(F.posexplode_outer("keys").alias("part", "key"), "h1", "bits").select("key", "part", "h1", "bits")
 
 
 def meeting(threshold: int) -> Column:
-    """Whether rows l and r of `keyed_lines` are of different lines that meet and may be near."""
+    """Whether row l of a segment and row r of `keyed_lines` are of different lines that meet and may be near."""
     return (
         (F.col("l.key") == F.col("r.key"))
-        & (F.col("l.probe") != F.col("r.probe"))
         & (F.col("l.h1") != F.col("r.h1"))
         & words_allow(F.col("l.bits"), F.col("r.bits"), threshold)
     )
 
 
-def lines_that_meet(lines: DataFrame, threshold: int) -> DataFrame:
+def lines_that_meet(firsts: DataFrame, threshold: int) -> DataFrame:
     """(h1) of the lines of which a segment is another line's substring, or the other way round.
 
-    One shuffle by key: a row meets another if the smallest or the largest hash on the other side of
-    its key is not its own.
+    firsts has a row for each line, with its keys k0, k1 and so on. One shuffle by key: a row
+    meets another if the smallest or the largest hash that it may meet under its key is not its own.
+    A segment meets all rows, a mere probe meets segments. The lowest bit of a hash says which it is.
     """
-    rows = keyed_lines(lines, threshold).select("key", "probe", "h1")
-    same, segment, probe = Window.partitionBy("key"), F.when(~F.col("probe"), F.col("h1")), F.when(F.col("probe"), F.col("h1"))
+    names = [c for c in firsts.columns if KEY.fullmatch(c)]
+    keys = F.array(*(F.col(c) for c in names))
+    rows = firsts.where(F.col(names[0]).isNotNull()).select(F.posexplode_outer(keys).alias("part", "key"), "h1")
+    h1, is_segment = F.col("h1"), F.col("part") <= threshold
+    marked = rows.select("key", F.when(is_segment, h1.bitwiseOR(F.lit(1))).otherwise(h1.bitwiseAND(F.lit(~1))).alias("mark"))
+    same, own = Window.partitionBy("key"), F.col("mark").bitwiseAND(F.lit(~1))
+    segment_only = F.when(F.col("mark") != own, own)
     ends = {
         f"{end}_{side}": of(hashes).over(same)
         for end, of in (("low", F.min), ("high", F.max))
-        for side, hashes in (("segment", segment), ("probe", probe))
+        for side, hashes in (("all", own), ("segment", segment_only))
     }
-    other = [F.when(F.col("probe"), F.col(f"{end}_segment")).otherwise(F.col(f"{end}_probe")) for end in ("low", "high")]
-    found = rows.withColumns(ends).where((other[0] != F.col("h1")) | (other[1] != F.col("h1")))
-    return found.select("h1").distinct()
+    other = [F.when(F.col("mark") != own, F.col(f"{end}_all")).otherwise(F.col(f"{end}_segment")) for end in ("low", "high")]
+    found = marked.withColumns(ends).where((other[0] != own) | (other[1] != own))
+    return found.select(own.alias("near_h1")).distinct()
 
 
 def let(value: Column, then) -> Column:
@@ -211,26 +225,27 @@ def edit_distance(a: Column, b: Column, threshold: int) -> Column:
     return let(F.struct(one.alias("one"), other.alias("other"), F.char_length(a).alias("rows")), over)
 
 
-def texts_of(wanted: DataFrame, lines: DataFrame) -> DataFrame:
-    """(h1, h2, line) of the lines whose h1 is wanted."""
+def texts_of(wanted: DataFrame, documents: DataFrame) -> DataFrame:
+    """(h1, h2, line) of the lines whose h1, without its lowest bit, is wanted."""
     # At most 2 ** PREFIX_BITS rows, whatever the number of lines: drops most others before the shuffle.
     prefix = F.shiftrightunsigned("h1", 64 - PREFIX_BITS)
-    prefixes = F.broadcast(wanted.select(prefix.alias("prefix")).distinct())
-    hashed = lines.select(*line_hashes(), "line").withColumn("prefix", prefix)
+    prefixes = F.broadcast(wanted.select(F.shiftrightunsigned("near_h1", 64 - PREFIX_BITS).alias("prefix")).distinct())
+    hashed = lines_of(documents).select(*line_hashes(), "line").withColumn("prefix", prefix)
     some = hashed.join(prefixes, "prefix", "left_semi").select("h1", "h2", "line")
-    return some.join(wanted, "h1", "left_semi").dropDuplicates(["h1", "h2"])
+    met = some.withColumn("near_h1", F.col("h1").bitwiseAND(F.lit(~1))).join(wanted, "near_h1", "left_semi")
+    return met.select("h1", "h2", "line").dropDuplicates(["h1", "h2"])
 
 
-def near_pairs(lines: DataFrame, threshold: int) -> DataFrame:
+def near_pairs(firsts: DataFrame, documents: DataFrame, threshold: int, min_chars: int) -> DataFrame:
     """Pairs of different lines at most `threshold` edits apart: hashes (a1, a2) and (b1, b2).
 
     Lines that meet are found first, then their texts meet again and are compared inside the join:
     pairs that are not near are never listed.
     """
-    wanted = written(lines_that_meet(lines, threshold), "lines-that-meet")
-    texts = written(texts_of(wanted, lines), "line-texts")
-    rows = written(keyed_lines(texts, threshold).distinct(), "line-keys")
-    segments, probes = (rows.where(F.col("probe") == side).join(texts, "h1") for side in (False, True))
+    wanted = written(lines_that_meet(firsts, threshold), "lines-that-meet")
+    texts = written(texts_of(wanted, documents).where(F.char_length("line") >= min_chars), "line-texts")
+    rows = written(keyed_lines(texts, threshold), "line-keys")
+    segments, probes = (side.join(texts, "h1") for side in (rows.where(F.col("part") <= threshold), rows))
     shorter, longer = F.char_length("l.line"), F.char_length("r.line")
     # Lines of one length probe each other; one direction is enough.
     close = (longer - shorter <= threshold) & ((shorter < longer) | ((shorter == longer) & (F.col("l.h1") < F.col("r.h1"))))
@@ -246,12 +261,17 @@ def repeated_lines(documents: DataFrame, threshold: int = THRESHOLD, min_chars:
 
     `version` is a hash of the text, which tells rows with the same doc_id apart.
     """
-    lines = long_lines(documents.select("doc_id", "text"), min_chars)
+    documents = documents.select("doc_id", "text")
+    long = F.char_length("line") >= min_chars
+    lines = lines_of(documents).withColumn("size", F.char_length("line"))
+    keys = [F.when(long, key).alias(f"k{n}") for n, key in enumerate(all_keys(threshold))]
     where = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version", "place")
-    places = written(lines.select(*line_hashes(), "doc_id", "version", "place"), "line-places")
-    firsts = written(places.groupBy("h1", "h2").agg(F.min(where).alias("first")), "first-lines")
+    places = written(lines.select(*line_hashes(), "doc_id", "version", "place", *keys), "line-places")
+    names = [f"k{n}" for n in range(len(keys))]
+    firsts = places.groupBy("h1", "h2").agg(F.min(where).alias("first"), *(F.first(n).alias(n) for n in names))
+    firsts = written(firsts, "first-lines")
 
-    near = near_pairs(lines, threshold)
+    near = near_pairs(firsts, documents, threshold, min_chars)
     a = firsts.select(F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("first").alias("fa"))
     b = firsts.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("first").alias("fb"))
     ordered = near.join(a, ["a1", "a2"]).join(b, ["b1", "b2"])
@@ -259,52 +279,12 @@ def repeated_lines(documents: DataFrame, threshold: int = THRESHOLD, min_chars:
         F.struct(F.col("a1").alias("h1"), F.col("a2").alias("h2"))
     )
     gone = ordered.select(later.alias("line")).select("line.*").distinct().withColumn("gone", F.lit(True))
-    judged = places.join(firsts.join(gone, ["h1", "h2"], "left"), ["h1", "h2"])
+    known = firsts.select("h1", "h2", "first").join(gone, ["h1", "h2"], "left")
+    judged = places.select("h1", "h2", "doc_id", "version", "place").join(known, ["h1", "h2"])
     dropped = judged.where(F.col("gone") | (where != F.col("first")))
     return dropped.groupBy("doc_id", "version").agg(F.array_sort(F.collect_set("place")).alias("dropped"))
 
 
-def short_pairs(documents: DataFrame, min_chars: int) -> DataFrame:
-    """(doc_id, version, left, right, shorts, h1, h2): lines that are not blank and follow each other, one of them short.
-
-    `shorts` has the places of the short ones; a document's only line is a pair of its own.
-    """
-    numbered = F.transform(split_lines(F.col("text")), lambda line, place: F.struct(place.alias("place"), line.alias("line")))
-
-    def pair(a: Column, b: Column) -> Column:
-        shorts = F.filter(F.array(a, b), lambda x: F.char_length(x["line"]) < min_chars)
-        both = (a["line"], b["line"])
-        return F.struct(
-            a["place"].alias("left"), F.transform(shorts, lambda x: x["place"]).alias("shorts"),
-            F.xxhash64(*both, b.isNull()).alias("h1"), F.xxhash64(F.lit(1), *both, b.isNull()).alias("h2"),
-        )
-
-    def pairs_of(said: Column) -> Column:
-        n = F.size(said)
-        pairs = F.transform(said, lambda x, k: pair(x, F.get(said, k + 1)))
-        return F.filter(pairs, lambda x, k: ((k < n - 1) | (n == 1)) & (F.size(x["shorts"]) > 0))
-
-    # The lines are bound once, and no row of a pair carries a text.
-    found = let(F.filter(numbered, lambda x: x["line"].rlike(r"\S")), pairs_of)
-    rows = documents.select("doc_id", F.xxhash64("text").alias("version"), F.explode(found).alias("pair"))
-    return rows.select("doc_id", "version", "pair.*")
-
-
-def repeated_short_lines(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(doc_id, version, dropped) of the short lines beside the same line as in an earlier place.
-
-    The first occurrence of a line stays: a pair that it is part of is not found earlier.
-    """
-    pairs = written(short_pairs(documents.select("doc_id", "text"), min_chars), "short-pairs")
-    where = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version", "left")
-    # Only pairs that are found twice go on; of copies of one row both are the same place.
-    firsts = pairs.groupBy("h1", "h2").agg(F.min(where).alias("first"), F.max(where).alias("last"))
-    again = firsts.where(F.col("first") != F.col("last")).select("h1", "h2", "first")
-    found = pairs.join(again, ["h1", "h2"]).where(where != F.col("first"))
-    places = found.select("doc_id", "version", F.explode("shorts").alias("place"))
-    return places.groupBy("doc_id", "version").agg(F.array_sort(F.collect_set("place")).alias("dropped"))
-
-
 def with_dropped(documents: DataFrame, dropped: DataFrame, name: str) -> DataFrame:
     """The documents with a column of the numbers of their lines to drop: empty for most."""
     doc, version, places, own = (unused(documents, n) for n in ("dropped_id", "dropped_version", "dropped", "own_version"))
@@ -322,7 +302,6 @@ def without_repeated_lines(
     threshold: int = THRESHOLD,
     min_chars: int = MIN_CHARS,
     drop_emptied: bool = False,
-    short_repeats: bool = False,
 ) -> DataFrame:
     """The documents, with all their columns, without their repeated lines; text is the only column that changes.
 
@@ -330,14 +309,11 @@ def without_repeated_lines(
     """
     name = unused(documents, "lines_to_drop")
     dropped = repeated_lines(documents, threshold, min_chars)
-    if short_repeats:
-        both = dropped.unionByName(repeated_short_lines(documents, min_chars))
-        dropped = both.groupBy("doc_id", "version").agg(F.array_sort(F.flatten(F.collect_list("dropped"))).alias("dropped"))
     marked = with_dropped(documents, dropped, name)
     lines, found = split_lines(F.col("text")), F.col(name)
     kept = F.filter(lines, lambda line, place: ~F.array_contains(found, place))
     if drop_emptied:
-        marked = marked.where((F.size(found) == 0) | F.exists(kept, lambda line: line.rlike(r"\S")))
+        marked = marked.where((F.size(found) == 0) | F.exists(kept, lambda line: line.rlike(NOT_BLANK)))
     text = F.when(F.size(found) == 0, F.col("text")).otherwise(F.array_join(kept, "\n"))
     return marked.withColumn("text", text).drop(name)
 
@@ -354,18 +330,18 @@ def op4_segment_edit_join(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-OP4_SQL = """
+OP4_SQL = r"""
 WITH lines AS (
   SELECT doc_id, text, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
     generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS place
   FROM documents),
-long_lines AS (SELECT doc_id, line, place FROM lines WHERE length(line) >= 32),
-firsts AS (SELECT line, min((doc_id, place)) AS first FROM long_lines GROUP BY line),
+said AS (SELECT doc_id, line, place FROM lines WHERE regexp_matches(line, '[^ \t\r\f\v]')),
+firsts AS (SELECT line, min((doc_id, place)) AS first FROM said GROUP BY line),
 gone AS (
   SELECT DISTINCT b.line FROM firsts a JOIN firsts b ON length(a.line) BETWEEN length(b.line) - 2 AND length(b.line) + 2
-    AND a.first < b.first AND levenshtein(a.line, b.line) <= 2),
+    AND length(a.line) >= 32 AND length(b.line) >= 32 AND a.first < b.first AND levenshtein(a.line, b.line) <= 2),
 dropped AS (
-  SELECT doc_id, place FROM long_lines JOIN firsts USING (line)
+  SELECT doc_id, place FROM said JOIN firsts USING (line)
   WHERE line IN (SELECT line FROM gone) OR (doc_id, place) <> first),
 per_doc AS (
   SELECT doc_id, count(*) AS n, string_agg(CAST(place AS VARCHAR), ',' ORDER BY place) AS dropped FROM dropped GROUP BY doc_id)

@@ -21,17 +21,18 @@ def brute_force(rows, threshold, min_chars):
     firsts = {}
     for k, (_, text) in enumerate(order):
         for place, line in enumerate((text or "").split("\n")):
-            if len(line) >= min_chars:
+            if line.strip(" \t\r\f\v"):
                 firsts.setdefault(line, (k, place))
+    long = {line: at for line, at in firsts.items() if len(line) >= min_chars}
     gone = {
-        b for b, at in firsts.items()
-        if any(x < at and abs(len(a) - len(b)) <= threshold and distance(a, b) <= threshold for a, x in firsts.items())
+        b for b, at in long.items()
+        if any(x < at and abs(len(a) - len(b)) <= threshold and distance(a, b) <= threshold for a, x in long.items())
     }
     kept = {}
     for k, (doc_id, text) in enumerate(order):
         lines = enumerate((text or "").split("\n"))
         kept[doc_id, text] = [
-            line for place, line in lines if len(line) < min_chars or (line not in gone and firsts[line] == (k, place))
+            line for place, line in lines if line not in firsts or (line not in gone and firsts[line] == (k, place))
         ]
     return kept
 
@@ -87,32 +88,45 @@ def test_the_banded_distance_is_right_up_to_the_threshold(spark, threshold):
 
 def test_no_python_runs_on_the_main_path(docs):
     frame = docs((1, "x" * 50), (2, "y" * 50))
-    for part in (L.near_pairs(L.long_lines(frame, 32), 2), L.without_repeated_lines(frame)):
+    for part in (L.lines_of(frame), L.repeated_lines(frame), L.without_repeated_lines(frame)):
         plan = part._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Pandas" not in plan and "InArrow" not in plan
 
 
-def test_short_lines_of_a_repeated_passage_go_and_others_stay(docs):
+def test_repeats_of_any_length_go_and_blank_lines_stay(docs):
     line = "a line that is long enough to count here"
     passage = f"One.\n{line}\n\nTwo.\nThree."
     rows = [
         (1, passage),
         (2, f"Own.\n{passage}\n\nEnd."),
-        (3, "Two.\nmine\nThree."),  # short lines that are said again, beside others
+        (3, "Two.\nmine\nThree."),
         (4, passage),
         (5, "Alone"),
         (6, "\nAlone\n"),
         (None, passage),
-        (7, "\n\n"),
+        (7, "\n \t\n"),
         (8, None),
         (5, "Alone"),
+        (9, "Twp."),  # near a short line, which is not compared
     ]
-    found = L.without_repeated_lines(docs(*rows), drop_emptied=True, short_repeats=True)
+    found = L.without_repeated_lines(docs(*rows), drop_emptied=True)
     assert sorted(((r["doc_id"] or 0, r["text"]) for r in found.collect()), key=str) == sorted(
-        [(1, passage), (2, "Own.\n\n\nEnd."), (3, rows[2][1]), (5, "Alone"), (5, "Alone"), (7, "\n\n"), (8, None)], key=str
+        [(1, passage), (2, "Own.\n\n\nEnd."), (3, "mine"), (5, "Alone"), (5, "Alone"), (7, "\n \t\n"), (8, None), (9, "Twp.")], key=str
     )
 
 
+def test_a_line_that_very_many_documents_share_meets_others_once(docs):
+    line = "a line that is long enough to count here"
+    frame = docs(*((k, f"{line}\nown line of document number {k} and no other") for k in range(300)))
+    keyed = L.lines_of(frame).withColumn("size", F.char_length("line"))
+    places = keyed.select(*L.line_hashes(), *(k.alias(f"k{n}") for n, k in enumerate(L.all_keys(2))))
+    firsts = places.groupBy("h1", "h2").agg(*(F.first(f"k{n}").alias(f"k{n}") for n in range(len(L.all_keys(2)))))
+    assert firsts.count() == 301 and len(L.all_keys(2)) == 12
+    shared = frame.select(F.xxhash64(F.lit(line)).bitwiseAND(F.lit(~1))).first()[0]
+    met = {r[0] for r in L.lines_that_meet(firsts, 2).collect()}
+    assert len(met) > 200 and shared not in met
+
+
 def test_the_pipeline_drops_copies_with_short_lines(spark, docs):
     from corpus_pipeline import fresh_lines
 
