@@ -36,6 +36,27 @@ def unused(frame: DataFrame, name: str) -> str:
     return name
 
 
+SPACE = 1 << 27  # bits of `may_be_among`, 16 MB
+
+
+def may_be_among(frame: DataFrame, key: str, wanted: DataFrame, of: str) -> DataFrame:
+    """Drops most rows of a frame whose key is not among the wanted ones, without a shuffle; none that is.
+
+    The wanted keys are bits of a map that is broadcast: SPACE bits at most, whatever their number. So
+    far more wanted keys than that let all rows through.
+    """
+
+    def place(column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(SPACE)) + 1
+
+    part, bits, bit = (unused(frame, n) for n in ("bitmap_part", "bitmap_bits", "bitmap_bit"))
+    placed = wanted.select(F.bitmap_bucket_number(place(of)).alias(part), F.bitmap_bit_position(place(of)).alias(bit))
+    maps = F.broadcast(placed.groupBy(part).agg(F.bitmap_construct_agg(bit).alias(bits)))
+    rows = frame.withColumns({part: F.bitmap_bucket_number(place(key)), bit: F.bitmap_bit_position(place(key))}).join(maps, part)
+    byte = f"CAST(conv(hex(substring(`{bits}`, CAST(`{bit}` DIV 8 AS INT) + 1, 1)), 16, 10) AS INT)"
+    return rows.where(f"(shiftright({byte}, CAST(`{bit}` % 8 AS INT)) & 1) = 1").drop(part, bits, bit)
+
+
 def map_rows(
     frame: DataFrame, work: Callable[[list[list]], list[list]], schema: str, rows: int = 1024
 ) -> DataFrame:

@@ -40,7 +40,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tallyrock.llm.common import map_rows, read, unused, written
+from tallyrock.llm.common import map_rows, may_be_among, read, unused, written
 from tallyrock.llm.components import components
 from tallyrock.llm.shingles import shingle_sets
 
@@ -170,9 +170,14 @@ def allowed(na: int, nb: int, pa_: bytes, pb: bytes) -> bool:
 
 
 def known_sets(wanted: DataFrame, found: DataFrame, documents: DataFrame) -> DataFrame:
-    """A written table (cid, set) of some classes; their texts are read once more."""
+    """A written table (cid, set) of some classes; their texts are read once more.
+
+    Most texts that are not wanted are dropped before the shuffle.
+    """
     ids = wanted.distinct().join(found.select("cid", "class", F.col("id").alias("wanted")), "cid")
-    texts = documents.join(ids, F.col("id").eqNullSafe(F.col("wanted")))
+    ids = written(ids, "wanted")
+    some = may_be_among(documents, "id", ids, "wanted")
+    texts = some.join(ids, F.col("id").eqNullSafe(F.col("wanted")))
 
     def sets(columns: list[list]) -> list[list]:
         rows = [

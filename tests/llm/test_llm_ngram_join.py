@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from tallyrock.llm import ngram_join as N
+from tallyrock.llm.common import may_be_among
 from tallyrock.llm.components import components
 from tallyrock.llm.shingles import shingle_sets
 
@@ -107,3 +108,13 @@ def test_large_buckets_and_blocks_give_the_same(spark, rows, rows_of, monkeypatc
 def test_components_of_a_long_chain(spark, rows_of):
     links = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
     assert rows_of(components(links), "node", "component") == [(k, 0) for k in range(61)] + [(100, 100), (101, 100)]
+
+
+def test_the_bitmap_keeps_every_wanted_key_and_drops_most_others(spark):
+    frame = spark.range(20_000).selectExpr("CASE WHEN id = 5 THEN NULL ELSE id END AS id", "id AS bitmap_part", "id * 2 AS other")
+    wanted = frame.where("id % 50 = 0 OR id IS NULL").selectExpr("id AS w")
+    kept = may_be_among(frame, "id", wanted, "w")
+    assert kept.columns == frame.columns
+    found = {r["id"] for r in kept.collect()}
+    assert {r["w"] for r in wanted.collect()} <= found and len(found) < 450
+    assert may_be_among(frame, "id", wanted.limit(0), "w").count() == 0
