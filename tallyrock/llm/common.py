@@ -36,14 +36,14 @@ def unused(frame: DataFrame, name: str) -> str:
     return name
 
 
-SPACE = 1 << 27  # bits of `may_be_among`, 16 MB
+SPACE = 1 << 25  # bits of `may_be_among`, 4 MB
 
 
-def may_be_among(frame: DataFrame, key: str, wanted: DataFrame, of: str) -> DataFrame:
-    """Drops most rows of a frame whose key is not among the wanted ones, without a shuffle; none that is.
+def with_may_be_among(frame: DataFrame, key: str, wanted: DataFrame, of: str, flag: str) -> DataFrame:
+    """The frame with a flag that is true for every row whose key is wanted, and false for most others; no shuffle.
 
     The wanted keys are bits of a map that is broadcast: SPACE bits at most, whatever their number. So
-    far more wanted keys than that let all rows through.
+    where very many keys are wanted, the flag is true for most rows.
     """
 
     def place(column: str) -> Column:
@@ -52,9 +52,16 @@ def may_be_among(frame: DataFrame, key: str, wanted: DataFrame, of: str) -> Data
     part, bits, bit = (unused(frame, n) for n in ("bitmap_part", "bitmap_bits", "bitmap_bit"))
     placed = wanted.select(F.bitmap_bucket_number(place(of)).alias(part), F.bitmap_bit_position(place(of)).alias(bit))
     maps = F.broadcast(placed.groupBy(part).agg(F.bitmap_construct_agg(bit).alias(bits)))
-    rows = frame.withColumns({part: F.bitmap_bucket_number(place(key)), bit: F.bitmap_bit_position(place(key))}).join(maps, part)
+    put = frame.withColumns({part: F.bitmap_bucket_number(place(key)), bit: F.bitmap_bit_position(place(key))})
     byte = f"CAST(conv(hex(substring(`{bits}`, CAST(`{bit}` DIV 8 AS INT) + 1, 1)), 16, 10) AS INT)"
-    return rows.where(f"(shiftright({byte}, CAST(`{bit}` % 8 AS INT)) & 1) = 1").drop(part, bits, bit)
+    is_set = F.expr(f"coalesce((shiftright({byte}, CAST(`{bit}` % 8 AS INT)) & 1) = 1, false)")
+    return put.join(maps, part, "left").withColumn(flag, is_set).drop(part, bits, bit)
+
+
+def may_be_among(frame: DataFrame, key: str, wanted: DataFrame, of: str) -> DataFrame:
+    """Only the rows that `with_may_be_among` flags."""
+    flag = unused(frame, "may_be_among")
+    return with_may_be_among(frame, key, wanted, of, flag).where(F.col(flag)).drop(flag)
 
 
 def map_rows(

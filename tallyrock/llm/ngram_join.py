@@ -16,9 +16,9 @@ classes of equal sets apart from links between different sets:
    components. Buckets that then still hold different components get an R-tree
    over the points by size, whose boxes bound the overlap of a whole subtree;
    a class that is not in the tree's answer cannot link. What passes is verified
-   like before; in a bucket of more than HOT classes that happens in place, the
-   most similar first, and no pair is looked at whose classes are connected
-   already.
+   like before; in a bucket of more than HOT classes the tree first says which of them may
+   link at all, and only these are verified, in place, the most similar first, without a
+   look at pairs whose classes are connected already.
 
 Buckets are split by size of the sets, since linked sets differ by a third at
 most, and then into blocks of rows that meet pair by pair, so no bucket is one
@@ -53,6 +53,7 @@ HOT = 64  # classes of a bucket whose pairs are listed
 BLOCK = 4096  # classes of a bucket in one task
 FINE_GROUPS = 1024
 NODE = 16
+ROWS = 128  # texts whose shingles a task holds at a time
 BAND = 1.34  # ratio of the sizes in a band, over the 4/3 that linked sets may differ
 
 
@@ -73,8 +74,8 @@ def count_shingles(documents: DataFrame) -> DataFrame:
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(TABLE, np.int64)
         for part in parts:
-            for start in range(0, part.num_rows, 512):
-                ids, versions, texts = (c.to_pylist() for c in part.slice(start, 512).columns)
+            for start in range(0, part.num_rows, ROWS):
+                ids, versions, texts = (c.to_pylist() for c in part.slice(start, ROWS).columns)
                 sets = shingle_sets(texts)
                 counts += np.bincount((np.concatenate(sets) % TABLE).astype(np.int64), minlength=TABLE)
                 empty = [None] * len(ids)
@@ -132,7 +133,7 @@ def classes(documents: DataFrame, levels: np.ndarray) -> DataFrame:
         return [list(c) for c in zip(*found)] or [[]] * 5
 
     schema = "id long, class binary, n long, prefix array<long>, point binary"
-    rows = map_rows(documents, work, schema, rows=512)
+    rows = map_rows(documents, work, schema, rows=ROWS)
     # Copies are combined in the map tasks first.
     groups = rows.groupBy("class").agg(
         F.min("id").alias("id"), *(F.first(c).alias(c) for c in ("n", "prefix", "point"))
@@ -185,7 +186,7 @@ def known_sets(wanted: DataFrame, found: DataFrame, documents: DataFrame) -> Dat
         ]
         return [list(c) for c in zip(*rows)] or [[]] * 2
 
-    known = map_rows(texts.select("cid", "class", "text"), sets, "cid long, set binary", rows=512)
+    known = map_rows(texts.select("cid", "class", "text"), sets, "cid long, set binary", rows=ROWS)
     return written(known.dropDuplicates(["cid"]), "sets")
 
 
@@ -331,15 +332,48 @@ def pairs_of_small(mixed: DataFrame, found: DataFrame) -> DataFrame:
     return runs(dealt.sortWithinPartitions(*keys, "cid", "upper"), len(keys), tree_pairs, "a long, b long").distinct()
 
 
-def links_of_large(mixed: DataFrame, known: DataFrame) -> DataFrame:
-    """Links (a, b) that connect the components of buckets of more than HOT rows, block by block."""
+def maybe_linked(rows: list[tuple]) -> list[tuple[int]]:
+    """The cids of a bucket's rows (cid, n, component, upper, side, point) that may link with one of another component.
+
+    Of two blocks only pairs across them count; rows of the upper band meet those of the lower only.
+    """
+    cids, sizes, comps, upper, side = (np.array(c, np.int64) for c in list(zip(*rows))[:5])
+    points = [unpack(r[5]) for r in rows]
+    groups = min(FINE_GROUPS, *map(len, points))
+    matrix = np.stack([p if len(p) == groups else fold(p, groups) for p in points])
+    lower = np.flatnonzero(upper == 0)
+    if not len(lower):
+        return []
+    tree, two_blocks, found = RTree(matrix[lower], sizes[lower]), side.min() != side.max(), np.zeros(len(rows), bool)
+    for k in range(len(rows)):
+        near = lower[tree.search(matrix[k], int(sizes[k]))]
+        near = near[(comps[near] != comps[k]) & ~(two_blocks & (side[near] == side[k]))]
+        found[near] = True
+        found[k] |= len(near) > 0
+    return [(int(c),) for c in cids[found]]
+
+
+def in_blocks(large: DataFrame, payload: DataFrame, name: str) -> DataFrame:
+    """Rows of large buckets with a column of theirs, dealt so that every two blocks of a bucket meet in one run."""
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    rows = mixed.where(F.col("members") > HOT).withColumns({"blocks": blocks, "own": F.pmod(F.xxhash64("cid"), blocks).cast("int")})
+    rows = large.withColumns({"blocks": blocks, "own": F.pmod(F.xxhash64("cid"), blocks).cast("int")})
     split = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     split = split.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
     keys = ["sign", "members", "i", "j"]
-    dealt = split.join(known, "cid").select(*keys, "cid", "n", "component", "upper", "own", "set").repartition(*keys)
-    return runs(dealt.sortWithinPartitions(*keys, "cid", "upper"), len(keys), linked_in_place, "a long, b long").distinct()
+    dealt = split.join(payload, "cid").select(*keys, "cid", "n", "component", "upper", "own", name).repartition(*keys)
+    return dealt.sortWithinPartitions(*keys, "cid", "upper")
+
+
+def candidates_of_large(mixed: DataFrame, found: DataFrame) -> DataFrame:
+    """A written table of the rows of buckets of more than HOT rows that may link across components, by their points."""
+    large = mixed.where(F.col("members") > HOT)
+    near = runs(in_blocks(large, found.select("cid", "point"), "point"), 4, maybe_linked, "cid long").distinct()
+    return written(large.join(near, "cid", "left_semi"), "candidates")
+
+
+def links_of_large(candidates: DataFrame, known: DataFrame) -> DataFrame:
+    """Links (a, b) that connect the components of these rows, bucket by bucket and block by block."""
+    return runs(in_blocks(candidates, known, "set"), 4, linked_in_place, "a long, b long").distinct()
 
 
 def runs(frame: DataFrame, keys: int, work: Callable[[list[tuple]], list[tuple]], schema: str) -> DataFrame:
@@ -383,9 +417,9 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
     mixed = mixed_buckets(rows, found, components(links))
     pairs = written(pairs_of_small(mixed, found), "pairs")
-    large = mixed.where(F.col("members") > HOT).select("cid")
-    known = known_sets(ends_of(pairs).unionAll(large), found, documents)
-    more = verified(pairs, known).unionAll(written(links_of_large(mixed, known), "verified"))
+    large = candidates_of_large(mixed, found)
+    known = known_sets(ends_of(pairs).unionAll(large.select("cid")), found, documents)
+    more = verified(pairs, known).unionAll(written(links_of_large(large, known), "verified"))
     parts = components(links.unionAll(more))
 
     ids = found.select("cid", "class", "id").join(parts.toDF("cid", "component"), "cid", "left")
