@@ -1,21 +1,24 @@
-"""Main text of web pages, by their markup and by comparison with the page of the nearest URL.
+"""Main text of web pages, by comparison with the page of the nearest URL, checked by their markup.
 
-A page becomes text lines, one per block of markup. Markup decides most of them:
-menus, headers, footers, sidebars, adverts, notices, forms, comments and scripts
-are dropped, by element or by the words of class, id and role; lines inside an
-article or main element are its text. On a page without such an element the
-lines that are left are compared with those of the nearest page: of the same
+A page becomes text lines, one per block of markup. Every page is compared with the nearest page: of the same
 host, next to it when the host's pages are ordered by URL path, with the longer
 common beginning of the path (the earlier one of two). The two pages' lines are
-aligned by a longest common subsequence and shared lines are deleted. If they
-are more than COPY_SHARE of the page's characters, the neighbour is a copy of the
-page rather than another page of its site, and the page keeps its lines.
-
-Comparison alone does not give the text: where sites vary their menus and
-adverts, pages side by side share none of them, and copies of an article share
-all of it.
-
-NULL html counts as empty and gives empty text. A NULL or unusual url has an
+aligned by a longest common subsequence; the lines they share are what a site
+repeats, and go. If they are more than COPY_SHARE of the characters of the page's text, the neighbour
+is a copy of the page rather than another page of its site, and says nothing about it.
+
+Markup is the check on that, since sites vary their menus and adverts, which neighbours then do not share,
+and articles quote the same passages, which they do:
+
+- Lines in menus, headers, footers, sidebars, adverts, notices, forms, comments and
+  scripts, by element or by the words of class, id and role, go whether they are shared or not.
+- A line inside an article or main element that is shared stays if it stands inside such an element of the neighbour too
+  and reads like prose: both pages then say that it is text.
+- A line outside such an element that markup does not know goes on a page that has one, unless the
+  comparison finds it to be the page's own and it is a paragraph of LONG_PROSE words or more. On a page without
+  one, all lines that are the page's own are its text.
+
+A page without a neighbour is decided by markup. NULL html counts as empty and gives empty text. A NULL or unusual url has an
 empty host or path; such pages are neighbours of each other. Repeated rows are
 pages of their own, ties of the order go by page_id. A page that ends inside
 markup is read up to there. An empty table gives no rows.
@@ -31,7 +34,7 @@ from urllib.parse import urlsplit
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyrock.llm.common import map_rows, read, written
+from tallyrock.llm.common import map_rows, read, with_may_be_among, written
 
 # Fixed values of HTML.
 INLINE = frozenset(
@@ -54,7 +57,12 @@ DROPPED_NAMES = re.compile(
     re.I,
 )
 COPY_SHARE = 0.8
-HEADER_OF_MAIN = "header"  # inside an article it holds the title
+LONG_PROSE = 25  # words
+SHORT_PROSE = 8  # words of a line that does not end like a sentence
+HEADER_OF_MAIN = re.compile(r"(?:^|[\s_-])(?:header|masthead)(?=$|[\s_-])", re.I)  # inside an article it holds the title
+
+# What markup says of a line.
+MAIN_LINE, OTHER_LINE, DROPPED_LINE = 0, 1, 2
 
 TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -62,87 +70,137 @@ TOKEN = re.compile(
     r"|</?[a-zA-Z][^>]*(?:>|\Z)",
     re.S | re.I,
 )
+NEVER_TEXT = frozenset(["head"])
 NAMED = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 
-def names_drop(attrs: str) -> bool:
-    return any(DROPPED_NAMES.search(a or b or c) for a, b, c in NAMED.findall(attrs))
+def names_drop(attrs: str, inside: bool) -> bool:
+    """Whether class, id or role name an element that holds no text of the page."""
+    for found in NAMED.findall(attrs):
+        names = "".join(found)
+        if DROPPED_NAMES.search(HEADER_OF_MAIN.sub("", names) if inside else names):
+            return True
+    return False
 
 
-def page_lines(page: str) -> tuple[list[str], list[str]]:
-    """Lines inside the main elements, and lines that markup does not decide."""
-    main: list[str] = []
-    other: list[str] = []
+def page_lines(page: str) -> list[tuple[str, int]]:
+    """The lines of a page and what markup says of each; scripts, styles and the like have none."""
+    lines: list[tuple[str, int]] = []
     pieces: list[str] = []
     inside = 0  # main elements that are open
     skip, depth = None, 0  # the element that is being dropped, and how many of its name are open
+    around: list[str] = []  # what stands before it on its line, where it is part of one
     at = 0
 
     def close() -> None:
         line = " ".join(html.unescape("".join(pieces)).split())
         pieces.clear()
         if line:
-            (main if inside else other).append(line)
+            lines.append((line, DROPPED_LINE if skip is not None else MAIN_LINE if inside else OTHER_LINE))
 
     for token in TOKEN.finditer(page):
-        if skip is None and token.start() > at:
+        if token.start() > at and skip not in NEVER_TEXT:
             pieces.append(page[at : token.start()])
         at = token.end()
         if not token["tag"]:
             continue
         tag, ends = token["tag"].lower(), token["end"] == "/"
+        if tag not in INLINE:
+            close()
         if skip is not None:
             if skip == "head" and tag == "body" and not ends:
-                skip = None
+                skip = None  # it began a line of its own, so nothing stands before it
             elif skip in LOOSE and (tag in LOOSE or ends) and tag not in INLINE and not (ends and tag == skip):
                 skip = None  # and the token counts
             else:
                 depth += (tag == skip) * (-1 if ends else 1)
                 if depth <= 0:
+                    close()
                     skip = None
+                    pieces.extend(around)
+                    around.clear()
                 continue
         if tag in INLINE and not token["attrs"]:
             continue
         drops = not ends and tag not in VOID and tag not in ("html", "body") and (
-            (tag in DROPPED and not (tag == HEADER_OF_MAIN and inside))
-            or bool(token["attrs"]) and names_drop(token["attrs"])
+            (tag in DROPPED and not (tag == "header" and inside))
+            or bool(token["attrs"]) and names_drop(token["attrs"], inside > 0)
         )
-        if tag not in INLINE:
-            close()
         if drops:
             if not token["attrs"].endswith("/"):
+                around.extend(pieces)
+                pieces.clear()
                 skip, depth = tag, 1
         elif tag in MAIN:
             inside = max(0, inside + (-1 if ends else 1))
-    if skip is None and at < len(page):
+    if at < len(page) and skip not in NEVER_TEXT:
         pieces.append(page[at:])
     close()
-    return main, other
+    skip = None
+    pieces.extend(around)
+    close()
+    return lines
 
 
-def shared_lines(mine: list[int], theirs: list[int]) -> set[int]:
-    """Places in `mine` of a longest common subsequence with `theirs`, by its chains of matches."""
+def shared_lines(mine: list[int], theirs: list[int]) -> dict[int, int]:
+    """Places in `mine` and `theirs` of a longest common subsequence, by its chains of matches."""
+    start, stop, other = 0, len(mine), len(theirs)
+    while start < min(stop, other) and mine[start] == theirs[start]:
+        start += 1
+    while min(stop, other) > start and mine[stop - 1] == theirs[other - 1]:
+        stop, other = stop - 1, other - 1
+    found = {k: k for k in range(start)} | {stop + k: other + k for k in range(len(mine) - stop)}
     places: dict[int, list[int]] = {}
-    for j, line in enumerate(theirs):
-        places.setdefault(line, []).append(j)
+    for j in range(start, other):
+        places.setdefault(theirs[j], []).append(j)
     ends: list[int] = []  # smallest end in `theirs` of a chain of each length
     chains: list[tuple] = []
-    for i, line in enumerate(mine):
-        for j in reversed(places.get(line, ())):
+    for i in range(start, stop):
+        for j in reversed(places.get(mine[i], ())):
             k = bisect_left(ends, j)
-            link = (i, chains[k - 1] if k else None)
+            link = (i, j, chains[k - 1] if k else None)
             if k == len(ends):
                 ends.append(j)
                 chains.append(link)
             elif j < ends[k]:
                 ends[k], chains[k] = j, link
-    found, link = set(), chains[-1] if chains else None
+    link = chains[-1] if chains else None
     while link:
-        found.add(link[0])
-        link = link[1]
+        found[link[0]] = link[1]
+        link = link[2]
     return found
 
 
+def prose(line: str) -> int:
+    """2 for a long paragraph, 1 for a line that reads like text, 0 for others."""
+    words, ends = len(line.split()), line.rstrip("\"'”»)]")[-1:] in ".!?…:;"
+    return 2 if ends and words >= LONG_PROSE else 1 if ends or words >= SHORT_PROSE else 0
+
+
+def by_markup(kinds: list[int]) -> list[int]:
+    """The places of the lines that are text as far as markup knows."""
+    kind = MAIN_LINE if MAIN_LINE in kinds else OTHER_LINE
+    return [k for k, own in enumerate(kinds) if own == kind]
+
+
+def by_comparison(kinds: list[int], reads: list[int], sizes: list[int], shared: dict[int, int], their_kinds: list[int]) -> list[int]:
+    """The places of the lines that are text, once the lines shared with the neighbour are known."""
+    plain = by_markup(kinds)
+    if sum(sizes[k] for k in plain if k in shared) > COPY_SHARE * sum(sizes[k] for k in plain):
+        return plain
+    has_main, kept = MAIN_LINE in kinds, []
+    for k, kind in enumerate(kinds):
+        if kind == MAIN_LINE:
+            keep = k not in shared or (their_kinds[shared[k]] == MAIN_LINE and reads[k] > 0)
+        elif kind == OTHER_LINE:
+            keep = k not in shared and (not has_main or reads[k] == 2)
+        else:
+            keep = False
+        if keep:
+            kept.append(k)
+    return kept
+
+
 def host_and_path(url: str | None) -> tuple[str, str]:
     try:
         parts = urlsplit(url or "")
@@ -152,22 +210,31 @@ def host_and_path(url: str | None) -> tuple[str, str]:
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
-    """A row per page with its row number, host and path, main and undecided lines, and their hashes."""
+    """A row per page with its row number, host and path, and its lines: text, kind, hash, size and how it reads.
+
+    The text of lines that markup drops is left out; they are compared by their hash only.
+    """
 
     def work(columns: list[list]) -> list[list]:
         found = []
         for row, page_id, url, page in zip(*columns):
-            main, other = page_lines(page or "")
-            hashes = [] if main else [xxhash.xxh64_intdigest(x) - (1 << 63) for x in other]
-            found.append((row, page_id, url, *host_and_path(url), main or None, [] if main else other, hashes))
-        return [list(c) for c in zip(*found)] or [[]] * 8
+            lines = page_lines(page or "")
+            found.append((
+                row, page_id, url, *host_and_path(url),
+                [None if kind == DROPPED_LINE else line for line, kind in lines],
+                [kind for _, kind in lines],
+                [xxhash.xxh64_intdigest(line) - (1 << 63) for line, _ in lines],
+                [len(line) for line, _ in lines],
+                [prose(line) for line, _ in lines],
+            ))
+        return [list(c) for c in zip(*found)] or [[]] * 10
 
     rows = pages.select(F.monotonically_increasing_id().alias("row"), "page_id", "url", "html")
     return map_rows(
         rows,
         work,
-        "row long, page_id long, url string, host string, path string, main array<string>, other array<string>,"
-        " hashes array<long>",
+        "row long, page_id long, url string, host string, path string, lines array<string>, kinds array<tinyint>,"
+        " hashes array<long>, sizes array<int>, reads array<tinyint>",
         rows=256,
     )
 
@@ -209,29 +276,48 @@ def neighbours(pages: DataFrame) -> DataFrame:
     return both.groupBy("row").agg(F.max_by("partner", F.struct("same", "earlier")).alias("partner"))
 
 
-def extract(pages: DataFrame) -> DataFrame:
-    """(page_id, url, text) of every page."""
-    parsed = written(parse_pages(pages), "page-lines")
-    decided = parsed.where("main IS NOT NULL").select("page_id", "url", F.array_join("main", " ").alias("text"))
-    open_pages = parsed.where("main IS NULL")
+def compared(parsed: DataFrame) -> DataFrame:
+    """(row, kept, n_shared) of every page that has a neighbour: the places of the lines that are text.
+
+    Only hashes, kinds and sizes of lines meet, not their texts.
+    """
     partners = neighbours(parsed.select("host", "path", "page_id", "row"))
-    lines = parsed.select(F.col("row").alias("partner"), F.col("hashes").alias("their_hashes"))
-    pairs = open_pages.select("row", "page_id", "url", "other", "hashes").join(partners, "row", "left")
+    theirs = parsed.select(F.col("row").alias("partner"), F.col("hashes").alias("their_hashes"), F.col("kinds").alias("their_kinds"))
+    met = partners.join(theirs, "partner").select("row", "their_hashes", "their_kinds")
+    pairs = parsed.select("row", "hashes", "kinds", "sizes", "reads").join(met, "row")
 
     def work(columns: list[list]) -> list[list]:
-        texts = []
-        for other, mine, theirs in zip(*columns[2:]):
-            shared = shared_lines(mine, theirs or [])
-            copied = sum(len(other[k]) for k in shared) > COPY_SHARE * sum(map(len, other))
-            texts.append(" ".join(x for k, x in enumerate(other) if copied or k not in shared))
-        return [*columns[:2], texts]
-
-    compared = map_rows(
-        pairs.join(lines, "partner", "left").select("page_id", "url", "other", "hashes", "their_hashes"),
-        work,
-        "page_id long, url string, text string",
-    )
-    return decided.unionByName(compared)
+        kept, counts = [], []
+        for _, hashes, kinds, sizes, reads, their_hashes, their_kinds in zip(*columns):
+            shared = shared_lines(hashes, their_hashes)
+            kept.append(by_comparison(kinds, reads, sizes, shared, their_kinds))
+            counts.append(len(shared))
+        return [columns[0], kept, counts]
+
+    names = ["row", "hashes", "kinds", "sizes", "reads", "their_hashes", "their_kinds"]
+    return map_rows(pairs.select(*names), work, "row long, kept array<int>, n_shared int")
+
+
+def text_of(lines: str, kept: str) -> str:
+    """SQL for the lines at some places, joined by a space."""
+    return f"array_join(transform({kept}, k -> {lines}[k]), ' ')"
+
+
+def extract(pages: DataFrame) -> DataFrame:
+    """(page_id, url, text) of every page.
+
+    Texts are shuffled only of pages for which the comparison finds anything else than markup alone.
+    """
+    parsed = written(parse_pages(pages), "page-lines")
+    main = f"exists(kinds, k -> k = {MAIN_LINE})"
+    kind = f"CASE WHEN {main} THEN {MAIN_LINE} ELSE {OTHER_LINE} END"
+    parsed = parsed.withColumn("plain", F.expr(f"filter(sequence(0, size(kinds) - 1), k -> size(kinds) > 0 AND kinds[k] = {kind})"))
+    verdicts = compared(parsed).join(parsed.select("row", "plain"), "row").where("kept <> plain").select("row", "kept")
+    verdicts = written(verdicts, "verdicts")
+    flagged = with_may_be_among(parsed.select("row", "page_id", "url", "lines", "plain"), "row", verdicts, "row", "differs")
+    plain = flagged.where("NOT differs").select("page_id", "url", F.expr(text_of("lines", "plain")).alias("text"))
+    other = flagged.where("differs").join(verdicts, "row", "left").withColumn("places", F.coalesce("kept", "plain"))
+    return plain.unionByName(other.select("page_id", "url", F.expr(text_of("lines", "places")).alias("text")))
 
 
 def op6_nearest_url(spark: SparkSession, folder: str) -> DataFrame:
