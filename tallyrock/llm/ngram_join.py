@@ -128,7 +128,8 @@ def classes(documents: DataFrame, levels: np.ndarray) -> DataFrame:
             if n:
                 level = levels[(shingles % TABLE).astype(np.int64)].astype(np.uint64)
                 order = np.sort((level << np.uint64(61)) | (shingles >> np.uint64(3)))
-                prefix = order[: n - -(-PERCENT * n // 100) + 1].view(np.int64)
+                # A token that stands for several shingles only makes classes meet that need not.
+                prefix = (order[: n - -(-PERCENT * n // 100) + 1] >> np.uint64(16)).view(np.int64)
                 found.append((doc_id, digest(shingles), n, prefix, point(shingles)))
         return [list(c) for c in zip(*found)] or [[]] * 5
 
@@ -170,6 +171,17 @@ def allowed(na: int, nb: int, pa_: bytes, pb: bytes) -> bool:
     return int(np.minimum(fold(x, groups), fold(y, groups)).sum()) >= least_overlap(na + nb)
 
 
+def pack_set(shingles: np.ndarray) -> bytes:
+    """The upper 48 bits of each hash, in order: they decide whether shingles are equal."""
+    return (shingles >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpack_set(raw: bytes) -> np.ndarray:
+    wide = np.zeros((len(raw) // 6, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return wide.view(np.uint64).reshape(-1)
+
+
 def known_sets(wanted: DataFrame, found: DataFrame, documents: DataFrame) -> DataFrame:
     """A written table (cid, set) of some classes; their texts are read once more.
 
@@ -182,7 +194,7 @@ def known_sets(wanted: DataFrame, found: DataFrame, documents: DataFrame) -> Dat
 
     def sets(columns: list[list]) -> list[list]:
         rows = [
-            (cid, s.tobytes()) for cid, kind, s in zip(columns[0], columns[1], shingle_sets(columns[2])) if digest(s) == kind
+            (cid, pack_set(s)) for cid, kind, s in zip(columns[0], columns[1], shingle_sets(columns[2])) if digest(s) == kind
         ]
         return [list(c) for c in zip(*rows)] or [[]] * 2
 
@@ -200,7 +212,7 @@ def verified(pairs: DataFrame, known: DataFrame) -> DataFrame:
     def links(columns: list[list]) -> list[list]:
         kept = []
         for a, b, x, y in zip(*columns):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            x, y = unpack_set(x), unpack_set(y)
             if overlap(x, y) >= least_overlap(len(x) + len(y)):
                 kept.append((a, b))
         return [list(c) for c in zip(*kept)] or [[]] * 2
@@ -270,7 +282,7 @@ def linked_in_place(rows: list[tuple]) -> list[tuple[int, int]]:
     Of two blocks only pairs across them count; rows of the upper band meet those of the lower only.
     """
     cids, sizes, comps, upper, side = (np.array(c, np.int64) for c in list(zip(*rows))[:5])
-    sets = [np.frombuffer(r[5], np.uint64) for r in rows]
+    sets = [unpack_set(r[5]) for r in rows]
     groups = 8
     while groups < FINE_GROUPS and groups < sizes.max():
         groups *= 2

@@ -118,3 +118,10 @@ def test_the_bitmap_keeps_every_wanted_key_and_drops_most_others(spark):
     found = {r["id"] for r in kept.collect()}
     assert {r["w"] for r in wanted.collect()} <= found and len(found) < 450
     assert may_be_among(frame, "id", wanted.limit(0), "w").count() == 0
+
+
+def test_sets_are_packed_in_order():
+    sets = shingle_sets(["a b c d e f g h " * 3 + "x y z", "one", ""])
+    for own in sets:
+        assert N.unpack_set(N.pack_set(own)).tolist() == (own >> np.uint64(16)).tolist()
+    assert N.overlap(*(N.unpack_set(N.pack_set(x)) for x in (sets[0], sets[0][3:]))) == len(sets[0]) - 3
