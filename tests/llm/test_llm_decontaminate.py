@@ -26,7 +26,7 @@ def test_retrieval_loses_nothing_above_the_threshold(items):
     p, i, s = D.retrieve(index, passage, np.concatenate(terms), len(terms))
     exact = np.zeros((len(terms), len(index.ids)))
     for k, own in enumerate(terms):
-        on = np.isin(index.cells // index.by_block.shape[1], own)
+        on = np.isin(index.cells // index.blocks, own)
         exact[k] = np.bincount(index.items[on], index.weights[on], minlength=len(index.ids))
     expected = {(a, b): exact[a, b] for a, b in zip(*np.nonzero(exact >= 1 - 1e-9))}
     assert len(expected) > 50 and {(a, b) for a, b in zip(p, i)} == set(expected)
@@ -53,16 +53,36 @@ def test_leaks_are_found_and_clean_documents_stay(spark, docs, items, rows_of):
     assert rows_of(kept, "doc_id") == [(k,) for k in range(40)] + [(300,), (301,)]
 
 
-def test_parts_of_the_benchmark_give_the_same(spark, docs, items, rows_of):
-    bench = spark.createDataFrame(items, "item_id long, text string")
-    documents = docs(*((k, t) for k, t in items))
-    whole = rows_of(D.leaks(documents, bench), "doc_id", "item_id")
-    indexes = D.indexes(bench, part_items=10)
-    assert len(indexes) > 3 and sum(len(i.ids) for i in indexes) == 50
-    parts = {(r, i.ids[item]) for i in indexes for r, item, *_ in D.search(i, [t for _, t in items])}
-    assert {(k, k) for k, _ in items} <= parts & set(whole)
-    with pytest.raises(ValueError, match="the bound is"):
-        D.indexes(spark.createDataFrame([(1, "x" * 500)], "item_id long, text string"), part_bytes=300)
+def test_parts_of_the_benchmark_give_the_same_scores(spark, docs, items, rows_of):
+    """Copies from which words were taken one by one: some stand just above the threshold and some just below."""
+    bench = spark.createDataFrame([*items, items[0]], "item_id long, text string")
+    rows = []
+    for k, text in items[:12]:
+        words = text.split()
+        for cut in range(len(words)):
+            rows.append((1000 * k + cut, " ".join(["zz"] * cut + words[cut:])))
+    documents = docs(*rows)
+    names = ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"]
+    whole = rows_of(D.leaks(documents, bench), *names)
+    scores = [r[2] for r in whole]
+    assert min(scores) < 0.63 and max(scores) > 0.99 and 12 < len(whole) < len(rows)
+    for options in ({"part_items": 7}, {"part_bytes": 700}):
+        assert len(list(D.Benchmark(bench, **options).indexes())) > 6
+        assert rows_of(D.leaks(documents, bench, **options), *names) == whole
+    kept = rows_of(D.without_leaks(documents, bench, part_items=7), "doc_id")
+    assert kept == [(i,) for i, _ in sorted(rows) if i not in {r[0] for r in whole}]
+    one = spark.createDataFrame([(1, "x " * 500), (2, "y " * 500)], "item_id long, text string")
+    assert [len(p) for p in D.Benchmark(one, part_bytes=300).indexes()] == [1, 1]
+
+
+def test_an_index_is_as_large_as_its_postings():
+    draw = np.random.default_rng(1)
+    texts = [" ".join(f"t{w}" for w in draw.integers(0, 40_000, 40)) for _ in range(6000)]
+    index = D.build(list(range(6000)), texts)
+    postings = len(index.weights)
+    assert len(index.terms) > 39_000 and postings < 6000 * 40
+    held = sum(a.nbytes for a in (index.items, index.cells, index.weights, index.highest, index.starts, index.bound_blocks, index.bounds))
+    assert held < 48 * postings + 16 * len(index.terms) + 100
 
 
 def test_empty_tables(spark, docs, items):
@@ -75,7 +95,7 @@ def test_empty_tables(spark, docs, items):
 def test_a_long_item_is_found_at_every_offset(spark, docs, items, words):
     long = " ".join(f"{w}x" for w in words[:280]) + ". " + " ".join(f"{w}y" for w in words[300:320])
     bench = spark.createDataFrame([*items, (500, long)], "item_id long, text string")
-    assert [i.width for i in D.indexes(bench)] == [D.WIDTH, 1024]
+    assert [[i.width for i in part] for part in D.Benchmark(bench).indexes()] == [[D.WIDTH, 1024]]
     around = [f"z{k}" for k in range(1200)]
     rows = [(k, " ".join([*around[:k], *long.split(), *around[k:]])) for k in range(600)]
     documents = docs(*rows, (1000, " ".join(around)))
