@@ -1,11 +1,13 @@
 """Packing documents into token sequences, each document next to lexically similar ones.
 
-Documents are tokenised once and dealt by content to shards of about `shard_docs`
-or less: a tree over the whole corpus halves it again and again, each time at the
+Documents are tokenised once and dealt by content to shards of less than twice `shard_docs`:
+a tree over the whole corpus halves it again and again, each time at the
 median along the direction in which sketches of the documents (signed sums of the
 idf of their ids) differ most, so documents of like content share a shard at any
-size of the corpus. The tree is built from a sample; equal sketches are halved by
-a hash, so copies of one document do not fill a shard. Every shard has a BM25 inverted index of its documents over token ids, with document
+size of the corpus. The tree is built from a sample, of which equal sketches are halved by
+a hash of the row, and has at most 2 ** TREE_DEPTH leaves, so it is small enough to be sent to every task.
+Below it the signs of the sketch deal on. The documents of a leaf are then cut into shards in the order of these signs, so a
+shard is bounded whatever the documents are, copies of one included. Every shard has a BM25 inverted index of its documents over token ids, with document
 frequencies and lengths of the whole corpus. Packing starts with a seed, whose
 tokens fill one window after another; the room in its last window goes to the
 unused document that the index scores highest for the seed, and so on until
@@ -40,7 +42,11 @@ END = 0
 SHARD_DOCS = 1024
 K1, B = 1.2, 0.75
 SKETCH = 128  # numbers
-SAMPLE, MOST_SAMPLE = 64, 1 << 17  # documents a shard, and in all, that the tree is built from
+SAMPLE = 64  # documents a shard that the tree is built from, but
+LEAST_SAMPLE, MOST_SAMPLE = 1 << 12, 1 << 17  # in all
+TREE_DEPTH = 12  # 2 MB of directions
+SIGN_DEPTH = 16  # more levels by signs
+LEAF_BITS = 63 - TREE_DEPTH - SIGN_DEPTH  # for the sequences of a leaf
 DENSE = 24  # terms in more documents of a shard are scored as a matrix, the others by their postings
 
 PIECE_SCHEMA = (
@@ -106,7 +112,9 @@ def tokenised(documents: DataFrame, path: str) -> DataFrame:
         columns = [[None], [None], [tokens], [squeeze(frequencies)], [docs]]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    keyed = documents.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
+    # The row's number tells rows apart that are equal.
+    number = F.monotonically_increasing_id()
+    keyed = documents.select("doc_id", F.xxhash64("doc_id", "text", number).alias("key"), "text")
     return written(keyed.mapInArrow(encode, "doc_id long, key long, tokens long, ids binary, docs long"), "tokens")
 
 
@@ -179,11 +187,16 @@ def leaves(points: np.ndarray, keys: np.ndarray, tree: list[tuple[np.ndarray, np
     return node
 
 
-def sharded(rows: DataFrame, docs: int, idf: np.ndarray, kind, shard_docs: int) -> DataFrame:
-    """(shard, doc_id, ids) of documents with columns doc_id, key and ids."""
+def signs(points: np.ndarray) -> np.ndarray:
+    """The signs of the first 63 numbers of each sketch as bits, the first one highest."""
+    bits = (points[:, :63] > 0).astype(np.int64)
+    return bits @ (np.int64(1) << np.arange(62, -1, -1, dtype=np.int64))
+
+
+def dealt(rows: DataFrame, docs: int, idf: np.ndarray, kind, shard_docs: int) -> DataFrame:
+    """(leaf, place, key, doc_id, ids) of documents, all of a leaf in one task and in order of place."""
     depth = max(0, int(np.ceil(np.log2(max(1, docs) / shard_docs))))
-    if depth == 0:
-        return rows.select(F.lit(0).cast("long").alias("shard"), "doc_id", "ids")
+    by_tree, by_signs = min(depth, TREE_DEPTH), min(max(0, depth - TREE_DEPTH), SIGN_DEPTH)
     sketch = Sketcher(idf)
 
     def points_of(raws: list[bytes]) -> np.ndarray:
@@ -194,22 +207,46 @@ def sharded(rows: DataFrame, docs: int, idf: np.ndarray, kind, shard_docs: int)
             points = [p.tobytes() for p in points_of(part.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(points, pa.binary())], ["key", "point"])
 
-    share = min(MOST_SAMPLE, SAMPLE << depth) / docs
-    some = rows.where(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < int(min(1, share) * (1 << 30)))
-    found = some.select("key", "ids").mapInArrow(sample, "key long, point binary").toArrow().sort_by(
-        [("point", "ascending"), ("key", "ascending")]
-    )
-    points = np.frombuffer(b"".join(found["point"].to_pylist()), np.float32).reshape(-1, SKETCH)
-    tree = split_tree(points, found["key"].to_numpy().astype(np.int64), depth)
+    tree = []
+    if by_tree:
+        share = min(MOST_SAMPLE, max(LEAST_SAMPLE, SAMPLE << by_tree)) / docs
+        some = rows.where(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < int(min(1, share) * (1 << 30)))
+        found = some.select("key", "ids").mapInArrow(sample, "key long, point binary").toArrow().sort_by(
+            [("point", "ascending"), ("key", "ascending")]
+        )
+        points = np.frombuffer(b"".join(found["point"].to_pylist()), np.float32).reshape(-1, SKETCH)
+        tree = split_tree(points, found["key"].to_numpy().astype(np.int64), by_tree)
 
     def deal(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             for start in range(0, part.num_rows, 1024):
                 piece = part.slice(start, 1024)
-                shards = leaves(points_of(piece.column(2).to_pylist()), piece.column(1).to_numpy(), tree)
-                yield pa.RecordBatch.from_arrays([pa.array(shards), piece.column(0), piece.column(2)], ["shard", "doc_id", "ids"])
-
-    return rows.select("doc_id", "key", "ids").mapInArrow(deal, "shard long, doc_id long, ids binary")
+                points, keys = points_of(piece.column(2).to_pylist()), piece.column(1).to_numpy()
+                place = signs(points)
+                leaf = (leaves(points, keys, tree) << by_signs) | (place >> (63 - by_signs))
+                columns = [pa.array(leaf), pa.array(place), piece.column(1), piece.column(0), piece.column(2)]
+                yield pa.RecordBatch.from_arrays(columns, ["leaf", "place", "key", "doc_id", "ids"])
+
+    schema = "leaf long, place long, key long, doc_id long, ids binary"
+    found = rows.select("doc_id", "key", "ids").mapInArrow(deal, schema)
+    return found.repartition("leaf").sortWithinPartitions("leaf", "place", "key")
+
+
+def shards(parts: Iterator[pa.RecordBatch], shard_docs: int) -> Iterator[tuple[int, bool, list[tuple]]]:
+    """Shards of sorted rows: the leaf, whether it begins, and (doc_id, ids) of less than twice shard_docs documents."""
+    current, begins, held = None, True, []
+    for part in parts:
+        for leaf, doc_id, raw in zip(*(part.column(k).to_pylist() for k in (0, 3, 4))):
+            if leaf != current:
+                if held:
+                    yield current, begins, held
+                current, begins, held = leaf, True, []
+            held.append((doc_id, raw))
+            if len(held) == 2 * shard_docs:
+                yield current, begins, held[:shard_docs]
+                begins, held = False, held[shard_docs:]
+    if held:
+        yield current, begins, held
 
 
 def similarities(documents: list[np.ndarray], idf: np.ndarray, mean_tokens: float) -> np.ndarray:
@@ -276,26 +313,31 @@ def pack(
     kind = np.uint16 if len(df) <= 1 << 16 else np.uint32
     mean_tokens = max(1.0, total / max(1, docs))
 
-    def fill(key: tuple, group: pa.Table) -> pa.Table:
-        rows = sorted(
-            zip(group["doc_id"].to_pylist(), (unsqueeze(raw, kind) for raw in group["ids"].to_pylist())),
-            key=lambda r: (r[0] is not None, r[0], len(r[1]), r[1].tobytes()),
-        )
-        ids = [r[1].astype("<u4") for r in rows]
-        scores = similarities([x[:-1] for x in ids], idf, mean_tokens)
-        columns: list[list] = [[] for _ in range(8)]
-        for doc, start, length, sequence, offset in fill_windows([len(x) for x in ids], scores, window):
-            piece = ids[doc][start : start + length]
-            values = (rows[doc][0], start, length, zlib.crc32(piece.tobytes()), len(ids[doc]),
-                      key[0].as_py() * (1 << 32) + sequence, offset, piece)
-            for column, value in zip(columns, values):
-                column.append(value)
-        kinds = [pa.int64()] * 7 + [pa.list_(pa.int32())] * keep_ids
-        names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
-        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names[: len(kinds)])
-
-    rows = sharded(tokens.where("docs IS NULL"), docs, idf, kind, shard_docs)
-    return rows.groupBy("shard").applyInArrow(fill, PIECE_SCHEMA + (", ids array<int>" if keep_ids else ""))
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
+    kinds = [pa.int64()] * 7 + [pa.list_(pa.int32())] * keep_ids
+
+    def fill(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = 0  # number of the shard's first sequence among those of its leaf
+        for leaf, begins, held in shards(parts, shard_docs):
+            rows = sorted(
+                ((doc_id, unsqueeze(raw, kind)) for doc_id, raw in held),
+                key=lambda r: (r[0] is not None, r[0], len(r[1]), r[1].tobytes()),
+            )
+            ids = [r[1].astype("<u4") for r in rows]
+            scores = similarities([x[:-1] for x in ids], idf, mean_tokens)
+            first, last = 0 if begins else first, 0
+            columns: list[list] = [[] for _ in range(8)]
+            for doc, start, length, sequence, offset in fill_windows([len(x) for x in ids], scores, window):
+                piece, last = ids[doc][start : start + length], sequence
+                values = (rows[doc][0], start, length, zlib.crc32(piece.tobytes()), len(ids[doc]),
+                          (leaf << LEAF_BITS) + first + sequence, offset, piece)
+                for column, value in zip(columns, values):
+                    column.append(value)
+            first += last + 1
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names[: len(kinds)])
+
+    rows = dealt(tokens.where("docs IS NULL"), docs, idf, kind, shard_docs)
+    return rows.mapInArrow(fill, PIECE_SCHEMA + (", ids array<int>" if keep_ids else ""))
 
 
 def op3_bm25_packing(spark: SparkSession, folder: str) -> DataFrame:

@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -81,12 +82,56 @@ def test_documents_of_like_content_share_a_shard(docs):
     rows = [(k, " ".join(draw.choice(topics[k % 2], 80))) for k in range(160)]
     shards = defaultdict(set)
     for r in packing.pack(docs(*rows), window=64, shard_docs=80).collect():
-        shards[r["sequence_id"] >> 32].add(r["doc_id"])
+        shards[r["sequence_id"] >> packing.LEAF_BITS].add(r["doc_id"])
     assert sorted(map(sorted, shards.values())) == [list(range(0, 160, 2)), list(range(1, 160, 2))]
 
 
 def test_copies_of_one_document_are_spread_over_shards(docs):
     shards = defaultdict(set)
     for r in packing.pack(docs(*((k, "river mill water") for k in range(200))), window=64, shard_docs=32).collect():
-        shards[r["sequence_id"] >> 32].add(r["doc_id"])
+        shards[r["sequence_id"] >> packing.LEAF_BITS].add(r["doc_id"])
     assert len(shards) == 8 and max(map(len, shards.values())) <= 64
+
+
+def whole_and_full(found, rows, window):
+    """Every document lies whole in its pieces, and sequences are gapless from 0; returns the sizes of the sequences."""
+    tokens, windows = Counter(), defaultdict(list)
+    for r in found:
+        tokens[r["doc_id"]] += r["length"]
+        windows[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert set(tokens) == {i for i, _ in rows}
+    for pieces in windows.values():
+        end = 0
+        for offset, length in sorted(pieces):
+            assert offset == end
+            end += length
+        assert end <= window
+    return [sum(length for _, length in pieces) for pieces in windows.values()]
+
+
+def test_very_many_equal_rows_are_packed_in_bounded_shards(docs):
+    rows = [(7, "river mill water")] * 20_000
+    found = packing.pack(docs(*rows), keep_ids=False).collect()
+    sizes = whole_and_full(found, rows, packing.WINDOW)
+    tokens = found[0]["doc_tokens"]
+    assert sum(sizes) == 20_000 * tokens and len(sizes) <= 20_000 * tokens / packing.WINDOW + 32
+    parts = [pa_batch(k) for k in range(5)]
+    found = list(packing.shards(iter(parts), 30))
+    assert [len(held) for _, _, held in found] == [30] * 15 + [50] and [begins for _, begins, _ in found] == [True] + [False] * 15
+
+
+def pa_batch(number):
+    columns = [[3] * 100, [0] * 100, list(range(100)), [number] * 100, [b""] * 100]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["leaf", "place", "key", "doc_id", "ids"])
+
+
+def test_below_the_tree_the_signs_of_the_sketch_deal_on(docs, monkeypatch):
+    draw = np.random.default_rng(9)
+    rows = [(k, " ".join(draw.choice([f"w{x}" for x in range(300)], 60))) for k in range(400)]
+    monkeypatch.setattr(packing, "TREE_DEPTH", 2)
+    found = packing.pack(docs(*rows), window=64, shard_docs=16, keep_ids=False).collect()
+    sizes = whole_and_full(found, rows, 64)
+    leaves = {r["sequence_id"] >> packing.LEAF_BITS for r in found}
+    # Four leaves of the tree, each dealt to up to eight by three signs.
+    assert 8 < len(leaves) <= 32 and len({leaf >> 3 for leaf in leaves}) == 4
+    assert sum(s < 64 for s in sizes) <= 2 * len(rows) / 16
