@@ -12,8 +12,8 @@ and articles quote the same passages, which they do:
 
 - Lines in menus, headers, footers, sidebars, adverts, notices, forms, comments and
   scripts, by element or by the words of class, id and role, go whether they are shared or not.
-- A line inside an article or main element that is shared stays if it stands inside such an element of the neighbour too
-  and reads like prose: both pages then say that it is text.
+- A line inside an article or main element that is shared stays if it ends like a sentence, or if it stands inside such an
+  element of the neighbour too and has SHORT_PROSE words or more: both pages then say that it is text.
 - A line outside such an element that markup does not know goes on a page that has one, unless the
   comparison finds it to be the page's own and it is a paragraph of LONG_PROSE words or more. On a page without
   one, all lines that are the page's own are its text.
@@ -172,9 +172,9 @@ def shared_lines(mine: list[int], theirs: list[int]) -> dict[int, int]:
 
 
 def prose(line: str) -> int:
-    """2 for a long paragraph, 1 for a line that reads like text, 0 for others."""
-    words, ends = len(line.split()), line.rstrip("\"'”»)]")[-1:] in ".!?…:;"
-    return 2 if ends and words >= LONG_PROSE else 1 if ends or words >= SHORT_PROSE else 0
+    """How a line reads: 3 a long paragraph, 2 a sentence, 1 many words, 0 a label."""
+    words, ends = len(line.split()), line.rstrip("\"'”»)]")[-1:] in tuple(".!?…:;")
+    return (3 if words >= LONG_PROSE else 2) if ends else int(words >= SHORT_PROSE)
 
 
 def by_markup(kinds: list[int]) -> list[int]:
@@ -191,9 +191,9 @@ def by_comparison(kinds: list[int], reads: list[int], sizes: list[int], shared:
     has_main, kept = MAIN_LINE in kinds, []
     for k, kind in enumerate(kinds):
         if kind == MAIN_LINE:
-            keep = k not in shared or (their_kinds[shared[k]] == MAIN_LINE and reads[k] > 0)
+            keep = k not in shared or reads[k] >= (1 if their_kinds[shared[k]] == MAIN_LINE else 2)
         elif kind == OTHER_LINE:
-            keep = k not in shared and (not has_main or reads[k] == 2)
+            keep = k not in shared and (not has_main or reads[k] == 3)
         else:
             keep = False
         if keep:

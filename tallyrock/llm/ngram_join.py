@@ -379,7 +379,7 @@ def in_blocks(large: DataFrame, payload: DataFrame, name: str) -> DataFrame:
 def candidates_of_large(mixed: DataFrame, found: DataFrame) -> DataFrame:
     """A written table of the rows of buckets of more than HOT rows that may link across components, by their points."""
     large = mixed.where(F.col("members") > HOT)
-    near = runs(in_blocks(large, found.select("cid", "point"), "point"), 4, maybe_linked, "cid long").distinct()
+    near = runs(in_blocks(large, found.select("cid", "point"), "point"), 4, maybe_linked, "cid long")
     return written(large.join(near, "cid", "left_semi"), "candidates")
 
 

@@ -72,6 +72,10 @@ def test_the_comparison_decides_on_every_page(spark):
     }
 
 
+def test_how_lines_read():
+    assert [E.prose(x) for x in ("Menu", "one two three four five six seven eight", "Edre.", "“Is it?”", LONG, "")] == [0, 1, 2, 2, 3, 0]
+
+
 def test_a_line_that_is_a_menu_on_the_neighbour_goes(spark):
     rows = [
         (1, "http://h.org/1", "<nav>Home and garden of all our readers today</nav><article><p>First text.</p><p>More of it.</p></article>"),
@@ -117,9 +121,9 @@ def test_a_whole_result_equals_brute_force(spark, seed):
         else:
             kept = []
             for i, v in mine.items():
-                reads = vocabulary[i][-1] in ".?" or len(vocabulary[i].split()) >= 8
-                paragraph = vocabulary[i][-1] in ".?" and len(vocabulary[i].split()) >= 25
-                if v == 0 and (i not in theirs or (theirs[i] == 0 and reads)):
+                sentence, long = vocabulary[i][-1] in ".?", len(vocabulary[i].split()) >= 8
+                paragraph = sentence and len(vocabulary[i].split()) >= 25
+                if v == 0 and (i not in theirs or sentence or (theirs[i] == 0 and long)):
                     kept.append(i)
                 if v == 1 and i not in theirs and (not has_main or paragraph):
                     kept.append(i)
