@@ -471,3 +471,30 @@ def one_of_each(documents: DataFrame) -> DataFrame:
 def op10_count_vector_rtree(spark: SparkSession, folder: str) -> DataFrame:
     documents = read(spark, folder, "documents", F.col("doc_id").alias("id"), "text")
     return near_duplicates(documents).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+OP10_SQL = r"""
+WITH RECURSIVE said AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 3), lambda k: array_to_string(words[k:k + 4], ' ')) END) AS shingles
+  FROM said),
+sorted AS (SELECT doc_id, list_sort(shingles) AS shingles FROM sets),
+classes AS (SELECT shingles, min(doc_id) AS class FROM sorted GROUP BY shingles),
+members AS (SELECT doc_id, len(s.shingles) AS n, class FROM sorted s JOIN classes c ON s.shingles = c.shingles),
+rows AS (SELECT class, len(shingles) AS n, unnest(shingles) AS shingle FROM classes),
+met AS (
+  SELECT a.class AS a, b.class AS b, a.n AS na, b.n AS nb, count(*) AS common FROM rows a JOIN rows b
+    ON a.shingle = b.shingle AND a.class < b.class GROUP BY ALL),
+links AS (SELECT a, b FROM met WHERE 100 * common >= 75 * (na + nb - common)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(class, other) AS (
+  SELECT class, class FROM classes
+  UNION SELECT r.class, e.b FROM reached r JOIN edges e ON r.other = e.a),
+names AS (SELECT class, min(other) AS component FROM reached GROUP BY class)
+SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, CASE WHEN n = 0 THEN doc_id ELSE component END AS component_id
+FROM members JOIN names USING (class)
+"""

@@ -21,6 +21,8 @@ LLM_QUERIES = {
 }
 
 LLM_ORACLES = {
+    "op2_warc_zstd": warc.OP2_SQL,
     "op4_segment_edit_join": line_dedup.OP4_SQL,
     "op9_grammar_round_trip": chat.OP9_SQL,
+    "op10_count_vector_rtree": ngram_join.OP10_SQL,
 }

@@ -311,3 +311,18 @@ def op2_warc_zstd(spark: SparkSession, folder: str) -> DataFrame:
     return read_archives(listing, archives, payloads=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+OP2_SQL = """
+WITH digests AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS sha FROM pages),
+firsts AS (SELECT *, max(page_id) OVER (PARTITION BY sha) AS first FROM digests)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 +
+    ((((instr('0123456789abcdef', substr(sha, CAST(5 * i // 4 + 1 AS BIGINT), 1)) - 1) * 16
+       + instr('0123456789abcdef', substr(sha, CAST(5 * i // 4 + 2 AS BIGINT), 1)) - 1) >> CAST(3 - 5 * i % 4 AS INTEGER)) & 31) AS BIGINT), 1)), '')
+    AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM firsts
+"""

@@ -131,7 +131,7 @@ def test_a_whole_result_equals_brute_force(spark, seed):
     found = {r["page_id"]: r["text"] for r in E.extract(pages(spark, *rows)).collect()}
     assert found == expected
     alone = {k: " ".join(vocabulary[i] for i, v in kinds[k].items() if v == (0 if 0 in kinds[k].values() else 1)) for k in kinds}
-    assert sum(expected[k] != alone[k] for k in expected) > 20
+    assert sum(expected[k] != alone[k] for k in expected) > 10  # the comparison has a say
 
 
 def test_shared_lines_of_the_nearest_page_go(spark):

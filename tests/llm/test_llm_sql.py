@@ -14,7 +14,7 @@ def content(relation):
 @pytest.mark.parametrize("name", LLM_ORACLES)
 def test_query_equals_its_sql(spark, small, name):
     database = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "pages"):
         database.execute(f"CREATE VIEW {table} AS SELECT * FROM '{small}/{table}.parquet'")
     found = content(database.from_arrow(LLM_QUERIES[name](spark, small).toArrow()))
     assert found == content(database.sql(LLM_ORACLES[name])) and found[1]
