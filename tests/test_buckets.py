@@ -1,6 +1,7 @@
 """Tables in key buckets: the latest rows and running totals, merged with the batches they do not have."""
 
 import os
+import re
 from pathlib import Path
 
 import pytest
@@ -177,3 +178,22 @@ def test_merged_batches_are_taken_by_what_they_hold(spark, bronze, paths):
 def test_a_table_without_batches_is_refused(spark, bronze, paths):
     with pytest.raises(ValueError):
         refresh_gold_increment(spark, paths["other"], paths["gold"])
+
+
+def test_a_bucket_that_outgrows_a_task_is_merged_in_slices_by_one_shuffle(spark, bronze, paths, monkeypatch):
+    monkeypatch.setattr("tallyrock.sinks.buckets.SLICE_ROWS", 50, raising=False)
+    plans = []
+
+    def latest(rows, keys, **options):
+        merged = latest_per_key(rows, keys, **options)
+        plans.append(re.findall(r"Exchange hashpartitioning\(.*?, (\d+)\)", plan_of(merged)))
+        return merged
+
+    monkeypatch.setattr("tallyrock.plans.current.latest_per_key", latest)
+    for number in range(2):
+        events = [{"transaction_id": f"T{i}", "event_id": f"{number}-{i}"} for i in range(400 - 100 * number)]
+        replace_batch(batch(bronze, number, *events), paths["silver"], f"stream-{number}")
+        kept = advance_current(spark, paths["silver"], paths["current"], buckets=2)
+        assert same(kept, silver_current(read_silver(spark, paths["silver"])).drop(BATCH_COLUMN))
+    assert all(len(shuffles) == 1 and int(shuffles[0]) >= 8 for shuffles in plans), plans
+    assert len(kept.inputFiles()) > 2
