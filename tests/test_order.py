@@ -1,5 +1,6 @@
 """Messages of an account in order on a bus."""
 
+import re
 from pathlib import Path
 
 import pytest
@@ -7,7 +8,7 @@ from plans import plan_of
 from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
-from tallyrock.sinks.publish import dealt_by_key, send_partitions
+from tallyrock.sinks.publish import SORT_SLICES, dealt_by_key, in_key_order, send_partitions
 
 
 def file_sender(folder, broken=False):
@@ -66,3 +67,23 @@ def test_a_sender_is_closed_when_sending_fails(spark, tmp_path):
     with pytest.raises(PythonException, match="bus is gone"):
         send_partitions(dealt_by_key(messages(spark, 10), 1), file_sender(str(tmp_path), broken=True))
     assert (tmp_path / "0.closed").exists()
+
+
+def test_an_order_is_worked_out_once_a_row_and_not_in_every_comparison(spark):
+    rows = messages(spark, 1000)
+    number = F.get_json_object(F.concat(F.lit('{"n":'), "value", F.lit("}")), "$.n").cast("long")
+    for ordered in (in_key_order(rows, number, "value", partitions=3), dealt_by_key(rows, 3, number)):
+        assert ordered.columns == ["key", "value"]
+        assert not re.search(r"Sort \[.*get_json_object", plan_of(ordered))
+        for part in ordered.rdd.glom().collect():
+            found = [(r.key or "", int(r.value)) for r in part if r.key]
+            by_key = {k: [v for key, v in found if key == k] for k, _ in found}
+            assert all(v == sorted(v) for v in by_key.values())
+
+
+def test_a_bus_partition_is_sorted_in_parts_and_a_key_stays_in_one(spark):
+    dealt = dealt_by_key(messages(spark, 3000), 4, "value")
+    assert "hashpartitioning(coalesce(key" in plan_of(dealt) and f", {4 * SORT_SLICES})" in plan_of(dealt)
+    parts = dealt.rdd.glom().collect()
+    holders = [{r.key for r in part if r.key} for part in parts]
+    assert len(parts) <= 4 and sum(map(len, holders)) == len(set().union(*holders))

@@ -5,6 +5,7 @@ import pytest
 from samples import payload
 from pyspark.sql import functions as F
 
+from plans import plan_of
 from tallyrock.operators.payload import (
     add_ingestion_metadata,
     decode,
@@ -119,3 +120,10 @@ def test_white_space_around_a_line_is_cut(spark, line):
 def test_more_than_one_object_is_no_line(spark, line):
     with pytest.raises(Exception, match="not a JSON line"):
         lines_to_messages(values(spark, line), strict=True).collect()
+
+
+def test_a_bare_line_passes_without_a_search_for_white_space(spark):
+    lines = values(spark, '{"account_id":"A"}', ' \t\n\x0b\f\r{"account_id":"B"}\r\x0b ', '{"account_id":"C"}\n')
+    messages = lines_to_messages(lines, strict=True)
+    assert sorted(messages.collect()) == [(k, f'{{"account_id":"{k}"}}') for k in "ABC"]
+    assert "regexp_replace" not in plan_of(messages)
