@@ -1,0 +1,74 @@
+"""What keeps the jobs' disk and time in proportion to the tables."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from plans import plan_of
+from registry import jobs
+from tallyrock.sources.star_schema import TABLES
+
+
+@pytest.fixture
+def tables(spark, tmp_path):
+    """A line item in each of two parts, and what it joins."""
+    rows = {
+        "nation": "25 AS n_nationkey, 'N' AS n_name, 1 AS n_regionkey",
+        "customer": "1L AS c_custkey, 'C' AS c_name, 25 AS c_nationkey, 5D AS c_acctbal, 'M' AS c_mktsegment",
+        "orders": "1L AS o_orderkey, 1L AS o_custkey, 'P' AS o_orderstatus, 9D AS o_totalprice,"
+        " TIMESTAMP_NTZ'1994-01-01' AS o_orderdate, '3-MEDIUM' AS o_orderpriority",
+        "part": "1L AS p_partkey, 'P' AS p_name, 'B' AS p_brand, 'T' AS p_type, 1 AS p_size, 2D AS p_retailprice",
+    }
+    for name, row in rows.items():
+        spark.range(1).selectExpr(*_columns(row, TABLES[name])).write.parquet(f"{tmp_path}/{name}.parquet")
+    lines = spark.createDataFrame([(1, "1994-02-03"), (2, "1999-02-03")], "n INT, day STRING").selectExpr(
+        "1L AS l_orderkey", "1L AS l_partkey", "1L AS l_suppkey", "n AS l_linenumber", "2D AS l_quantity",
+        "3D AS l_extendedprice", "0D AS l_discount", "0D AS l_tax", "'N' AS l_returnflag", "'O' AS l_linestatus",
+        "CAST(day AS TIMESTAMP_NTZ) AS l_shipdate",
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    return str(tmp_path)
+
+
+def _columns(row, schema):
+    columns = [c.strip() for c in row.split(",")]
+    assert len(columns) == len(schema.split(","))
+    return columns
+
+
+def test_a_part_of_the_events_reads_no_written_copy_and_joins_its_own_line_items_only(spark, tables):
+    parts = jobs.bronze_increments(spark, tables)
+    assert [part.count() for part in parts] == [1, 0, 1, 0]
+    for part in parts:
+        files = part.inputFiles()
+        assert files and all(f.startswith(f"file://{tables}/") for f in files)
+    plan = plan_of(parts[1])
+    assert plan.index("SortMergeJoin") < plan.rindex("Filter", 0, plan.index("lineitem.parquet")) < plan.index("1998-01-01")
+
+
+def test_a_replayed_increment_is_worked_out_once(spark, tables, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+    increment = jobs.silver_increment
+
+    def counted(*args, **options):
+        count = F.udf(lambda text: seen.add(1) or text)
+        return increment(*args, **options).withColumn("event_id", count("event_id"))
+
+    monkeypatch.setattr(jobs, "silver_increment", counted)
+    assert jobs.silver_replay(spark, tables).count() == 2
+    assert seen.value == 2
+
+
+def test_a_job_runs_with_the_settings_it_relies_on(spark, tables):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128MB")
+    try:
+        assert jobs.ALL_JOBS["table_scan"](spark, tables).count() == 2
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "32MB"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_lines_are_written_packed(spark, tables):
+    folder = jobs.lines_folder(spark, jobs.event_messages(spark, tables))
+    lines = spark.read.text(folder).select("_metadata.file_name", "value").collect()
+    assert len(lines) == 2 and all(line[0].endswith(".txt.gz") for line in lines)
