@@ -11,7 +11,7 @@ The join cuts every line evenly into threshold + 1 segments. A line within
 the two lengths bound; so every line probes the segments of its own and of the
 `threshold` smaller lengths with the few substrings that can match. Lines that
 meet must have words that so few edits can explain, checked inside the join by 64
-bits of each line, and are then verified by a bit-parallel edit distance of the band of
+bits of each line, and are then verified by Spark's edit distance of the band of
 2 threshold + 1 diagonals. All of it is DataFrame functions.
 
 Lines go through shuffles as hashes: 128 bits decide equality. Occurrences of a line become one row
@@ -28,14 +28,13 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tallyrock.llm.common import read, unused, written
+from tallyrock.llm.common import may_be_among, read, unused, written
 
 THRESHOLD = 2
 MIN_CHARS = 32
 NOT_BLANK = r"[^ \t\r\f\x0B]"
 PREFIX_BITS = 20
 KEY = re.compile(r"k\d+")
-TOP = 40  # bit of the lowest diagonal in the band's words
 
 
 def split_lines(text: Column) -> Column:
@@ -44,10 +43,11 @@ def split_lines(text: Column) -> Column:
 
 def lines_of(documents: DataFrame) -> DataFrame:
     """(doc_id, version, place, line) of the lines that are not blank."""
-    lines = documents.select(
-        "doc_id", F.xxhash64("text").alias("version"), F.posexplode(split_lines(F.col("text"))).alias("place", "line")
-    )
-    return lines.where(F.col("line").rlike(NOT_BLANK))
+    # What is computed from a text comes before its lines are rows. No array is empty; a plain explode would cut once more to check that.
+    once = documents.select("doc_id", F.xxhash64("text").alias("version"), split_lines(F.col("text")).alias("lines"))
+    lines = once.select("doc_id", "version", F.posexplode_outer("lines").alias("place", "line"))
+    # Most lines start with a character that is none of the blanks: those need no search.
+    return lines.where((F.ascii("line") > 32) | F.col("line").rlike(NOT_BLANK))
 
 
 def line_hashes() -> list[Column]:
@@ -153,76 +153,10 @@ def lines_that_meet(firsts: DataFrame, threshold: int) -> DataFrame:
     return found.select(own.alias("near_h1")).distinct()
 
 
-def let(value: Column, then) -> Column:
-    """`then` of a value that is computed once."""
-    return F.transform(F.array(value), then)[0]
-
-
 def edit_distance(a: Column, b: Column, threshold: int) -> Column:
-    """The edit distance of two texts, right up to `threshold` and larger than it otherwise.
-
-    Bit-parallel over the band: a word has the vertical differences of a column of the distance
-    table on the diagonals -threshold to threshold, and the distance is followed down the last
-    diagonal to the last row and then along it. Both texts are longer than the threshold, and
-    their lengths differ by at most the threshold.
-    """
-    mask = (1 << (TOP + 1)) - 1
-
-    def word(x: int) -> Column:
-        return F.lit(x).cast("long")
-
-    def inverse(x: Column) -> Column:
-        return F.bitwise_not(x).bitwiseAND(word(mask))
-
-    def step(texts: Column, state: Column, i: Column) -> Column:
-        # The distance can fall by one at each of at most 2 threshold steps along the last row.
-        return F.when(state["d"] > 3 * threshold, state).otherwise(next_column(texts, state, i))
-
-    def next_column(texts: Column, state: Column, i: Column) -> Column:
-        one, rows = texts["one"], texts["rows"]
-        letter = F.get(texts["other"], i)
-        matches = word(0)
-        for k in range(2 * threshold + 1):
-            at = i + (k - threshold)
-            same = (at >= 0) & (F.get(one, at) == letter)
-            matches = matches.bitwiseOR(F.when(same, word(1 << (TOP - 2 * threshold + k))).otherwise(word(0)))
-
-        def diagonal(x: Column) -> Column:
-            vp, vn = state["vp"], state["vn"]
-            carried = (x.bitwiseAND(vp) + vp).bitwiseXOR(vp)
-            return carried.bitwiseOR(x).bitwiseOR(vn).bitwiseAND(word(mask))
-
-        def after(d0: Column) -> Column:
-            vp, vn = state["vp"], state["vn"]
-            hp, hn = vn.bitwiseOR(inverse(d0.bitwiseOR(vp))), d0.bitwiseAND(vp)
-            return let(F.struct(hp.alias("hp"), hn.alias("hn"), d0.alias("d0")), moved)
-
-        def moved(h: Column) -> Column:
-            down = F.shiftright(h["d0"], 1)
-            left = i - (rows - threshold)  # steps along the last row so far
-            row_bits = F.array(*[word(1 << (TOP - 1 - k)) for k in range(2 * threshold + 1)])
-            here = F.get(row_bits, F.greatest(left, F.lit(0)))
-            change = F.when(left < 0, F.when(h["d0"].bitwiseAND(word(1 << TOP)) == 0, 1).otherwise(0)).otherwise(
-                F.when(h["hp"].bitwiseAND(here) != 0, 1).otherwise(0) - F.when(h["hn"].bitwiseAND(here) != 0, 1).otherwise(0)
-            )
-            return F.struct(
-                h["hn"].bitwiseOR(inverse(down.bitwiseOR(h["hp"]))).alias("vp"),
-                down.bitwiseAND(h["hp"]).alias("vn"),
-                (state["d"] + change).alias("d"),
-            )
-
-        return let(let(matches, diagonal), after)
-
-    first = sum(1 << (TOP - k) for k in range(threshold + 1))
-    start = F.struct(word(first).alias("vp"), word(0).alias("vn"), F.lit(threshold).alias("d"))
-
-    def over(texts: Column) -> Column:
-        places = F.sequence(F.lit(0), F.size(texts["other"]) - 1)
-        return F.aggregate(places, start, lambda state, i: step(texts, state, i), lambda s: s["d"])
-
-    # The letters are bound once; inside the steps a call of split would run at every step.
-    one, other = F.split(a, ""), F.split(b, "")
-    return let(F.struct(one.alias("one"), other.alias("other"), F.char_length(a).alias("rows")), over)
+    """The edit distance of two texts, right up to `threshold` and larger than it otherwise: of the band of that width only."""
+    found = F.levenshtein(a, b, threshold)
+    return F.when(found < 0, threshold + 1).otherwise(found)
 
 
 def texts_of(wanted: DataFrame, documents: DataFrame) -> DataFrame:
@@ -262,25 +196,31 @@ def repeated_lines(documents: DataFrame, threshold: int = THRESHOLD, min_chars:
     `version` is a hash of the text, which tells rows with the same doc_id apart.
     """
     documents = documents.select("doc_id", "text")
-    long = F.char_length("line") >= min_chars
+    long = F.col("size") >= min_chars
     lines = lines_of(documents).withColumn("size", F.char_length("line"))
-    keys = [F.when(long, key).alias(f"k{n}") for n, key in enumerate(all_keys(threshold))]
+    keys = F.when(long, F.array(*all_keys(threshold))).alias("keys")
     where = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version", "place")
-    places = written(lines.select(*line_hashes(), "doc_id", "version", "place", *keys), "line-places")
-    names = [f"k{n}" for n in range(len(keys))]
-    firsts = places.groupBy("h1", "h2").agg(F.min(where).alias("first"), *(F.first(n).alias(n) for n in names))
+    # The texts are cut once more for the places: keys of every line are more to store than the documents.
+    places = lines.select(*line_hashes(), "doc_id", "version", "place")
+    keyed = lines.select(*line_hashes(), "doc_id", "version", "place", keys)
+    firsts = keyed.groupBy("h1", "h2").agg(F.min(where).alias("first"), F.first("keys").alias("keys"))
     firsts = written(firsts, "first-lines")
 
-    near = near_pairs(firsts, documents, threshold, min_chars)
-    a = firsts.select(F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("first").alias("fa"))
-    b = firsts.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("first").alias("fb"))
+    # One column through the aggregation, whose rows would be twice as wide with a column a key.
+    each = firsts.select("h1", *(F.col("keys")[n].alias(f"k{n}") for n in range(len(all_keys(threshold)))))
+    near = written(near_pairs(each, documents, threshold, min_chars), "near-lines")
+    # Few lines are near another: most are dropped before the joins.
+    ends = near.select(F.explode(F.array("a1", "b1")).alias("end"))
+    some = written(may_be_among(firsts.select("h1", "h2", "first"), "h1", ends, "end"), "near-firsts")
+    a = some.select(F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("first").alias("fa"))
+    b = some.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("first").alias("fb"))
     ordered = near.join(a, ["a1", "a2"]).join(b, ["b1", "b2"])
     later = F.when(F.col("fa") < F.col("fb"), F.struct(F.col("b1").alias("h1"), F.col("b2").alias("h2"))).otherwise(
         F.struct(F.col("a1").alias("h1"), F.col("a2").alias("h2"))
     )
     gone = ordered.select(later.alias("line")).select("line.*").distinct().withColumn("gone", F.lit(True))
     known = firsts.select("h1", "h2", "first").join(gone, ["h1", "h2"], "left")
-    judged = places.select("h1", "h2", "doc_id", "version", "place").join(known, ["h1", "h2"])
+    judged = places.join(known, ["h1", "h2"])
     dropped = judged.where(F.col("gone") | (where != F.col("first")))
     return dropped.groupBy("doc_id", "version").agg(F.array_sort(F.collect_set("place")).alias("dropped"))
 

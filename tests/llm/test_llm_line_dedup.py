@@ -134,3 +134,13 @@ def test_the_pipeline_drops_copies_with_short_lines(spark, docs):
     frame = docs((1, text), (2, text), (3, f"{text}New.")).withColumn("n_chars", F.length("text"))
     found = {r["doc_id"]: r["text"] for r in fresh_lines(spark, frame, "").collect()}
     assert found == {1: text, 3: "New."}
+
+
+def test_no_table_has_a_row_per_occurrence_with_its_keys(docs, monkeypatch):
+    kept, write = [], L.written
+    monkeypatch.setattr(L, "written", lambda frame, label: kept.append(frame.columns) or write(frame, label))
+    line = "a line that is long enough to count here"
+    found = L.repeated_lines(docs((1, line), (2, f"{line}\nother"), (3, line.replace("long", "lung")))).collect()
+    assert sorted((r["doc_id"], r["dropped"]) for r in found) == [(2, [0]), (3, [0])]
+    assert kept and not any("place" in columns for columns in kept)
+    assert [c for c in kept if "keys" in c] == [["h1", "h2", "first", "keys"]]
