@@ -142,21 +142,30 @@ def classes(documents: DataFrame, levels: np.ndarray) -> DataFrame:
     return written(groups.withColumn("cid", F.monotonically_increasing_id()), "classes")
 
 
+def may_link(na: str, nb: str):
+    """Whether sets of these sizes may link."""
+    return F.least(na, nb) * (100 + PERCENT) >= (F.col(na) + F.col(nb)) * PERCENT
+
+
 def buckets(found: DataFrame) -> DataFrame:
-    """A written table of (token, cid, leader, members) of the tokens that more than one class has."""
-    tokens = found.select("cid", F.explode("prefix").alias("token"))
+    """A written table of (token, cid, n, members, leader, leader_n) of the tokens that more than one class has."""
+    tokens = found.select("cid", "n", F.explode("prefix").alias("token"))
     same = Window.partitionBy("token")
-    rows = tokens.withColumns({"members": F.count("*").over(same), "leader": F.min("cid").over(same)})
+    over = {"members": F.count("*"), "leader": F.min("cid"), "leader_n": F.min_by("n", "cid")}
+    rows = tokens.withColumns({name: value.over(same) for name, value in over.items()})
     return written(rows.where("members > 1"), "buckets")
 
 
+def star_pairs(rows: DataFrame) -> DataFrame:
+    """(a, b, na, nb): each bucket's smallest class with every other one that may link with it by size."""
+    stars = rows.where((F.col("cid") != F.col("leader")) & may_link("leader_n", "n"))
+    return stars.select(F.col("leader").alias("a"), F.col("cid").alias("b"), F.col("leader_n").alias("na"), F.col("n").alias("nb")).distinct()
+
+
 def with_points(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs (a, b) that their sizes and points allow to link."""
-    sizes = found.select("cid", "n")
-    sized = pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
-    sized = sized.where(F.least("na", "nb") * (100 + PERCENT) >= (F.col("na") + F.col("nb")) * PERCENT)
+    """Pairs (a, b) of (a, b, na, nb) that their points allow to link."""
     points = found.select("cid", "point")
-    both = sized.join(points.toDF("a", "pa"), "a").join(points.toDF("b", "pb"), "b")
+    both = pairs.join(points.toDF("a", "pa"), "a").join(points.toDF("b", "pb"), "b")
 
     def work(columns: list[list]) -> list[list]:
         kept = [allowed(*row) for row in zip(*columns[2:])]
@@ -304,19 +313,18 @@ def linked_in_place(rows: list[tuple]) -> list[tuple[int, int]]:
     return found
 
 
-def mixed_buckets(rows: DataFrame, found: DataFrame, parts: DataFrame) -> DataFrame:
+def mixed_buckets(rows: DataFrame, parts: DataFrame) -> DataFrame:
     """A written table of the buckets, without their leaders, that hold different components.
 
     Buckets are split by bands of sizes; a row stands in its own band, and as `upper` in the one
     below. (sign, members) names a bucket, and buckets with the same rows are one.
     """
-    known = rows.where("members > 2 AND cid <> leader").join(found.select("cid", "n"), "cid")
-    known = known.join(parts.toDF("cid", "component"), "cid", "left")
+    known = rows.where("members > 2 AND cid <> leader").join(parts.toDF("cid", "component"), "cid", "left")
     known = known.withColumn("component", F.coalesce("component", "cid"))
     # What is in one component needs no bands.
     token = Window.partitionBy("token")
     known = known.withColumns({"low": F.min("component").over(token), "high": F.max("component").over(token)})
-    known = known.where("low <> high").drop("low", "high", "leader", "members")
+    known = known.where("low <> high").drop("low", "high", "leader", "leader_n", "members")
     band = F.floor(F.log("n") / F.log(F.lit(BAND)))
     places = F.array(
         F.struct(band.alias("band"), F.lit(0).alias("upper")), F.struct((band - 1).alias("band"), F.lit(1).alias("upper"))
@@ -423,11 +431,10 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     found = classes(documents, rarity(counted))
     rows = buckets(found)
 
-    stars = rows.where("cid <> leader").select(F.col("leader").alias("a"), F.col("cid").alias("b")).distinct()
-    pairs = written(with_points(stars, found), "pairs")
+    pairs = written(with_points(star_pairs(rows), found), "pairs")
     links = verified(pairs, known_sets(ends_of(pairs), found, documents))
 
-    mixed = mixed_buckets(rows, found, components(links))
+    mixed = mixed_buckets(rows, components(links))
     pairs = written(pairs_of_small(mixed, found), "pairs")
     large = candidates_of_large(mixed, found)
     known = known_sets(ends_of(pairs).unionAll(large.select("cid")), found, documents)

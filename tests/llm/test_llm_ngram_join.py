@@ -125,3 +125,11 @@ def test_sets_are_packed_in_order():
     for own in sets:
         assert N.unpack_set(N.pack_set(own)).tolist() == (own >> np.uint64(16)).tolist()
     assert N.overlap(*(N.unpack_set(N.pack_set(x)) for x in (sets[0], sets[0][3:]))) == len(sets[0]) - 3
+
+
+def test_classes_that_their_sizes_keep_apart_are_no_pairs(spark):
+    found = spark.createDataFrame([(1, 100, [7, 8]), (2, 76, [7]), (3, 74, [7, 8]), (4, 40, [9])], "cid long, n long, prefix array<long>")
+    rows = N.buckets(found)
+    assert {(r["token"], r["cid"], r["leader"], r["leader_n"], r["members"]) for r in rows.collect()} == {
+        (7, 1, 1, 100, 3), (7, 2, 1, 100, 3), (7, 3, 1, 100, 3), (8, 1, 1, 100, 2), (8, 3, 1, 100, 2)}
+    assert [tuple(r) for r in N.star_pairs(rows).collect()] == [(1, 2, 100, 76)]
