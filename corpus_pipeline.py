@@ -8,12 +8,31 @@ operator of each stage says.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyrock.llm import decontaminate, line_dedup, ngram_join, packing, quality
 from tallyrock.llm.common import read, written
 
 
+# Rows that go to a Python worker at a time. Workers and executors keep the memory of their largest batch from
+# stage to stage, and the default is ten times as many.
+BATCH_ROWS = 1024
+
+
+def in_small_batches(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The stage, in a session that sends few rows at a time to its Python workers."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality model does not reject."""
     labels = read(spark, sf_dir, "labels", "doc_id", "quality")
@@ -42,11 +61,14 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("quality", good_documents),
-    ("line_dedup", fresh_lines),
-    ("near_duplicates", one_of_each_group),
-    ("decontamination", without_benchmark),
-    ("packing", packed),
+    (name, in_small_batches(stage))
+    for name, stage in (
+        ("quality", good_documents),
+        ("line_dedup", fresh_lines),
+        ("near_duplicates", one_of_each_group),
+        ("decontamination", without_benchmark),
+        ("packing", packed),
+    )
 ]
 
 #: SQL cannot express the learned model, the index or the packing.

@@ -47,6 +47,7 @@ LEAST_SAMPLE, MOST_SAMPLE = 1 << 12, 1 << 17  # in all
 TREE_DEPTH = 12  # 2 MB of directions
 SIGN_DEPTH = 16  # more levels by signs
 LEAF_BITS = 63 - TREE_DEPTH - SIGN_DEPTH  # for the sequences of a leaf
+ROWS = 256  # queries of a shard that are scored at a time
 DENSE = 24  # terms in more documents of a shard are scored as a matrix, the others by their postings
 
 PIECE_SCHEMA = (
@@ -267,7 +268,10 @@ def similarities(documents: list[np.ndarray], idf: np.ndarray, mean_tokens: floa
     in_wide = np.repeat(local > DENSE, local)
     matrix = np.zeros((n, len(wide)), np.float32)
     matrix[doc[in_wide], column[in_wide]] = weight[in_wide]
-    scores = (matrix > 0).astype(np.float32) @ matrix.T
+    scores, across = np.empty((n, n), np.float32), np.ascontiguousarray(matrix.T)
+    for top in range(0, n, ROWS):
+        scores[top : top + ROWS] = (matrix[top : top + ROWS] > 0).astype(np.float32) @ across
+    del matrix, across
     flat = scores.reshape(-1)
     for size in range(2, DENSE + 1):
         first = starts[local == size]

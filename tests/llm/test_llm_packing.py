@@ -135,3 +135,11 @@ def test_below_the_tree_the_signs_of_the_sketch_deal_on(docs, monkeypatch):
     # Four leaves of the tree, each dealt to up to eight by three signs.
     assert 8 < len(leaves) <= 32 and len({leaf >> 3 for leaf in leaves}) == 4
     assert sum(s < 64 for s in sizes) <= 2 * len(rows) / 16
+
+
+def test_scores_of_a_shard_do_not_depend_on_the_rows_scored_at_a_time(monkeypatch):
+    random = np.random.default_rng(3)
+    documents = [random.integers(0, 300, size).astype(np.uint32) for size in random.integers(0, 80, 150)]
+    whole = packing.similarities(documents, np.ones(300), 40.0)
+    monkeypatch.setattr(packing, "ROWS", 7)
+    assert np.allclose(packing.similarities(documents, np.ones(300), 40.0), whole, rtol=1e-5)

@@ -53,3 +53,12 @@ def test_queries_are_registered():
     import __spark_entry__ as entry
 
     assert {"pipeline", *LLM_QUERIES} <= set(entry.queries())
+
+
+def test_stages_send_few_rows_at_a_time_to_python(spark, small):
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    for _, stage in P.STAGES:
+        spark.conf.unset(setting)
+        stage(spark, docs, small)
+        assert int(spark.conf.get(setting)) == P.BATCH_ROWS <= 1024
