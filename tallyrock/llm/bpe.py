@@ -79,6 +79,10 @@ class Vocabulary:
         self.made = [ids[a + b] for a, b in merges]
         self.parts = [(ids[a], ids[b]) for a, b in merges]
         self.ranks = {pair: rank for rank, pair in enumerate(self.parts)}
+        # Of two bytes that follow each other, by whether the second ends its word; -1 for none.
+        self.first_ranks = np.array(
+            [[[self.ranks.get((a, b), -1) for b in ends] for a in inner.tolist()] for ends in (inner.tolist(), last.tolist())]
+        )
         born = {made: rank for rank, made in enumerate(self.made)}
         if len(born) < len(merges) or any(born.get(part, -1) >= rank for rank, pair in enumerate(self.parts) for part in pair):
             raise ValueError(f"a merge that makes a pair of a lower rank: {path}")
@@ -124,11 +128,14 @@ def merge_words(words: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray,
     symbols, after, before = symbols.tolist(), after.tolist(), before.tolist()
 
     places = defaultdict(set)  # of each rank
-    for place, following in enumerate(after):
-        if following >= 0:
-            rank = ranks.get((symbols[place], symbols[following]))
-            if rank is not None:
-                places[rank].add(place)
+    ends_word = np.zeros(n, np.int64)
+    ends_word[ends - 1] = 1
+    first = np.where(ends_word[:-1] == 1, -1, vocabulary.first_ranks[ends_word[1:], row[:-1], row[1:]])
+    known = np.flatnonzero(first >= 0)
+    known = known[np.argsort(first[known], kind="stable")]
+    starts = np.flatnonzero(np.append(True, first[known[1:]] != first[known[:-1]])) if len(known) else known
+    for part in np.split(known, starts[1:]) if len(known) else ():
+        places[int(first[part[0]])] = set(part.tolist())
     active = list(places)
     heapify(active)
     while active:
@@ -137,19 +144,12 @@ def merge_words(words: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray,
         found = places.pop(rank)
         for place in sorted(found):
             if symbols[place] != left:
-                continue  # an overlap: the place was the right half of the merge before
+                continue  # the place has become another symbol or the right half of a merge
             second = after[place]
             if second < 0 or symbols[second] != right:
                 continue
             ahead, behind = after[second], before[place]
-            if ahead >= 0:
-                old = ranks.get((right, symbols[ahead]))
-                if old in places:
-                    places[old].discard(second)
-            if behind >= 0:
-                old = ranks.get((symbols[behind], left))
-                if old in places:
-                    places[old].discard(behind)
+            # The pairs that end here stay in the index: their places are looked at when their turn comes.
             symbols[place], symbols[second], after[place] = new, -1, ahead
             if ahead >= 0:
                 before[ahead] = place
@@ -234,14 +234,19 @@ def load(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+@lru_cache(maxsize=2)
+def encoder_of(path: str) -> Encoder:
+    """The encoder of a Python worker, which keeps the words it has merged from one task to the next."""
+    return Encoder(load(path))
+
+
 def round_trip(documents: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """(doc_id, ids, decoded) of each row: the ids of its text, and the text that these ids decode to."""
     path = vocabulary or public_tokenizers.path(VOCABULARY)
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = load(path)
-        encoder = Encoder(words)
+        words, encoder = load(path), encoder_of(path)
         for part in parts:
             for start in range(0, part.num_rows, ROWS):
                 piece = part.slice(start, ROWS)

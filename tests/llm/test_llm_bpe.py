@@ -83,3 +83,11 @@ def test_other_layouts_are_refused(tmp_path):
     path.write_text(json.dumps(content))
     with pytest.raises(ValueError):
         bpe.Vocabulary(str(path))
+
+
+def test_a_worker_keeps_its_merged_words_from_task_to_task():
+    encoder = bpe.encoder_of(PATH)
+    assert encoder(["river mill river"])[0].tolist() == expected("river mill river")[0]
+    known = len(encoder.numbers)
+    assert bpe.encoder_of(PATH) is encoder and bpe.encoder_of(PATH)(["mill river"])[0].tolist() == expected("mill river")[0]
+    assert len(encoder.numbers) == known
