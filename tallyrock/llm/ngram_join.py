@@ -8,10 +8,11 @@ classes of equal sets apart from links between different sets:
    orders the shingles, rare ones first; any order gives the same links.
 2. A class is one set. Linked sets share at least one of the first
    n - ceil(0.75 n) + 1 shingles of both, so classes that share one of these
-   meet in its bucket.
+   meet in its bucket. They even share one that is among the first n - ceil(6 n / 7) + 1
+   of the smaller, so in a bucket a class meets larger ones only if it has the token that near the front.
 3. A class is also a point: its shingles are hashed into groups, and the group
    counts are coordinates. The intersection of two sets is at most the sum of
-   coordinate minima. In a bucket, first its smallest class meets the others;
+   coordinate minima. In a bucket, first one class meets the others;
    pairs that pass the bound are verified on the sets, and links make
    components. Buckets that then still hold different components get an R-tree
    over the points by size, whose boxes bound the overlap of a whole subtree;
@@ -47,7 +48,7 @@ from tallyrock.llm.shingles import shingle_sets
 PERCENT = 75
 TABLE = 1 << 18  # counters of the frequency table
 LEVELS = 7
-PER_GROUP = 4  # shingles a group at least
+PER_GROUP = 2  # shingles a group at least
 MOST_GROUPS = 1 << 14
 HOT = 64  # classes of a bucket whose pairs are listed
 BLOCK = 4096  # classes of a bucket in one task
@@ -106,20 +107,40 @@ def point(shingles: np.ndarray) -> bytes:
     while groups < MOST_GROUPS and 2 * PER_GROUP * groups <= len(shingles):
         groups *= 2
     counts = np.bincount((shingles >> np.uint64(8)).astype(np.int64) % groups, minlength=groups)
-    return counts.astype(np.uint16).tobytes() if counts.max() > 255 else counts.astype(np.uint8).tobytes() + b"\0"
+    if counts.max() > 255:
+        return counts.astype(np.uint16).tobytes() + b"\2"
+    counts = counts.astype(np.uint8)
+    return counts.tobytes() + b"\1" if counts.max() > 15 else (counts[::2] | counts[1::2] << 4).tobytes() + b"\0"
 
 
 def unpack(raw: bytes) -> np.ndarray:
-    """One byte a count where the length is odd, else two."""
-    return np.frombuffer(raw[:-1], np.uint8).astype(np.int32) if len(raw) % 2 else np.frombuffer(raw, np.uint16).astype(np.int32)
+    """The last byte says how long a count is: half a byte, one or two."""
+    if raw[-1]:
+        return np.frombuffer(raw[:-1], np.uint8 if raw[-1] == 1 else np.uint16).astype(np.int32)
+    pairs = np.frombuffer(raw[:-1], np.uint8)
+    return np.stack([pairs & 15, pairs >> 4], axis=1).reshape(-1).astype(np.int32)
 
 
 def fold(counts: np.ndarray, groups: int) -> np.ndarray:
     return counts.reshape(-1, groups).sum(axis=0)
 
 
+def pack_order(values: np.ndarray) -> bytes:
+    """Numbers in rising order as their steps, each of as many bytes as the largest needs, after that number."""
+    steps = np.diff(values, prepend=np.uint64(0))
+    width = max(1, -(-int(steps.max()).bit_length() // 8))
+    return bytes([width]) + steps.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def unpack_order(raw: bytes) -> np.ndarray:
+    width = raw[0]
+    wide = np.zeros(((len(raw) - 1) // width, 8), np.uint8)
+    wide[:, :width] = np.frombuffer(raw, np.uint8, offset=1).reshape(-1, width)
+    return np.cumsum(wide.view(np.uint64).reshape(-1), dtype=np.uint64)
+
+
 def classes(documents: DataFrame, levels: np.ndarray) -> DataFrame:
-    """A written table of the classes: cid, class, id (smallest), n, prefix and point."""
+    """A written table of the classes: cid, class, id (smallest), n, packed prefix and point."""
 
     def work(columns: list[list]) -> list[list]:
         found = []
@@ -129,11 +150,11 @@ def classes(documents: DataFrame, levels: np.ndarray) -> DataFrame:
                 level = levels[(shingles % TABLE).astype(np.int64)].astype(np.uint64)
                 order = np.sort((level << np.uint64(61)) | (shingles >> np.uint64(3)))
                 # A token that stands for several shingles only makes classes meet that need not.
-                prefix = (order[: n - -(-PERCENT * n // 100) + 1] >> np.uint64(16)).view(np.int64)
+                prefix = pack_order(order[: n - -(-PERCENT * n // 100) + 1] >> np.uint64(16))
                 found.append((doc_id, digest(shingles), n, prefix, point(shingles)))
         return [list(c) for c in zip(*found)] or [[]] * 5
 
-    schema = "id long, class binary, n long, prefix array<long>, point binary"
+    schema = "id long, class binary, n long, prefix binary, point binary"
     rows = map_rows(documents, work, schema, rows=ROWS)
     # Copies are combined in the map tasks first.
     groups = rows.groupBy("class").agg(
@@ -142,23 +163,41 @@ def classes(documents: DataFrame, levels: np.ndarray) -> DataFrame:
     return written(groups.withColumn("cid", F.monotonically_increasing_id()), "classes")
 
 
+def with_prefixes(found: DataFrame) -> DataFrame:
+    """(cid, n, prefix) of the classes, the prefix as numbers in their order."""
+
+    def work(columns: list[list]) -> list[list]:
+        return [*columns[:2], [unpack_order(raw).view(np.int64) for raw in columns[2]]]
+
+    return map_rows(found.select("cid", "n", "prefix"), work, "cid long, n long, prefix array<long>")
+
+
 def may_link(na: str, nb: str):
     """Whether sets of these sizes may link."""
     return F.least(na, nb) * (100 + PERCENT) >= (F.col(na) + F.col(nb)) * PERCENT
 
 
 def buckets(found: DataFrame) -> DataFrame:
-    """A written table of (token, cid, n, members, leader, leader_n) of the tokens that more than one class has."""
-    tokens = found.select("cid", "n", F.explode("prefix").alias("token"))
+    """A written table of (token, cid, n, near, members, leader, leader_n) of the tokens that more than one class has.
+
+    `near` is whether the token stands so near the front of the prefix that the class meets larger ones by it. The
+    leader is such a class, and a class that neither is near nor has a near one of its size or less before it is left out.
+    """
+    tokens = found.select("cid", "n", F.posexplode("prefix").alias("place", "token"))
+    near = F.expr(f"place <= n - (2 * {PERCENT} * n + {99 + PERCENT}) DIV {100 + PERCENT}")
+    # These rows are most of what is shuffled: both in one column, before the token.
+    tokens = tokens.select("cid", (2 * F.col("n") + near.cast("int")).alias("both"), "token").repartition("token")
+    tokens = tokens.select("token", "cid", F.expr("both DIV 2").alias("n"), F.expr("both % 2 = 1").alias("near"))
     same = Window.partitionBy("token")
-    over = {"members": F.count("*"), "leader": F.min("cid"), "leader_n": F.min_by("n", "cid")}
+    near_cid, near_n = F.when(F.col("near"), F.col("cid")), F.when(F.col("near"), F.col("n"))
+    over = {"members": F.count("*"), "leader": F.min(near_cid), "leader_n": F.min_by("n", near_cid), "least": F.min(near_n)}
     rows = tokens.withColumns({name: value.over(same) for name, value in over.items()})
-    return written(rows.where("members > 1"), "buckets")
+    return written(rows.where("members > 1 AND (near OR n >= least)").drop("least"), "buckets")
 
 
 def star_pairs(rows: DataFrame) -> DataFrame:
-    """(a, b, na, nb): each bucket's smallest class with every other one that may link with it by size."""
-    stars = rows.where((F.col("cid") != F.col("leader")) & may_link("leader_n", "n"))
+    """(a, b, na, nb): each bucket's leader with every other one that may link with it by size."""
+    stars = rows.where((F.col("cid") != F.col("leader")) & may_link("leader_n", "n") & F.expr("near OR n >= leader_n"))
     return stars.select(F.col("leader").alias("a"), F.col("cid").alias("b"), F.col("leader_n").alias("na"), F.col("n").alias("nb")).distinct()
 
 
@@ -194,21 +233,28 @@ def unpack_set(raw: bytes) -> np.ndarray:
 def known_sets(wanted: DataFrame, found: DataFrame, documents: DataFrame) -> DataFrame:
     """A written table (cid, set) of some classes; their texts are read once more.
 
-    Most texts that are not wanted are dropped before the shuffle.
+    Most texts that are not wanted are dropped before the shuffle. A task makes a class's set once, and
+    only if several tasks have made one, since an id and its text repeat, do the sets move to drop them.
     """
     ids = wanted.distinct().join(found.select("cid", "class", F.col("id").alias("wanted")), "cid")
     ids = written(ids, "wanted")
     some = may_be_among(documents, "id", ids, "wanted")
     texts = some.join(ids, F.col("id").eqNullSafe(F.col("wanted")))
 
+    made = set()
+
     def sets(columns: list[list]) -> list[list]:
-        rows = [
-            (cid, pack_set(s)) for cid, kind, s in zip(columns[0], columns[1], shingle_sets(columns[2])) if digest(s) == kind
-        ]
+        rows = []
+        for cid, kind, s in zip(columns[0], columns[1], shingle_sets(columns[2])):
+            if cid not in made and digest(s) == kind:
+                made.add(cid)
+                rows.append((cid, pack_set(s)))
         return [list(c) for c in zip(*rows)] or [[]] * 2
 
     known = map_rows(texts.select("cid", "class", "text"), sets, "cid long, set binary", rows=ROWS)
-    return written(known.dropDuplicates(["cid"]), "sets")
+    known = written(known, "sets")
+    repeated = known.groupBy("cid").agg(F.count("*").alias("copies")).where("copies > 1")
+    return known if repeated.isEmpty() else written(known.dropDuplicates(["cid"]), "sets")
 
 
 def overlap(x: np.ndarray, y: np.ndarray) -> int:
@@ -329,8 +375,11 @@ def mixed_buckets(rows: DataFrame, parts: DataFrame) -> DataFrame:
     places = F.array(
         F.struct(band.alias("band"), F.lit(0).alias("upper")), F.struct((band - 1).alias("band"), F.lit(1).alias("upper"))
     )
-    banded = known.withColumn("in", F.explode(places)).select("cid", "n", "component", "token", "in.band", "in.upper")
+    banded = known.withColumn("in", F.explode(places)).select("cid", "n", "near", "component", "token", "in.band", "in.upper")
     same = Window.partitionBy("token", "band")
+    # As in `buckets`: the smaller of two that meet is near, and in the band itself.
+    least = F.min(F.when(F.col("near") & (F.col("upper") == 0), F.col("n"))).over(same)
+    banded = banded.withColumn("least", least).where("least IS NOT NULL AND (near OR n >= least)")
     mixed = banded.withColumns(
         {
             "low": F.min("component").over(same),
@@ -429,7 +478,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     documents = documents.select("id", "text")
     counted = count_shingles(documents)
     found = classes(documents, rarity(counted))
-    rows = buckets(found)
+    rows = buckets(with_prefixes(found))
 
     pairs = written(with_points(star_pairs(rows), found), "pairs")
     links = verified(pairs, known_sets(ends_of(pairs), found, documents))

@@ -133,3 +133,25 @@ def test_classes_that_their_sizes_keep_apart_are_no_pairs(spark):
     assert {(r["token"], r["cid"], r["leader"], r["leader_n"], r["members"]) for r in rows.collect()} == {
         (7, 1, 1, 100, 3), (7, 2, 1, 100, 3), (7, 3, 1, 100, 3), (8, 1, 1, 100, 2), (8, 3, 1, 100, 2)}
     assert [tuple(r) for r in N.star_pairs(rows).collect()] == [(1, 2, 100, 76)]
+
+
+def test_prefixes_and_points_come_back_as_they_were_packed():
+    for values in ([5], [0, 1, 300], [1 << 40, (1 << 47) + 3], list(range(7, 90_000, 70))):
+        assert N.unpack_order(N.pack_order(np.array(values, np.uint64))).tolist() == values
+    assert len(N.pack_order(np.arange(1, 100, dtype=np.uint64) << np.uint64(36))) == 1 + 99 * 5
+    draw = np.random.default_rng(4)
+    for n, bytes_of_count in ((40, 0.5), (1000, 0.5), (16 * N.MOST_GROUPS, 1)):
+        raw = N.point(draw.integers(0, 1 << 63, n).astype(np.uint64))
+        counts = N.unpack(raw)
+        assert counts.sum() == n and len(raw) == 1 + len(counts) * bytes_of_count
+    for n in (200, 60_000):
+        assert N.unpack(N.point(np.full(n, 1 << 9, np.uint64)))[2] == n
+
+
+def test_a_class_meets_larger_ones_only_near_the_front_of_its_prefix(spark):
+    front = list(range(26))  # of 100 shingles: 15 are near the front, of 120 all 18 of the first
+    found = spark.createDataFrame([(1, 100, front), (2, 100, front), (3, 120, front[20:] + front[:12])], "cid long, n long, prefix array<long>")
+    rows = N.buckets(found).collect()
+    met = {(r["token"], r["cid"]) for r in rows}
+    assert met == {(t, c) for t in range(15) for c in (1, 2)} | {(t, 3) for t in range(12)} | {(t, 3) for t in range(20, 26)}
+    assert all(r["leader"] == (3 if r["token"] >= 20 else 1) for r in rows)
