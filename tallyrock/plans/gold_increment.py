@@ -27,7 +27,8 @@ from tallyrock.plans.side_by_side import run_all
 from tallyrock.plans.silver import untaken_silver
 from tallyrock.schema import BATCH_COLUMN, SILVER_TABLE_DDL
 from tallyrock.sinks.buckets import BUCKET, BUCKETS, BucketedTable, State
-from tallyrock.sinks.tables import overwrite_table, read_written_mark, replace_batches, write_mark
+from tallyrock.sinks.tables import overwrite_table, read_written_mark, replace_batch, replace_batches, write_mark
+from tallyrock.sources.batches import batch_of
 from tallyrock.sources.files import Journal
 from tallyrock.sources.tables import read_or_none, read_table, schema_of
 
@@ -106,7 +107,7 @@ def advance_rollup(
     state = table.state()
     new, rows = untaken_silver(spark, silver, state.taken, fmt)
     if new:
-        state = table.merge(state, rows, new, prepare=rollup.start, combine=rollup.merge)
+        state = table.merge(state, rows, new, prepare=rollup.start, combine=rollup.merge, keep=True)
     return table, state
 
 
@@ -128,7 +129,11 @@ def add_fact_batches(
     taken = set() if note is None else set(note["taken"])
     new, rows = untaken_silver(spark, silver, taken, fmt)
     if new:
-        replace_batches(fact(rows, BATCH_COLUMN), path, fmt)
+        # Of one batch the id is known: no sort by it. A name of another form may not be the id letter by letter.
+        if len(new) == 1 and batch_of(new[0]) is not None:
+            replace_batch(fact(rows), path, new[0], fmt)
+        else:
+            replace_batches(fact(rows, BATCH_COLUMN), path, fmt)
         journal.add(number, {"taken": sorted(taken | set(new))})
     stored = read_or_none(spark, path, fmt, schema)
     return planned if stored is None else stored.select(*planned.columns)

@@ -8,6 +8,7 @@ replaces, so no batch is counted twice. Files of buckets that a merge does not t
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tallyrock.sources.files import Journal, names_in, remove
 
 BUCKET, SLICE, VERSION = "bucket", "slice", "version"
+ASIDE = "_aside-"
 BUCKETS = 64
 # Rows of a bucket that one task of a merge sorts and writes; a larger bucket is split by a hash of its keys.
 SLICE_ROWS = 200_000
@@ -76,15 +78,39 @@ class BucketedTable:
         prepare: Callable[[DataFrame], DataFrame],
         combine: Callable[[DataFrame, list[str]], DataFrame],
         check: Callable[[], None] = lambda: None,
+        keep: bool = False,
     ) -> State:
         """Takes in rows, which are those of the batches named, and returns the new state.
 
         prepare makes of them rows of the table, few per key. combine makes one row per
         key again of these and the stored ones; the keys it is given start with the bucket and its slice, by which its
         input is dealt, so it adds no shuffle. The buckets to touch, and their sizes, are found from the keys
-        and the stored files' footers alone. check may raise before the note is added.
+        and the stored files' footers alone. With keep, what prepare makes is written aside first and measured there:
+        for a prepare that leaves few rows, so that the rows are read once and slices follow what
+        is merged. check may raise before the note is added.
         """
-        new = self._sizes(rows.select(self.bucket_of(state).alias(BUCKET)))
+        prepared, aside = prepare(rows).withColumn(BUCKET, self.bucket_of(state)), f"{self.path}/{ASIDE}{uuid.uuid4().hex}"
+        sized = rows.select(self.bucket_of(state).alias(BUCKET))
+        try:
+            if keep:
+                prepared.write.parquet(aside)
+                prepared = sized = self.spark.read.schema(f"{self.schema}, {BUCKET} INT").parquet(aside)
+            version, versions = self._write(state, prepared, self._sizes(sized), combine)
+        finally:
+            if keep:
+                remove(self.spark, aside)
+        check()
+        everything = state.taken | set(taken)
+        note = {"version": version, "buckets": state.buckets, "versions": versions, "taken": sorted(everything)}
+        number = self.journal.add(state.note, note)
+        after = State(number, version, state.buckets, versions, everything)
+        self._clear(state, after)
+        return after
+
+    def _write(
+        self, state: State, prepared: DataFrame, new: dict[int, int], combine: Callable[[DataFrame, list[str]], DataFrame]
+    ) -> tuple[int, dict[int, int]]:
+        """Writes the buckets that have new rows, under the next version; returns it and that of every bucket."""
         touched = sorted(new)
         version, versions = state.version, dict(state.versions)
         if touched:
@@ -92,7 +118,7 @@ class BucketedTable:
             stored = self.read(state, touched, keep_bucket=True)
             held = self._sizes(stored.select(BUCKET))
             most = 1 + max(new[b] + held.get(b, 0) for b in touched) // SLICE_ROWS
-            both = stored.unionByName(prepare(rows).withColumn(BUCKET, self.bucket_of(state)))
+            both = stored.unionByName(prepared)
             # Another seed than the bucket's, which the keys of a bucket have in common.
             both = both.withColumn(SLICE, F.pmod(F.xxhash64(F.lit(SLICE), *self.keys), F.lit(most)).cast("int"))
             # Twice as many tasks as slices: those that a hash puts into one task hold up the others less.
@@ -101,22 +127,19 @@ class BucketedTable:
             # Whatever a stopped merge has left under this version is replaced.
             merged.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/{VERSION}={version}")
             versions |= {b: version for b in touched}
-        check()
-        everything = state.taken | set(taken)
-        note = {"version": version, "buckets": state.buckets, "versions": versions, "taken": sorted(everything)}
-        number = self.journal.add(state.note, note)
-        after = State(number, version, state.buckets, versions, everything)
-        self._clear(state, after)
-        return after
+        return version, versions
 
     @staticmethod
     def _sizes(buckets: DataFrame) -> dict[int, int]:
         return {r[BUCKET]: r["count"] for r in buckets.groupBy(BUCKET).count().collect()}
 
     def _clear(self, *states: State) -> None:
-        """Removes bucket folders that neither state names: a reader may still be at the older one."""
+        """Removes bucket folders that neither state names, for a reader may still be at the older one, and what
+        merges that stopped have left aside; another merge that still runs has lost its turn by the note."""
         kept = {(v, b) for state in states for b, v in state.versions.items()}
         for name in names_in(self.spark, self.path):
+            if name.startswith(ASIDE):
+                remove(self.spark, f"{self.path}/{name}")
             if not name.startswith(f"{VERSION}="):
                 continue
             version = int(name.removeprefix(f"{VERSION}="))

@@ -11,7 +11,7 @@ from plans import plan_of
 from tallyrock.operators.dedup import latest_per_key
 from tallyrock.plans.current import advance_current, current_table
 from tallyrock.plans.gold import GOLD_TABLES, gold_tables
-from tallyrock.plans.gold_increment import ROLLUPS, advance_rollup, refresh_gold_increment
+from tallyrock.plans.gold_increment import ROLLUPS, Rollup, advance_rollup, refresh_gold_increment
 from tallyrock.plans.silver import compact_silver, read_silver, run_silver, silver_current, silver_increment, untaken_silver
 from tallyrock.schema import BATCH_COLUMN
 from tallyrock.sinks.buckets import BUCKET, BucketedTable
@@ -197,3 +197,46 @@ def test_a_bucket_that_outgrows_a_task_is_merged_in_slices_by_one_shuffle(spark,
         assert same(kept, silver_current(read_silver(spark, paths["silver"])).drop(BATCH_COLUMN))
     assert all(len(shuffles) == 1 and int(shuffles[0]) >= 8 for shuffles in plans), plans
     assert len(kept.inputFiles()) > 2
+
+
+def test_rows_of_an_increment_are_read_once_and_slices_follow_their_totals(spark, bronze, paths, monkeypatch):
+    monkeypatch.setattr("tallyrock.sinks.buckets.SLICE_ROWS", 50)
+    seen, plans = spark.sparkContext.accumulator(0), []
+
+    def counted(*args):
+        new, rows = untaken_silver(*args)
+        return new, rows.withColumn("account_id", F.udf(lambda key: seen.add(1) or key)("account_id"))
+
+    class Watched(Rollup):
+        def merge(self, totals, keys=None):
+            merged = super().merge(totals, keys)
+            plans.append(re.findall(r"Exchange hashpartitioning\(.*?, (\d+)\)", plan_of(merged)))
+            return merged
+
+    monkeypatch.setattr("tallyrock.plans.gold_increment.untaken_silver", counted)
+    accounts = Watched(ROLLUPS["accounts"].keys, ROLLUPS["accounts"].measures)
+    events = [{"transaction_id": f"T{i}", "account_id": [None, "a", "b", "c"][i % 4], "txn_amount": 1.5} for i in range(400)]
+    rows = batch(bronze, 0, *[e for e in events if e["account_id"]])
+    replace_batch(rows, paths["silver"], "stream-0")
+    # What a merge that was killed has left is removed by the next.
+    os.makedirs(f"{paths['other']}/_aside-killed")
+    table, state = advance_rollup(spark, accounts, paths["silver"], paths["other"], buckets=2)
+    assert seen.value == 300
+    assert all(len(shuffles) == 1 and int(shuffles[0]) <= 4 for shuffles in plans), plans
+    assert sorted((r.account_id, r.row_total, r.amount) for r in table.read(state).collect()) == [(a, 100, 150.0) for a in "abc"]
+    assert not [name for name in os.listdir(paths["other"]) if name.startswith("_aside")]
+
+
+def test_a_fact_of_one_batch_is_written_under_its_name_without_a_sort(spark, bronze, paths, monkeypatch):
+    def sorts(*args):
+        raise AssertionError("written by a sort of its rows")
+
+    monkeypatch.setattr("tallyrock.plans.gold_increment.replace_batches", sorts)
+    for number in range(2):
+        replace_batch(batch(bronze, number, {"transaction_id": f"T{number}"}), paths["silver"], f"stream-{number}")
+        tables = refresh_gold_increment(spark, paths["silver"], paths["gold"])
+    full = gold_tables(read_silver(spark, paths["silver"]))
+    for name in GOLD_TABLES:
+        assert same(tables[name], full[name]), name
+    kept = spark.read.parquet(f"{paths['gold']}/gold_fraud_detection").select("transaction_id", BATCH_COLUMN).collect()
+    assert sorted(map(tuple, kept)) == [("T0", "stream-0"), ("T1", "stream-1")]
