@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from plans import plan_of
 from registry import jobs
-from tallyrock.sources.star_schema import TABLES
+from tallyrock.sources.star_schema import TABLES, transactions
 
 
 @pytest.fixture
@@ -74,3 +74,13 @@ def test_lines_are_written_packed(spark, tables):
     folder = jobs.lines_folder(spark, jobs.event_messages(spark, tables))
     lines = spark.read.text(folder).select("_metadata.file_name", "value").collect()
     assert len(lines) == 2 and all(line[0].endswith(".txt.gz") for line in lines)
+
+
+def test_what_is_shuffled_by_part_is_as_narrow_as_the_line_items(spark, tables):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joins = [step for step in plan_of(transactions(spark, tables)).splitlines() if "SortMergeJoin" in step]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "l_orderkey" in joins[0] and "l_partkey" in joins[1]
