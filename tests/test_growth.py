@@ -84,3 +84,31 @@ def test_what_is_shuffled_by_part_is_as_narrow_as_the_line_items(spark, tables):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "l_orderkey" in joins[0] and "l_partkey" in joins[1]
+
+
+def many_line_items(spark, tables, orders):
+    rows = spark.range(2000).selectExpr(
+        f"id % {orders} + 1 AS l_orderkey", "1L AS l_partkey", "1L AS l_suppkey", "CAST(id AS INT) AS l_linenumber",
+        "2D AS l_quantity", "3D AS l_extendedprice", "0D AS l_discount", "0D AS l_tax", "'N' AS l_returnflag",
+        "'O' AS l_linestatus", "TIMESTAMP_NTZ'1999-02-03' AS l_shipdate",
+    )
+    rows.write.mode("overwrite").parquet(f"{tables}/lineitem.parquet")
+
+
+def test_lines_for_many_micro_batches_are_written_without_a_shuffle_of_lines(spark, tables, monkeypatch):
+    many_line_items(spark, tables, orders=1)
+    written = []
+    publish = jobs.publish
+    monkeypatch.setattr(jobs, "publish", lambda messages, *more: written.append(messages) or publish(messages, *more))
+    path, files = jobs.many_lines(spark, tables)
+    assert spark.read.text(path).count() == 2000 and -(-jobs.part_files(spark, path) // files) >= jobs.PROGRESS_BATCHES
+    assert len(written) == 1 and "RoundRobin" not in plan_of(written[0])
+
+
+def test_few_lines_that_are_left_of_many_line_items_still_make_many_micro_batches(spark, tables):
+    many_line_items(spark, tables, orders=10)
+    path, files = jobs.many_lines(spark, tables)
+    assert spark.read.text(path).count() == 200 and files == 1
+    many_line_items(spark, tables, orders=40)
+    path, files = jobs.many_lines(spark, tables)
+    assert spark.read.text(path).count() == 50 and files == 1
