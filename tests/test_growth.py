@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from plans import plan_of
 from registry import jobs
+from tallyrock.plans import silver
 from tallyrock.sources.star_schema import TABLES, transactions
 
 
@@ -112,3 +113,14 @@ def test_few_lines_that_are_left_of_many_line_items_still_make_many_micro_batche
     many_line_items(spark, tables, orders=40)
     path, files = jobs.many_lines(spark, tables)
     assert spark.read.text(path).count() == 50 and files == 1
+
+
+def test_runs_and_current_rows_shuffle_keys_and_order_alone(spark, tables, monkeypatch):
+    written = []
+    replace = silver.replace_batch
+    monkeypatch.setattr(silver, "replace_batch", lambda df, *more: written.append(df) or replace(df, *more))
+    current = jobs.silver_latest(spark, tables)
+    assert current.count() == 2
+    for df in [*written, current]:
+        steps = [s for s in plan_of(df, "formatted").split("\n\n") if ") Exchange" in s and "Arguments: hash" in s]
+        assert steps and not any("merchant_category" in step for step in steps)

@@ -7,7 +7,8 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from plans import plan_of
 from pyspark.sql import functions as F
 
-from tallyrock.operators.dedup import latest_per_key
+from tallyrock.operators import dedup
+from tallyrock.operators.dedup import latest_per_key, latest_stored
 from tallyrock.operators.incremental import high_water_mark, mark_column, new_since, read_mark
 
 
@@ -110,3 +111,47 @@ def test_incremental_filter_prunes_days_and_row_groups(spark, bronze, folder):
     plan = plan_of(new)
     assert "GreaterThan(ingestion_time" in plan
     assert re.search(r"PartitionFilters: \[[^\]]*ingestion_date", plan)
+
+
+def keyed_files(spark, folder, rows=40_000):
+    """Rows in three files, one of more rows than a bitmap holds, with repeated, missing and tied keys."""
+    some = spark.range(rows).selectExpr(
+        "IF(id % 17 = 0, NULL, CAST(id % 30000 AS STRING)) AS transaction_id",
+        "IF(id % 5 = 0, NULL, TIMESTAMP'2025-01-01' + MAKE_DT_INTERVAL(0, 0, 0, id % 7)) AS ingestion_time",
+        "CAST(id AS STRING) AS event_id", "'x' AS ingest_ts", "CAST(hash(id) AS STRING) AS carried",
+    )
+    some.coalesce(1).write.parquet(folder)
+    some.limit(1000).coalesce(1).withColumn("event_id", F.lit("later")).write.mode("append").parquet(folder)
+    some.limit(0).write.mode("append").parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def by_event(df):
+    return sorted(df.collect(), key=lambda r: (r.event_id, r.carried, r.transaction_id or ""))
+
+
+def test_stored_rows_are_picked_by_place_and_equal_the_window(spark, folder):
+    rows = keyed_files(spark, folder).filter("event_id != '77'")
+    assert by_event(latest_stored(rows)) == by_event(latest_per_key(rows))
+    order = [F.col("carried").desc()]
+    assert by_event(latest_stored(rows, tie_breakers=order)) == by_event(latest_per_key(rows, tie_breakers=order))
+    none = rows.filter("event_id = 'none'")
+    assert latest_stored(none).count() == 0 and latest_stored(none).columns == rows.columns
+
+
+def test_equal_copies_of_a_stored_row_leave_one(spark, folder):
+    for _ in range(3):
+        spark.sql("SELECT 'T' transaction_id, 'e' event_id, 'x' ingest_ts, current_date() ingestion_time").write.mode(
+            "append"
+        ).parquet(folder)
+    assert latest_stored(spark.read.parquet(folder)).count() == 1
+
+
+def test_of_stored_rows_keys_and_order_alone_are_shuffled(spark, folder, monkeypatch):
+    rows = keyed_files(spark, folder, 100)
+    steps = plan_of(latest_stored(rows), "formatted").split("\n\n")
+    shuffles = [step for step in steps if ") Exchange" in step and "Arguments: hash" in step]
+    assert shuffles and not any("carried" in step for step in shuffles)
+    monkeypatch.setattr(dedup, "PLACED_ROWS", 10)
+    whole = latest_stored(rows)
+    assert "bitmap" not in plan_of(whole) and by_event(whole) == by_event(latest_per_key(rows))
