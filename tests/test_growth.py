@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from plans import plan_of
 from registry import jobs
 from tallyrock.plans import silver
+from tallyrock.sources.files import names_in
 from tallyrock.sources.star_schema import TABLES, transactions
 
 
@@ -115,6 +116,15 @@ def test_few_lines_that_are_left_of_many_line_items_still_make_many_micro_batche
     assert spark.read.text(path).count() == 50 and files == 1
 
 
+def test_csv_that_a_job_reads_back_is_packed(spark, tables, monkeypatch):
+    seen = []
+    refresh = jobs.refresh_gold
+    monkeypatch.setattr(jobs, "refresh_gold", lambda *args, **options: seen.append(args[3]) or refresh(*args, **options))
+    assert jobs.csv_content(spark, tables, "gold_transaction_lifecycle").count() == 2
+    names = [n for n in names_in(spark, f"{seen[0]}/gold_transaction_lifecycle") if n.startswith("part-")]
+    assert names and all(n.endswith(".csv.gz") for n in names)
+
+
 def test_runs_and_current_rows_shuffle_keys_and_order_alone(spark, tables, monkeypatch):
     written = []
     replace = silver.replace_batch
